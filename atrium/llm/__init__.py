@@ -1,0 +1 @@
+"""Operators for preparing training data; nothing else in the library imports this package."""
