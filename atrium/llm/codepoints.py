@@ -29,3 +29,19 @@ def lowered() -> np.ndarray:
 
 def points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def part_hashes(c: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each part of c; parts begin at starts and are adjacent."""
+    from atrium.llm.shingles import mix64, powers
+
+    lengths = np.diff(np.append(starts, len(c)))
+    values = mix64((c.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    values *= powers(np.uint64(0xD6E8FEB86659FD93), int(lengths.max(initial=1)))[np.arange(len(c)) - np.repeat(starts, lengths)]
+    return mix64(np.add.reduceat(values, starts)) if len(starts) else np.empty(0, np.uint64)
+
+
+def gathered(flat: np.ndarray, offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """flat[offsets[0]:+lengths[0]], flat[offsets[1]:+lengths[1]], ... behind one another."""
+    begin = np.cumsum(lengths) - lengths
+    return flat[np.arange(int(lengths.sum())) + np.repeat(offsets - begin, lengths)]

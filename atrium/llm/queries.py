@@ -4,21 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from atrium.llm.best_fit_packing import packed
+from atrium.llm.language_id import language_id
 from atrium.llm.minhash_dedup import near_duplicates
+from atrium.llm.quality_classifier import quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_quality_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_weak_labels": op2_quality_weak_labels,
+    "op3_language_id": op3_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
