@@ -111,7 +111,7 @@ def _comparer(k: int, percent: int):
 
 def _links(tasks: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """tasks: (task struct, left, doc_id, component)."""
-    rows = tasks.join(texts, "doc_id")
+    rows = tasks.hint("merge").join(texts, "doc_id")
     with settings(rows.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=1000):
         return write_table(rows.groupBy("task").applyInPandas(_comparer(k, percent), "a long, b long"), "links")
 
@@ -141,24 +141,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
             "sketches",
         )
     named = sketches.where("doc_id is not null and n_shingles > 0")
-    classes = write_table(named.groupBy("name1", "name2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
-    shared = classes.where("n > 1").select("name1", "name2", "n_shingles", "rep")
     keys = ["name1", "name2", "n_shingles"]
+    # Equal sets have equal bands, so any row's bands do.
+    classes = write_table(named.groupBy(*keys).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.any_value("bands").alias("bands")), "classes")
+    shared = classes.where("n > 1").select(*keys, "rep")
     copies = named.select("doc_id", *keys).join(shared, keys).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
-    members = (
-        named.join(classes.select(*keys, F.col("rep").alias("doc_id")), [*keys, "doc_id"], "left_semi")
-        .select(F.explode("bands").alias("code"), "doc_id")
-        .distinct()
-    )
-    members = write_table(members, "members")
+    members = write_table(classes.select(F.explode("bands").alias("code"), F.col("rep").alias("doc_id")), "members")
     buckets = write_table(
         members.groupBy("code").agg(F.min("doc_id").alias("head"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc_id")).alias("name")).where("n > 1"), "buckets"
     )
     # Bands of near-identical documents repeat the same bucket: one of each is enough.
     buckets = write_table(buckets.groupBy("head", "n", "name").agg(F.min("code").alias("code")), "buckets")
     inside = write_table(members.join(buckets.select("code", "head"), "code"), "inside")
-    texts = write_table(docs.join(inside.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    # By shuffle at every size: the candidates grow with the corpus.
+    texts = write_table(docs.join(inside.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), "texts")
 
     pairs = inside.where("doc_id <> head").select("head", "doc_id").distinct()
     pairs = write_table(pairs, "pairs")
