@@ -38,6 +38,18 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """Writes one file into the shared folder and returns its place."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/atrium/{name}")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = system.create(path)
+    for start in range(0, len(data), 1 << 20):
+        out.write(bytearray(data[start : start + (1 << 20)]))
+    out.close()
+    return system.makeQualified(path).toString()
+
+
 def clear(spark: SparkSession) -> None:
     """Deletes all intermediate tables of this library; DataFrames that read them end here."""
     jvm = spark.sparkContext._jvm
