@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from atrium.llm.best_fit_packing import packed
+from atrium.llm.bpe_lexicon import bpe_round_trip
 from atrium.llm.language_id import language_id
 from atrium.llm.minhash_dedup import near_duplicates
 from atrium.llm.quality_classifier import quality
@@ -33,11 +34,16 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_weak_labels": op2_quality_weak_labels,
     "op3_language_id": op3_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_bpe_transducer": op8_bpe_transducer,
 }
 
 ORACLE_SQL: dict[str, str] = {}
