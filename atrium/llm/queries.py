@@ -6,18 +6,26 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from atrium.llm.best_fit_packing import packed
 from atrium.llm.bpe_lexicon import bpe_round_trip
 from atrium.llm.language_id import language_id
 from atrium.llm.minhash_dedup import near_duplicates
 from atrium.llm.quality_classifier import quality
+from atrium.llm.slot_sharding import sharded
+from atrium.llm.tool_calls import CHAT_TOOLS, from_conversations, linked
+from atrium.llm.url_rules import judged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_slot_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(_table(spark, sf_dir, "documents"), shards=8)
+
+
 def op2_quality_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"))
 
@@ -38,12 +46,25 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocked = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), blocked.alias("blocked"))
+    return judged(_table(spark, sf_dir, "pages"), labels)
+
+
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked(from_conversations(_table(spark, sf_dir, "conversations")), CHAT_TOOLS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_slot_sharding": op1_slot_sharding,
     "op2_quality_weak_labels": op2_quality_weak_labels,
     "op3_language_id": op3_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_bpe_transducer": op8_bpe_transducer,
+    "op9_url_rules": op9_url_rules,
+    "op10_tool_calls": op10_tool_calls,
 }
 
 ORACLE_SQL: dict[str, str] = {}
