@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from atrium.llm.best_fit_packing import packed
 from atrium.llm.bpe_lexicon import bpe_round_trip
+from atrium.llm.embedding_dedup import near_vectors
 from atrium.llm.language_id import language_id
 from atrium.llm.minhash_dedup import near_duplicates
+from atrium.llm.phrase_fingerprints import compared
 from atrium.llm.quality_classifier import quality
 from atrium.llm.slot_sharding import sharded
 from atrium.llm.tool_calls import CHAT_TOOLS, from_conversations, linked
@@ -34,6 +36,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op5_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compared(_table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
@@ -60,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_sharding": op1_slot_sharding,
     "op2_quality_weak_labels": op2_quality_weak_labels,
     "op3_language_id": op3_language_id,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
+    "op5_phrase_fingerprints": op5_phrase_fingerprints,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_bpe_transducer": op8_bpe_transducer,
