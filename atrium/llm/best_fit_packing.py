@@ -27,7 +27,7 @@ from atrium.scratch import settings, write_table
 
 LENGTH = 2048
 #: Characters that are tokenized together, salts that split the pieces of one length, and moves of the search.
-_CHUNK, _SALTS, MOVES = 2_000_000, 256, 500
+_CHUNK, _SALTS, MOVES = 1_000_000, 256, 500
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how often), longest first
 

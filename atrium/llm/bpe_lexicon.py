@@ -27,7 +27,7 @@ from atrium.llm.lexicon import Lexicon, compile_lexicon
 from atrium.scratch import settings, write_file
 
 #: Words in the transducer, the longest in bytes, and unseen words that a worker remembers or counts before it starts anew.
-LEXICON, LONGEST, REMEMBERED = 1 << 16, 64, 500_000
+LEXICON, LONGEST, REMEMBERED = 1 << 16, 64, 300_000
 _CHUNK = 1_000_000
 #: Longer words are merged one by one.
 _TOGETHER = 48

@@ -18,7 +18,7 @@ from atrium.llm.codepoints import SPACE, gathered, kinds, part_hashes, points
 #: Texts with one of these go to the library as a whole: the split below doesn't know contractions.
 _CONTRACTION = re.compile("'(?:[stmd]|re|ve|ll)")
 #: Distinct words that a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 
 
 def word_starts(c: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
