@@ -81,7 +81,7 @@ def without_regions(boxes: DataFrame, regions: DataFrame, least: float = 0.55) -
 def _median(values: Column) -> Column:
     """The true median of an array, null if it is empty."""
     s, n = F.sort_array(values), F.size(values)
-    at = lambda i: F.try_element_at(s, i.cast("int") + 1)
+    at = lambda i: F.get(s, i.cast("int"))
     return (at(F.floor((n - 1) / 2)) + at(F.floor(n / 2))) / 2
 
 
