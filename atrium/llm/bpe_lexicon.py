@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from atrium.llm.codepoints import DIGIT, LETTER, OTHER, SPACE, gathered, kinds, lowered, points
 from atrium.llm.lexicon import Lexicon, compile_lexicon
-from atrium.scratch import settings, write_file
+from atrium.scratch import settings, write_file, write_table
 
 #: Words in the transducer, the longest in bytes, and unseen words that a worker remembers or counts before it starts anew.
 LEXICON, LONGEST, REMEMBERED = 1 << 16, 64, 300_000
@@ -275,13 +275,22 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def build_lexicon(docs: DataFrame, tokenizer: str, size: int = LEXICON) -> str:
     """Counts all words of docs, compiles the most frequent ones and ships the file; returns its name.
 
-    Ties in frequency go to the first in byte order. What is in the transducer
-    decides how fast encoding is, never its result.
+    The words are those more frequent than a cut-off, the lowest that leaves
+    at most `size` of them. What is in the transducer decides how fast
+    encoding is, never its result.
     """
     spark = docs.sparkSession
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=2000):
         counts = docs.select("text").mapInPandas(_counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        words = [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
+        counts = write_table(counts.where("n > 1"), "words")
+    # Frequencies first: taking the top words of every task would send `size` words from each to the driver.
+    cut, total = 1, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(size).collect():
+        total += r["words"]
+        if total > size:
+            cut = r["n"]
+            break
+    words = [bytes(r["word"]) for r in counts.where(F.col("n") > cut).select("word").collect()]
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     data = compile_lexicon(dict(zip(words, rules(tokenizer).merge(words), strict=True)))
     spark.sparkContext.addFile(write_file(spark, name, data))
