@@ -17,3 +17,119 @@ def windows_scored(events: DataFrame, truth: DataFrame, slack: float = 3.0) -> D
     counts = hits.groupBy("run_id", "w0").agg(F.count("*").alias("got"))
     out = each.join(counts, ["run_id", "w0"], "left").withColumn("got", F.coalesce("got", F.lit(0)))
     return out.select("run_id", "w0", "expected", "tuned", "got", F.least(F.col("got"), F.col("expected").cast("long")).alias("hits"), F.greatest(F.col("got") - F.col("expected"), F.lit(0)).alias("extra"))
+
+
+ALPHAS = tuple(round(0.05 * i, 2) for i in range(1, 20))
+
+
+def assignment(score):
+    """Rows and columns of the assignment of greatest total score, by shortest augmenting paths.
+
+    score: a matrix of numbers >= 0; the shorter side is fully assigned.
+    """
+    import numpy as np
+
+    turned = score.shape[0] > score.shape[1]
+    cost = -(score.T if turned else score)
+    n, m = cost.shape
+    u, v, match = np.zeros(n), np.zeros(m), np.full(m, -1)
+    for i in range(n):
+        row, used, best, back = i, np.zeros(m, bool), np.full(m, np.inf), np.full(m, -1)
+        path, at = -1, -1
+        while True:
+            reduced = cost[row] - u[row] - v
+            if at >= 0:
+                reduced = reduced + shift
+            better = ~used & (reduced < best)
+            best[better], back[better] = reduced[better], at
+            open_best = np.where(used, np.inf, best)
+            at = int(open_best.argmin())
+            shift = open_best[at]
+            used[at] = True
+            if match[at] < 0:
+                path = at
+                break
+            row = int(match[at])
+        done = used.copy()
+        done[path] = False
+        u[i] += shift
+        for j in np.flatnonzero(done):
+            u[match[j]] += shift - best[j]
+            v[j] -= shift - best[j]
+        while path >= 0:
+            previous = int(back[path])
+            match[path] = i if previous < 0 else match[previous]
+            path = previous
+    columns = np.flatnonzero(match >= 0)
+    rows = match[columns]
+    return (columns, rows) if turned else (rows, columns)
+
+
+def frame_matches(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """Per frame and threshold the matched pairs of the alignment-weighted assignment: run_id, frame_idx, alpha, gt, pr.
+
+    Pairs and alignments are joins and aggregates; only the assignment within
+    a frame, whose boxes are few, runs as a function.
+    """
+    import numpy as np
+    import pandas as pd
+
+    from atrium.functions.geometry import box, iou
+
+    t = truth.select("run_id", "frame_idx", F.col("track_id").alias("gt"), "x1", "y1", "x2", "y2")
+    p = found.select("run_id", "frame_idx", F.col("track_id").alias("pr"), *[F.col(c).alias(f"o_{c}") for c in ("x1", "y1", "x2", "y2")])
+    sims = t.join(p, ["run_id", "frame_idx"]).withColumn("iou", iou(box(), box("o_"))).where("iou > 0").select("run_id", "frame_idx", "gt", "pr", "iou")
+    rows, cols = (sims.groupBy("run_id", "frame_idx", k).agg(F.sum("iou").alias(f"s_{k}")) for k in ("gt", "pr"))
+    weight = F.col("iou") / (F.col("s_gt") + F.col("s_pr") - F.col("iou"))
+    shares = sims.join(rows, ["run_id", "frame_idx", "gt"]).join(cols, ["run_id", "frame_idx", "pr"]).groupBy("run_id", "gt", "pr").agg(F.sum(weight).alias("potential"))
+    n_gt = truth.groupBy("run_id", F.col("track_id").alias("gt")).agg(F.count("*").alias("n_gt"))
+    n_pr = found.groupBy("run_id", F.col("track_id").alias("pr")).agg(F.count("*").alias("n_pr"))
+    shares = shares.join(n_gt, ["run_id", "gt"]).join(n_pr, ["run_id", "pr"])
+    shares = shares.select("run_id", "gt", "pr", (F.col("potential") / (F.col("n_gt") + F.col("n_pr") - F.col("potential"))).alias("alignment"))
+    sims = sims.join(shares, ["run_id", "gt", "pr"])
+
+    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["gt", "pr"])
+        g, gi = np.unique(pdf["gt"], return_inverse=True)
+        q, qi = np.unique(pdf["pr"], return_inverse=True)
+        similar, aligned = np.zeros((len(g), len(q))), np.zeros((len(g), len(q)))
+        similar[gi, qi], aligned[gi, qi] = pdf["iou"], pdf["alignment"]
+        out = []
+        a, b = assignment(similar * aligned)
+        for alpha in ALPHAS:
+            out += [(alpha, g[i], q[j]) for i, j in zip(a, b, strict=True) if similar[i, j] >= alpha - 1e-12]
+        frame = pd.DataFrame(out, columns=["alpha", "gt", "pr"])
+        frame.insert(0, "frame_idx", pdf["frame_idx"].iloc[0])
+        frame.insert(0, "run_id", pdf["run_id"].iloc[0])
+        return frame
+
+    return sims.groupBy("run_id", "frame_idx").applyInPandas(assign, "run_id int, frame_idx int, alpha double, gt string, pr string")
+
+
+def hota(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """Per run: HOTA, DetA and AssA (means over the thresholds)."""
+    matches = frame_matches(truth, found)
+    n_gt, n_pr = (d.groupBy("run_id").agg(F.count("*").alias(c)) for d, c in ((truth, "n_gt"), (found, "n_pr")))
+    each = matches.groupBy("run_id", "alpha", "gt", "pr").agg(F.count("*").alias("tpa"))
+    t_gt = truth.groupBy("run_id", F.col("track_id").alias("gt")).agg(F.count("*").alias("t_gt"))
+    t_pr = found.groupBy("run_id", F.col("track_id").alias("pr")).agg(F.count("*").alias("t_pr"))
+    each = each.join(t_gt, ["run_id", "gt"]).join(t_pr, ["run_id", "pr"])
+    jaccard = F.col("tpa") / (F.col("t_gt") + F.col("t_pr") - F.col("tpa"))
+    per = each.groupBy("run_id", "alpha").agg(F.sum("tpa").alias("tp"), (F.sum(F.col("tpa") * jaccard) / F.sum("tpa")).alias("ass"))
+    grid = n_gt.join(n_pr, "run_id", "full").withColumn("alpha", F.explode(F.array(*map(F.lit, ALPHAS))))
+    per = grid.join(per, ["run_id", "alpha"], "left").na.fill(0, ["tp", "ass", "n_gt", "n_pr"])
+    det = F.col("tp") / (F.col("n_gt") + F.col("n_pr") - F.col("tp"))
+    return per.groupBy("run_id").agg(F.round(F.avg(F.sqrt(det * F.col("ass"))), 6).alias("hota"), F.round(F.avg(det), 6).alias("deta"), F.round(F.avg("ass"), 6).alias("assa"))
+
+
+def mota(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """Per run at IoU 0.5: matches, misses, false positives, identity switches and MOTA."""
+    from pyspark.sql import Window
+
+    m = frame_matches(truth, found).where(F.abs(F.col("alpha") - 0.5) < 1e-9)
+    before = F.lag("pr").over(Window.partitionBy("run_id", "gt").orderBy("frame_idx"))
+    m = m.withColumn("switch", (before.isNotNull() & (before != F.col("pr"))).cast("int"))
+    n_gt, n_pr = (d.groupBy("run_id").agg(F.count("*").alias(c)) for d, c in ((truth, "n_gt"), (found, "n_pr")))
+    s = n_gt.join(n_pr, "run_id", "left").join(m.groupBy("run_id").agg(F.count("*").alias("tp"), F.sum("switch").alias("idsw")), "run_id", "left").na.fill(0)
+    fn, fp = F.col("n_gt") - F.col("tp"), F.col("n_pr") - F.col("tp")
+    return s.select("run_id", "tp", fn.alias("fn"), fp.alias("fp"), "idsw", F.round(1 - (fn + fp + F.col("idsw")) / F.col("n_gt"), 6).alias("mota"))
