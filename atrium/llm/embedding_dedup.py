@@ -21,8 +21,8 @@ from atrium.llm.shingles import mix64
 from atrium.operators.components import connected_components
 from atrium.scratch import settings, write_table
 
-#: At cosine 0.93 a pair meets in one of 20 tables of 8 projections with probability 0.986, at 0.97 with 0.9998.
-TABLES, PROJECTIONS, WIDTH = 20, 8, 1.6
+#: At cosine 0.93 a pair meets in one of 20 tables of 8 projections with probability 0.998, at 0.95 with 0.9997.
+TABLES, PROJECTIONS, WIDTH = 20, 8, 2.0
 #: Most vectors on one side of a comparison.
 BLOCK = 512
 _SEED = 20240229

@@ -215,7 +215,7 @@ def compared(docs: DataFrame, buckets_per_partition: int = 4) -> DataFrame:
     n = max(8, min(10_000, buckets_per_partition * parts))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", order.alias("_order"), order.cast("double").alias("_at"))
     cuts = keyed.approxQuantile("_at", [i / n for i in range(1, n)], 0.1 / n)
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    splits = [-math.inf, *(sorted({*cuts} - {-math.inf, math.inf}) or [0.0]), math.inf]
     placed = Bucketizer(splits=splits, inputCol="_at", outputCol="_b").transform(keyed)
     placed = placed.select("doc_id", "text", "_order", (F.lit(len(splits)) - F.col("_b")).cast("int").alias("bucket"))
     heads = [(r["bucket"], r["head"]) for r in placed.groupBy("bucket").agg(F.max("_order").alias("head")).orderBy("bucket").collect()]
