@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from atrium.plans import answers, detections, events, frames, identity, quality, relational, scoring, streams  # noqa: F401
+    from atrium.plans import answers, detections, events, frames, identity, quality, relational, reports, scoring, streams  # noqa: F401
 
 
 _load()
