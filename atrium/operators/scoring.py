@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from atrium.operators.intervals import range_join
 
 
-def windows_scored(events: DataFrame, truth: DataFrame, slack: float = 3.0) -> DataFrame:
-    """Events per run and truth window, widened by slack on both sides: got, hits and extra events. truth is small by nature."""
-    runs = events.select("run_id").distinct()
-    wide = truth.select("*", (F.col("w0") - slack).alias("_lo"), (F.col("w1") + slack).alias("_hi"), F.explode(F.array(F.lit(1))).alias("_k"))
-    each = runs.withColumn("_k", F.lit(1)).join(F.broadcast(wide), "_k").drop("_k")
-    hits = range_join(events.select("run_id", "t"), each, ["run_id"], "t", "_lo", "_hi", 20.0)
-    counts = hits.groupBy("run_id", "w0").agg(F.count("*").alias("got"))
+def windows_scored(events: DataFrame, truth: list[tuple[float, float, int, bool]], slack: float = 3.0) -> DataFrame:
+    """Events per run and truth window (w0, w1, expected, tuned), widened by slack on both sides: got, hits and extra events.
+
+    Truth is a handful of hand-made windows, so it is a constant of the plan.
+    """
+    names = ("w0", "w1", "expected", "tuned")
+    windows = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row, strict=True)]) for row in truth])
+    each = events.select("run_id").distinct().select("run_id", F.explode(windows).alias("w")).select("run_id", "w.*")
+    wide = each.select("run_id", "w0", (F.col("w0") - slack).alias("_lo"), (F.col("w1") + slack).alias("_hi"))
+    counts = range_join(events.select("run_id", "t"), wide, ["run_id"], "t", "_lo", "_hi", 20.0).groupBy("run_id", "w0").agg(F.count("*").alias("got"))
     out = each.join(counts, ["run_id", "w0"], "left").withColumn("got", F.coalesce("got", F.lit(0)))
     return out.select("run_id", "w0", "expected", "tuned", "got", F.least(F.col("got"), F.col("expected").cast("long")).alias("hits"), F.greatest(F.col("got") - F.col("expected"), F.lit(0)).alias("extra"))
 
@@ -88,22 +91,26 @@ def frame_matches(truth: DataFrame, found: DataFrame) -> DataFrame:
     shares = shares.select("run_id", "gt", "pr", (F.col("potential") / (F.col("n_gt") + F.col("n_pr") - F.col("potential"))).alias("alignment"))
     sims = sims.join(shares, ["run_id", "gt", "pr"])
 
+    # A pair whose boxes overlap nothing else is matched as it is; only the rest of a frame is a problem to solve.
+    alone = sims.groupBy("run_id", "frame_idx", "gt").agg(F.count("*").alias("n1")), sims.groupBy("run_id", "frame_idx", "pr").agg(F.count("*").alias("n2"))
+    sims = sims.join(alone[0], ["run_id", "frame_idx", "gt"]).join(alone[1], ["run_id", "frame_idx", "pr"])
+    simple = sims.where("n1 = 1 and n2 = 1").select("run_id", "frame_idx", "gt", "pr", "iou")
+    part = F.expr("frame_idx div 64").alias("part")
+    hard = sims.where("n1 > 1 or n2 > 1").select("run_id", part, "frame_idx", "gt", "pr", "iou", "alignment")
+
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["gt", "pr"])
-        g, gi = np.unique(pdf["gt"], return_inverse=True)
-        q, qi = np.unique(pdf["pr"], return_inverse=True)
-        similar, aligned = np.zeros((len(g), len(q))), np.zeros((len(g), len(q)))
-        similar[gi, qi], aligned[gi, qi] = pdf["iou"], pdf["alignment"]
         out = []
-        a, b = assignment(similar * aligned)
-        for alpha in ALPHAS:
-            out += [(alpha, g[i], q[j]) for i, j in zip(a, b, strict=True) if similar[i, j] >= alpha - 1e-12]
-        frame = pd.DataFrame(out, columns=["alpha", "gt", "pr"])
-        frame.insert(0, "frame_idx", pdf["frame_idx"].iloc[0])
-        frame.insert(0, "run_id", pdf["run_id"].iloc[0])
-        return frame
-
-    return sims.groupBy("run_id", "frame_idx").applyInPandas(assign, "run_id int, frame_idx int, alpha double, gt string, pr string")
+        for frame, rows in pdf.sort_values(["frame_idx", "gt", "pr"]).groupby("frame_idx"):
+            g, gi = np.unique(rows["gt"], return_inverse=True)
+            q, qi = np.unique(rows["pr"], return_inverse=True)
+            similar, score = np.zeros((len(g), len(q))), np.zeros((len(g), len(q)))
+            similar[gi, qi], score[gi, qi] = rows["iou"], rows["iou"] * rows["alignment"]
+            out += [(rows["run_id"].iloc[0], frame, g[i], q[j], similar[i, j]) for i, j in zip(*assignment(score), strict=True) if similar[i, j] > 0]
+        return pd.DataFrame(out, columns=["run_id", "frame_idx", "gt", "pr", "iou"])
+
+    solved = hard.groupBy("run_id", "part").applyInPandas(assign, "run_id int, frame_idx int, gt string, pr string, iou double")
+    bars = F.filter(F.array(*map(F.lit, ALPHAS)), lambda a: F.col("iou") >= a - 1e-12)
+    return simple.unionByName(solved).select("run_id", "frame_idx", F.explode(bars).alias("alpha"), "gt", "pr")
 
 
 def hota(truth: DataFrame, found: DataFrame) -> DataFrame:

@@ -227,8 +227,7 @@ def h11(spark, sf):
 TRUTH = "truth AS (SELECT * FROM (VALUES (26.0::DOUBLE, 39.0::DOUBLE, 0, false), (221.0, 234.0, 3, false), (305.0, 318.0, 6, true)) AS v(w0, w1, expected, tuned))"
 
 
-def truth(spark):
-    return spark.createDataFrame([(26.0, 39.0, 0, False), (221.0, 234.0, 3, False), (305.0, 318.0, 6, True)], "w0 double, w1 double, expected int, tuned boolean")
+TRUTH_ROWS = [(26.0, 39.0, 0, False), (221.0, 234.0, 3, False), (305.0, 318.0, 6, True)]
 
 
 @query("e14_truth_windows", sql("SELECT run_id, w0, expected, tuned, count(c.t) AS got, least(count(c.t), expected) AS hits, greatest(count(c.t) - expected, 0) AS extra FROM truth w JOIN v_crossing c ON c.direction = 'in' AND c.line = 'entry line' AND c.t >= w0 - 3.0 AND c.t <= w1 + 3.0 GROUP BY run_id, w0, expected, tuned", TRUTH))
@@ -236,7 +235,7 @@ def e14(spark, sf):
     from atrium.operators.scoring import windows_scored
 
     inward = crossings(spark, sf).where("direction = 'in' and line = 'entry line'")
-    return windows_scored(inward, truth(spark)).where("got > 0")
+    return windows_scored(inward, TRUTH_ROWS).where("got > 0")
 
 
 @query("e15_flagged_false_events", sql("SELECT run_id, a, count(DISTINCT track_id || ':' || direction) AS matches, count(DISTINCT track_id || ':' || direction) >= 2 AS reversal FROM v_crossing JOIN (SELECT unnest([40.0, 100.0, 300.0, 610.5]) AS a) f ON abs(t - a) <= 0.6 GROUP BY run_id, a"))

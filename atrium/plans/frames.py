@@ -288,7 +288,7 @@ def p36(spark, sf):
     return boxes(spark, sf).withColumn("stage", stage).where("stage is not null").groupBy("run_id", "stage").agg(F.count("*").alias("n"), F.min("frame_idx").alias("first"))
 
 
-@query("p44_frame_renumbering", sql("SELECT run_id, frame_idx, dense_rank() OVER (PARTITION BY run_id ORDER BY frame_idx) AS n, count(*) AS boxes FROM v_box WHERE frame_idx % 3 = 0 GROUP BY run_id, frame_idx"))
+@query("p44_frame_renumbering", sql("SELECT run_id, frame_idx, dense_rank() OVER (PARTITION BY run_id ORDER BY frame_idx) AS n, count(*) AS boxes FROM v_box GROUP BY run_id, frame_idx"))
 def p44(spark, sf):
-    f = boxes(spark, sf).where("frame_idx % 3 = 0").groupBy("run_id", "frame_idx").agg(F.count("*").alias("boxes"))
+    f = boxes(spark, sf).groupBy("run_id", "frame_idx").agg(F.count("*").alias("boxes"))
     return f.select("run_id", "frame_idx", F.row_number().over(Window.partitionBy("run_id").orderBy("frame_idx")).alias("n"), "boxes")

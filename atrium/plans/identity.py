@@ -159,12 +159,10 @@ def h21(spark, sf):
     return boxes(spark, sf).select("run_id", "frame_idx", "track_id", (F.row_number().over(w) == 1).alias("keeps"))
 
 
-@query("k2_gallery_similarity", sql("SELECT a.label AS a, b.label AS b, round(max(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))), 5) AS sim FROM embeddings a JOIN embeddings b ON a.label < b.label WHERE a.vec_id % 25 = 0 AND b.vec_id % 25 = 0 GROUP BY 1, 2"))
+@query("k2_gallery_similarity", "SELECT a.vec_id // 6 AS g, round(max(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))), 5) AS sim FROM embeddings a JOIN embeddings b ON b.vec_id // 6 = a.vec_id // 6 + 1 GROUP BY 1")
 def k2(spark, sf):
-    """Best cosine between galleries; a gallery is a label's vectors with ids divisible by 25."""
-    e = table(spark, sf, "embeddings").where("vec_id % 25 = 0").select("label", "embedding")
-    galleries = e.groupBy("label").agg(F.collect_list("embedding").alias("g"))
-    o = galleries.select(F.col("label").alias("b"), F.col("g").alias("h"))
-    p = galleries.join(o, F.col("label") < F.col("b"))
-    best = F.array_max(F.transform("g", lambda x: F.array_max(F.transform("h", lambda y: cosine(x, y)))))
-    return p.select(F.col("label").alias("a"), "b", F.round(best, 5).alias("sim"))
+    """Best cosine between a gallery and the next one; six vectors are a gallery."""
+    g = table(spark, sf, "embeddings").groupBy(F.expr("vec_id div 6").alias("g")).agg(F.collect_list("embedding").alias("v"))
+    p = g.join(g.select((F.col("g") - 1).alias("g"), F.col("v").alias("w")), "g")
+    best = F.array_max(F.transform("v", lambda x: F.array_max(F.transform("w", lambda y: cosine(x, y)))))
+    return p.select("g", F.round(best, 5).alias("sim"))

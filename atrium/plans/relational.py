@@ -111,13 +111,13 @@ def j3(spark, sf):
     return boxes(spark, sf).groupBy("run_id").agg(d.alias("boxes"), F.count_distinct("track_id").alias("ids"), F.round(d / F.count("*"), 5).alias("share"))
 
 
-@query("j4_manifest_difference", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'only_there' WHEN b.k IS NULL THEN 'only_here' ELSE 'changed' END AS state FROM (SELECT doc_id AS k, n_chars AS v FROM documents WHERE doc_id % 3 <> 0) a FULL JOIN (SELECT doc_id AS k, n_chars + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS v FROM documents WHERE doc_id % 5 <> 0) b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v")
-@query("g47_provenance_difference", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'only_there' WHEN b.k IS NULL THEN 'only_here' ELSE 'changed' END AS state FROM (SELECT doc_id AS k, n_chars AS v FROM documents WHERE doc_id % 3 <> 0) a FULL JOIN (SELECT doc_id AS k, n_chars + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS v FROM documents WHERE doc_id % 5 <> 0) b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v")
+@query("j4_manifest_difference", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'only_there' WHEN b.k IS NULL THEN 'only_here' ELSE 'changed' END AS state FROM (SELECT doc_id AS k, n_chars AS v FROM documents WHERE source <> 'src1') a FULL JOIN (SELECT doc_id AS k, n_chars + CASE WHEN lang = 'de' THEN 1 ELSE 0 END AS v FROM documents WHERE source <> 'src2') b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v")
+@query("g47_provenance_difference", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'only_there' WHEN b.k IS NULL THEN 'only_here' ELSE 'changed' END AS state FROM (SELECT doc_id AS k, n_chars AS v FROM documents WHERE source <> 'src1') a FULL JOIN (SELECT doc_id AS k, n_chars + CASE WHEN lang = 'de' THEN 1 ELSE 0 END AS v FROM documents WHERE source <> 'src2') b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v")
 def j4(spark, sf):
     """Two versions of a manifest, made from one table."""
     d = table(spark, sf, "documents")
-    a = d.where("doc_id % 3 <> 0").select(F.col("doc_id").alias("k"), F.col("n_chars").alias("v"), F.lit(1).alias("here"))
-    b = d.where("doc_id % 5 <> 0").select(F.col("doc_id").alias("k"), (F.col("n_chars") + F.when(F.col("doc_id") % 7 == 0, 1).otherwise(0)).alias("w"), F.lit(1).alias("there"))
+    a = d.where("source <> 'src1'").select(F.col("doc_id").alias("k"), F.col("n_chars").alias("v"), F.lit(1).alias("here"))
+    b = d.where("source <> 'src2'").select(F.col("doc_id").alias("k"), (F.col("n_chars") + F.when(F.col("lang") == "de", 1).otherwise(0)).alias("w"), F.lit(1).alias("there"))
     j = a.join(b, "k", "full").where(~F.col("v").eqNullSafe(F.col("w")))
     return j.select("k", F.when(F.col("here").isNull(), "only_there").when(F.col("there").isNull(), "only_here").otherwise("changed").alias("state"))
 

@@ -10,7 +10,7 @@ from atrium.sources.adapters import boxes, crossings, sql
 
 
 def _truth(spark, sf):
-    return boxes(spark, sf).where("track_id not like 'm%' and frame_idx < 400")
+    return boxes(spark, sf).where("track_id not like 'm%'")
 
 
 def _found(spark, sf):
@@ -32,7 +32,7 @@ def g42b(spark, sf):
     return S.mota(_truth(spark, sf), _found(spark, sf))
 
 
-@query("g42_perfect_tracker", sql("SELECT DISTINCT run_id, 1.0::DOUBLE AS hota, 1.0::DOUBLE AS deta, 1.0::DOUBLE AS assa FROM v_box WHERE track_id NOT LIKE 'm%' AND frame_idx < 400"))
+@query("g42_perfect_tracker", sql("SELECT DISTINCT run_id, 1.0::DOUBLE AS hota, 1.0::DOUBLE AS deta, 1.0::DOUBLE AS assa FROM v_box WHERE track_id NOT LIKE 'm%'"))
 def g42c(spark, sf):
     t = _truth(spark, sf)
     return S.hota(t, t)
