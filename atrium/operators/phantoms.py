@@ -3,12 +3,26 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEYS = ["run_id", "track_id"]
-CX, CY = (F.col("x1") + F.col("x2")) / 2, (F.col("y1") + F.col("y2")) / 2
-BW, BH = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+
+
+def cx() -> Column:
+    return (F.col("x1") + F.col("x2")) / 2
+
+
+def cy() -> Column:
+    return (F.col("y1") + F.col("y2")) / 2
+
+
+def bw() -> Column:
+    return F.col("x2") - F.col("x1")
+
+
+def bh() -> Column:
+    return F.col("y2") - F.col("y1")
 
 
 def static_tracks(boxes: DataFrame, life: float = 120.0, sightings: int = 20, centre: float = 0.02, size: float = 0.03) -> DataFrame:
@@ -16,25 +30,25 @@ def static_tracks(boxes: DataFrame, life: float = 120.0, sightings: int = 20, ce
     s = boxes.groupBy(*KEYS).agg(
         F.count("*").alias("n"),
         (F.max("t") - F.min("t")).alias("life"),
-        F.greatest(F.stddev_pop(CX), F.stddev_pop(CY)).alias("c"),
-        F.greatest(F.stddev_pop(BW), F.stddev_pop(BH)).alias("s"),
-        F.median(BH).alias("h"),
+        F.greatest(F.stddev_pop(cx()), F.stddev_pop(cy())).alias("c"),
+        F.greatest(F.stddev_pop(bw()), F.stddev_pop(bh())).alias("s"),
+        F.median(bh()).alias("h"),
     )
     return s.where((F.col("n") >= sightings) & (F.col("life") >= life) & (F.col("c") / F.col("h") <= centre) & (F.col("s") / F.col("h") <= size)).select(*KEYS, "n", "life")
 
 
 def rigid_tracks(boxes: DataFrame, diagonal: float, life: float = 60.0, sightings: int = 25, aspect: float = 0.06, travel: float = 0.10) -> DataFrame:
     """Tracks of unchanging shape that never get far from their first point."""
-    first = boxes.groupBy(*KEYS).agg(F.min_by(F.struct(CX.alias("fx"), CY.alias("fy")), "t").alias("f"))
+    first = boxes.groupBy(*KEYS).agg(F.min_by(F.struct(cx().alias("fx"), cy().alias("fy")), "t").alias("f"))
     b = boxes.join(first, KEYS)
-    far = F.sqrt((CX - F.col("f.fx")) * (CX - F.col("f.fx")) + (CY - F.col("f.fy")) * (CY - F.col("f.fy")))
-    s = b.groupBy(*KEYS).agg(F.count("*").alias("n"), (F.max("t") - F.min("t")).alias("life"), (F.stddev_pop(BH / BW) / F.avg(BH / BW)).alias("cv"), F.max(far).alias("far"))
+    far = F.sqrt((cx() - F.col("f.fx")) * (cx() - F.col("f.fx")) + (cy() - F.col("f.fy")) * (cy() - F.col("f.fy")))
+    s = b.groupBy(*KEYS).agg(F.count("*").alias("n"), (F.max("t") - F.min("t")).alias("life"), (F.stddev_pop(bh() / bw()) / F.avg(bh() / bw())).alias("cv"), F.max(far).alias("far"))
     return s.where((F.col("n") >= sightings) & (F.col("life") >= life) & (F.col("cv") <= aspect) & (F.col("far") <= travel * diagonal)).select(*KEYS, "n")
 
 
 def mirrored_pairs(boxes: DataFrame, shared: int = 30, seconds: float = 20.0, offset: float = 15.0, cv: float = 0.10, travel: float = 80.0) -> DataFrame:
     """Pairs of tracks that keep one distance while both travel. Joins a frame's boxes, which are few."""
-    p = boxes.select("run_id", "t", "track_id", CX.alias("x"), CY.alias("y"))
+    p = boxes.select("run_id", "t", "track_id", cx().alias("x"), cy().alias("y"))
     o = p.select("run_id", "t", F.col("track_id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"))
     both = p.join(o, ["run_id", "t"]).where("track_id < other")
     d = F.sqrt((F.col("x") - F.col("ox")) * (F.col("x") - F.col("ox")) + (F.col("y") - F.col("oy")) * (F.col("y") - F.col("oy")))
@@ -52,15 +66,15 @@ def mirrored_pairs(boxes: DataFrame, shared: int = 30, seconds: float = 20.0, of
 
 def phantom_cells(boxes: DataFrame, protected: DataFrame, cell: float = 64.0, hits: int = 40, span: float = 60.0, jitter: float = 0.02, size_cv: float = 0.07) -> DataFrame:
     """Grid cells in which something stays put under whatever ids, unless a protected track (run_id, track_id) was there."""
-    b = boxes.withColumn("gx", F.floor(CX / cell)).withColumn("gy", F.floor(CY / cell))
+    b = boxes.withColumn("gx", F.floor(cx() / cell)).withColumn("gy", F.floor(cy() / cell))
     safe = b.join(protected, KEYS, "left_semi").select("run_id", "gx", "gy").distinct()
     b = b.join(safe, ["run_id", "gx", "gy"], "left_anti")
     g = b.groupBy("run_id", "gx", "gy").agg(
         F.count("*").alias("hits"),
         (F.max("t") - F.min("t")).alias("span"),
-        F.greatest(F.stddev_pop(CX), F.stddev_pop(CY)).alias("c"),
-        F.median(BH).alias("h"),
-        (F.stddev_pop(BH) / F.avg(BH)).alias("cv"),
+        F.greatest(F.stddev_pop(cx()), F.stddev_pop(cy())).alias("c"),
+        F.median(bh()).alias("h"),
+        (F.stddev_pop(bh()) / F.avg(bh())).alias("cv"),
         *[F.median(c).alias(c) for c in ("x1", "y1", "x2", "y2")],
     )
     ok = (F.col("hits") >= hits) & (F.col("span") >= span) & (F.col("c") / F.col("h") <= jitter) & (F.col("cv") <= size_cv)

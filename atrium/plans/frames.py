@@ -14,8 +14,18 @@ from atrium.plans.registry import query
 from atrium.sources.adapters import boxes, crossings, sql, table
 
 KEY = ["run_id", "frame_idx", "track_id"]
-FX, FY = (F.col("x1") + F.col("x2")) / 2, F.col("y2")
-TRACKW = Window.partitionBy("run_id", "track_id").orderBy("t")
+
+
+def fx():
+    return (F.col("x1") + F.col("x2")) / 2
+
+
+def fy():
+    return F.col("y2")
+
+
+def by_track():
+    return Window.partitionBy("run_id", "track_id").orderBy("t")
 
 
 @query("c3_drop_rate_guard", sql(
@@ -41,7 +51,7 @@ def c4(spark, sf):
 def c6(spark, sf):
     """A box with several heads is cut at the midpoints between neighbouring ones; staff boxes stand for heads."""
     b = boxes(spark, sf)
-    h = b.where("role = 'staff'").select("run_id", "frame_idx", FX.alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"), F.col("track_id").alias("hid"))
+    h = b.where("role = 'staff'").select("run_id", "frame_idx", fx().alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"), F.col("track_id").alias("hid"))
     j = b.where("role <> 'staff'").join(h, ["run_id", "frame_idx"]).where("cx between x1 and x2 and cy between y1 and y2")
     heads = j.groupBy(*KEY, "x1", "x2").agg(F.sort_array(F.collect_list(F.struct("cx", "hid"))).alias("h")).where(F.size("h") >= 2)
     part = heads.select(*KEY, "x1", "x2", F.col("h.cx").alias("c"), F.posexplode("h").alias("n", "_"))
@@ -94,9 +104,9 @@ def d14(spark, sf):
 
 @query("d8_speed", sql("SELECT run_id, track_id, t, round(sqrt((gx - lag(gx) OVER w) * (gx - lag(gx) OVER w) + (gz - lag(gz) OVER w) * (gz - lag(gz) OVER w)) / (t - lag(t) OVER w), 4) AS mps FROM (SELECT *, ((x1 + x2) / 2 - 960.0) * 1.7 / (0.2 * y2 + 20.0) AS gx, " + repr(PLANE.focal) + " * 1.7 / (0.2 * y2 + 20.0) AS gz FROM v_box) WINDOW w AS (PARTITION BY run_id, track_id ORDER BY t)"))
 def d8(spark, sf):
-    gx, gz = PLANE.to_ground(FX, FY)
+    gx, gz = PLANE.to_ground(fx(), fy())
     b = boxes(spark, sf).withColumn("gx", gx).withColumn("gz", gz)
-    dx, dz, dt = (F.col(c) - F.lag(c).over(TRACKW) for c in ("gx", "gz", "t"))
+    dx, dz, dt = (F.col(c) - F.lag(c).over(by_track()) for c in ("gx", "gz", "t"))
     return b.select("run_id", "track_id", "t", F.round(F.when(dt > 0, F.sqrt(dx * dx + dz * dz) / dt), 4).alias("mps"))
 
 
@@ -110,7 +120,7 @@ def d12(spark, sf):
 def d21(spark, sf):
     """Spread across the principal axis relative to the spread along it, from the covariance's eigenvalues."""
     b = boxes(spark, sf).where(F.regexp_replace("track_id", "m", "").cast("int") % 25 != 7)
-    g = b.groupBy("run_id", "track_id").agg(F.count("*").alias("n"), F.var_pop(FX).alias("sx"), F.var_pop(FY).alias("sy"), F.covar_pop(FX, FY).alias("c"))
+    g = b.groupBy("run_id", "track_id").agg(F.count("*").alias("n"), F.var_pop(fx()).alias("sx"), F.var_pop(fy()).alias("sy"), F.covar_pop(fx(), fy()).alias("c"))
     mid, half = (F.col("sx") + F.col("sy")) / 2, F.sqrt((F.col("sx") - F.col("sy")) * (F.col("sx") - F.col("sy")) / 4 + F.col("c") * F.col("c"))
     bend = F.when((F.col("n") < 3) | (mid + half < 1e-9), 0.0).otherwise(F.sqrt(F.greatest(mid - half, F.lit(0.0))) / F.sqrt(mid + half))
     return g.select("run_id", "track_id", F.round(bend, 5).alias("bend"))
@@ -119,7 +129,7 @@ def d21(spark, sf):
 @query("d27_carried_activity", sql("SELECT run_id, track_id, t, last_value(act IGNORE NULLS) OVER w AS activity, t - last_value(CASE WHEN act IS NOT NULL THEN t END IGNORE NULLS) OVER w AS age FROM (SELECT *, CASE WHEN frame_idx % 8 = 0 THEN CASE WHEN y2 < 400 THEN 'far' ELSE 'near' END END AS act FROM v_box) WINDOW w AS (PARTITION BY run_id, track_id ORDER BY t ROWS UNBOUNDED PRECEDING)"))
 def d27(spark, sf):
     """Sampled every eighth frame and carried forward with its age; never sampled is null."""
-    w = TRACKW.rowsBetween(Window.unboundedPreceding, 0)
+    w = by_track().rowsBetween(Window.unboundedPreceding, 0)
     act = F.when(F.col("frame_idx") % 8 == 0, F.when(F.col("y2") < 400, "far").otherwise("near"))
     b = boxes(spark, sf).withColumn("act", act)
     at = F.last(F.when(F.col("act").isNotNull(), F.col("t")), ignorenulls=True).over(w)
@@ -165,32 +175,32 @@ def e25(spark, sf):
 @query("h4_door_transitions", sql("SELECT run_id, track_id, t, px - x AS step FROM (SELECT *, lag(x) OVER w AS px, lag(y2) OVER w AS py, lag(t) OVER w AS pt FROM (SELECT *, (x1 + x2) / 2 AS x FROM v_box) WINDOW w AS (PARTITION BY run_id, track_id ORDER BY t)) WHERE x < 600.0 AND y2 BETWEEN 200.0 AND 600.0 AND NOT (px < 600.0 AND py BETWEEN 200.0 AND 600.0) AND abs(px - x) >= 60.0 AND t - pt <= 30.0"))
 def h4(spark, sf):
     """From outside the door's band to inside, with some travel, within a gap."""
-    b = boxes(spark, sf).withColumn("x", FX)
+    b = boxes(spark, sf).withColumn("x", fx())
     for c, p in (("x", "px"), ("y2", "py"), ("t", "pt")):
-        b = b.withColumn(p, F.lag(c).over(TRACKW))
+        b = b.withColumn(p, F.lag(c).over(by_track()))
     now, was = F.expr("x < 600.0 and y2 between 200.0 and 600.0"), F.expr("px < 600.0 and py between 200.0 and 600.0")
     return b.where(now & ~was & (F.abs(F.col("px") - F.col("x")) >= 60.0) & (F.col("t") - F.col("pt") <= 30.0)).select("run_id", "track_id", "t", (F.col("px") - F.col("x")).alias("step"))
 
 
 @query("h16_path_length", sql("SELECT run_id, track_id, round(coalesce(sum(d), 0.0), 3) AS path FROM (SELECT *, sqrt((x - lag(x) OVER w) * (x - lag(x) OVER w) + (y2 - lag(y2) OVER w) * (y2 - lag(y2) OVER w)) AS d FROM (SELECT *, (x1 + x2) / 2 AS x FROM v_box) WINDOW w AS (PARTITION BY run_id, track_id ORDER BY t)) GROUP BY ALL"))
 def h16(spark, sf):
-    b = boxes(spark, sf).withColumn("x", FX)
-    dx, dy = F.col("x") - F.lag("x").over(TRACKW), F.col("y2") - F.lag("y2").over(TRACKW)
+    b = boxes(spark, sf).withColumn("x", fx())
+    dx, dy = F.col("x") - F.lag("x").over(by_track()), F.col("y2") - F.lag("y2").over(by_track())
     return b.withColumn("d", F.sqrt(dx * dx + dy * dy)).groupBy("run_id", "track_id").agg(F.round(F.coalesce(F.sum("d"), F.lit(0.0)), 3).alias("path"))
 
 
 @query("h14_patience_by_zone", sql("SELECT run_id, track_id, greatest(CASE WHEN x BETWEEN 100.0 AND 900.0 THEN 300 ELSE 0 END, CASE WHEN y BETWEEN 100.0 AND 500.0 THEN 180 ELSE 0 END, CASE WHEN NOT (x BETWEEN 100.0 AND 900.0) AND NOT (y BETWEEN 100.0 AND 500.0) THEN 120 ELSE 0 END) AS patience FROM (SELECT run_id, track_id, median((x1 + x2) / 2) AS x, median(y2) AS y FROM v_box GROUP BY ALL)"))
 def h14(spark, sf):
     """The longest patience of the zones that hold the median foot, else the default."""
-    m = boxes(spark, sf).groupBy("run_id", "track_id").agg(F.median(FX).alias("x"), F.median(FY).alias("y"))
+    m = boxes(spark, sf).groupBy("run_id", "track_id").agg(F.median(fx()).alias("x"), F.median(fy()).alias("y"))
     a, b = F.col("x").between(100.0, 900.0), F.col("y").between(100.0, 500.0)
     return m.select("run_id", "track_id", F.greatest(F.when(a, 300).otherwise(0), F.when(b, 180).otherwise(0), F.when(~a & ~b, 120).otherwise(0)).alias("patience"))
 
 
 @query("i7_slow_places", sql("SELECT run_id, CAST(floor(x / 96.0) AS BIGINT) AS gx, CAST(floor(y2 / 96.0) AS BIGINT) AS gy, count(*) AS n FROM (SELECT *, sqrt((x - lag(x) OVER w) * (x - lag(x) OVER w) + (y2 - lag(y2) OVER w) * (y2 - lag(y2) OVER w)) / (t - lag(t) OVER w) AS v FROM (SELECT *, (x1 + x2) / 2 AS x FROM v_box) WINDOW w AS (PARTITION BY run_id, track_id ORDER BY t)) WHERE v <= 8.8 GROUP BY 1, 2, 3 HAVING count(*) >= 10"))
 def i7(spark, sf):
-    b = boxes(spark, sf).withColumn("x", FX)
-    dx, dy, dt = (F.col(c) - F.lag(c).over(TRACKW) for c in ("x", "y2", "t"))
+    b = boxes(spark, sf).withColumn("x", fx())
+    dx, dy, dt = (F.col(c) - F.lag(c).over(by_track()) for c in ("x", "y2", "t"))
     slow = b.withColumn("v", F.when(dt > 0, F.sqrt(dx * dx + dy * dy) / dt)).where("v <= 8.8")
     return slow.groupBy("run_id", F.floor(F.col("x") / 96.0).alias("gx"), F.floor(F.col("y2") / 96.0).alias("gy")).agg(F.count("*").alias("n")).where("n >= 10")
 
@@ -200,7 +210,7 @@ def g57(spark, sf):
     """Pairs seen together are different people; neighbouring sightings of one id are the same."""
     b = boxes(spark, sf)
     n = b.groupBy("run_id", "frame_idx").agg(F.count("*").alias("k")).groupBy("run_id").agg(F.sum(F.expr("cast(k * (k - 1) div 2 as bigint)")).alias("different"))
-    g = b.withColumn("g", F.col("t") - F.lag("t").over(TRACKW)).groupBy("run_id").agg(F.count_if((F.col("g") > 0) & (F.col("g") <= 0.5)).alias("same"))
+    g = b.withColumn("g", F.col("t") - F.lag("t").over(by_track())).groupBy("run_id").agg(F.count_if((F.col("g") > 0) & (F.col("g") <= 0.5)).alias("same"))
     return n.join(g, "run_id")
 
 
