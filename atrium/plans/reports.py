@@ -74,7 +74,7 @@ def g16(spark, sf):
     return r.join(c, "run_id", "left").select("run_id", F.when(F.col("r") > 0, "region").when(F.col("l") > 0, "line").otherwise("none").alias("source"))
 
 
-@query("g44_before_after", sql("SELECT zone, a, b, round(b - a, 5) AS delta, abs(b - a) < 0.02 AS noise FROM (SELECT zone, count(*) FILTER (run_id % 2 = 0) / (SELECT count(*) FROM v_sighting WHERE run_id % 2 = 0) AS a, count(*) FILTER (run_id % 2 = 1) / (SELECT count(*) FROM v_sighting WHERE run_id % 2 = 1) AS b FROM v_sighting GROUP BY zone)"))
+@query("g44_before_after", sql("SELECT zone, a, b, round(b - a, 5) AS delta, abs(b - a) < 0.02 AS noise FROM (SELECT zone, count(*) FILTER (run_id % 2 = 0) / nullif((SELECT count(*) FROM v_sighting WHERE run_id % 2 = 0), 0) AS a, count(*) FILTER (run_id % 2 = 1) / nullif((SELECT count(*) FROM v_sighting WHERE run_id % 2 = 1), 0) AS b FROM v_sighting GROUP BY zone)"))
 def g44(spark, sf):
     s = sightings(spark, sf).withColumn("odd", F.col("run_id") % 2 == 1)
     n = s.groupBy("odd").agg(F.count("*").alias("n"))
