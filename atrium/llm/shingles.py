@@ -8,7 +8,7 @@ import numpy as np
 
 U64 = np.uint64
 #: Bytes of text that are hashed together; bounds the working memory of a task.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 _BASE, _STEP = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 
 
