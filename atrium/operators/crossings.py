@@ -95,3 +95,27 @@ def parties(arrivals: DataFrame, seconds: float = 25.0, radius: float = 320.0) -
         return pdf.assign(party=party)[["run_id", "track_id", "t", "party"]]
 
     return arrivals.groupBy("run_id").applyInPandas(fold, "run_id int, track_id string, t double, party int")
+
+
+def debounced(crossings: DataFrame, reversal: float = 3.0, same: float = 0.8, place: float = 45.0) -> DataFrame:
+    """Two passes over a run's line in order: neighbouring opposite crossings within `reversal` seconds at one place drop
+    each other; then of two in the same direction within `same` seconds at one place the first stays. (H6, H7)"""
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["t", "track_id", "direction"], ignore_index=True)
+        t, d, x = pdf["t"].tolist(), pdf["direction"].tolist(), pdf["x"].tolist()
+        left, i = [], 0
+        while i < len(t):
+            if i + 1 < len(t) and d[i] != d[i + 1] and t[i + 1] - t[i] <= reversal and abs(x[i + 1] - x[i]) <= place:
+                i += 2
+            else:
+                left.append(i)
+                i += 1
+        keep: list[int] = []
+        for i in left:
+            if keep and d[keep[-1]] == d[i] and t[i] - t[keep[-1]] < same and abs(x[i] - x[keep[-1]]) <= place:
+                continue
+            keep.append(i)
+        return pdf.iloc[keep]
+
+    return crossings.groupBy("run_id", "line").applyInPandas(fold, _COLUMNS)

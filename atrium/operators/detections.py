@@ -98,3 +98,32 @@ def motion(boxes: DataFrame, still: float = 8.0) -> DataFrame:
     b = b.withColumn("speed", _median(F.collect_list("v").over(last))).withColumn("sx", sx).withColumn("sy", sy)
     heading = F.pmod(F.degrees(F.atan2("sx", -F.col("sy"))), F.lit(360.0))
     return b.select("run_id", "track_id", "t", F.round("speed", 4).alias("speed"), F.round(F.when(F.col("speed") >= still, heading), 3).alias("heading"))
+
+
+def greedy_matches(left: DataFrame, right: DataFrame, least: float = 0.3) -> DataFrame:
+    """Pairs of boxes of a frame by falling IoU, each box in one pair: run_id, frame_idx, track_id, o_track_id, iou.
+
+    A pair whose boxes meet no others is taken as it is; only the rest of a frame is folded.
+    """
+    other = right.select(*FRAME, *[F.col(c).alias(f"o_{c}") for c in ("track_id", "x1", "y1", "x2", "y2")])
+    p = left.select(*FRAME, "track_id", "x1", "y1", "x2", "y2").join(other, FRAME).withColumn("iou", iou(box(), box("o_")))
+    p = p.where(F.col("iou") >= least).select(*FRAME, "track_id", "o_track_id", "iou")
+    n1, n2 = (p.groupBy(*FRAME, c).agg(F.count("*").alias(f"n_{c}")) for c in ("track_id", "o_track_id"))
+    p = p.join(n1, [*FRAME, "track_id"]).join(n2, [*FRAME, "o_track_id"])
+    alone = (F.col("n_track_id") == 1) & (F.col("n_o_track_id") == 1)
+    columns = [*FRAME, "track_id", "o_track_id", "iou"]
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        used: set = set()
+        keep = []
+        pdf = pdf.sort_values(["frame_idx", "iou", "track_id", "o_track_id"], ascending=[True, False, True, True])
+        for f, a, b in zip(pdf["frame_idx"], pdf["track_id"], pdf["o_track_id"], strict=True):
+            ok = (f, 0, a) not in used and (f, 1, b) not in used
+            keep.append(ok)
+            if ok:
+                used |= {(f, 0, a), (f, 1, b)}
+        return pdf[keep][columns]
+
+    rest = p.where(~alone).withColumn("part", F.expr("frame_idx div 64"))
+    solved = rest.groupBy("run_id", "part").applyInPandas(fold, "run_id int, frame_idx int, track_id string, o_track_id string, iou double")
+    return p.where(alone).select(*columns).unionByName(solved)

@@ -100,3 +100,30 @@ def dossiers(mapping: DataFrame, tracks: DataFrame) -> DataFrame:
         F.max("t_last").alias("t_last"),
         F.sum(F.col("t_last") - F.col("t_first")).alias("seen_s"),
     )
+
+
+def global_links(tracks: DataFrame, pairs: DataFrame, accept: float = 0.6, per_second: float = 0.001) -> DataFrame:
+    """Links fragments of a run so that the total cost is least: each fragment has at most one successor and one
+    predecessor, and going without costs 1. pairs: run_id, a, b, gap, sim, as `candidates` gives them. (E22, E24)
+
+    Returns run_id, a, b. Only eligible pairs (sim >= accept) reach a run's fold.
+    """
+    import numpy as np
+
+    from atrium.operators.scoring import assignment
+
+    eligible = pairs.where(F.col("sim") >= accept).select("run_id", "a", "b", (1 - F.col("sim") + per_second * F.col("gap")).alias("cost")).where("cost < 1")
+    known = tracks.select("run_id", "track_id")
+    eligible = eligible.join(known.withColumnRenamed("track_id", "a"), ["run_id", "a"], "left_semi").join(known.withColumnRenamed("track_id", "b"), ["run_id", "b"], "left_semi")
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["a", "b"])
+        a, ai = np.unique(pdf["a"], return_inverse=True)
+        b, bi = np.unique(pdf["b"], return_inverse=True)
+        # Gains over going without; each fragment may also stay alone for nothing.
+        gain = np.zeros((len(a), len(b) + len(a)))
+        gain[ai, bi] = 1 - pdf["cost"].to_numpy()
+        rows = [(pdf["run_id"].iloc[0], a[i], b[j]) for i, j in zip(*assignment(gain), strict=True) if j < len(b) and gain[i, j] > 0]
+        return pd.DataFrame(rows, columns=["run_id", "a", "b"])
+
+    return eligible.groupBy("run_id").applyInPandas(solve, "run_id int, a string, b string")

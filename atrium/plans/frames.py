@@ -302,3 +302,26 @@ def p36(spark, sf):
 def p44(spark, sf):
     f = boxes(spark, sf).groupBy("run_id", "frame_idx").agg(F.count("*").alias("boxes"))
     return f.select("run_id", "frame_idx", F.row_number().over(Window.partitionBy("run_id").orderBy("frame_idx")).alias("n"), "boxes")
+
+
+@query("e19_greedy_matches")
+def e19(spark, sf):
+    """Guests' boxes with those of staff."""
+    b = boxes(spark, sf)
+    return D.greedy_matches(b.where("role <> 'staff'"), b.where("role = 'staff'"), 0.1)
+
+
+@query("h6_debounced_crossings")
+def h6(spark, sf):
+    from atrium.operators.crossings import debounced
+
+    return debounced(crossings(spark, sf))
+
+
+@query("e22_global_links")
+def e22(spark, sf):
+    from atrium.operators.identity import candidates, global_links
+    from atrium.plans.identity import tracks
+
+    t = tracks(spark, sf)
+    return global_links(t, candidates(t, 60.0), accept=0.2)

@@ -174,3 +174,23 @@ def test_suppression_keeps_the_surest(spark):
     rows = [(0, 0, "a", 0.0, 0.0, 10.0, 10.0, 0.9), (0, 0, "b", 1.0, 0.0, 11.0, 10.0, 0.8), (0, 0, "c", 50.0, 0.0, 60.0, 10.0, 0.1)]
     got = D.suppressed(spark.createDataFrame(rows, BOX + ", conf double"), 0.5).collect()
     assert sorted(r["track_id"] for r in got) == ["a", "c"]
+
+
+def test_global_links_take_the_best_total(spark):
+    t = spark.createDataFrame([(0, k) for k in "abcd"], "run_id int, track_id string")
+    # Greedy would take a-c (0.95) and leave b-d (0.3) as too weak; together a-d and b-c are better.
+    p = spark.createDataFrame([(0, "a", "c", 0.0, 0.95), (0, "a", "d", 0.0, 0.90), (0, "b", "c", 0.0, 0.90), (0, "b", "d", 0.0, 0.30)], "run_id int, a string, b string, gap double, sim double")
+    assert sorted((r["a"], r["b"]) for r in I.global_links(t, p).collect()) == [("a", "d"), ("b", "c")]
+
+
+def test_greedy_matches_use_each_box_once(spark):
+    left = spark.createDataFrame([(0, 0, "a", 0.0, 0.0, 10.0, 10.0), (0, 0, "b", 2.0, 0.0, 12.0, 10.0), (0, 1, "a", 0.0, 0.0, 1.0, 1.0)], BOX)
+    right = spark.createDataFrame([(0, 0, "x", 1.0, 0.0, 11.0, 10.0), (0, 0, "y", 2.5, 0.0, 12.5, 10.0), (0, 1, "z", 0.0, 0.0, 1.0, 1.0)], BOX)
+    got = sorted((r["frame_idx"], r["track_id"], r["o_track_id"]) for r in D.greedy_matches(left, right).collect())
+    assert got == [(0, "a", "x"), (0, "b", "y"), (1, "a", "z")]
+
+
+def test_debouncing(spark):
+    rows = [(0, "1", "customer", d, "door", x, 0.0, t) for d, t, x in (("in", 0.0, 0.0), ("out", 2.0, 10.0), ("in", 10.0, 0.0), ("in", 10.5, 5.0), ("out", 12.0, 300.0))]
+    got = C.debounced(spark.createDataFrame(rows, C._COLUMNS)).collect()
+    assert sorted(r["t"] for r in got) == [10.0, 12.0]
