@@ -1,8 +1,9 @@
 """Ordered decisions over door crossings: cancelling U-turns and duplicates.
 
-Whether a crossing is kept depends on the ones kept before, so each group is
-folded in order. Groups are one track at one line, or one run's direction;
-the state that a fold carries never spans more than its time window.
+Cancelling is a matter of windows. Elsewhere, whether a crossing is kept
+depends on the ones kept before, so each group is folded in order. A group is
+one run's direction or line; the state that a fold carries never spans more
+than its time window.
 """
 
 from __future__ import annotations
@@ -10,27 +11,26 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 _COLUMNS = "run_id int, track_id string, role string, direction string, line string, x double, y double, t double"
 
 
 def confirmed(crossings: DataFrame, confirm: float = 5.0) -> DataFrame:
-    """Drops both of two neighbouring opposite crossings of one track and line within `confirm` seconds (inclusive). (H1)"""
+    """Drops both of two neighbouring opposite crossings of one track and line within `confirm` seconds (inclusive). (H1)
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "direction"], ignore_index=True)
-        keep, i = [], 0
-        t, d = pdf["t"].tolist(), pdf["direction"].tolist()
-        while i < len(t):
-            if i + 1 < len(t) and d[i] != d[i + 1] and t[i + 1] - t[i] <= confirm:
-                i += 2
-            else:
-                keep.append(i)
-                i += 1
-        return pdf.iloc[keep]
-
-    return crossings.groupBy("run_id", "track_id", "line").applyInPandas(fold, _COLUMNS)
+    Where several in a row pair with the next one, they cancel two by two from
+    the first, so of such a chain only the last stays, if their number is odd.
+    """
+    keys = ["run_id", "track_id", "line"]
+    order = Window.partitionBy(*keys).orderBy("t", "direction")
+    pairs = (F.lag("direction").over(order) != F.col("direction")) & (F.col("t") - F.lag("t").over(order) <= confirm)
+    rows = crossings.withColumn("_new", F.when(pairs, 0).otherwise(1))
+    rows = rows.withColumn("_chain", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    chain = Window.partitionBy(*keys, "_chain")
+    rows = rows.withColumn("_n", F.count("*").over(chain)).withColumn("_i", F.row_number().over(chain.orderBy("t", "direction")))
+    return rows.where((F.col("_i") == F.col("_n")) & (F.col("_n") % 2 == 1)).select(*crossings.columns)
 
 
 def _first_of_each(rows: Iterator[tuple[float, float, float]], seconds: float, distance: float) -> Iterator[bool]:

@@ -58,13 +58,13 @@ def spans(events: DataFrame) -> DataFrame:
 def upper_median(values: Column | str) -> Column:
     """The upper of the two middle values. (one of the five quantile conventions)"""
     ordered = F.sort_array(F.collect_list(values))
-    return F.element_at(ordered, F.floor(F.size(ordered) / 2).cast("int") + 1)
+    return F.try_element_at(ordered, F.floor(F.size(ordered) / 2).cast("int") + 1)
 
 
 def floor_quantile(values: Column | str, p: float) -> Column:
     """The value at floor(p * (n - 1)) of the sorted values."""
     ordered = F.sort_array(F.collect_list(values))
-    return F.element_at(ordered, F.floor(F.lit(p) * (F.size(ordered) - 1)).cast("int") + 1)
+    return F.try_element_at(ordered, F.floor(F.lit(p) * (F.size(ordered) - 1)).cast("int") + 1)
 
 
 def runs_of(rows: DataFrame, keys: list[str], at: str, gap: float) -> DataFrame:

@@ -186,7 +186,7 @@ def d23(spark, sf):
 
 
 @query("d26_motion", sql(
-    """SELECT run_id, track_id, t, round(speed, 4) AS speed, round(CASE WHEN speed >= 8.0 THEN ((degrees(atan2(sx, -sy)) % 360.0) + 360.0) % 360.0 END, 3) AS heading FROM (SELECT *, median(v) OVER (PARTITION BY run_id, track_id ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS speed FROM (
+    """SELECT run_id, track_id, t, round(speed, 4) AS speed, round(CASE WHEN speed >= 8.0 AND (sx <> 0 OR sy <> 0) THEN ((degrees(atan2(sx, -sy)) % 360.0) + 360.0) % 360.0 END, 3) AS heading FROM (SELECT *, median(v) OVER (PARTITION BY run_id, track_id ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS speed FROM (
 SELECT run_id, track_id, t, CASE WHEN t - lag(t) OVER w > 0 THEN sqrt((fx - lag(fx) OVER w) * (fx - lag(fx) OVER w) + (fy - lag(fy) OVER w) * (fy - lag(fy) OVER w)) / (t - lag(t) OVER w) END AS v, fx - first_value(fx) OVER f AS sx, fy - first_value(fy) OVER f AS sy
 FROM (SELECT *, (x1 + x2) / 2 AS fx, y2 AS fy FROM v_box) WINDOW w AS (PARTITION BY run_id, track_id ORDER BY t), f AS (PARTITION BY run_id, track_id ORDER BY t ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)))"""))
 def d26(spark, sf):

@@ -216,18 +216,20 @@ def g57(spark, sf):
 
 @query("n7_stride")
 def n7(spark, sf):
-    """Keeps a sighting eight frames or more after the last kept one; folded per track."""
+    """Keeps a sighting eight frames or more after the track's last kept one; many tracks to a call."""
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("frame_idx")
-        last, keep = None, []
-        for f in pdf["frame_idx"]:
-            ok = last is None or f - last >= 8
+        pdf = pdf.sort_values(["track_id", "frame_idx"])
+        track = last = None
+        keep = []
+        for k, f in zip(pdf["track_id"], pdf["frame_idx"], strict=True):
+            ok = k != track or f - last >= 8
             keep.append(ok)
-            last = f if ok else last
-        return pdf[keep]
+            track, last = k, f if ok else last
+        return pdf[keep][KEY]
 
-    return boxes(spark, sf).select(*KEY).groupBy("run_id", "track_id").applyInPandas(fold, "run_id int, frame_idx int, track_id string")
+    b = boxes(spark, sf).select(*KEY, F.pmod(F.xxhash64("track_id"), F.lit(8)).alias("part"))
+    return b.groupBy("run_id", "part").applyInPandas(fold, "run_id int, frame_idx int, track_id string")
 
 
 @query("n3_pending_keys", "SELECT conv_id FROM (SELECT DISTINCT conv_id FROM conversations) ANTI JOIN (SELECT conv_id FROM conversations WHERE role = 'system') USING (conv_id)")

@@ -234,22 +234,25 @@ def p72(spark, sf):
 
 @query("f14_activity_timeline")
 def f14(spark, sf):
-    """Run lengths of a track's activity; runs of one sample join the one before; folded per track."""
+    """Run lengths of a track's activity; runs of one sample join the one before; many tracks to a call."""
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("t")
-        runs: list[list] = []
-        for t, a in zip(pdf["t"], pdf["zone"], strict=True):
-            if runs and runs[-1][0] == a:
-                runs[-1][2], runs[-1][3] = t, runs[-1][3] + 1
-            else:
-                runs.append([a, t, t, 1])
         out: list[list] = []
-        for r in runs:
-            if out and (r[3] < 2 or out[-1][0] == r[0]):
-                out[-1][2], out[-1][3] = r[2], out[-1][3] + r[3]
-            else:
-                out.append(r)
-        return pd.DataFrame([(pdf["run_id"].iloc[0], pdf["track_id"].iloc[0], *r) for r in out], columns=["run_id", "track_id", "activity", "t0", "t1", "n"])
-
-    return sightings(spark, sf).groupBy("run_id", "track_id").applyInPandas(fold, "run_id int, track_id string, activity string, t0 double, t1 double, n int")
+        for track, rows in pdf.sort_values(["track_id", "t"]).groupby("track_id", sort=False):
+            runs: list[list] = []
+            for t, a in zip(rows["t"].tolist(), rows["zone"].tolist(), strict=True):
+                if runs and runs[-1][0] == a:
+                    runs[-1][2], runs[-1][3] = t, runs[-1][3] + 1
+                else:
+                    runs.append([a, t, t, 1])
+            own: list[list] = []
+            for r in runs:
+                if own and (r[3] < 2 or own[-1][0] == r[0]):
+                    own[-1][2], own[-1][3] = r[2], own[-1][3] + r[3]
+                else:
+                    own.append(r)
+            out += [[pdf["run_id"].iloc[0], track, *r] for r in own]
+        return pd.DataFrame(out, columns=["run_id", "track_id", "activity", "t0", "t1", "n"])
+
+    s = sightings(spark, sf).withColumn("part", F.pmod(F.xxhash64("track_id"), F.lit(8)))
+    return s.groupBy("run_id", "part").applyInPandas(fold, "run_id int, track_id string, activity string, t0 double, t1 double, n int")
