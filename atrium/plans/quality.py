@@ -136,12 +136,12 @@ def i8(spark, sf):
     f = F.struct(((F.col("x1") + F.col("x2")) / 2).alias("x"), F.col("y2").alias("y"))
     b = boxes(spark, sf).groupBy("run_id", "track_id").agg(F.min_by(f, "t").alias("b"))
     seed = b.groupBy("run_id", F.floor(F.col("b.x") / 96.0).alias("gx"), F.floor(F.col("b.y") / 96.0).alias("gy")).agg(F.count("*").alias("n"))
-    seed = seed.withColumn("id", F.col("run_id") * 1_000_000_000 + F.col("gx") * 1000 + F.col("gy"))
+    seed = seed.withColumn("id", F.col("run_id").cast("long") * 1_000_000_000 + F.col("gx") * 1000 + F.col("gy"))
     around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) > (0, 0)]))
     near = seed.select("run_id", "id", "gx", "gy", around.alias("d")).select("run_id", F.col("id").alias("a"), (F.col("gx") + F.col("d.i")).alias("gx"), (F.col("gy") + F.col("d.j")).alias("gy"))
     edges = near.join(seed.select("run_id", "gx", "gy", F.col("id").alias("b")), ["run_id", "gx", "gy"])
     found = connected_components(edges)
-    out = seed.join(found, "id", "left").withColumn("root", F.coalesce("component", "id") - F.col("run_id") * 1_000_000_000)
+    out = seed.join(found, "id", "left").withColumn("root", F.coalesce("component", "id") - F.col("run_id").cast("long") * 1_000_000_000)
     return out.groupBy("run_id", "root").agg(F.count("*").alias("cells"), F.sum("n").alias("births"))
 
 
