@@ -5,14 +5,16 @@ at most as many numbers as a sequence has tokens. Bins with the same contents
 are one pattern with a count, so the search works on thousands of patterns,
 however many documents there are. It starts from best-fit decreasing and then
 moves single documents, exchanges one for one or two for one between underfull
-patterns as long as the sum of squared fills grows, until bins empty. Each
-move is made in as many bins at once as both patterns have.
+patterns as long as the sum of squared fills grows, until no such move is left
+or no fewer bins could hold the tokens. Each move is made in as many bins at
+once as both patterns have.
 
 Every piece then finds its place by its rank among the pieces of its length.
 """
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,8 +28,8 @@ from atrium.llm.byte_bpe import encoder
 from atrium.scratch import settings, write_table
 
 LENGTH = 2048
-#: Characters that are tokenized together, salts that split the pieces of one length, and moves of the search.
-_CHUNK, _SALTS, MOVES = 1_000_000, 256, 500
+#: Characters that are tokenized together, and salts that split the pieces of one length.
+_CHUNK, _SALTS = 1_000_000, 256
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how often), longest first
 
@@ -67,75 +69,120 @@ def best_fit(counts: dict[int, int], size: int) -> dict[Pattern, int]:
     return out
 
 
-def _offers(pattern: Pattern) -> list[tuple[int, tuple[int, ...]]]:
-    """What can leave a bin together: one document or two."""
-    out = [(a, (a,)) for a, _ in pattern]
+def _fill(pattern: Pattern) -> int:
+    return sum(a * n for a, n in pattern)
+
+
+def _offers(pattern: Pattern) -> list[tuple[int, int, int, int]]:
+    """What can leave a bin together, one document or two: sum, number, lengths. Of equal sums and numbers one is enough."""
+    out = {(a, 1): (a, 0) for a, _ in pattern}
     for i, (a, n) in enumerate(pattern):
-        out += [(a + b, (a, b)) for b, m in pattern[i:] if b != a or n > 1]
-    return out
+        out |= {(a + b, 2): (a, b) for b, _ in pattern[i + (n == 1) :]}
+    return [(*key, *items) for key, items in out.items()]
 
 
 class _Search:
+    """Underfull patterns by number. A pattern whose bins become more than none, or more than one, gets a new number,
+    so a donor that found no taker has to look only at the patterns numbered since."""
+
     def __init__(self, bins: dict[Pattern, int], size: int):
-        self.size, self.count = size, dict(bins)
-        self.rows: list[tuple[int, int, int]] = []  # pattern's number, what it gives, how many documents that is
+        self.size = size
+        self.full: Counter[Pattern] = Counter()
         self.patterns: list[Pattern] = []
         self.number: dict[Pattern, int] = {}
-        for p in bins:
-            self._add(p)
-
-    def _add(self, p: Pattern) -> None:
-        if p in self.number or sum(a * n for a, n in p) == self.size:
+        self.fills = self.count = np.zeros(0, "int64")
+        self.rows = np.zeros((0, 5), "int64")  # pattern's number, what it gives: sum, how many documents, their lengths
+        self.used = 0
+        self.seen: list[int] = []
+        self.queue: list[tuple[int, Pattern, int]] = []
+        self.bins, self.tokens = sum(bins.values()), sum(n * _fill(p) for p, n in bins.items())
+        for p in sorted(bins):
+            self._put(p, bins[p])
+
+    def _put(self, p: Pattern, n: int) -> None:
+        if not p or _fill(p) == self.size:
+            self.full[p] += n
+            self.bins -= 0 if p else n
             return
-        self.number[p] = len(self.patterns)
+        old = self.number.get(p)
+        if old is not None and self.count[old]:
+            if self.count[old] > 1:
+                self.count[old] += n
+                return
+            n += int(self.count[old])
+            self.count[old] = 0
+        i = self.number[p] = len(self.patterns)
+        offers = [(i, 0, 0, 0, 0), *((i, *x) for x in _offers(p))]
+        if i == len(self.count):
+            self.fills, self.count = (np.concatenate([x, np.zeros(len(x) + 1024, "int64")]) for x in (self.fills, self.count))
+        if self.used + len(offers) > len(self.rows):
+            self._compact(len(offers))
         self.patterns.append(p)
-        self.rows.append((self.number[p], 0, 0))
-        self.rows += [(self.number[p], s, len(items)) for s, items in _offers(p)]
-
-    def run(self, moves: int) -> dict[Pattern, int]:
-        stuck: set[Pattern] = set()
-        fill = lambda p: sum(a * n for a, n in p)
-        for _ in range(moves):
-            open_bins = [p for p in self.patterns if self.count.get(p) and p not in stuck]
-            if not open_bins:
-                break
-            donor = min(open_bins, key=lambda p: (fill(p), p))
-            if not self._improve(donor, fill(donor)):
-                stuck.add(donor)
-        return {p: n for p, n in self.count.items() if n and p}
-
-    def _improve(self, donor: Pattern, filled: int) -> bool:
-        rows = np.array(self.rows)
-        live = np.array([self.count.get(p, 0) - (p == donor) > 0 for p in self.patterns])
-        rows = rows[live[rows[:, 0]]]
-        if not len(rows):
-            return False
-        fills = np.array([sum(a * n for a, n in p) for p in self.patterns])[rows[:, 0]]
-        best, choice = 0, None
-        for given, items in _offers(donor):
-            more = given - rows[:, 1]
-            gain = more * (fills + more - filled)
-            fits = (more > 0) & (fills + more <= self.size) & ~((rows[:, 2] == 2) & (len(items) == 2))
-            if fits.any() and (top := int(np.where(fits, gain, 0).max())) > best:
-                best, choice = top, (items, rows[int(np.where(fits, gain, 0).argmax())])
-        if not choice:
+        self.seen.append(0)
+        self.fills[i], self.count[i] = _fill(p), n
+        self.rows[self.used : self.used + len(offers)] = offers
+        self.used += len(offers)
+        heapq.heappush(self.queue, (_fill(p), p, i))
+
+    def _compact(self, more: int) -> None:
+        rows = self.rows[: self.used]
+        rows = rows[self.count[rows[:, 0]] > 0]
+        self.used = len(rows)
+        self.rows = np.concatenate([rows, np.zeros((len(rows) + more + 4096, 5), "int64")])
+
+    def run(self, moves: int | None = None) -> dict[Pattern, int]:
+        """Moves until none helps or no fewer bins can hold the tokens; the sum of squared fills grows, so this ends."""
+        least, stuck, done = -(-self.tokens // self.size), [], 0
+        while self.bins > least and (moves is None or done < moves):
+            if not self.queue:
+                again = [i for i in stuck if self.count[i] and self.seen[i] < len(self.patterns)]
+                if not again:
+                    break
+                self.queue, stuck = sorted((int(self.fills[i]), self.patterns[i], i) for i in again), [i for i in stuck if self.count[i] and self.seen[i] == len(self.patterns)]
+            donor = self.queue[0][2]
+            if not self.count[donor]:
+                heapq.heappop(self.queue)
+            elif self._improve(donor):
+                done += 1
+            else:
+                heapq.heappop(self.queue)
+                self.seen[donor] = len(self.patterns)
+                stuck.append(donor)
+        left = Counter({p: int(self.count[i]) for p, i in self.number.items()})
+        return {p: n for p, n in (self.full + left).items() if p}
+
+    def _improve(self, donor: int) -> bool:
+        """The move that adds most to the sum of squared fills, from bins of this pattern to any not looked at yet."""
+        first = int(np.searchsorted(self.rows[: self.used, 0], self.seen[donor]))
+        rows = self.rows[first : self.used]
+        rows = rows[self.count[rows[:, 0]] > (rows[:, 0] == donor)]
+        offers = np.array(sorted(_offers(self.patterns[donor])))
+        fills, filled, best, choice = self.fills[rows[:, 0]], self.fills[donor], 0, None
+        for part, given in ((rows[:, 2] < 2, offers), (rows[:, 2] == 2, offers[offers[:, 1] == 1])):
+            part = np.flatnonzero(part)
+            # Where the gain is positive it grows with what is given, so the most that fits is the best.
+            back = rows[part, 1]
+            at = np.searchsorted(given[:, 0], back + self.size - fills[part], "right") - 1
+            more = np.where(at >= 0, given[at, 0] - back, 0)
+            gain = np.where(more > 0, more * (fills[part] + more - filled), 0)
+            if len(gain) and (top := int(gain.argmax())) >= 0 and gain[top] > best:
+                best, choice = gain[top], (given[at[top]], rows[part[top]])
+        if choice is None:
             return False
-        items, (other, back, n) = choice
-        taker = self.patterns[other]
-        returned = next((x for s, x in _offers(taker) if s == back and len(x) == n), ())
-        times = self.count[donor] // 2 if taker == donor else min(self.count[donor], self.count[taker])
-        change = Counter(returned)
-        change.subtract(Counter(items))
-        for old, new in ((donor, _with(donor, change)), (taker, _with(taker, {k: -v for k, v in change.items()}))):
-            self.count[old] -= times
-            if new:
-                self.count[new] = self.count.get(new, 0) + times
-                self._add(new)
+        (_, n, *items), (taker, _, m, *returned) = ([int(x) for x in c] for c in choice)
+        change = Counter(returned[:m])
+        change.subtract(Counter(items[:n]))
+        times = int(self.count[donor]) // 2 if taker == donor else int(min(self.count[donor], self.count[taker]))
+        self.count[donor] -= times
+        self.count[taker] -= times
+        self._put(_with(self.patterns[donor], change), times)
+        self._put(_with(self.patterns[taker], {k: -v for k, v in change.items()}), times)
         return True
 
 
-def pack(counts: dict[int, int], size: int = LENGTH, moves: int = MOVES) -> dict[Pattern, int]:
-    """Patterns of bins, with how many bins have each, that hold exactly the given counts of lengths."""
+def pack(counts: dict[int, int], size: int = LENGTH, moves: int | None = None) -> dict[Pattern, int]:
+    """Patterns of bins, with how many bins have each, that hold exactly the given counts of lengths. Without `moves`
+    the search goes on until no move helps."""
     return _Search(best_fit({k: v for k, v in counts.items() if v}, size), size).run(moves)
 
 
@@ -187,7 +234,7 @@ def places(bins: dict[Pattern, int]) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["length", "low", "base", "times", "offset"], dtype="int64").sort_values(["length", "low"], ignore_index=True)
 
 
-def packed(docs: DataFrame, tokenizer: str, size: int = LENGTH, moves: int = MOVES) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, size: int = LENGTH, moves: int | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is the ids of its text and one id 0; one of more than `size`
