@@ -37,14 +37,12 @@ RULES = (Rule(BLOCK, "net", "/"), Rule(ALLOW, "example.net", "/en/"), Rule(BLOCK
 
 @dataclass(frozen=True)
 class Mining:
-    """Support is a share of the labelled URLs, and at least `count` of them must have a rule's tokens and be blocked.
-    The number of rules bounds what is broadcast."""
+    """Support is a share of the labelled URLs, and at least `count` of them must have a rule's tokens and be blocked."""
 
     support: float = 0.005
     count: int = 30
     confidence: float = 0.5
     lift: float = 1.2
-    rules: int = 10_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -83,8 +81,26 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.coalesce(F.array_distinct(F.filter(marked, lambda x: ~x.rlike(":$"))), F.array().cast("array<string>"))
 
 
+def without_redundant(rules: DataFrame) -> DataFrame:
+    """The rules none of whose proper subsets of tokens is a rule of at least their confidence.
+
+    What a dropped rule matches, a kept one matches with no less confidence. By size: rules that no smaller kept
+    rule makes redundant are kept, and drop those above them.
+    """
+    size, kept, left = F.size("antecedent"), None, write_table(rules, "url-rules-found")
+    while least := left.agg(F.min(size)).first()[0]:
+        level = left.where(size == least)
+        kept = level if kept is None else kept.unionByName(level)
+        left = left.where(size > least)
+        index = level.select(F.explode("antecedent").alias("token"), F.col("rule_id").alias("subset"), F.col("confidence").alias("sure"))
+        pairs = left.select("rule_id", "confidence", F.explode("antecedent").alias("token")).join(index, "token").where("sure >= confidence")
+        gone = pairs.groupBy("rule_id", "subset").agg(F.count("*").alias("has")).where(F.col("has") == least).select("rule_id").distinct()
+        left = write_table(left.join(gone, "rule_id", "left_anti").select(*rules.columns), "url-rules-left")
+    return left if kept is None else kept
+
+
 def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
-    """Rules from (url, blocked): rule_id, antecedent, confidence, support. At most mining.rules of them, the surest first."""
+    """Rules from (url, blocked): rule_id, antecedent, confidence, support, without redundant ones."""
     host, path = host_and_path(F.col("url"))
     items = labelled.where("url is not null and blocked is not null").select(
         F.concat(tokens(F.col("url"), host, path), F.array(F.when(F.col("blocked"), F.lit("=block")).otherwise(F.lit("=allow")))).alias("items")
@@ -94,8 +110,7 @@ def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=mining.confidence).fit(items)
     found = model.associationRules.where((F.element_at("consequent", 1) == "=block") & (F.col("lift") >= mining.lift))
     found = found.select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support").where(~F.array_contains("antecedent", "=allow"))
-    found = found.orderBy(F.desc("confidence"), F.desc("support"), "antecedent").limit(mining.rules)
-    return write_table(found.withColumn("rule_id", F.xxhash64("antecedent")), "url-rules")
+    return write_table(without_redundant(found.withColumn("rule_id", F.xxhash64("antecedent"))), "url-rules")
 
 
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -103,8 +118,7 @@ def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     index = rules.select(F.explode("antecedent").alias("token"), "rule_id", F.size("antecedent").alias("needs"), "confidence", F.array_join("antecedent", " ").alias("name"))
     have = urls.where("url is not null").select("url").distinct().select("url", F.explode(tokens(F.col("url"), host, path)).alias("token"))
-    # The index has at most Mining.rules rules.
-    hits = have.join(F.broadcast(index), "token").groupBy("url", "rule_id", "needs", "confidence", "name").agg(F.count("*").alias("has"))
+    hits = have.join(index, "token").groupBy("url", "rule_id", "needs", "confidence", "name").agg(F.count("*").alias("has"))
     best = F.max(F.struct("confidence", "name")).alias("best")
     return hits.where("has = needs").groupBy("url").agg(best).select("url", F.col("best.name").alias("mined_rule"), F.col("best.confidence").alias("mined_confidence"))
 

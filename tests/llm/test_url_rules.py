@@ -40,6 +40,24 @@ def test_mined_rules_against_counting(spark):
     assert "host:bad" in rule and "path:ads" in rule and got[3]["mined_confidence"] == 1.0
 
 
+def test_a_long_template_leaves_room_for_less_sure_rules(spark):
+    # 14 constant tokens are in 16,383 sets, all of confidence 1; the other host is blocked in six of ten.
+    rows = [(i, f"http://a.b.c.d.e.f/g/h/i/j/k/l/m/{i}") for i in range(100)] + [(i, f"ftp://other.io/{i}") for i in range(100, 200)]
+    rows += [(i, f"ftp://good.org/{i}") for i in range(200, 500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i < 100 or i < 200 and i % 10 < 6) for i in range(500)], "page_id long, blocked boolean")
+    got = {r["page_id"]: r for r in U.judged(pages, labels).collect()}
+    assert {i for i, r in got.items() if r["verdict"] == "block"} == set(range(200))
+    assert {r["mined_confidence"] for i, r in got.items() if i < 100} == {1.0}
+    assert {r["mined_confidence"] for i, r in got.items() if 100 <= i < 200} == {0.6}
+
+
+def test_only_redundant_rules_go(spark):
+    rules = [(1, ["a"], 0.6), (2, ["a", "b"], 0.6), (3, ["a", "c"], 0.7), (4, ["a", "b", "c"], 0.65), (5, ["b", "c"], 0.5), (6, ["a", "b", "d"], 0.8)]
+    found = spark.createDataFrame(rules, "rule_id long, antecedent array<string>, confidence double")
+    assert sorted(r["rule_id"] for r in U.without_redundant(found).collect()) == [1, 3, 5, 6]
+
+
 def test_whole_table_against_a_plain_loop(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     got = U.judged(pages, spark.createDataFrame([], "page_id long, blocked boolean"))
