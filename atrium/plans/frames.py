@@ -326,4 +326,4 @@ def e22(spark, sf):
     from atrium.plans.identity import tracks
 
     t = tracks(spark, sf)
-    return global_links(t, candidates(t, 60.0), accept=0.2)
+    return global_links(t, candidates(t, 7200.0), accept=0.2)

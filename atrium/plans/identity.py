@@ -41,15 +41,15 @@ def e6(spark, sf):
     return I.candidates(tracks(spark, sf), 60.0).select("run_id", "a", "b", "gap", F.round("drift", 5).alias("drift"), F.round("sim", 5).alias("sim"))
 
 
-def _tiers(spark, sf):
-    c = I.candidates(tracks(spark, sf), 60.0)
+def _tiers(spark, sf, max_gap=480.0):
+    c = I.candidates(tracks(spark, sf), max_gap)
     name, score = I.tier(F.col("gap"), F.col("drift"), F.col("sim"))
     return c.select("run_id", "a", "b", name.alias("tier"), F.round(score, 5).alias("score")).where("tier is not null")
 
 
 @query("k1_candidate_tiers", sql("SELECT * FROM tiers WHERE tier IS NOT NULL", TRACK, CAND, TIER))
 def k1(spark, sf):
-    return _tiers(spark, sf)
+    return _tiers(spark, sf, 60.0)
 
 
 @query("k1_constrained_merge")

@@ -183,6 +183,20 @@ def test_global_links_take_the_best_total(spark):
     assert sorted((r["a"], r["b"]) for r in I.global_links(t, p).collect()) == [("a", "d"), ("b", "c")]
 
 
+def test_identities_reach_over_more_than_a_minute(spark):
+    from atrium.plans.registry import QUERIES
+    from atrium.plans.identity import tracks
+
+    sf = "/root/testdata/sf0.001"
+    t = {(r["run_id"], r["track_id"]): (r["t_first"], r["t_last"]) for r in tracks(spark, sf).collect()}
+    waits = []
+    for r in QUERIES["k20_dossiers"](spark, sf).collect():
+        seen = sorted(t[r["run_id"], k] for k in r["members"].split(","))
+        waits += [y[0] - x[1] for x, y in zip(seen, seen[1:])]
+    assert 60 < max(waits) <= 480
+    assert max(t[r["run_id"], r["b"]][0] - t[r["run_id"], r["a"]][1] for r in QUERIES["e22_global_links"](spark, sf).collect()) > 60
+
+
 def test_greedy_matches_use_each_box_once(spark):
     left = spark.createDataFrame([(0, 0, "a", 0.0, 0.0, 10.0, 10.0), (0, 0, "b", 2.0, 0.0, 12.0, 10.0), (0, 1, "a", 0.0, 0.0, 1.0, 1.0)], BOX)
     right = spark.createDataFrame([(0, 0, "x", 1.0, 0.0, 11.0, 10.0), (0, 0, "y", 2.5, 0.0, 12.5, 10.0), (0, 1, "z", 0.0, 0.0, 1.0, 1.0)], BOX)
