@@ -34,10 +34,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of each group of near-duplicates."""
-    decided = minhash_dedup.near_duplicates(docs, shingle=SHINGLE, percent=PERCENT)
-    gone = write_table(decided.where("not kept").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one row of each group of near-duplicates, of its smallest doc_id; each row is judged by its own text.
+
+    Rows without doc_id are kept.
+    """
+    key = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+    rows = write_table(docs.withColumn("_row", key), "rows")
+    decided = minhash_dedup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), shingle=SHINGLE, percent=PERCENT)
+    decided = decided.where("doc_id is not null").select(F.col("doc_id").alias("_row"), "component_id")
+    decided = write_table(decided.join(rows.select("_row", "doc_id"), "_row"), "decided")
+    first = decided.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("first"))
+    gone = write_table(decided.join(first, "component_id").where("_row <> first").select("_row"), "gone")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,3 +33,12 @@ def test_odd_rows(spark, odd_docs, no_docs, sf):
         f(spark, odd_docs, sf).count()
     kept = C.dedup_stage(spark, odd_docs, sf).collect()
     assert any(r["doc_id"] is None for r in kept)
+
+
+def test_dedup_decides_per_row(spark, sf):
+    text = "The house on the hill is old and the road to it is long."
+    other = "Nobody else has ever written about seven green boats under that bridge."
+    # Repeated rows leave one; a text of its own stays although its doc_id is on a dropped text too.
+    rows = [(4, text), (4, text), (7, text), (7, other), (9, None), (9, None)]
+    kept = C.dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), sf).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == [(4, text), (7, other), (9, ""), (9, "")]
