@@ -138,6 +138,9 @@ def fit(x: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float]:
     return w, bias
 
 
+_NOTHING = pd.DataFrame({"votes": np.empty(0, object), "weak_posterior": np.empty(0), "score": np.empty(0), "keep": np.empty(0, bool)})
+
+
 @dataclass(frozen=True)
 class QualityModel:
     """Bounded in size, whatever it was fitted on."""
@@ -160,7 +163,7 @@ class QualityModel:
                 z = np.array([x @ model.weights for x in features(some, stats)]) + model.bias
                 s = np.where(stats["words"] > 0, 1 / (1 + np.exp(-np.clip(z, -500, 500))), 0.0)
                 parts.append(pd.DataFrame({"votes": said, "weak_posterior": [model.posterior.get(p, 0.5) for p in said], "score": s, "keep": s >= 0.5}))
-            return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"votes": [], "weak_posterior": [], "score": [], "keep": []})
+            return pd.concat(parts, ignore_index=True) if parts else _NOTHING
 
         return scored(text)
 
@@ -172,7 +175,9 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for start, stop in chunks(texts):
             for p in votes(statistics(texts[start:stop])):
                 total[p] = total.get(p, 0) + 1
-    yield pd.DataFrame({"votes": list(total), "n": list(total.values())})
+    # An empty frame's columns would have the wrong types.
+    if total:
+        yield pd.DataFrame({"votes": list(total), "n": list(total.values())})
 
 
 def _featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
