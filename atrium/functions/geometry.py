@@ -30,11 +30,11 @@ def box(prefix: str = "") -> tuple[Column, ...]:
     return tuple(F.col(f"{prefix}{c}") for c in ("x1", "y1", "x2", "y2"))
 
 
-def inside(x: Column, y: Column, polygon: list[Point], eps: float = 1e-12) -> Column:
-    """Even-odd rule by ray casting over a fixed polygon."""
+def inside(x: Column, y: Column, polygon: list[Point], eps: float = 1e-12, always: bool = False) -> Column:
+    """Even-odd rule by ray casting over a fixed polygon; eps is added to the denominator of level edges, or of all."""
     crossed = F.lit(0)
     for (ax, ay), (bx, by) in zip(polygon, polygon[1:] + polygon[:1], strict=True):
-        at = (F.lit(bx) - ax) * (y - ay) / (F.lit(by) - ay + (eps if by == ay else 0.0)) + ax
+        at = (F.lit(bx) - ax) * (y - ay) / (F.lit(by) - ay + (eps if always or by == ay else 0.0)) + ax
         crossed = crossed + (((F.lit(ay) > y) != (F.lit(by) > y)) & (x < at)).cast("int")
     return crossed % 2 == 1
 
@@ -93,11 +93,11 @@ class Plane:
         return -self.b / self.a if self.a > 1e-6 else None
 
 
-def fisheye_to_source(x: Column, y: Column, k: float, width: float, height: float) -> tuple[Column, Column]:
+def fisheye_to_source(x: Column, y: Column, k: float | Column, width: float, height: float) -> tuple[Column, Column]:
     """Where the lens puts a straight image's point: r * (1 + k r^2), r in half-diagonals."""
     half = math.hypot(width, height) / 2
     dx, dy = (x - width / 2) / half, (y - height / 2) / half
-    f = 1 + F.lit(k) * (dx * dx + dy * dy)
+    f = 1 + (k if isinstance(k, Column) else F.lit(k)) * (dx * dx + dy * dy)
     return dx * f * half + width / 2, dy * f * half + height / 2
 
 
@@ -120,6 +120,33 @@ def fisheye_to_rectified(x: Column, y: Column, k: float, width: float, height: f
     return dx * f * half + width / 2, dy * f * half + height / 2
 
 
+def fisheye_horizon(k: Column) -> Column:
+    """The largest radius, in half-diagonals, that a lens images; null if there is no limit (k >= 0)."""
+    turn = F.sqrt(-1 / (3 * F.when(k < 0, k)))
+    return turn * (1 + k * turn * turn)
+
+
+def box_to_source(b: tuple[Column, ...], k: float, width: float, height: float, samples: int = 5) -> tuple[Column, ...]:
+    """The box around the mapped outline of a rectified image's box: edges bulge, so corners are not enough."""
+    xs, ys = [], []
+    for i in range(samples):
+        t = i / (samples - 1)
+        x, y = b[0] + (b[2] - b[0]) * t, b[1] + (b[3] - b[1]) * t
+        for p in ((x, b[1]), (x, b[3]), (b[0], y), (b[2], y)):
+            sx, sy = fisheye_to_source(*p, k, width, height)
+            xs.append(sx)
+            ys.append(sy)
+    return F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys)
+
+
+def project(x: Column, z: Column, y: Column, tilt: Column, up: float, focal: float, frame: tuple[float, float]) -> tuple[Column, Column]:
+    """Where a camera `up` metres high, tilted down by `tilt` degrees, sees a point; null behind it."""
+    below, t = up - y, F.radians(tilt)
+    depth, down = z * F.cos(t) - below * F.sin(t), z * F.sin(t) + below * F.cos(t)
+    depth = F.when(depth > 1e-6, depth)
+    return frame[0] / 2 + focal * x / depth, frame[1] / 2 + focal * down / depth
+
+
 def segments_cross(p1: Point, p2: Point, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Whether a fixed segment and another cross, by orientation."""
     (ax, ay), (bx, by) = p1, p2

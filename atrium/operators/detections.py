@@ -130,3 +130,96 @@ def greedy_matches(left: DataFrame, right: DataFrame, least: float = 0.3) -> Dat
     rest = p.where(~alone).withColumn("part", F.expr("frame_idx div 64"))
     solved = rest.groupBy("run_id", "part").applyInPandas(fold, "run_id int, frame_idx int, track_id string, o_track_id string, iou double")
     return p.where(alone).select(*columns).unionByName(solved)
+
+
+def exposure(mean: Column, low: Column, high: Column) -> Column:
+    """dark, bright or ok, from a frame's mean and its shares of nearly black and nearly white pixels."""
+    return F.when((mean < 60) | (low > 0.20), "dark").when((mean > 195) | (high > 0.20), "bright").otherwise("ok")
+
+
+def clip_limit(mean: Column, verdict: Column, base: float = 2.0, most: float = 4.0) -> Column:
+    """How strongly to equalise: more the worse the exposure, up to a bound."""
+    severity = F.when(verdict == "ok", 0.0).when(verdict == "dark", (60 - mean) / 60.0).otherwise((mean - 195) / 60.0)
+    return base + (most - base) * F.least(F.greatest(severity, F.lit(0.0)), F.lit(1.0))
+
+
+def image_problems(sharpness: Column, brightness: Column, edges: Column, change: Column) -> Column:
+    """What is wrong with a picture, as an array; change is null for a first frame."""
+    found = F.array(
+        F.when(sharpness < 40.0, "focus"),
+        F.when(brightness > 242.0, "bright").when(brightness < 12.0, "dark"),
+        F.when(edges < 0.004, "blocked"),
+        F.when(change < 0.2, "frozen"),
+    )
+    return F.filter(found, lambda p: p.isNotNull())
+
+
+def activity(shoulders: Column, hips: Column, knees: Column, moved: Column, walk: float = 12.0, bend: float = 45.0, sit: float = 0.25) -> Column:
+    """Activity from midpoints (x, y) of joints, null where hidden, and the feet's move in pixels since the last sample."""
+    dx, dy = hips["x"] - shoulders["x"], hips["y"] - shoulders["y"]
+    torso = F.sqrt(dx * dx + dy * dy)
+    low = F.coalesce((torso > 1e-6) & (F.abs(knees["y"] - hips["y"]) / torso < sit), F.lit(False))
+    return (
+        F.when(shoulders.isNull() | hips.isNull(), "unknown")
+        .when(low, "sitting")
+        .when(F.degrees(F.atan2(F.abs(dx), F.abs(dy) + 1e-6)) >= bend, "bending")
+        .when(moved >= walk, "walking")
+        .otherwise("standing")
+    )
+
+
+def motion_gate(frames: DataFrame, idle: float = 10.0) -> DataFrame:
+    """Marks frames that a motion gate skips: still ones, if the last detection in a frame that was looked at is more than `idle` seconds ago.
+
+    frames: run_id, i, t, still, detected. A moving frame with a detection
+    sets the state whatever was before, so each begins an island of its own;
+    only islands, never runs, are folded. A run's first frame is looked at and
+    counts as a detection.
+    """
+    order = Window.partitionBy("run_id").orderBy("i")
+    first = F.row_number().over(order) == 1
+    certain = (F.col("detected") & ~F.col("still")) | first
+    rows = frames.withColumn("sure", certain.cast("int")).withColumn("island", F.sum("sure").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["island", "i"], ignore_index=True)
+        last, out = 0.0, []
+        for t, still, detected, sure in zip(pdf["t"], pdf["still"], pdf["detected"], pdf["sure"], strict=True):
+            skip = bool(not sure and still and t - last > idle)
+            if sure or (detected and not skip):
+                last = t
+            out.append(skip)
+        return pdf.assign(skip=out)[["run_id", "i", "skip"]]
+
+    # Many islands to a call.
+    return rows.withColumn("part", F.expr("island div 256")).groupBy("run_id", "part").applyInPandas(fold, "run_id int, i long, skip boolean")
+
+
+def spaced(rows: DataFrame, keys: list[str], at: str, least: float) -> DataFrame:
+    """Rows at least `least` after the one kept before them, the first of each key included.
+
+    A row that follows none within `least` is kept whatever was before, so each begins an island that is folded alone.
+    """
+    order = Window.partitionBy(*keys).orderBy(at)
+    gap = F.col(at) - F.lag(at).over(order)
+    rows = rows.withColumn("_new", F.coalesce((gap >= least).cast("int"), F.lit(1)))
+    rows = rows.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    columns = [c for c in rows.columns if not c.startswith("_")]
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([*keys, "_island", at])
+        keep, last = [], 0.0
+        for t, new in zip(pdf[at], _starts(pdf, [*keys, "_island"]), strict=True):
+            ok = bool(new or t - last >= least)
+            keep.append(ok)
+            last = t if ok else last
+        return pdf[keep][columns]
+
+    # Islands of one key stay in order; small ones go to a call together.
+    parts = rows.withColumn("_part", F.pmod(F.xxhash64(*keys, "_island"), F.lit(64)))
+    return parts.groupBy("_part").applyInPandas(fold, parts.select(*columns).schema)
+
+
+def _starts(pdf: pd.DataFrame, keys: list[str]) -> pd.Series:
+    """Whether each row differs from the one before in some key."""
+    return (pdf[keys] != pdf[keys].shift()).any(axis=1)

@@ -199,12 +199,6 @@ def l12(spark, sf):
     return cells.groupBy("run_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", mark.alias("m")))), lambda x: x["m"]), "").alias("strip"))
 
 
-@query("m3_polygon_validation", sql("SELECT run_id, track_id, count(*) >= 3 AS enough, max(x2) <= 1.2 * 1920.0 AND max(y2) <= 1.2 * 1080.0 AS in_frame FROM v_box GROUP BY ALL"))
-def m3(spark, sf):
-    """A track's anchors stand for a polygon's vertices."""
-    return boxes(spark, sf).groupBy("run_id", "track_id").agg((F.count("*") >= 3).alias("enough"), ((F.max("x2") <= 1.2 * 1920.0) & (F.max("y2") <= 1.2 * 1080.0)).alias("in_frame"))
-
-
 @query("m7_zone_displacement", sql("SELECT run_id, round(max(sqrt((0.01 * x1 + 2.0) * (0.01 * x1 + 2.0) + (0.02 * y1 - 1.0) * (0.02 * y1 - 1.0))), 5) AS worst FROM v_box GROUP BY run_id"))
 def m7(spark, sf):
     """The largest move of a vertex under x -> 1.01 x + 2, y -> 1.02 y - 1."""

@@ -9,34 +9,50 @@ FRAME_LOG = "array<struct<frame_idx:int,t:double,boxes:array<array<double>>>>"
 OBSERVATION = "kind string, run_id string, frame_idx int, raw_track_id string, zone string, det_conf double, emb_id string, vec array<float>, camera_id string, started_at string"
 
 
-def mot(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """`frame,id,x,y,w,h[,conf,...]` lines (commas or tabs): good rows, and bad lines. (A2)
+def mot(lines: DataFrame, column: str = "value", extra: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """`frame,id,x,y,w,h[,conf,...]` lines (commas or tabs): good rows, and bad lines.
 
-    Blank lines and lines that begin with # are skipped. Boxes without extent
-    are dropped, and so are rows whose seventh value is 0 if there are nine or more.
+    Blank lines and lines that begin with # are skipped. Unreadable lines and
+    boxes without extent are bad; rows whose seventh value is 0, if there are
+    nine or more, are marked to be ignored and left out. extra: columns to keep.
     """
+    extra = extra or []
     line = F.trim(F.col(column))
     parts = F.split(line, r"[,\t]")
-    rows = lines.where((line != "") & ~line.startswith("#")).select(line.alias("line"), parts.alias("p"))
+    rows = lines.where((line != "") & ~line.startswith("#")).select(*extra, line.alias("line"), parts.alias("p"))
     number = lambda i: F.get("p", F.lit(i)).try_cast("double")
     named = ["frame", "id", "x", "y", "w", "h"]
-    rows = rows.select("line", F.size("p").alias("n"), *[number(i).alias(c) for i, c in enumerate(named)], number(6).alias("conf"))
-    good = F.lit(True)
+    rows = rows.select(*extra, "line", F.size("p").alias("n"), *[number(i).alias(c) for i, c in enumerate(named)], number(6).alias("conf"))
+    good = F.coalesce((F.col("w") > 0) & (F.col("h") > 0), F.lit(False))
     for c in named:
         good = good & F.col(c).isNotNull()
-    kept = rows.where(good & (F.col("w") > 0) & (F.col("h") > 0) & ~F.coalesce((F.col("n") >= 9) & (F.col("conf") == 0), F.lit(False)))
-    return kept.select(F.col("frame").cast("int").alias("frame"), F.col("id").cast("int").alias("id"), "x", "y", "w", "h", "conf"), rows.where(~good).select("line")
+    kept = rows.where(good & ~F.coalesce((F.col("n") >= 9) & (F.col("conf") == 0), F.lit(False)))
+    return kept.select(*extra, F.col("frame").cast("int").alias("frame"), F.col("id").cast("int").alias("id"), "x", "y", "w", "h", "conf"), rows.where(~good).select(*extra, "line")
 
 
-def frame_log(texts: DataFrame, column: str = "value") -> DataFrame:
+def points(lines: DataFrame, extra: list[str] | None = None, column: str = "value") -> DataFrame:
+    """`frame,x,y` lines; others are left out."""
+    p = F.split(F.trim(F.col(column)), ",")
+    n = lambda i, kind: F.get(p, F.lit(i)).try_cast(kind)
+    return lines.select(*(extra or []), n(0, "int").alias("frame"), n(1, "double").alias("x"), n(2, "double").alias("y")).where("frame is not null and x is not null and y is not null")
+
+
+def frame_log(texts: DataFrame, column: str = "value", extra: list[str] | None = None) -> DataFrame:
     """Nested JSON arrays [[frame_idx, t, [[id, x1, y1, x2, y2], ...]], ...], one document per row, as boxes. (A3, A4)
 
     Frames without boxes give one row with null boxes.
     """
-    frames = texts.select(F.explode(F.from_json(F.col(column), "array<array<string>>")).alias("f"))
-    f = frames.select(F.get("f", F.lit(0)).cast("int").alias("frame_idx"), F.get("f", F.lit(1)).cast("double").alias("t"), F.from_json(F.get("f", F.lit(2)), "array<array<double>>").alias("boxes"))
-    b = f.select("frame_idx", "t", F.explode_outer("boxes").alias("b"))
-    return b.select("frame_idx", "t", F.get("b", F.lit(0)).cast("long").cast("string").alias("track_id"), *[F.get("b", F.lit(i)).alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"), 1)])
+    extra = extra or []
+    frames = texts.select(*extra, F.explode(F.from_json(F.col(column), "array<array<string>>")).alias("f"))
+    f = frames.select(*extra, F.get("f", F.lit(0)).cast("int").alias("frame_idx"), F.get("f", F.lit(1)).cast("double").alias("t"), F.from_json(F.get("f", F.lit(2)), "array<array<double>>").alias("boxes"))
+    b = f.select(*extra, "frame_idx", "t", F.explode_outer("boxes").alias("b"))
+    return b.select(*extra, "frame_idx", "t", F.get("b", F.lit(0)).cast("long").cast("string").alias("track_id"), *[F.get("b", F.lit(i)).alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"), 1)])
+
+
+def run_frame_logs(spark: SparkSession, path: str, run: str = r"run_id=([^/]+)/") -> DataFrame:
+    """Frame logs of several runs, compressed or not; the run is what the pattern finds in the path. (A4)"""
+    texts = spark.read.option("recursiveFileLookup", True).text(path)
+    return frame_log(texts.select("value", F.regexp_extract(F.col("_metadata.file_path"), run, 1).alias("run")), extra=["run"])
 
 
 def observations(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -61,6 +77,12 @@ def counts_in_text(text: Column) -> Column:
     return F.zip_with(n(1), n(2), lambda a, b: F.struct(a.cast("int").alias("n_in"), b.cast("int").alias("n_out")))
 
 
+def funnel_in_text(text: Column) -> Column:
+    """All `STAGE dropped N P%` of a log as array<struct<stage,drop_pct>>."""
+    of = lambda i: F.regexp_extract_all(text, F.lit(r"([a-z]+) +dropped +\d+ +([0-9.]+)%"), F.lit(i))
+    return F.zip_with(of(1), of(2), lambda a, b: F.struct(a.alias("stage"), b.cast("double").alias("drop_pct")))
+
+
 def people_csv(spark: SparkSession, pattern: str) -> DataFrame:
     """people.csv files of several runs; the run is the name of the folder."""
     rows = spark.read.option("header", True).csv(pattern)
