@@ -1,15 +1,13 @@
 """Ordered decisions over door crossings: cancelling U-turns and duplicates.
 
 Cancelling is a matter of windows. Elsewhere, whether a crossing is kept
-depends on the ones kept before, so each group is folded in order. A group is
-one run's direction or line; the state that a fold carries never spans more
-than its time window.
+depends on the ones kept before, so rows are folded in order, but no state
+outlives a pause longer than a fold's window: each stretch between such
+pauses is folded alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,28 +31,68 @@ def confirmed(crossings: DataFrame, confirm: float = 5.0) -> DataFrame:
     return rows.where((F.col("_i") == F.col("_n")) & (F.col("_n") % 2 == 1)).select(*crossings.columns)
 
 
-def _first_of_each(rows: Iterator[tuple[float, float, float]], seconds: float, distance: float) -> Iterator[bool]:
-    kept: list[tuple[float, float, float]] = []
-    for t, x, y in rows:
-        kept = [k for k in kept if t - k[0] <= seconds]
-        new = all((x - a) ** 2 + (y - b) ** 2 > distance * distance for _, a, b in kept)
-        if new:
-            kept.append((t, x, y))
-        yield new
+def islands(rows: DataFrame, keys: list[str], gap: float, inclusive: bool = True) -> DataFrame:
+    """Adds _island: a number that grows at each pause of more than gap (or of gap, if not inclusive) between rows of equal keys.
+
+    A fold whose state never outlives such a pause can be done for each island alone, so no task holds a whole run.
+    """
+    order = Window.partitionBy(*keys).orderBy("t")
+    pause = F.col("t") - F.lag("t").over(order)
+    new = F.coalesce((pause > gap if inclusive else pause >= gap).cast("int"), F.lit(1))
+    return rows.withColumn("_new", new).withColumn("_island", F.sum("_new").over(order.rangeBetween(Window.unboundedPreceding, 0))).drop("_new")
+
+
+def _per_island(rows: DataFrame, keys: list[str], fold, schema: str) -> DataFrame:
+    """Folds islands; many small ones of one key share a call. fold gets one island in order."""
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def each(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = [fold(g) for _, g in pdf.groupby("_island", sort=True)]
+        return pd.concat(parts, ignore_index=True)[names]
 
+    return rows.withColumn("_part", F.expr("_island div 128")).groupBy(*keys, "_part").applyInPandas(each, schema)
 
-def deduplicated(crossings: DataFrame, seconds: float = 2.5, distance: float = 140.0, direction: str = "in") -> DataFrame:
-    """Guests' crossings in one direction that are not near, in time and place, one that was kept before. (H2)
 
-    A dropped crossing doesn't prolong the window. Crossings must have a place.
+def deduplicated(crossings: DataFrame, seconds: float = 2.5, distance: float = 140.0, direction: str = "in", lines: DataFrame | None = None, spans: DataFrame | None = None, overlap: float = 0.4) -> DataFrame:
+    """Guests' crossings in one direction that are not near, in time and place, one that was kept before. (H2, H3)
+
+    A dropped crossing doesn't prolong the window. A crossing without a place
+    repeats only a kept one of its own track, and so does any crossing against
+    a kept one without a place. lines (run_id, line): the venue's own lines;
+    crossings of other named lines don't count. spans (run_id, track_id, t0,
+    t1): two tracks that are seen together for more than `overlap` seconds are
+    two people, however near. Both are left out of account if not given.
     """
+    rows = crossings.where((crossings["direction"] == direction) & (F.coalesce(crossings["role"], F.lit("")) != "staff"))
+    if lines is not None:
+        rows = rows.join(lines.select("run_id", "line").distinct().withColumn("_known", F.lit(True)), ["run_id", "line"], "left").where("_known or line is null").drop("_known")
+    if spans is not None:
+        rows = rows.join(spans.select("run_id", "track_id", F.col("t0").alias("_t0"), F.col("t1").alias("_t1")), ["run_id", "track_id"], "left")
+    else:
+        rows = rows.withColumn("_t0", F.lit(None).cast("double")).withColumn("_t1", F.lit(None).cast("double"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["t", "track_id", "line"], ignore_index=True)
-        return pdf[list(_first_of_each(zip(pdf["t"], pdf["x"], pdf["y"], strict=True), seconds, distance))]
+        kept: list[tuple] = []
+        keep = []
+        for t, x, y, track, a, b in zip(pdf["t"], pdf["x"], pdf["y"], pdf["track_id"], pdf["_t0"], pdf["_t1"], strict=True):
+            kept = [k for k in kept if t - k[0] <= seconds]
+            placed = x == x and y == y
+            new = True
+            for _, kx, ky, other, ka, kb in kept:
+                if not placed or kx != kx or ky != ky:
+                    near = track == other
+                else:
+                    near = (x - kx) ** 2 + (y - ky) ** 2 <= distance * distance and not min(b, kb) - max(a, ka) > overlap
+                if near:
+                    new = False
+                    break
+            keep.append(new)
+            if new:
+                kept.append((t, x, y, track, a, b))
+        return pdf[keep]
 
-    rows = crossings.where((crossings["direction"] == direction) & (crossings["role"] != "staff") & crossings["x"].isNotNull() & crossings["y"].isNotNull())
-    return rows.groupBy("run_id").applyInPandas(fold, _COLUMNS)
+    return _per_island(islands(rows, ["run_id"], seconds), ["run_id"], fold, _COLUMNS)
 
 
 def without_reversals(crossings: DataFrame, gap: float = 3.0) -> DataFrame:
@@ -70,7 +108,7 @@ def without_reversals(crossings: DataFrame, gap: float = 3.0) -> DataFrame:
                 last = (row.t, row.direction)
         return pdf[keep]
 
-    return crossings.groupBy("run_id", "line").applyInPandas(fold, _COLUMNS)
+    return _per_island(islands(crossings, ["run_id", "line"], gap, inclusive=False), ["run_id", "line"], fold, _COLUMNS)
 
 
 def parties(arrivals: DataFrame, seconds: float = 25.0, radius: float = 320.0) -> DataFrame:
@@ -92,14 +130,19 @@ def parties(arrivals: DataFrame, seconds: float = 25.0, radius: float = 320.0) -
                 open_groups.append((n, [(r.t, r.x, r.y)]))
                 party.append(n)
                 n += 1
-        return pdf.assign(party=party)[["run_id", "track_id", "t", "party"]]
+        return pdf.assign(local=party, island=pdf["_island"])
 
-    return arrivals.groupBy("run_id").applyInPandas(fold, "run_id int, track_id string, t double, party int")
+    found = _per_island(islands(arrivals, ["run_id"], seconds), ["run_id"], fold, "run_id int, track_id string, t double, island long, local int")
+    # Numbers run on from island to island.
+    sizes = found.groupBy("run_id", "island").agg((F.max("local") + 1).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("run_id").orderBy("island").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("run_id", "island", F.coalesce(before, F.lit(0)).alias("before"))
+    return found.join(sizes, ["run_id", "island"]).select("run_id", "track_id", "t", (F.col("before") + F.col("local")).cast("int").alias("party"))
 
 
 def debounced(crossings: DataFrame, reversal: float = 3.0, same: float = 0.8, place: float = 45.0) -> DataFrame:
     """Two passes over a run's line in order: neighbouring opposite crossings within `reversal` seconds at one place drop
-    each other; then of two in the same direction within `same` seconds at one place the first stays. (H6, H7)"""
+    each other; then of two in the same direction within `same` seconds at one place the first stays. (H6, H7, P32)"""
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["t", "track_id", "direction"], ignore_index=True)
@@ -118,4 +161,40 @@ def debounced(crossings: DataFrame, reversal: float = 3.0, same: float = 0.8, pl
             keep.append(i)
         return pdf.iloc[keep]
 
-    return crossings.groupBy("run_id", "line").applyInPandas(fold, _COLUMNS)
+    # Passes look at neighbours only, at most max(reversal, same) apart.
+    return _per_island(islands(crossings, ["run_id", "line"], max(reversal, same)), ["run_id", "line"], fold, _COLUMNS)
+
+
+def merged_directions(crossings: DataFrame, seconds: float = 1.0) -> DataFrame:
+    """Of a run's line, drops a crossing in the direction of the last kept one within `seconds` (inclusive): one person on a seam between chunks. (H7)"""
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["t", "track_id", "direction"], ignore_index=True)
+        keep, last = [], None
+        for row in pdf.itertuples():
+            new = last is None or row.direction != last[1] or row.t - last[0] > seconds
+            keep.append(new)
+            if new:
+                last = (row.t, row.direction)
+        return pdf[keep]
+
+    return _per_island(islands(crossings, ["run_id", "line"], seconds), ["run_id", "line"], fold, _COLUMNS)
+
+
+def door_deduplicated(crossings: DataFrame, spans: DataFrame, seconds: float = 2.5, reach: float = 180.0, overlap: float = 0.4, last: int = 6) -> DataFrame:
+    """Drops a door's crossing near one of the last six kept ones: same direction, at most `seconds` and `reach` pixels across
+    apart, unless both tracks are seen together. spans: run_id, track_id, t0, t1. (H5)"""
+    rows = crossings.join(spans.select("run_id", "track_id", F.col("t0").alias("_t0"), F.col("t1").alias("_t1")), ["run_id", "track_id"], "left")
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["t", "track_id", "line", "direction"], ignore_index=True)
+        kept: list[tuple] = []
+        keep = []
+        for t, d, x, a, b in zip(pdf["t"], pdf["direction"], pdf["x"], pdf["_t0"], pdf["_t1"], strict=True):
+            new = not any(d == kd and t - kt <= seconds and abs(x - kx) <= reach and not min(b, kb) - max(a, ka) > overlap for kt, kd, kx, ka, kb in kept[-last:])
+            keep.append(new)
+            if new:
+                kept.append((t, d, x, a, b))
+        return pdf[keep]
+
+    return _per_island(islands(rows, ["run_id"], seconds), ["run_id"], fold, _COLUMNS)

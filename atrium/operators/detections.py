@@ -29,14 +29,15 @@ def implausible(plane: Plane, tolerance: float = 2.5, aspect: float = 3.5) -> Co
     return F.coalesce(area(box()) > tolerance * h * h / aspect, F.lit(False))
 
 
-def suppressed(boxes: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """Greedy non-maximum suppression in each frame: by falling confidence, then track, what overlaps a kept box goes."""
+def suppressed(boxes: DataFrame, threshold: float = 0.7, by_class: str | None = None) -> DataFrame:
+    """Greedy non-maximum suppression in each frame, or in each class of a frame: by falling confidence, then track, what overlaps a kept box goes."""
+    order = ["frame_idx", *([by_class] if by_class else [])]
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["frame_idx", "conf", "track_id"], ascending=[True, False, True], ignore_index=True)
+        pdf = pdf.sort_values([*order, "conf", "track_id"], ascending=[True] * len(order) + [False, True], ignore_index=True)
         kept: list[tuple[float, ...]] = []
         keep, last = [], None
-        for frame, x1, y1, x2, y2 in zip(pdf["frame_idx"], pdf["x1"], pdf["y1"], pdf["x2"], pdf["y2"], strict=True):
+        for frame, x1, y1, x2, y2 in zip(zip(*[pdf[c] for c in order], strict=True), pdf["x1"], pdf["y1"], pdf["x2"], pdf["y2"], strict=True):
             if frame != last:
                 kept, last = [], frame
             own, ok = (x2 - x1) * (y2 - y1), True
@@ -195,6 +196,37 @@ def motion_gate(frames: DataFrame, idle: float = 10.0) -> DataFrame:
     return rows.withColumn("part", F.expr("island div 256")).groupBy("run_id", "part").applyInPandas(fold, "run_id int, i long, skip boolean")
 
 
+def debounced_side(rows: DataFrame, bar: float, hysteresis: float, patience: int) -> DataFrame:
+    """run_id, event_id, night of rows (run_id, event_id, value): night begins after `patience` values in a row under the bar and
+    ends after as many at bar * hysteresis or above. (C28)
+
+    `patience` rows that are surely on one side fix the state, so what follows them is an island with a known start, and
+    islands are folded alone. A run begins by day.
+    """
+    order = Window.partitionBy("run_id").orderBy("event_id")
+    last = order.rowsBetween(-patience, -1)
+    full = F.count("*").over(last) == patience
+    known = F.when(full & (F.max("value").over(last) < bar), True).when(full & (F.min("value").over(last) >= bar * hysteresis), False)
+    rows = rows.withColumn("_known", F.when(F.row_number().over(order) == 1, False).otherwise(known))
+    rows = rows.withColumn("_island", F.count("_known").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("event_id")
+        on, against, out = False, 0, []
+        for v, known in zip(pdf["value"], pdf["_known"], strict=True):
+            if known is not None and known == known:
+                on, against = bool(known), 0
+            raw = v < bar * (hysteresis if on else 1.0)
+            against = against + 1 if raw != on else 0
+            if against >= patience:
+                on, against = raw, 0
+            out.append(on)
+        return pd.DataFrame({"run_id": pdf["run_id"], "event_id": pdf["event_id"], "night": out})
+
+    parts = rows.withColumn("_part", F.expr("_island div 256"))
+    return parts.groupBy("run_id", "_part").applyInPandas(fold, "run_id int, event_id long, night boolean")
+
+
 def spaced(rows: DataFrame, keys: list[str], at: str, least: float) -> DataFrame:
     """Rows at least `least` after the one kept before them, the first of each key included.
 

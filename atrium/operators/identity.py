@@ -36,12 +36,12 @@ def tier(gap: Column, drift: Column, sim: Column) -> tuple[Column, Column]:
 
 
 def verdict(gap: Column, drift: Column, death_at_door: Column, birth_at_door: Column, diagonal: float) -> Column:
-    """Whether a track can reappear: abstains without doors (null)."""
+    """Whether a track can reappear: abstains without doors (null). Standing still explains a gap only away from all doors."""
     return (
         F.when(death_at_door.isNull() | birth_at_door.isNull(), "abstain")
         .when(gap <= 10, "continuous")
         .when(death_at_door & birth_at_door, "door_to_door")
-        .when(drift <= 0.06 * diagonal, "occlusion_recovery")
+        .when(~death_at_door & ~birth_at_door & (drift <= 0.06 * diagonal), "occlusion_recovery")
         .otherwise("impossible")
     )
 

@@ -45,16 +45,23 @@ def c14(spark, sf):
     return boxes(spark, sf).select("run_id", "frame_idx", "track_id", G.inside((F.col("x1") + F.col("x2")) / 2, F.col("y2"), ROOM).alias("inside"))
 
 
-@query("c11_zone_membership", sql(f"SELECT {KEY}, zone FROM (SELECT {KEY}, unnest(CASE WHEN ({ZONE}) % 2 = 1 THEN ['room'] ELSE [] END || CASE WHEN x > 500.3 AND x < 900.3 AND y > 200.3 AND y < 500.3 THEN ['bar'] ELSE [] END) AS zone FROM (SELECT *, (x1 + x2) / 2 AS x, y2 AS y FROM v_box WHERE track_id <> '7'))"))
+#: Edges lie between whole pixels, so that no anchor is on one.
+BAR = [(500.3, 200.3), (900.3, 200.3), (900.3, 500.3), (500.3, 500.3)]
+INNER = [(x + 0.3, y + 0.3) for x, y in ROOM]
+INNER_SQL = " + ".join(
+    f"CASE WHEN ({ay} > y) <> ({by} > y) AND x < ({bx} - {ax}) * (y - {ay}) / ({by} - {ay} + {1e-12 if by == ay else 0.0}) + {ax} THEN 1 ELSE 0 END"
+    for (ax, ay), (bx, by) in zip(INNER, INNER[1:] + INNER[:1], strict=True)
+)
+
+
+@query("c11_zone_membership", sql(f"SELECT {KEY}, zone FROM (SELECT {KEY}, unnest(CASE WHEN ({INNER_SQL}) % 2 = 1 THEN ['room'] ELSE [] END || CASE WHEN x > 500.3 AND x < 900.3 AND y > 200.3 AND y < 500.3 THEN ['bar'] ELSE [] END) AS zone FROM (SELECT *, (x1 + x2) / 2 AS x, y2 AS y FROM v_box))"))
 def c11(spark, sf):
     """Every zone whose polygon holds the anchor; a row may be in several."""
-    zones = spark.createDataFrame([("room", [{"x": x, "y": y} for x, y in ROOM]), ("bar", [{"x": x, "y": y} for x, y in ((500.3, 200.3), (900.3, 200.3), (900.3, 500.3), (500.3, 500.3))])], "zone string, vertices array<struct<x:double,y:double>>")
-    listed = zones.agg(F.collect_list(F.struct("zone", "vertices")).alias("zones")).first()["zones"]
-    constant = F.array(*[F.struct(F.lit(z["zone"]).alias("zone"), F.array(*[F.struct(F.lit(v["x"]).alias("x"), F.lit(v["y"]).alias("y")) for v in z["vertices"]]).alias("vertices")) for z in listed])
+    corner = lambda p: F.struct(F.lit(p[0]).alias("x"), F.lit(p[1]).alias("y"))
+    zones = F.array(*[F.struct(F.lit(n).alias("zone"), F.array(*map(corner, v)).alias("vertices")) for n, v in (("room", INNER), ("bar", BAR))])
     x, y = (F.col("x1") + F.col("x2")) / 2, F.col("y2")
-    held = F.filter(constant, lambda z: G.inside_array(x, y, z["vertices"]))
-    on_edge = F.col("track_id") != "7"
-    return boxes(spark, sf).where(on_edge).select("run_id", "frame_idx", "track_id", F.explode(held).alias("z")).select("run_id", "frame_idx", "track_id", "z.zone")
+    held = F.filter(zones, lambda z: G.inside_array(x, y, z["vertices"]))
+    return boxes(spark, sf).select("run_id", "frame_idx", "track_id", F.explode(held).alias("z")).select("run_id", "frame_idx", "track_id", "z.zone")
 
 
 @query("c13_anchor_points", sql(f"SELECT {KEY}, (x1 + x2) / 2 AS ax, CASE WHEN role = 'staff' THEN (y1 + y2) / 2 ELSE y1 + 0.9 * (y2 - y1) END AS ay FROM v_box"))
@@ -63,9 +70,25 @@ def c13(spark, sf):
     return boxes(spark, sf).select("run_id", "frame_idx", "track_id", ((F.col("x1") + F.col("x2")) / 2).alias("ax"), F.when(centre, (F.col("y1") + F.col("y2")) / 2).otherwise(F.col("y1") + 0.9 * (F.col("y2") - F.col("y1"))).alias("ay"))
 
 
-@query("c17_nms")
+def _nms(threshold: float, by: str) -> tuple[str, str, str]:
+    both = "greatest(0, least(o.x2, k.c) - greatest(o.x1, k.a)) * greatest(0, least(o.y2, k.d) - greatest(o.y1, k.b))"
+    over = f"len(list_filter(r.kept_boxes, lambda k: {both} / ((o.x2 - o.x1) * (o.y2 - o.y1) + (k.c - k.a) * (k.d - k.b) - {both}) >= {threshold})) = 0"
+    add = "list_append(r.kept_boxes, {'a': o.x1, 'b': o.y1, 'c': o.x2, 'd': o.y2})"
+    return (
+        "SELECT run_id, frame_idx, track_id, conf FROM fold WHERE kept",
+        f"o AS (SELECT *, {by} AS cls, row_number() OVER (PARTITION BY run_id, frame_idx, {by} ORDER BY conf DESC, track_id) AS rn FROM v_box)",
+        f"fold AS (WITH RECURSIVE r AS (SELECT o.*, true AS kept, [{{'a': x1, 'b': y1, 'c': x2, 'd': y2}}] AS kept_boxes FROM o WHERE rn = 1 UNION ALL SELECT o.*, {over}, CASE WHEN {over} THEN {add} ELSE r.kept_boxes END FROM r JOIN o ON o.run_id = r.run_id AND o.frame_idx = r.frame_idx AND o.cls = r.cls AND o.rn = r.rn + 1) SELECT * FROM r)",
+    )
+
+
+@query("c16_nms_all_classes", sql(*_nms(0.3, "1")))
+def c16(spark, sf):
+    return D.suppressed(boxes(spark, sf), 0.3).select("run_id", "frame_idx", "track_id", "conf")
+
+
+@query("c17_nms", sql(*_nms(0.3, "role")))
 def c17(spark, sf):
-    return D.suppressed(boxes(spark, sf), 0.5).select("run_id", "frame_idx", "track_id", "conf")
+    return D.suppressed(boxes(spark, sf), 0.3, by_class="role").select("run_id", "frame_idx", "track_id", "conf")
 
 
 @query("c22_occlusion", sql(f"SELECT {KEY}, coalesce(hit, false) AS occluded FROM v_box LEFT JOIN (SELECT DISTINCT {KEY}, true AS hit FROM pr WHERE inter / (aa + ba - inter) >= 0.3 OR inter / least(greatest(aa, 1.0), greatest(ba, 1.0)) >= 0.6) USING ({KEY})", PAIR))

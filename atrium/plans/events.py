@@ -202,24 +202,90 @@ def h1(spark, sf):
     return cross.confirmed(crossings(spark, sf))
 
 
-@query("h2_deduplicated_entries", sql(
-    "SELECT run_id, track_id, role, direction, line, x, y, t FROM fold WHERE kept",
-    "o AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY t, track_id, line) AS rn FROM v_crossing WHERE direction = 'in' AND role <> 'staff')",
-    """fold AS (WITH RECURSIVE r AS (
-  SELECT o.run_id, o.track_id, o.role, o.direction, o.line, o.x, o.y, o.t, o.rn, true AS kept, [{'t': o.t, 'x': o.x, 'y': o.y}] AS near FROM o WHERE rn = 1
-  UNION ALL SELECT s.run_id, s.track_id, s.role, s.direction, s.line, s.x, s.y, s.t, s.rn, len(list_filter(s.live, lambda k: (s.x - k.x) * (s.x - k.x) + (s.y - k.y) * (s.y - k.y) <= 19600.0)) = 0,
-    CASE WHEN len(list_filter(s.live, lambda k: (s.x - k.x) * (s.x - k.x) + (s.y - k.y) * (s.y - k.y) <= 19600.0)) = 0 THEN list_append(s.live, {'t': s.t, 'x': s.x, 'y': s.y}) ELSE s.live END
-  FROM (SELECT o.*, list_filter(r.near, lambda k: o.t - k.t <= 2.5) AS live FROM r JOIN o ON o.run_id = r.run_id AND o.rn = r.rn + 1) s) SELECT * FROM r)"""))
+#: Every ninth crossing has no place; spans are those of a track's sightings.
+PLACED = """pc AS (SELECT c.run_id, c.track_id, role, direction, line, CASE WHEN CAST(t * 4 AS INT) % 9 = 0 THEN NULL ELSE x END AS x, CASE WHEN CAST(t * 4 AS INT) % 9 = 0 THEN NULL ELSE y END AS y, t, s.t0, s.t1 FROM v_crossing c JOIN (SELECT run_id, track_id, min(t) AS t0, max(t) AS t1 FROM v_sighting WHERE t % 100 < 60 GROUP BY ALL) s USING (run_id, track_id)),
+o AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY t, track_id, line) AS rn FROM pc WHERE direction = 'in' AND role <> 'staff' AND line IN ('entry line')),
+fold AS (WITH RECURSIVE r AS (
+  SELECT o.run_id, o.track_id, o.role, o.direction, o.line, o.x, o.y, o.t, o.rn, true AS kept, [{'t': o.t, 'x': o.x, 'y': o.y, 'k': o.track_id, 'a': o.t0, 'b': o.t1}] AS near FROM o WHERE rn = 1
+  UNION ALL SELECT s.run_id, s.track_id, s.role, s.direction, s.line, s.x, s.y, s.t, s.rn, s.n = 0, CASE WHEN s.n = 0 THEN list_append(s.live, {'t': s.t, 'x': s.x, 'y': s.y, 'k': s.track_id, 'a': s.t0, 'b': s.t1}) ELSE s.live END
+  FROM (SELECT q.*, len(list_filter(q.live, lambda k: CASE WHEN q.x IS NULL OR k.x IS NULL THEN k.k = q.track_id ELSE (q.x - k.x) * (q.x - k.x) + (q.y - k.y) * (q.y - k.y) <= 19600.0 AND NOT least(q.t1, k.b) - greatest(q.t0, k.a) > 0.4 END)) AS n
+    FROM (SELECT o.*, list_filter(r.near, lambda k: o.t - k.t <= 2.5) AS live FROM r JOIN o ON o.run_id = r.run_id AND o.rn = r.rn + 1) q) s) SELECT * FROM r)"""
+
+
+def _placed(spark, sf):
+    nowhere = (F.col("t") * 4).cast("int") % 9 == 0
+    return crossings(spark, sf).withColumn("x", F.when(~nowhere, F.col("x"))).withColumn("y", F.when(~nowhere, F.col("y")))
+
+
+def _spans(spark, sf):
+    return sightings(spark, sf).where("t % 100 < 60").groupBy("run_id", "track_id").agg(F.min("t").alias("t0"), F.max("t").alias("t1"))
+
+
+@query("h2_deduplicated_entries", sql("SELECT run_id, track_id, role, direction, line, x, y, t FROM fold WHERE kept", PLACED))
 def h2(spark, sf):
-    return cross.deduplicated(crossings(spark, sf))
+    """The venue's own line, with the times at which tracks are seen together."""
+    from atrium.plans.reports import l2
+
+    spans = _spans(spark, sf)
+    return cross.deduplicated(_placed(spark, sf).join(spans.select("run_id", "track_id"), ["run_id", "track_id"], "left_semi"), lines=l2(spark, sf), spans=spans)
+
+
+@query("h5_door_dedupe", sql("SELECT run_id, track_id, role, direction, line, x, y, t FROM fold WHERE kept",
+    "pc AS (SELECT c.*, s.t0, s.t1 FROM v_crossing c LEFT JOIN (SELECT run_id, track_id, min(t) AS t0, max(t) AS t1 FROM v_sighting WHERE t % 100 < 60 GROUP BY ALL) s USING (run_id, track_id) WHERE line = 'side door')",
+    "o AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY t, track_id, line, direction) AS rn FROM pc)",
+    """fold AS (WITH RECURSIVE r AS (
+  SELECT o.run_id, o.track_id, o.role, o.direction, o.line, o.x, o.y, o.t, o.rn, true AS kept, [{'t': o.t, 'd': o.direction, 'x': o.x, 'a': o.t0, 'b': o.t1}] AS near FROM o WHERE rn = 1
+  UNION ALL SELECT s.run_id, s.track_id, s.role, s.direction, s.line, s.x, s.y, s.t, s.rn, s.n = 0, CASE WHEN s.n = 0 THEN list_append(s.near, {'t': s.t, 'd': s.direction, 'x': s.x, 'a': s.t0, 'b': s.t1})[-6:] ELSE s.near END
+  FROM (SELECT o.*, r.near, len(list_filter(r.near, lambda k: k.d = o.direction AND o.t - k.t <= 2.5 AND abs(o.x - k.x) <= 180.0 AND NOT coalesce(CASE WHEN o.t0 IS NOT NULL AND k.a IS NOT NULL THEN least(o.t1, k.b) - greatest(o.t0, k.a) END > 0.4, false))) AS n FROM r JOIN o ON o.run_id = r.run_id AND o.rn = r.rn + 1) s) SELECT * FROM r)"""))
+def h5(spark, sf):
+    return cross.door_deduplicated(crossings(spark, sf).where("line = 'side door'"), _spans(spark, sf))
 
 
-@query("h8_without_reversals")
+LINED = "o AS (SELECT *, row_number() OVER (PARTITION BY run_id, line ORDER BY t, track_id, direction) AS rn FROM v_crossing)"
+NO_REVERSAL = """fold AS (WITH RECURSIVE r AS (SELECT o.*, true AS kept, o.t AS lt, o.direction AS ld FROM o WHERE rn = 1
+  UNION ALL SELECT o.*, o.direction = r.ld OR o.t - r.lt >= 3.0, CASE WHEN o.direction = r.ld OR o.t - r.lt >= 3.0 THEN o.t ELSE r.lt END, CASE WHEN o.direction = r.ld OR o.t - r.lt >= 3.0 THEN o.direction ELSE r.ld END FROM r JOIN o ON o.run_id = r.run_id AND o.line = r.line AND o.rn = r.rn + 1) SELECT * FROM r)"""
+
+
+@query("h8_without_reversals", sql("SELECT run_id, track_id, role, direction, line, x, y, t FROM fold WHERE kept", LINED, NO_REVERSAL))
 def h8(spark, sf):
     return cross.without_reversals(crossings(spark, sf))
 
 
-@query("h11_parties")
+@query("h7_merged_over_seams", sql("SELECT run_id, track_id, role, direction, line, x, y, t FROM fold WHERE kept", LINED, """fold AS (WITH RECURSIVE r AS (SELECT o.*, true AS kept, o.t AS lt, o.direction AS ld FROM o WHERE rn = 1
+  UNION ALL SELECT o.*, o.direction <> r.ld OR o.t - r.lt > 1.0, CASE WHEN o.direction <> r.ld OR o.t - r.lt > 1.0 THEN o.t ELSE r.lt END, CASE WHEN o.direction <> r.ld OR o.t - r.lt > 1.0 THEN o.direction ELSE r.ld END FROM r JOIN o ON o.run_id = r.run_id AND o.line = r.line AND o.rn = r.rn + 1) SELECT * FROM r)"""))
+def h7(spark, sf):
+    return cross.merged_directions(crossings(spark, sf))
+
+
+#: One fold for both passes: what waits for its neighbour, and the last that stayed.
+BOUNCE = """b AS (SELECT *, lead(direction) OVER w AS nd, lead(t) OVER w AS nt, lead(x) OVER w AS nx FROM o WINDOW w AS (PARTITION BY run_id, line ORDER BY rn)),
+p1 AS (WITH RECURSIVE r AS (SELECT b.*, coalesce(nd <> direction AND nt - t <= 3.0 AND abs(nx - x) <= 45.0, false) AS opens, false AS closes FROM b WHERE rn = 1
+  UNION ALL SELECT b.*, NOT r.opens AND coalesce(b.nd <> b.direction AND b.nt - b.t <= 3.0 AND abs(b.nx - b.x) <= 45.0, false), r.opens FROM r JOIN b ON b.run_id = r.run_id AND b.line = r.line AND b.rn = r.rn + 1) SELECT * FROM r),
+q AS (SELECT *, row_number() OVER (PARTITION BY run_id, line ORDER BY rn) AS qn FROM p1 WHERE NOT opens AND NOT closes),
+p2 AS (WITH RECURSIVE r AS (SELECT q.run_id, q.track_id, q.role, q.direction, q.line, q.x, q.y, q.t, q.qn, true AS kept, q.t AS lt, q.direction AS ld, q.x AS lx FROM q WHERE qn = 1
+  UNION ALL SELECT s.run_id, s.track_id, s.role, s.direction, s.line, s.x, s.y, s.t, s.qn, NOT s.dup, CASE WHEN s.dup THEN s.lt ELSE s.t END, CASE WHEN s.dup THEN s.ld ELSE s.direction END, CASE WHEN s.dup THEN s.lx ELSE s.x END FROM (SELECT q.*, r.lt, r.ld, r.lx, r.ld = q.direction AND q.t - r.lt < 0.8 AND abs(q.x - r.lx) <= 45.0 AS dup FROM r JOIN q ON q.run_id = r.run_id AND q.line = r.line AND q.qn = r.qn + 1) s) SELECT * FROM r)"""
+
+
+@query("h6_debounced_crossings", sql("SELECT run_id, track_id, role, direction, line, x, y, t FROM p2 WHERE kept", LINED, BOUNCE))
+def h6(spark, sf):
+    return cross.debounced(crossings(spark, sf))
+
+
+@query("p32_slit_counts", sql("SELECT run_id, line, count(*) FILTER (direction = 'in') AS n_in, count(*) FILTER (direction = 'out') AS n_out FROM p2 WHERE kept GROUP BY ALL", LINED.replace("FROM v_crossing", "FROM v_crossing WHERE x < 900.0 AND y BETWEEN 60.0 AND 1000.0"), BOUNCE))
+def p32(spark, sf):
+    """Blobs that pass both gates of place and size, without bounces, by direction."""
+    passed = crossings(spark, sf).where("x < 900.0 and y between 60.0 and 1000.0")
+    n = lambda d: F.count_if(F.col("direction") == d)
+    return cross.debounced(passed).groupBy("run_id", "line").agg(n("in").alias("n_in"), n("out").alias("n_out"))
+
+
+@query("h11_parties", sql("SELECT run_id, track_id, t, CAST(party AS INT) AS party FROM fold",
+    "o AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY t, track_id) AS rn FROM v_crossing WHERE direction = 'in' AND role <> 'staff' AND line = 'entry line')",
+    """fold AS (WITH RECURSIVE r AS (
+  SELECT o.run_id, o.track_id, o.t, o.rn, 0 AS party, 1 AS n, [{'p': 0, 't': o.t, 'x': o.x, 'y': o.y}] AS seen FROM o WHERE rn = 1
+  UNION ALL SELECT s.run_id, s.track_id, s.t, s.rn, coalesce(s.own, s.n), s.n + CASE WHEN s.own IS NULL THEN 1 ELSE 0 END, list_append(s.live, {'p': coalesce(s.own, s.n), 't': s.t, 'x': s.x, 'y': s.y})
+  FROM (SELECT q.*, list_min(list_transform(list_filter(q.live, lambda k: (q.x - k.x) * (q.x - k.x) + (q.y - k.y) * (q.y - k.y) <= 102400.0), lambda k: k.p)) AS own
+    FROM (SELECT o.*, r.n, list_filter(r.seen, lambda k: len(list_filter(r.seen, lambda z: z.p = k.p AND o.t - z.t <= 25.0)) > 0) AS live FROM r JOIN o ON o.run_id = r.run_id AND o.rn = r.rn + 1) q) s) SELECT * FROM r)"""))
 def h11(spark, sf):
     return cross.parties(crossings(spark, sf).where("direction = 'in' and role <> 'staff' and line = 'entry line'"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from atrium.operators import detections as D
 from atrium.operators import phantoms as P
 from atrium.operators.occupancy import floor_quantile, runs_of, upper_median
-from atrium.plans.detections import PLANE
+from atrium.plans.detections import AREA, IOU, PLANE
 from atrium.plans.registry import query
 from atrium.sources.adapters import boxes, crossings, sql, table
 
@@ -76,23 +76,14 @@ def c20(spark, sf):
     return f.select("run_id", F.when((F.col("a") > 0) & (row >= 120.0), F.round(F.least(row * 1.05, F.lit(1080.0)), 4)).alias("bottom"))
 
 
-@query("c28_debounced_modality")
+@query("c28_debounced_modality", sql("SELECT run_id, event_id, night FROM fold",
+    "o AS (SELECT run_id, event_id, value, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS rn FROM v_event)",
+    """fold AS (WITH RECURSIVE r AS (SELECT run_id, event_id, rn, false AS night, CASE WHEN value < 20.0 THEN 1 ELSE 0 END AS against FROM o WHERE rn = 1
+  UNION ALL SELECT s.run_id, s.event_id, s.rn, CASE WHEN s.a >= 24 THEN NOT s.night ELSE s.night END, CASE WHEN s.a >= 24 THEN 0 ELSE s.a END FROM (SELECT o.*, r.night, CASE WHEN (o.value < 20.0 * CASE WHEN r.night THEN 1.35 ELSE 1.0 END) <> r.night THEN r.against + 1 ELSE 0 END AS a FROM r JOIN o ON o.run_id = r.run_id AND o.rn = r.rn + 1) s) SELECT * FROM r)"""))
 def c28(spark, sf):
-    """A value's side of a bar, with hysteresis, that changes after 24 disagreeing rows only; folded per run in order."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("event_id")
-        on, against, out = False, 0, []
-        for v in pdf["value"]:
-            raw = v < 20.0 * (1.35 if on else 1.0)
-            against = against + 1 if raw != on else 0
-            if against >= 24:
-                on, against = raw, 0
-            out.append(on)
-        return pd.DataFrame({"run_id": pdf["run_id"], "event_id": pdf["event_id"], "night": out})
-
+    """A value's side of a bar, with hysteresis, that changes after 24 disagreeing rows only."""
     e = table(spark, sf, "events").select(F.expr("cast(event_id div 5000 as int)").alias("run_id"), "event_id", "value")
-    return e.groupBy("run_id").applyInPandas(fold, "run_id int, event_id long, night boolean")
+    return D.debounced_side(e, 20.0, 1.35, 24)
 
 
 @query("d14_isolated_boxes", sql("SELECT run_id, frame_idx, track_id FROM v_box a WHERE conf >= 0.5 AND NOT EXISTS (SELECT 1 FROM v_box b WHERE a.run_id = b.run_id AND a.frame_idx = b.frame_idx AND a.track_id <> b.track_id AND a.x1 < b.x2 AND b.x1 < a.x2 AND a.y1 < b.y2 AND b.y1 < a.y2)"))
@@ -116,13 +107,14 @@ def d12(spark, sf):
     return boxes(spark, sf).groupBy("run_id").agg(F.lit(not 1.8 <= PLANE.camera_height() <= 7.0).alias("bad_height"), (ratio < 1.15).alias("too_flat"))
 
 
-@query("d21_straightness", sql("SELECT run_id, track_id, round(CASE WHEN n < 3 OR l1 < 1e-9 THEN 0.0 ELSE sqrt(greatest(l2, 0.0)) / sqrt(l1) END, 5) AS bend FROM (SELECT *, (sx + sy) / 2 + sqrt((sx - sy) * (sx - sy) / 4 + c * c) AS l1, (sx + sy) / 2 - sqrt((sx - sy) * (sx - sy) / 4 + c * c) AS l2 FROM (SELECT run_id, track_id, count(*) AS n, var_pop(fx) AS sx, var_pop(y2) AS sy, covar_pop(fx, y2) AS c FROM (SELECT *, (x1 + x2) / 2 AS fx FROM v_box WHERE CAST(regexp_replace(track_id, 'm', '') AS INT) % 25 <> 7) GROUP BY ALL))"))
+@query("d21_straightness", sql("SELECT run_id, track_id, round(CASE WHEN n < 3 OR l1 < 1e-6 THEN 0.0 ELSE sqrt(CASE WHEN l2 < 1e-9 * l1 THEN 0.0 ELSE l2 END) / sqrt(l1) END, 5) AS bend FROM (SELECT *, (sx + sy) / 2 + sqrt((sx - sy) * (sx - sy) / 4 + c * c) AS l1, (sx + sy) / 2 - sqrt((sx - sy) * (sx - sy) / 4 + c * c) AS l2 FROM (SELECT run_id, track_id, count(*) AS n, var_pop(fx) AS sx, var_pop(y2) AS sy, covar_pop(fx, y2) AS c FROM (SELECT *, (x1 + x2) / 2 AS fx FROM v_box  ) GROUP BY ALL))"))
 def d21(spark, sf):
-    """Spread across the principal axis relative to the spread along it, from the covariance's eigenvalues."""
-    b = boxes(spark, sf).where(F.regexp_replace("track_id", "m", "").cast("int") % 25 != 7)
+    """Spread across the principal axis relative to the spread along it, from the covariance's eigenvalues; 0 for a track that stands or is straight to the last digits."""
+    b = boxes(spark, sf)
     g = b.groupBy("run_id", "track_id").agg(F.count("*").alias("n"), F.var_pop(fx()).alias("sx"), F.var_pop(fy()).alias("sy"), F.covar_pop(fx(), fy()).alias("c"))
     mid, half = (F.col("sx") + F.col("sy")) / 2, F.sqrt((F.col("sx") - F.col("sy")) * (F.col("sx") - F.col("sy")) / 4 + F.col("c") * F.col("c"))
-    bend = F.when((F.col("n") < 3) | (mid + half < 1e-9), 0.0).otherwise(F.sqrt(F.greatest(mid - half, F.lit(0.0))) / F.sqrt(mid + half))
+    across = F.when(mid - half < 1e-9 * (mid + half), 0.0).otherwise(mid - half)
+    bend = F.when((F.col("n") < 3) | (mid + half < 1e-6), 0.0).otherwise(F.sqrt(across) / F.sqrt(mid + half))
     return g.select("run_id", "track_id", F.round(bend, 5).alias("bend"))
 
 
@@ -145,7 +137,11 @@ def d30(spark, sf):
     return g.select("run_id", "track_id", F.when(F.col("a").isNull() | F.col("b").isNull() | (F.col("a") < F.col("b")), "in").otherwise("out").alias("direction"))
 
 
-@query("e16_seam_bridge")
+@query("e16_seam_bridge", sql("SELECT run_id, tail, head, d FROM fold WHERE taken",
+    "tl AS (SELECT run_id, track_id AS tail, arg_max((x1 + x2) / 2, t) AS tx, arg_max(y2, t) AS ty FROM v_box JOIN (SELECT run_id, max(t) AS e FROM v_box GROUP BY run_id) USING (run_id) WHERE t >= e - 1.0 GROUP BY run_id, track_id)",
+    "hd AS (SELECT run_id - 1 AS run_id, track_id AS head, arg_min((x1 + x2) / 2, t) AS x, arg_min(y2, t) AS y FROM v_box JOIN (SELECT run_id, min(t) AS s FROM v_box GROUP BY run_id) USING (run_id) WHERE t <= s + 1.0 GROUP BY run_id, track_id)",
+    "near AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY d, head, tail) AS rn FROM (SELECT run_id, tail, head, sqrt((tx - x) * (tx - x) + (ty - y) * (ty - y)) AS d FROM tl JOIN hd USING (run_id)) WHERE d <= 0.05 * 2202.9)",
+    "fold AS (WITH RECURSIVE r AS (SELECT n.*, true AS taken, ['h' || head, 't' || tail] AS used FROM near n WHERE rn = 1 UNION ALL SELECT n.*, NOT (list_contains(r.used, 'h' || n.head) OR list_contains(r.used, 't' || n.tail)), CASE WHEN list_contains(r.used, 'h' || n.head) OR list_contains(r.used, 't' || n.tail) THEN r.used ELSE r.used || ['h' || n.head, 't' || n.tail] END FROM r JOIN near n ON n.run_id = r.run_id AND n.rn = r.rn + 1) SELECT * FROM r)"))
 def e16(spark, sf):
     """Tails of a run and heads of the next one, nearest first, each used once; a seam has few of both."""
     from atrium.plans.identity import e17, e18
@@ -214,22 +210,12 @@ def g57(spark, sf):
     return n.join(g, "run_id")
 
 
-@query("n7_stride")
+@query("n7_stride", sql("SELECT run_id, frame_idx, track_id FROM fold WHERE kept",
+    "o AS (SELECT run_id, frame_idx, track_id, row_number() OVER (PARTITION BY run_id, track_id ORDER BY frame_idx) AS rn FROM v_box)",
+    "fold AS (WITH RECURSIVE r AS (SELECT o.*, true AS kept, frame_idx AS last FROM o WHERE rn = 1 UNION ALL SELECT o.*, o.frame_idx - r.last >= 8, CASE WHEN o.frame_idx - r.last >= 8 THEN o.frame_idx ELSE r.last END FROM r JOIN o ON o.run_id = r.run_id AND o.track_id = r.track_id AND o.rn = r.rn + 1) SELECT * FROM r)"))
 def n7(spark, sf):
-    """Keeps a sighting eight frames or more after the track's last kept one; many tracks to a call."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["track_id", "frame_idx"])
-        track = last = None
-        keep = []
-        for k, f in zip(pdf["track_id"], pdf["frame_idx"], strict=True):
-            ok = k != track or f - last >= 8
-            keep.append(ok)
-            track, last = k, f if ok else last
-        return pdf[keep][KEY]
-
-    b = boxes(spark, sf).select(*KEY, F.pmod(F.xxhash64("track_id"), F.lit(8)).alias("part"))
-    return b.groupBy("run_id", "part").applyInPandas(fold, "run_id int, frame_idx int, track_id string")
+    """Keeps a sighting eight frames or more after the track's last kept one."""
+    return D.spaced(boxes(spark, sf).select(*KEY), ["run_id", "track_id"], "frame_idx", 8)
 
 
 @query("n3_pending_keys", "SELECT conv_id FROM (SELECT DISTINCT conv_id FROM conversations) ANTI JOIN (SELECT conv_id FROM conversations WHERE role = 'system') USING (conv_id)")
@@ -306,20 +292,15 @@ def p44(spark, sf):
     return f.select("run_id", "frame_idx", F.row_number().over(Window.partitionBy("run_id").orderBy("frame_idx")).alias("n"), "boxes")
 
 
-@query("e19_greedy_matches")
+@query("e19_greedy_matches", sql("SELECT run_id, frame_idx, track_id, o_track_id, iou FROM fold WHERE taken",
+    f"""ov AS (SELECT *, row_number() OVER (PARTITION BY run_id, frame_idx ORDER BY iou DESC, track_id, o_track_id) AS rn FROM (SELECT a.run_id, a.frame_idx, a.track_id, b.track_id AS o_track_id, {IOU} / ({AREA.format('a')} + {AREA.format('b')} - {IOU}) AS iou FROM v_box a JOIN v_box b ON a.run_id = b.run_id AND a.frame_idx = b.frame_idx AND a.role <> 'staff' AND b.role = 'staff') WHERE iou >= 0.1)""",
+    "fold AS (WITH RECURSIVE r AS (SELECT o.*, true AS taken, ['a' || track_id, 'b' || o_track_id] AS used FROM ov o WHERE rn = 1 UNION ALL SELECT o.*, NOT (list_contains(r.used, 'a' || o.track_id) OR list_contains(r.used, 'b' || o.o_track_id)), CASE WHEN list_contains(r.used, 'a' || o.track_id) OR list_contains(r.used, 'b' || o.o_track_id) THEN r.used ELSE r.used || ['a' || o.track_id, 'b' || o.o_track_id] END FROM r JOIN ov o ON o.run_id = r.run_id AND o.frame_idx = r.frame_idx AND o.rn = r.rn + 1) SELECT * FROM r)"))
 def e19(spark, sf):
     """Guests' boxes with those of staff."""
     b = boxes(spark, sf)
     return D.greedy_matches(b.where("role <> 'staff'"), b.where("role = 'staff'"), 0.1)
 
 
-@query("h6_debounced_crossings")
-def h6(spark, sf):
-    from atrium.operators.crossings import debounced
-
-    return debounced(crossings(spark, sf))
-
-
 @query("e22_global_links")
 def e22(spark, sf):
     from atrium.operators.identity import candidates, global_links

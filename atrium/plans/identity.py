@@ -14,7 +14,7 @@ from atrium.sources.adapters import boxes, sql, table
 TRACK = """trk AS (SELECT CAST(vec_id // 100 AS INT) AS run_id, CAST(vec_id AS VARCHAR) AS track_id, CASE WHEN label = 0 THEN 'staff' ELSE 'customer' END AS role, CAST((vec_id % 100) * 8 AS DOUBLE) AS t_first, CAST((vec_id % 100) * 8 + 4 + label AS DOUBLE) AS t_last,
 CAST(vec_id * 37 % 640 AS DOUBLE) AS x0, CAST(vec_id * 53 % 480 AS DOUBLE) AS y0, CAST((vec_id + 1) * 37 % 640 AS DOUBLE) AS x1, CAST((vec_id + 1) * 53 % 480 + label AS DOUBLE) AS y1, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings)"""
 CAND = """cand AS (SELECT a.run_id, a.track_id AS a, b.track_id AS b, b.t_first - a.t_last AS gap, sqrt((a.x1 - b.x0) * (a.x1 - b.x0) + (a.y1 - b.y0) * (a.y1 - b.y0)) AS drift, list_cosine_similarity(a.vec, b.vec) AS sim
-FROM trk a JOIN trk b ON a.run_id = b.run_id AND a.track_id <> b.track_id AND b.t_first - a.t_last >= 0 AND b.t_first - a.t_last <= 60)"""
+FROM trk a JOIN trk b ON a.run_id = b.run_id AND a.track_id <> b.track_id AND b.t_first - a.t_last >= 0 AND b.t_first - a.t_last <= 480)"""
 TIER = """tiers AS (SELECT run_id, a, b, CASE WHEN gap <= 2.5 AND drift <= 90.0 AND sim >= 0.3 THEN 'handoff' WHEN drift <= 30.0 AND sim >= 0.3 THEN 'stationary' WHEN sim >= 0.65 THEN 'gallery' END AS tier,
 round(CASE WHEN gap <= 2.5 AND drift <= 90.0 AND sim >= 0.3 THEN 0.90 + 0.09 * sim WHEN drift <= 30.0 AND sim >= 0.3 THEN 0.85 + 0.09 * sim WHEN sim >= 0.65 THEN sim END, 5) AS score FROM cand)"""
 
@@ -38,7 +38,7 @@ def tracks(spark, sf):
 
 @query("e6_handoff_candidates", sql("SELECT run_id, a, b, gap, round(drift, 5) AS drift, round(sim, 5) AS sim FROM cand", TRACK, CAND))
 def e6(spark, sf):
-    return I.candidates(tracks(spark, sf), 60.0).select("run_id", "a", "b", "gap", F.round("drift", 5).alias("drift"), F.round("sim", 5).alias("sim"))
+    return I.candidates(tracks(spark, sf)).select("run_id", "a", "b", "gap", F.round("drift", 5).alias("drift"), F.round("sim", 5).alias("sim"))
 
 
 def _tiers(spark, sf, max_gap=480.0):
@@ -49,7 +49,7 @@ def _tiers(spark, sf, max_gap=480.0):
 
 @query("k1_candidate_tiers", sql("SELECT * FROM tiers WHERE tier IS NOT NULL", TRACK, CAND, TIER))
 def k1(spark, sf):
-    return _tiers(spark, sf, 60.0)
+    return _tiers(spark, sf)
 
 
 @query("k1_constrained_merge")
@@ -73,21 +73,21 @@ def e2(spark, sf):
 
 @query("k4_appearance_veto", sql("SELECT run_id, a, b, coalesce(sim < 0.3, false) AS veto FROM cand", TRACK, CAND))
 def k4(spark, sf):
-    return I.candidates(tracks(spark, sf), 60.0).select("run_id", "a", "b", F.coalesce(F.col("sim") < 0.30, F.lit(False)).alias("veto"))
+    return I.candidates(tracks(spark, sf)).select("run_id", "a", "b", F.coalesce(F.col("sim") < 0.30, F.lit(False)).alias("veto"))
 
 
 DOORS = "((x - 0.0) * (x - 0.0) + (y - 240.0) * (y - 240.0) <= 6400.0)"
 
 
 @query("k15_reappearance", sql(
-    "SELECT c.run_id, c.a, c.b, CASE WHEN gap <= 10 THEN 'continuous' WHEN (a.x1 * a.x1 + (a.y1 - 240.0) * (a.y1 - 240.0) <= 6400.0) AND (b.x0 * b.x0 + (b.y0 - 240.0) * (b.y0 - 240.0) <= 6400.0) THEN 'door_to_door' WHEN drift <= 48.0 THEN 'occlusion_recovery' ELSE 'impossible' END AS verdict FROM cand c JOIN trk a ON a.run_id = c.run_id AND a.track_id = c.a JOIN trk b ON b.run_id = c.run_id AND b.track_id = c.b",
+    "SELECT c.run_id, c.a, c.b, CASE WHEN gap <= 10 THEN 'continuous' WHEN (a.x1 * a.x1 + (a.y1 - 240.0) * (a.y1 - 240.0) <= 6400.0) AND (b.x0 * b.x0 + (b.y0 - 240.0) * (b.y0 - 240.0) <= 6400.0) THEN 'door_to_door' WHEN drift <= 48.0 AND NOT (a.x1 * a.x1 + (a.y1 - 240.0) * (a.y1 - 240.0) <= 6400.0) AND NOT (b.x0 * b.x0 + (b.y0 - 240.0) * (b.y0 - 240.0) <= 6400.0) THEN 'occlusion_recovery' ELSE 'impossible' END AS verdict FROM cand c JOIN trk a ON a.run_id = c.run_id AND a.track_id = c.a JOIN trk b ON b.run_id = c.run_id AND b.track_id = c.b",
     TRACK, CAND))
 def k15(spark, sf):
     t = tracks(spark, sf)
     door = lambda x, y: F.col(x) * F.col(x) + (F.col(y) - 240.0) * (F.col(y) - 240.0) <= 6400.0
     dead = t.select("run_id", F.col("track_id").alias("a"), door("x1", "y1").alias("dead"))
     born = t.select("run_id", F.col("track_id").alias("b"), door("x0", "y0").alias("born"))
-    c = I.candidates(t, 60.0).join(dead, ["run_id", "a"]).join(born, ["run_id", "b"])
+    c = I.candidates(t).join(dead, ["run_id", "a"]).join(born, ["run_id", "b"])
     return c.select("run_id", "a", "b", I.verdict(F.col("gap"), F.col("drift"), F.col("dead"), F.col("born"), 800.0).alias("verdict"))
 
 
@@ -95,7 +95,7 @@ def k15(spark, sf):
 def k10(spark, sf):
     """Missing evidence counts a half."""
     cost = 0.45 * (1 - F.col("sim")) + 0.25 * F.least(F.col("drift") / 800.0, F.lit(1.0)) + 0.3 * 0.5
-    return I.candidates(tracks(spark, sf), 60.0).select("run_id", "a", "b", F.round(cost, 5).alias("cost"))
+    return I.candidates(tracks(spark, sf)).select("run_id", "a", "b", F.round(cost, 5).alias("cost"))
 
 
 @query("e7_covisible_pairs", sql("SELECT a.run_id, a.track_id AS a, b.track_id AS b, least(a.t_last, b.t_last) - greatest(a.t_first, b.t_first) AS overlap FROM trk a JOIN trk b ON a.run_id = b.run_id AND a.track_id < b.track_id AND a.t_first < b.t_last AND b.t_first < a.t_last", TRACK))

@@ -31,9 +31,10 @@ def h15(spark, sf):
 
 @query("e11_mirrored_pairs", sql(
     "SELECT run_id, track_id, other, count(*) AS n FROM (SELECT *, sqrt((x - lag(x) OVER w) * (x - lag(x) OVER w) + (y - lag(y) OVER w) * (y - lag(y) OVER w)) AS s1, sqrt((ox - lag(ox) OVER w) * (ox - lag(ox) OVER w) + (oy - lag(oy) OVER w) * (oy - lag(oy) OVER w)) AS s2 FROM (SELECT a.run_id, a.t, a.track_id, b.track_id AS other, a.x, a.y, b.x AS ox, b.y AS oy, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM c a JOIN c b ON a.run_id = b.run_id AND a.t = b.t AND a.track_id < b.track_id) WINDOW w AS (PARTITION BY run_id, track_id, other ORDER BY t)) GROUP BY run_id, track_id, other HAVING count(*) >= 20 AND max(t) - min(t) >= 20.0 AND avg(d) >= 15.0 AND stddev_pop(d) / avg(d) <= 0.1 AND sum(s1) >= 80.0 AND sum(s2) >= 80.0",
-    "c AS (SELECT run_id, t, track_id, (x1 + x2) / 2 AS x, (y1 + y2) / 2 AS y FROM v_box)"))
+    "c AS (SELECT run_id, t, track_id, (x1 + x2) / 2 AS x, y2 AS y FROM v_box)"))
 def e11(spark, sf):
-    return P.mirrored_pairs(boxes(spark, sf), shared=20)
+    b = boxes(spark, sf)
+    return P.mirrored_pairs(b, shared=20, protected=b.where("role = 'staff'").select("run_id", "track_id"))
 
 
 @query("e27_protected_ids", sql("SELECT DISTINCT run_id, track_id FROM v_crossing WHERE line = 'entry line' UNION SELECT DISTINCT run_id, track_id FROM v_box WHERE role = 'staff'"))
@@ -50,8 +51,13 @@ def e26(spark, sf):
     return b.join(gone, ["run_id", "track_id"], "left_anti").select("run_id", "frame_idx", "track_id")
 
 
-CELLS = """cells AS (SELECT run_id, gx, gy, count(*) AS hits, median(x1) AS x1, median(y1) AS y1, median(x2) AS x2, median(y2) AS y2 FROM (SELECT *, (x1 + x2) / 2 AS cx, (y1 + y2) / 2 AS cy, CAST(floor((x1 + x2) / 2 / 64.0) AS BIGINT) AS gx, CAST(floor((y1 + y2) / 2 / 64.0) AS BIGINT) AS gy FROM v_box) b
-WHERE (run_id, gx, gy) NOT IN (SELECT run_id, CAST(floor((x1 + x2) / 2 / 64.0) AS BIGINT), CAST(floor((y1 + y2) / 2 / 64.0) AS BIGINT) FROM v_box WHERE track_id = '10') GROUP BY run_id, gx, gy HAVING count(*) >= 30 AND max(t) - min(t) >= 60.0 AND greatest(stddev_pop(cx), stddev_pop(cy)) / median(y2 - y1) <= 0.2 AND stddev_pop(y2 - y1) / avg(y2 - y1) <= 0.2)"""
+CELLS = """cells AS (SELECT run_id, gx, gy, hits, ids, span, mx - w / 2 AS x1, my - h / 2 AS y1, mx + w / 2 AS x2, my + h / 2 AS y2 FROM (SELECT run_id, gx, gy, count(*) AS hits, count(DISTINCT track_id) AS ids, max(t) - min(t) AS span, greatest(stddev_pop(cx), stddev_pop(cy)) AS c, median(cx) AS mx, median(cy) AS my, median(x2 - x1) AS w, median(y2 - y1) AS h, stddev_pop(x2 - x1) AS dw, stddev_pop(y2 - y1) AS dh
+FROM (SELECT *, (x1 + x2) / 2 AS cx, (y1 + y2) / 2 AS cy, CAST(floor((x1 + x2) / 2 / 64.0) AS BIGINT) AS gx, CAST(floor((y1 + y2) / 2 / 64.0) AS BIGINT) AS gy FROM v_box) b
+WHERE (run_id, gx, gy) NOT IN (SELECT run_id, CAST(floor((x1 + x2) / 2 / 64.0) AS BIGINT), CAST(floor((y1 + y2) / 2 / 64.0) AS BIGINT) FROM v_box WHERE track_id = '10') GROUP BY run_id, gx, gy) WHERE hits >= 30 AND span >= 60.0 AND h > 1 AND c / h <= 0.2 AND greatest(dw / w, dh / h) <= 0.2)"""
+REGIONS = """o AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY hits DESC, gx, gy) AS rn FROM cells),
+fold AS (WITH RECURSIVE r AS (SELECT run_id, rn, [{'hits': hits, 'ids': ids, 'span': span, 'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2}] AS k FROM o WHERE rn = 1
+  UNION ALL SELECT s.run_id, s.rn, CASE WHEN s.at IS NULL THEN list_append(s.k, {'hits': s.hits, 'ids': s.ids, 'span': s.span, 'x1': s.x1, 'y1': s.y1, 'x2': s.x2, 'y2': s.y2}) ELSE list_transform(s.k, lambda m, i: CASE WHEN i = s.at THEN {'hits': m.hits + s.hits, 'ids': greatest(m.ids, s.ids), 'span': greatest(m.span, s.span), 'x1': m.x1, 'y1': m.y1, 'x2': m.x2, 'y2': m.y2} ELSE m END) END
+  FROM (SELECT o.*, r.k, list_position(list_transform(r.k, lambda m: greatest(0, least(o.x2, m.x2) - greatest(o.x1, m.x1)) * greatest(0, least(o.y2, m.y2) - greatest(o.y1, m.y1)) / ((o.x2 - o.x1) * (o.y2 - o.y1) + (m.x2 - m.x1) * (m.y2 - m.y1) - greatest(0, least(o.x2, m.x2) - greatest(o.x1, m.x1)) * greatest(0, least(o.y2, m.y2) - greatest(o.y1, m.y1))) >= 0.3), true) AS at FROM r JOIN o ON o.run_id = r.run_id AND o.rn = r.rn + 1) s) SELECT run_id, unnest(k) AS m FROM r QUALIFY rn = max(rn) OVER (PARTITION BY run_id))"""
 
 
 def _cells(spark, sf):
@@ -65,7 +71,7 @@ def h17(spark, sf):
     return _cells(spark, sf)
 
 
-@query("h17_phantom_regions")
+@query("h17_phantom_regions", sql("SELECT run_id, m.hits AS hits, m.ids AS ids, m.span AS span, m.x1 AS x1, m.y1 AS y1, m.x2 AS x2, m.y2 AS y2 FROM fold", CELLS, REGIONS))
 def h17b(spark, sf):
     return P.phantom_regions(_cells(spark, sf))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -110,17 +109,40 @@ def g59(spark, sf):
     from atrium.operators.identity import candidates
 
     kind = F.when((F.col("gap") <= 20.0) & (F.col("drift") <= 260.0), "same").otherwise("open")
-    return candidates(tracks(spark, sf), 60.0).groupBy("run_id", kind.alias("kind")).agg(F.count("*").alias("n"), F.round(F.avg("sim"), 5).alias("mean"))
+    return candidates(tracks(spark, sf)).groupBy("run_id", kind.alias("kind")).agg(F.count("*").alias("n"), F.round(F.avg("sim"), 5).alias("mean"))
 
 
-@query("h3_region_arrival_dedupe")
-def h3(spark, sf):
-    from atrium.operators.crossings import deduplicated
+ARRIVED = f"""ar AS (SELECT e.run_id, e.track_id, min(e.t_in) AS t, CAST(CAST(e.track_id AS INT) * 37 % 640 AS DOUBLE) AS x, CAST(CAST(e.track_id AS INT) * 53 % 480 AS DOUBLE) AS y FROM zone_event e JOIN (SELECT run_id, track_id, min(t_in) AS f FROM zone_event WHERE zone IN ({', '.join(repr(z) for z in ENTRY)}) GROUP BY ALL) g ON g.run_id = e.run_id AND g.track_id = e.track_id WHERE e.zone IN ({', '.join(repr(z) for z in INTERIOR)}) AND e.t_in >= g.f GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY t, track_id) AS rn FROM ar),
+fold AS (WITH RECURSIVE r AS (
+  SELECT run_id, track_id, t, x, y, rn, true AS kept, [{{'t': t, 'x': x, 'y': y}}] AS near FROM o WHERE rn = 1
+  UNION ALL SELECT s.run_id, s.track_id, s.t, s.x, s.y, s.rn, len(list_filter(s.live, lambda k: (s.x - k.x) * (s.x - k.x) + (s.y - k.y) * (s.y - k.y) <= 19600.0)) = 0,
+    CASE WHEN len(list_filter(s.live, lambda k: (s.x - k.x) * (s.x - k.x) + (s.y - k.y) * (s.y - k.y) <= 19600.0)) = 0 THEN list_append(s.live, {{'t': s.t, 'x': s.x, 'y': s.y}}) ELSE s.live END
+  FROM (SELECT o.*, list_filter(r.near, lambda k: o.t - k.t <= 2.5) AS live FROM r JOIN o ON o.run_id = r.run_id AND o.rn = r.rn + 1) s) SELECT * FROM r)"""
+
 
+def _region_arrivals(spark, sf):
     a = A.region_arrivals(_z(spark, sf), ENTRY, INTERIOR)
     n = F.col("track_id").cast("int")
-    rows = a.select("run_id", "track_id", F.lit("customer").alias("role"), F.lit("in").alias("direction"), F.lit("region").alias("line"), (n * 37 % 640).cast("double").alias("x"), (n * 53 % 480).cast("double").alias("y"), "t")
-    return deduplicated(rows)
+    return a.select("run_id", "track_id", F.lit("customer").alias("role"), F.lit("in").alias("direction"), F.lit("region").alias("line"), (n * 37 % 640).cast("double").alias("x"), (n * 53 % 480).cast("double").alias("y"), "t")
+
+
+@query("h3_region_arrival_dedupe", sql("SELECT run_id, track_id, 'customer' AS role, 'in' AS direction, 'region' AS line, x, y, t FROM fold WHERE kept", Z0, ARRIVED))
+def h3(spark, sf):
+    from atrium.operators.crossings import deduplicated
+
+    return deduplicated(_region_arrivals(spark, sf))
+
+
+@query("p1_region_arrivals", sql("SELECT run_id, count(*) AS entered, CASE WHEN count(*) < (SELECT count(*) FROM ar a WHERE a.run_id = f.run_id) THEN 'some arrivals were one person' ELSE 'all arrivals apart' END AS why FROM fold f WHERE kept GROUP BY run_id", Z0, ARRIVED))
+def p1(spark, sf):
+    """Guests who came from an entry to the interior, without repeats, and why the number is what it is."""
+    from atrium.operators.crossings import deduplicated
+
+    every = _region_arrivals(spark, sf)
+    n = deduplicated(every).groupBy("run_id").agg(F.count("*").alias("entered"))
+    total = every.groupBy("run_id").agg(F.count("*").alias("total"))
+    return n.join(total, "run_id").select("run_id", "entered", F.when(F.col("entered") < F.col("total"), "some arrivals were one person").otherwise("all arrivals apart").alias("why"))
 
 
 @query("i2_canonical_priority", sql("SELECT run_id, role, track_id FROM (SELECT *, row_number() OVER (PARTITION BY run_id, role ORDER BY t_first, track_id) AS rn FROM trk) WHERE rn = 1", TRACK))
@@ -141,7 +163,7 @@ def k8(spark, sf):
 def k21(spark, sf):
     from atrium.operators.identity import candidates
 
-    return candidates(tracks(spark, sf), 60.0).groupBy("run_id", "b").agg(F.max_by("a", F.struct(F.round("sim", 9), "a")).alias("a"))
+    return candidates(tracks(spark, sf)).groupBy("run_id", "b").agg(F.max_by("a", F.struct(F.round("sim", 9), "a")).alias("a"))
 
 
 @query("k22_customer_map", sql("SELECT run_id, track_id, CASE WHEN role = 'staff' THEN NULL ELSE printf('C%03d', row_number() OVER (PARTITION BY run_id, role ORDER BY t_first, track_id)) END AS customer FROM trk", TRACK))
@@ -160,22 +182,32 @@ def l2(spark, sf):
     return names.join(any_entry, "run_id").where(e | (~F.col("any") & door)).select("run_id", "line")
 
 
-@query("l6_daylight_saving", "SELECT event_id, local, false AS ambiguous FROM (SELECT event_id, strftime(ts + INTERVAL 5 HOUR + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS local FROM events)")
+#: Instants around a spring and an autumn change of New York's clocks, by event.
+CHANGES = "inst AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2024-11-03 03:00:00' ELSE TIMESTAMP '2024-03-10 05:00:00' END + to_seconds(CAST(event_id % 360 AS INT) * 60) AS u FROM events)"
+
+
+def _instants(spark, sf):
+    n = F.col("event_id")
+    base = F.when(n % 2 == 0, F.lit("2024-11-03 03:00:00").cast("timestamp")).otherwise(F.lit("2024-03-10 05:00:00").cast("timestamp"))
+    return table(spark, sf, "events").select("event_id", F.timestamp_add("SECOND", (n % 360 * 60).cast("int"), base).alias("u"))
+
+
+@query("l6_daylight_saving", "WITH " + CHANGES + ", loc AS (SELECT event_id, timezone('America/New_York', timezone('UTC', u)) AS local, timezone('America/New_York', timezone('UTC', u + INTERVAL 1 HOUR)) AS later, timezone('America/New_York', timezone('UTC', u - INTERVAL 1 HOUR)) AS earlier FROM inst) SELECT event_id, strftime(local, '%Y-%m-%d %H:%M:%S') AS local, local = later OR local = earlier AS ambiguous FROM loc")
 def l6(spark, sf):
-    """Local time by zone rules; a local time is ambiguous if two instants an hour apart show it. Kolkata has no such hours."""
-    zone = "Asia/Kolkata"
-    local = F.from_utc_timestamp("ts", zone)
-    again = F.from_utc_timestamp(F.timestamp_add("HOUR", F.lit(1), F.col("ts")), zone)
-    return table(spark, sf, "events").select("event_id", F.date_format(local, "yyyy-MM-dd HH:mm:ss").alias("local"), (local == again).alias("ambiguous"))
+    """Local times on the days the clocks change; one that two instants show is ambiguous."""
+    from atrium.functions.clock import ambiguous, local_time
 
+    return _instants(spark, sf).select("event_id", F.date_format(local_time(F.col("u"), "America/New_York"), "yyyy-MM-dd HH:mm:ss").alias("local"), ambiguous(F.col("u"), "America/New_York").alias("ambiguous"))
 
-@query("l7_daylight_saving_span")
+
+@query("l7_daylight_saving_span", "WITH " + CHANGES + " SELECT event_id // 100 AS part, (max(u) FILTER (event_id % 2 = 1) >= TIMESTAMP '2024-03-10 07:00:00' AND min(u) FILTER (event_id % 2 = 1) < TIMESTAMP '2024-03-10 07:00:00') AS spring, (max(u) FILTER (event_id % 2 = 0) >= TIMESTAMP '2024-11-03 06:00:00' AND min(u) FILTER (event_id % 2 = 0) < TIMESTAMP '2024-11-03 06:00:00') AS autumn FROM inst GROUP BY 1")
 def l7(spark, sf):
-    """Whether the offset of a zone with summer time differs between the first and the last moment of each thousand events."""
-    zone = "America/New_York"
-    offset = lambda c: F.unix_timestamp(F.from_utc_timestamp(c, zone)) - F.unix_timestamp(c)
-    g = table(spark, sf, "events").groupBy(F.expr("event_id div 1000").alias("part")).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    return g.select("part", (offset(F.col("a")) != offset(F.col("b"))).alias("changes"))
+    """Whether the clocks change between the first and the last instant of each hundred events, in spring and in autumn."""
+    from atrium.functions.clock import offset_changes
+
+    part, odd = F.expr("event_id div 100").alias("part"), F.col("event_id") % 2 == 1
+    g = _instants(spark, sf).groupBy(part).agg(*[f(F.when(c, F.col("u"))).alias(n) for f, c, n in ((F.min, odd, "a"), (F.max, odd, "b"), (F.min, ~odd, "c"), (F.max, ~odd, "d"))])
+    return g.select("part", offset_changes(F.col("a"), F.col("b"), "America/New_York").alias("spring"), offset_changes(F.col("c"), F.col("d"), "America/New_York").alias("autumn"))
 
 
 @query("l8_clock_drift", sql("SELECT run_id, round(max(abs(frame_idx / 8.0 - t) / t * 100), 6) AS drift_pct FROM v_box WHERE t > 0 GROUP BY run_id"))
@@ -223,30 +255,24 @@ def p72(spark, sf):
     from atrium.operators.identity import candidates
 
     reason = F.when(F.col("gap") > 30, F.concat(F.lit("gap("), F.col("gap").cast("int").cast("string"), F.lit(")"))).when(F.col("drift") > 90, "drift(far)").otherwise("none")
-    return candidates(tracks(spark, sf), 60.0).groupBy("run_id", F.substring_index(reason, "(", 1).alias("reason")).agg(F.count("*").alias("n"))
+    return candidates(tracks(spark, sf)).groupBy("run_id", F.substring_index(reason, "(", 1).alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query("f14_activity_timeline")
+@query("f14_activity_timeline", sql(
+    "SELECT run_id, track_id, arg_min(zone, rn) AS activity, min(t0) AS t0, max(t1) AS t1, CAST(sum(n) AS INT) AS n FROM (SELECT *, sum(CASE WHEN own IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER (PARTITION BY run_id, track_id ORDER BY rn) AS g FROM (SELECT *, lag(own) OVER (PARTITION BY run_id, track_id ORDER BY rn) AS before FROM owned)) GROUP BY run_id, track_id, g",
+    "s AS (SELECT *, row_number() OVER (PARTITION BY run_id, track_id ORDER BY t) AS i, row_number() OVER (PARTITION BY run_id, track_id ORDER BY t) - row_number() OVER (PARTITION BY run_id, track_id, zone ORDER BY t) AS d FROM v_sighting)",
+    "runs AS (SELECT run_id, track_id, zone, min(t) AS t0, max(t) AS t1, count(*) AS n, row_number() OVER (PARTITION BY run_id, track_id ORDER BY min(t)) AS rn FROM s GROUP BY run_id, track_id, zone, d)",
+    "owned AS (SELECT *, last_value(CASE WHEN n >= 2 OR rn = 1 THEN zone END IGNORE NULLS) OVER (PARTITION BY run_id, track_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS own FROM runs)"))
 def f14(spark, sf):
-    """Run lengths of a track's activity; runs of one sample join the one before; many tracks to a call."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = []
-        for track, rows in pdf.sort_values(["track_id", "t"]).groupby("track_id", sort=False):
-            runs: list[list] = []
-            for t, a in zip(rows["t"].tolist(), rows["zone"].tolist(), strict=True):
-                if runs and runs[-1][0] == a:
-                    runs[-1][2], runs[-1][3] = t, runs[-1][3] + 1
-                else:
-                    runs.append([a, t, t, 1])
-            own: list[list] = []
-            for r in runs:
-                if own and (r[3] < 2 or own[-1][0] == r[0]):
-                    own[-1][2], own[-1][3] = r[2], own[-1][3] + r[3]
-                else:
-                    own.append(r)
-            out += [[pdf["run_id"].iloc[0], track, *r] for r in own]
-        return pd.DataFrame(out, columns=["run_id", "track_id", "activity", "t0", "t1", "n"])
-
-    s = sightings(spark, sf).withColumn("part", F.pmod(F.xxhash64("track_id"), F.lit(8)))
-    return s.groupBy("run_id", "part").applyInPandas(fold, "run_id int, track_id string, activity string, t0 double, t1 double, n int")
+    """Run lengths of a track's activity; a run of one sample joins the one before, and then equal neighbours join."""
+    track = Window.partitionBy("run_id", "track_id").orderBy("t")
+    own = Window.partitionBy("run_id", "track_id", "zone").orderBy("t")
+    s = sightings(spark, sf).withColumn("d", F.row_number().over(track) - F.row_number().over(own))
+    r = s.groupBy("run_id", "track_id", "zone", "d").agg(F.min("t").alias("t0"), F.max("t").alias("t1"), F.count("*").alias("n"))
+    order = Window.partitionBy("run_id", "track_id").orderBy("t0")
+    stays = (F.col("n") >= 2) | (F.row_number().over(order) == 1)
+    r = r.withColumn("stays", stays)
+    r = r.withColumn("activity", F.last(F.when(F.col("stays"), F.col("zone")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    r = r.withColumn("new", F.coalesce((F.col("activity") != F.lag("activity").over(order)).cast("int"), F.lit(1)))
+    r = r.withColumn("g", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return r.groupBy("run_id", "track_id", "g").agg(F.min("activity").alias("activity"), F.min("t0").alias("t0"), F.max("t1").alias("t1"), F.sum("n").cast("int").alias("n")).drop("g")

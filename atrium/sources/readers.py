@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 FRAME_LOG = "array<struct<frame_idx:int,t:double,boxes:array<array<double>>>>"
@@ -87,3 +87,12 @@ def people_csv(spark: SparkSession, pattern: str) -> DataFrame:
     """people.csv files of several runs; the run is the name of the folder."""
     rows = spark.read.option("header", True).csv(pattern)
     return rows.withColumn("run", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1))
+
+
+def carried_forward(boxes: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Frames (run_id, frame_idx) all of whose boxes are within the tolerance of the frame's before, box by box in order."""
+    f = boxes.groupBy("run_id", "frame_idx").agg(F.sort_array(F.collect_list(F.struct("x1", "y1", "x2", "y2"))).alias("c"))
+    before = F.lag("c").over(Window.partitionBy("run_id").orderBy("frame_idx"))
+    far = lambda a, b: F.greatest(*[F.abs(a[k] - b[k]) for k in ("x1", "y1", "x2", "y2")]) > tolerance
+    f = f.withColumn("p", before).where(F.size("c") == F.size("p"))
+    return f.where(~F.exists(F.zip_with("c", "p", far), lambda m: m)).select("run_id", "frame_idx")
