@@ -30,7 +30,7 @@ def h15(spark, sf):
 
 
 @query("e11_mirrored_pairs", sql(
-    "SELECT run_id, track_id, other, count(*) AS n FROM (SELECT *, sqrt((x - lag(x) OVER w) * (x - lag(x) OVER w) + (y - lag(y) OVER w) * (y - lag(y) OVER w)) AS s1, sqrt((ox - lag(ox) OVER w) * (ox - lag(ox) OVER w) + (oy - lag(oy) OVER w) * (oy - lag(oy) OVER w)) AS s2 FROM (SELECT a.run_id, a.t, a.track_id, b.track_id AS other, a.x, a.y, b.x AS ox, b.y AS oy, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM c a JOIN c b ON a.run_id = b.run_id AND a.t = b.t AND a.track_id < b.track_id) WINDOW w AS (PARTITION BY run_id, track_id, other ORDER BY t)) GROUP BY run_id, track_id, other HAVING count(*) >= 20 AND max(t) - min(t) >= 20.0 AND avg(d) >= 15.0 AND stddev_pop(d) / avg(d) <= 0.1 AND sum(s1) >= 80.0 AND sum(s2) >= 80.0",
+    "SELECT * FROM (SELECT run_id, track_id, other, count(*) AS n FROM (SELECT *, sqrt((x - lag(x) OVER w) * (x - lag(x) OVER w) + (y - lag(y) OVER w) * (y - lag(y) OVER w)) AS s1, sqrt((ox - lag(ox) OVER w) * (ox - lag(ox) OVER w) + (oy - lag(oy) OVER w) * (oy - lag(oy) OVER w)) AS s2 FROM (SELECT a.run_id, a.t, a.track_id, b.track_id AS other, a.x, a.y, b.x AS ox, b.y AS oy, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM c a JOIN c b ON a.run_id = b.run_id AND a.t = b.t AND a.track_id < b.track_id) WINDOW w AS (PARTITION BY run_id, track_id, other ORDER BY t)) GROUP BY run_id, track_id, other HAVING count(*) >= 20 AND max(t) - min(t) >= 20.0 AND avg(d) >= 15.0 AND stddev_pop(d) / avg(d) <= 0.1 AND sum(s1) >= 80.0 AND sum(s2) >= 80.0) WHERE NOT ((run_id, track_id) IN (SELECT run_id, track_id FROM v_box WHERE role = 'staff') AND (run_id, other) IN (SELECT run_id, track_id FROM v_box WHERE role = 'staff'))",
     "c AS (SELECT run_id, t, track_id, (x1 + x2) / 2 AS x, y2 AS y FROM v_box)"))
 def e11(spark, sf):
     b = boxes(spark, sf)
