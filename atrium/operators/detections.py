@@ -255,3 +255,66 @@ def spaced(rows: DataFrame, keys: list[str], at: str, least: float) -> DataFrame
 def _starts(pdf: pd.DataFrame, keys: list[str]) -> pd.Series:
     """Whether each row differs from the one before in some key."""
     return (pdf[keys] != pdf[keys].shift()).any(axis=1)
+
+
+def recovered(persons: DataFrame, heads: DataFrame, plane: Plane, least: float = 0.35, penalty: float = 0.3) -> DataFrame:
+    """Persons, and for each sure enough head within none of its frame a body as tall as the plane expects: FRAME, track_id,
+    conf, h, inferred. Three damped steps find the height; bodies of under 8 pixels are noise. (C7, C8)"""
+    middle = heads.where(F.col("conf") >= least).withColumn("_cx", (F.col("x1") + F.col("x2")) / 2).withColumn("_cy", (F.col("y1") + F.col("y2")) / 2)
+    p = persons.select(*FRAME, *[F.col(c).alias(f"o_{c}") for c in ("x1", "y1", "x2", "y2")])
+    held = middle.join(p, FRAME).where("_cx between o_x1 and o_x2 and _cy between o_y1 and o_y2").select(*FRAME, "track_id").distinct()
+    step = lambda h, _: 0.5 * h + 0.5 * (plane.a * (F.col("y1") + h) + plane.b)
+    h = F.aggregate(F.sequence(F.lit(1), F.lit(3)), 2.0 * (F.col("y2") - F.col("y1")), step)
+    new = middle.join(held, [*FRAME, "track_id"], "left_anti").withColumn("h", h).where("h >= 8")
+    inferred = new.select(*FRAME, "track_id", F.greatest(F.lit(0.01), F.col("conf") * (1 - penalty)).alias("conf"), "h", F.lit(True).alias("inferred"))
+    return persons.select(*FRAME, "track_id", "conf", (F.col("y2") - F.col("y1")).alias("h"), F.lit(False).alias("inferred")).unionByName(inferred)
+
+
+def dead_area(boxes: DataFrame, mask: list[tuple[float, float]], need: float, still: float = 30.0, window: float = 60.0, radius: float = 90.0, cell: float = 128.0) -> DataFrame:
+    """Marks boxes (kept) that a mask doesn't drop: those with feet outside, and inside it those whose spot was not held for
+    `still` seconds by boxes that spread less than `need` pixels. need = 0 drops all inside. (C10)
+
+    A spot's history are the earlier boxes of its cell within the window and the
+    radius. They come by an equi-join on cell and time step, never by comparing
+    a run's boxes with each other; at most a window's boxes of one cell meet.
+    """
+    x, y = (F.col("x1") + F.col("x2")) / 2, F.col("y2")
+    b = boxes.withColumn("_x", x).withColumn("_y", y).withColumn("_in", _inside(x, y, mask))
+    if need <= 0:
+        return b.withColumn("kept", ~F.col("_in")).drop("_x", "_y", "_in")
+    at = ["run_id", "_cx", "_cy"]
+    held = b.where("_in").withColumn("_cx", F.floor(F.col("_x") / cell)).withColumn("_cy", F.floor(F.col("_y") / cell)).withColumn("_s", F.floor(F.col("t") / window))
+    past = held.select(*at, F.explode(F.array(F.col("_s"), F.col("_s") + 1)).alias("_s"), F.col("t").alias("_t"), F.col("_x").alias("_px"), F.col("_y").alias("_py"))
+    away = F.sqrt((F.col("_x") - F.col("_px")) * (F.col("_x") - F.col("_px")) + (F.col("_y") - F.col("_py")) * (F.col("_y") - F.col("_py")))
+    near = held.join(past, [*at, "_s"]).where((F.col("_t") < F.col("t")) & (F.col("t") - F.col("_t") <= window) & (away <= radius))
+    g = near.groupBy(*FRAME, "track_id", "t").agg(F.min("_t").alias("_first"), F.collect_set(F.struct("_px", "_py")).alias("_spots"))
+    apart = lambda p, q: F.sqrt((p["_px"] - q["_px"]) * (p["_px"] - q["_px"]) + (p["_py"] - q["_py"]) * (p["_py"] - q["_py"]))
+    spread = F.array_max(F.transform("_spots", lambda p: F.array_max(F.transform("_spots", lambda q: apart(p, q)))))
+    gone = g.where((F.col("t") - F.col("_first") >= still) & (spread < need)).select(*FRAME, "track_id", F.lit(False).alias("kept"))
+    return b.join(gone, [*FRAME, "track_id"], "left").withColumn("kept", F.coalesce("kept", F.lit(True))).drop("_x", "_y", "_in")
+
+
+def _inside(x: Column, y: Column, polygon: list[tuple[float, float]]) -> Column:
+    from atrium.functions.geometry import inside
+
+    return inside(x, y, polygon)
+
+
+def points_in_boxes(points: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Each point of a frame (p, x, y), in order, takes the first box by id that holds it and is free: FRAME, p, track_id."""
+    o = boxes.select(*FRAME, "track_id", "x1", "y1", "x2", "y2")
+    j = points.join(o, FRAME).where("x between x1 and x2 and y between y1 and y2").select(*FRAME, "p", "track_id")
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        used: set = set()
+        keep = []
+        pdf = pdf.sort_values(["frame_idx", "p", "track_id"])
+        for f, p, b in zip(pdf["frame_idx"], pdf["p"], pdf["track_id"], strict=True):
+            ok = (f, 0, p) not in used and (f, 1, b) not in used
+            keep.append(ok)
+            if ok:
+                used |= {(f, 0, p), (f, 1, b)}
+        return pdf[keep][[*FRAME, "p", "track_id"]]
+
+    # Frames of a part go to one call; a frame holds few boxes.
+    return j.withColumn("_part", F.expr("frame_idx div 64")).groupBy("run_id", "_part").applyInPandas(fold, j.select(*FRAME, "p", "track_id").schema)

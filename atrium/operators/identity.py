@@ -51,38 +51,15 @@ def constrained_groups(tracks: DataFrame, edges: DataFrame, tolerance: float = 2
     seen at once (by more than the tolerance) or differ in role: run_id, track_id, canon. (K1, K11, K12)
 
     Ties go by ids and tier. The canonical id is the earliest fragment's.
-    Every decision depends on those before it, so a run is folded in one
-    task; a run is one camera's chunk and only edges above the bar get here.
+    Edges between roles can't count, and no union crosses components of the
+    others, so each of these is folded alone.
     """
-    own = tracks.select("run_id", F.lit(0).alias("kind"), F.col("track_id").alias("a"), F.col("role").alias("b"), F.col("t_first").alias("u"), F.col("t_last").alias("v"), F.lit("").alias("tier"))
-    rows = own.unionByName(edges.select("run_id", F.lit(1).alias("kind"), "a", "b", F.col("score").alias("u"), F.lit(0.0).alias("v"), "tier"))
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = pdf[pdf["kind"] == 0]
-        parent = {a: a for a in t["a"]}
-        spans = {a: [(u, v)] for a, u, v in zip(t["a"], t["u"], t["v"], strict=True)}
-        role = dict(zip(t["a"], t["b"], strict=True))
-
-        def find(x):
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        e = pdf[pdf["kind"] == 1].sort_values(["u", "a", "b", "tier"], ascending=[False, True, True, True])
-        for a, b in zip(e["a"], e["b"], strict=True):
-            x, y = find(a), find(b)
-            if x == y or role[x] != role[y]:
-                continue
-            if any(p < s - tolerance and r < q - tolerance for p, q in spans[x] for r, s in spans[y]):
-                continue
-            parent[y] = x
-            spans[x] += spans.pop(y)
-        first: dict = {}
-        for a, u in sorted(zip(t["a"], t["u"], strict=True), key=lambda z: (z[1], z[0])):
-            first.setdefault(find(a), a)
-        return pd.DataFrame({"run_id": t["run_id"], "track_id": t["a"], "canon": [first[find(a)] for a in t["a"]]})
-
-    return rows.groupBy("run_id").applyInPandas(fold, "run_id int, track_id string, canon string")
+    from atrium.operators.evidence import replay
+
+    role = tracks.select("run_id", F.col("track_id").alias("a"), F.col("role").alias("_ra"))
+    other = tracks.select("run_id", F.col("track_id").alias("b"), F.col("role").alias("_rb"))
+    same = edges.join(role, ["run_id", "a"]).join(other, ["run_id", "b"]).where("_ra = _rb").drop("_ra", "_rb")
+    return replay(tracks, same, tolerance)[1]
 
 
 def remap(rows: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -106,7 +83,7 @@ def global_links(tracks: DataFrame, pairs: DataFrame, accept: float = 0.6, per_s
     """Links fragments of a run so that the total cost is least: each fragment has at most one successor and one
     predecessor, and going without costs 1. pairs: run_id, a, b, gap, sim, as `candidates` gives them. (E22, E24)
 
-    Returns run_id, a, b. Only eligible pairs (sim >= accept) reach a run's fold.
+    Returns run_id, a, b. Only eligible pairs (sim >= accept) count, and each connected part of them is solved alone.
     """
     import numpy as np
 
@@ -126,4 +103,25 @@ def global_links(tracks: DataFrame, pairs: DataFrame, accept: float = 0.6, per_s
         rows = [(pdf["run_id"].iloc[0], a[i], b[j]) for i, j in zip(*assignment(gain), strict=True) if j < len(b) and gain[i, j] > 0]
         return pd.DataFrame(rows, columns=["run_id", "a", "b"])
 
-    return eligible.groupBy("run_id").applyInPandas(solve, "run_id int, a string, b string")
+    from atrium.operators.evidence import grouped
+
+    # What ends and what begins are different sides, though the same fragment may be on both.
+    sides = eligible.select("run_id", F.concat(F.lit("a"), "a").alias("a"), F.concat(F.lit("b"), "b").alias("b"))
+    ends = eligible.select("run_id", F.concat(F.lit("a"), "a").alias("track_id")).distinct()
+    part = grouped(ends, sides).select("run_id", F.expr("substr(track_id, 2)").alias("a"), "part")
+    return eligible.join(part, ["run_id", "a"]).groupBy("run_id", "part").applyInPandas(solve, "run_id int, a string, b string")
+
+
+def link_groups(tracks: DataFrame, mapping: DataFrame, accept: float = 0.6, max_gap: float = 7200.0) -> DataFrame:
+    """Takes each identity of a mapping (run_id, track_id, canon) as one fragment, from its first birth to its last death, and
+    links these once more at the least total cost: run_id, track_id, canon. Identities are joined, never split. (E24)"""
+    from atrium.operators.evidence import united
+
+    j = tracks.join(mapping, ["run_id", "track_id"])
+    first = F.min_by(F.struct("x0", "y0", "vec"), F.struct("t_first", "track_id")).alias("f")
+    last = F.max_by(F.struct("x1", "y1"), F.struct("t_last", "track_id")).alias("l")
+    whole = j.groupBy("run_id", F.col("canon").alias("track_id")).agg(F.min("t_first").alias("t_first"), F.max("t_last").alias("t_last"), first, last)
+    whole = whole.select("run_id", "track_id", "t_first", "t_last", "f.x0", "f.y0", "l.x1", "l.y1", "f.vec")
+    links = global_links(whole, candidates(whole, max_gap), accept)
+    joined = united(whole, links).select("run_id", F.col("track_id").alias("canon"), F.col("canon").alias("_to"))
+    return mapping.join(joined, ["run_id", "canon"]).select("run_id", "track_id", F.col("_to").alias("canon"))

@@ -68,65 +68,86 @@ def assignment(score):
     return (columns, rows) if turned else (rows, columns)
 
 
-def frame_matches(truth: DataFrame, found: DataFrame) -> DataFrame:
-    """Per frame and threshold the matched pairs of the alignment-weighted assignment: run_id, frame_idx, alpha, gt, pr.
+def best_pairs(truth: DataFrame, found: DataFrame, kind: str = "int") -> DataFrame:
+    """Per frame the pairs of the alignment-weighted assignment, with their overlap: run_id, frame_idx, gt, pr, iou.
 
-    Pairs and alignments are joins and aggregates; only the assignment within
-    a frame, whose boxes are few, runs as a function.
+    Pairs and alignments are joins and aggregates; a pair whose boxes meet
+    nothing else is taken as it is, and only the rest of a frame, whose boxes
+    are few, is solved as a function. kind: the type of run_id.
     """
     import numpy as np
     import pandas as pd
+    from pyspark.sql import Window
 
     from atrium.functions.geometry import box, iou
+    from atrium.scratch import write_table
 
     t = truth.select("run_id", "frame_idx", F.col("track_id").alias("gt"), "x1", "y1", "x2", "y2")
     p = found.select("run_id", "frame_idx", F.col("track_id").alias("pr"), *[F.col(c).alias(f"o_{c}") for c in ("x1", "y1", "x2", "y2")])
-    sims = t.join(p, ["run_id", "frame_idx"]).withColumn("iou", iou(box(), box("o_"))).where("iou > 0").select("run_id", "frame_idx", "gt", "pr", "iou")
-    rows, cols = (sims.groupBy("run_id", "frame_idx", k).agg(F.sum("iou").alias(f"s_{k}")) for k in ("gt", "pr"))
-    weight = F.col("iou") / (F.col("s_gt") + F.col("s_pr") - F.col("iou"))
-    shares = sims.join(rows, ["run_id", "frame_idx", "gt"]).join(cols, ["run_id", "frame_idx", "pr"]).groupBy("run_id", "gt", "pr").agg(F.sum(weight).alias("potential"))
-    n_gt = truth.groupBy("run_id", F.col("track_id").alias("gt")).agg(F.count("*").alias("n_gt"))
-    n_pr = found.groupBy("run_id", F.col("track_id").alias("pr")).agg(F.count("*").alias("n_pr"))
-    shares = shares.join(n_gt, ["run_id", "gt"]).join(n_pr, ["run_id", "pr"])
-    shares = shares.select("run_id", "gt", "pr", (F.col("potential") / (F.col("n_gt") + F.col("n_pr") - F.col("potential"))).alias("alignment"))
-    sims = sims.join(shares, ["run_id", "gt", "pr"])
-
-    # A pair whose boxes overlap nothing else is matched as it is; only the rest of a frame is a problem to solve.
-    alone = sims.groupBy("run_id", "frame_idx", "gt").agg(F.count("*").alias("n1")), sims.groupBy("run_id", "frame_idx", "pr").agg(F.count("*").alias("n2"))
-    sims = sims.join(alone[0], ["run_id", "frame_idx", "gt"]).join(alone[1], ["run_id", "frame_idx", "pr"])
+    # How often a track is seen comes from the same pass as the pairs.
+    t = t.withColumn("n_gt", F.count("*").over(Window.partitionBy("run_id", "gt")))
+    p = p.withColumn("n_pr", F.count("*").over(Window.partitionBy("run_id", "pr")))
+    sims = t.join(p, ["run_id", "frame_idx"]).withColumn("iou", iou(box(), box("o_"))).where("iou > 0").select("run_id", "frame_idx", "gt", "pr", "n_gt", "n_pr", "iou")
+    row, col = Window.partitionBy("run_id", "frame_idx", "gt"), Window.partitionBy("run_id", "frame_idx", "pr")
+    sims = sims.select("*", F.sum("iou").over(row).alias("s1"), F.count("*").over(row).alias("n1"))
+    sims = sims.select("*", F.sum("iou").over(col).alias("s2"), F.count("*").over(col).alias("n2"))
+    weight = F.col("iou") / (F.col("s1") + F.col("s2") - F.col("iou"))
+    sims = write_table(sims.select("run_id", "frame_idx", "gt", "pr", "n_gt", "n_pr", "iou", "n1", "n2", weight.alias("weight")), "overlaps")
     simple = sims.where("n1 = 1 and n2 = 1").select("run_id", "frame_idx", "gt", "pr", "iou")
-    part = F.expr("frame_idx div 64").alias("part")
-    hard = sims.where("n1 > 1 or n2 > 1").select("run_id", part, "frame_idx", "gt", "pr", "iou", "alignment")
+    hard = sims.where("n1 > 1 or n2 > 1")
+    # Alignments are needed for contested pairs only, from all frames.
+    contested = hard.select("run_id", "gt", "pr").distinct()
+    shares = sims.join(contested, ["run_id", "gt", "pr"], "left_semi").groupBy("run_id", "gt", "pr", "n_gt", "n_pr").agg(F.sum("weight").alias("potential"))
+    shares = shares.select("run_id", "gt", "pr", (F.col("potential") / (F.col("n_gt") + F.col("n_pr") - F.col("potential"))).alias("alignment"))
+    hard = hard.join(shares, ["run_id", "gt", "pr"]).select("run_id", F.expr("frame_idx div 64").alias("part"), "frame_idx", "gt", "pr", "iou", "alignment")
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["frame_idx", "gt", "pr"])
+        frames, gts, prs, ious = pdf["frame_idx"].to_numpy(), pdf["gt"].to_numpy(), pdf["pr"].to_numpy(), pdf["iou"].to_numpy()
+        scores, run = ious * pdf["alignment"].to_numpy(), pdf["run_id"].iloc[0]
+        edges = [0, *(np.flatnonzero(frames[1:] != frames[:-1]) + 1), len(frames)]
         out = []
-        for frame, rows in pdf.sort_values(["frame_idx", "gt", "pr"]).groupby("frame_idx"):
-            g, gi = np.unique(rows["gt"], return_inverse=True)
-            q, qi = np.unique(rows["pr"], return_inverse=True)
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            g, gi = np.unique(gts[a:b], return_inverse=True)
+            q, qi = np.unique(prs[a:b], return_inverse=True)
             similar, score = np.zeros((len(g), len(q))), np.zeros((len(g), len(q)))
-            similar[gi, qi], score[gi, qi] = rows["iou"], rows["iou"] * rows["alignment"]
-            out += [(rows["run_id"].iloc[0], frame, g[i], q[j], similar[i, j]) for i, j in zip(*assignment(score), strict=True) if similar[i, j] > 0]
+            similar[gi, qi], score[gi, qi] = ious[a:b], scores[a:b]
+            out += [(run, frames[a], g[i], q[j], similar[i, j]) for i, j in zip(*assignment(score), strict=True) if similar[i, j] > 0]
         return pd.DataFrame(out, columns=["run_id", "frame_idx", "gt", "pr", "iou"])
 
-    solved = hard.groupBy("run_id", "part").applyInPandas(assign, "run_id int, frame_idx int, gt string, pr string, iou double")
+    solved = hard.groupBy("run_id", "part").applyInPandas(assign, f"run_id {kind}, frame_idx int, gt string, pr string, iou double")
+    return simple.unionByName(solved)
+
+
+def frame_matches(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """Per frame and threshold the matched pairs: run_id, frame_idx, alpha, gt, pr."""
     bars = F.filter(F.array(*map(F.lit, ALPHAS)), lambda a: F.col("iou") >= a - 1e-12)
-    return simple.unionByName(solved).select("run_id", "frame_idx", F.explode(bars).alias("alpha"), "gt", "pr")
+    return best_pairs(truth, found).select("run_id", "frame_idx", F.explode(bars).alias("alpha"), "gt", "pr")
 
 
-def hota(truth: DataFrame, found: DataFrame) -> DataFrame:
-    """Per run: HOTA, DetA and AssA (means over the thresholds)."""
-    matches = frame_matches(truth, found)
+def hota(truth: DataFrame, found: DataFrame, kind: str = "int") -> DataFrame:
+    """Per run: HOTA, DetA and AssA (means over the thresholds).
+
+    A match counts at all thresholds up to its overlap, so each pair of tracks
+    keeps one count per threshold in one row, and matches are never multiplied.
+    """
+    matches = best_pairs(truth, found, kind)
     n_gt, n_pr = (d.groupBy("run_id").agg(F.count("*").alias(c)) for d, c in ((truth, "n_gt"), (found, "n_pr")))
-    each = matches.groupBy("run_id", "alpha", "gt", "pr").agg(F.count("*").alias("tpa"))
+    at = [F.count_if(F.col("iou") >= a - 1e-12).alias(f"m{i}") for i, a in enumerate(ALPHAS)]
+    each = matches.groupBy("run_id", "gt", "pr").agg(*at)
     t_gt = truth.groupBy("run_id", F.col("track_id").alias("gt")).agg(F.count("*").alias("t_gt"))
     t_pr = found.groupBy("run_id", F.col("track_id").alias("pr")).agg(F.count("*").alias("t_pr"))
     each = each.join(t_gt, ["run_id", "gt"]).join(t_pr, ["run_id", "pr"])
-    jaccard = F.col("tpa") / (F.col("t_gt") + F.col("t_pr") - F.col("tpa"))
-    per = each.groupBy("run_id", "alpha").agg(F.sum("tpa").alias("tp"), (F.sum(F.col("tpa") * jaccard) / F.sum("tpa")).alias("ass"))
-    grid = n_gt.join(n_pr, "run_id", "full").withColumn("alpha", F.explode(F.array(*map(F.lit, ALPHAS))))
-    per = grid.join(per, ["run_id", "alpha"], "left").na.fill(0, ["tp", "ass", "n_gt", "n_pr"])
-    det = F.col("tp") / (F.col("n_gt") + F.col("n_pr") - F.col("tp"))
-    return per.groupBy("run_id").agg(F.round(F.avg(F.sqrt(det * F.col("ass"))), 6).alias("hota"), F.round(F.avg(det), 6).alias("deta"), F.round(F.avg("ass"), 6).alias("assa"))
+    seen = F.col("t_gt") + F.col("t_pr")
+    sums = []
+    for i in range(len(ALPHAS)):
+        m = F.col(f"m{i}")
+        sums += [F.sum(m).alias(f"tp{i}"), F.sum(m * m / (seen - m)).alias(f"w{i}")]
+    per = n_gt.join(n_pr, "run_id", "full").join(each.groupBy("run_id").agg(*sums), "run_id", "left").na.fill(0)
+    det = [F.col(f"tp{i}") / (F.col("n_gt") + F.col("n_pr") - F.col(f"tp{i}")) for i in range(len(ALPHAS))]
+    ass = [F.when(F.col(f"tp{i}") > 0, F.col(f"w{i}") / F.col(f"tp{i}")).otherwise(0.0) for i in range(len(ALPHAS))]
+    mean = lambda cs: F.round(sum(cs, F.lit(0.0)) / len(ALPHAS), 6)
+    return per.select("run_id", mean([F.sqrt(d * a) for d, a in zip(det, ass, strict=True)]).alias("hota"), mean(det).alias("deta"), mean(ass).alias("assa"))
 
 
 def mota(truth: DataFrame, found: DataFrame) -> DataFrame:
@@ -140,3 +161,45 @@ def mota(truth: DataFrame, found: DataFrame) -> DataFrame:
     s = n_gt.join(n_pr, "run_id", "left").join(m.groupBy("run_id").agg(F.count("*").alias("tp"), F.sum("switch").alias("idsw")), "run_id", "left").na.fill(0)
     fn, fp = F.col("n_gt") - F.col("tp"), F.col("n_pr") - F.col("tp")
     return s.select("run_id", "tp", fn.alias("fn"), fp.alias("fp"), "idsw", F.round(1 - (fn + fp + F.col("idsw")) / F.col("n_gt"), 6).alias("mota"))
+
+
+def errors(truth: DataFrame, found: DataFrame, alpha: float = 0.5) -> DataFrame:
+    """Misses (`FN`) and false findings (`FP`) at an overlap: run_id, frame_idx, kind, track_id, x1, y1, x2, y2 to a tenth."""
+    m = frame_matches(truth, found).where(F.abs(F.col("alpha") - alpha) < 1e-9)
+    keys, tenths = ["run_id", "frame_idx", "track_id"], [F.round(c, 1).alias(c) for c in ("x1", "y1", "x2", "y2")]
+    lost = truth.join(m.select("run_id", "frame_idx", F.col("gt").alias("track_id")), keys, "left_anti").select("run_id", "frame_idx", F.lit("FN").alias("kind"), "track_id", *tenths)
+    wrong = found.join(m.select("run_id", "frame_idx", F.col("pr").alias("track_id")), keys, "left_anti").select("run_id", "frame_idx", F.lit("FP").alias("kind"), "track_id", *tenths)
+    return lost.unionByName(wrong)
+
+
+def by_condition(truth: DataFrame, found: DataFrame) -> DataFrame:
+    """HOTA, DetA and AssA per run and condition (a column of both), and whether it is the run's weakest."""
+    from pyspark.sql import Window
+
+    conditions = truth.select("run_id", "condition").distinct()
+    ids = conditions.withColumn("id", F.xxhash64("run_id", "condition"))
+    swap = lambda d: d.join(ids, ["run_id", "condition"]).drop("run_id").withColumnRenamed("id", "run_id")
+    s = hota(swap(truth), swap(found), kind="long").withColumnRenamed("run_id", "id").join(ids, "id").drop("id")
+    least = F.row_number().over(Window.partitionBy("run_id").orderBy("hota", "condition")) == 1
+    return s.withColumn("weakest", least)
+
+
+def rule_scores(events: DataFrame, false_at: tuple[float, ...], tolerance: float, windows: list[tuple[float, float, int, bool]], reversals: tuple[tuple[float, float], ...]) -> DataFrame:
+    """Per run of events (run_id, t): events, false_present, held_emitted, held_truth, tuned_emitted, tuned_truth, reversals.
+
+    Times, windows (w0, w1, expected, tuned) and reversals are a handful of labels, so they are constants of the plan.
+    """
+    t = F.col("t")
+    near = lambda a: F.coalesce(F.bool_or(F.abs(t - a) <= tolerance), F.lit(False))
+    number = lambda flags: sum((f.cast("long") for f in flags), F.lit(0).cast("long"))
+    inside = lambda tuned: number([F.count_if(t.between(a, b)) for a, b, _, k in windows if k == tuned])
+    expected = lambda tuned: F.lit(sum(n for *_, n, k in windows if k == tuned)).cast("long")
+    return events.groupBy("run_id").agg(
+        F.count("*").alias("events"),
+        number([near(a) for a in false_at]).alias("false_present"),
+        inside(False).alias("held_emitted"),
+        expected(False).alias("held_truth"),
+        inside(True).alias("tuned_emitted"),
+        expected(True).alias("tuned_truth"),
+        number([near(a) & near(b) for a, b in reversals]).alias("reversals"),
+    )

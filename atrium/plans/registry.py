@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from atrium.plans import answers, detections, events, frames, identity, ledgers, merging, quality, relational, reports, scoring, streams, venue  # noqa: F401
+    from atrium.plans import answers, detections, events, frames, identity, ledgers, merging, quality, relational, reports, scenes, scoring, streams, venue  # noqa: F401
 
 
 _load()

@@ -96,3 +96,9 @@ def carried_forward(boxes: DataFrame, tolerance: float = 0.01) -> DataFrame:
     far = lambda a, b: F.greatest(*[F.abs(a[k] - b[k]) for k in ("x1", "y1", "x2", "y2")]) > tolerance
     f = f.withColumn("p", before).where(F.size("c") == F.size("p"))
     return f.where(~F.exists(F.zip_with("c", "p", far), lambda m: m)).select("run_id", "frame_idx")
+
+
+def truth_windows(docs: DataFrame, keep: list[str], column: str = "value") -> DataFrame:
+    """JSON label files as windows: keep, w0, w1, expected. A count that is not stated is the number of entries."""
+    d = docs.select(*keep, F.from_json(F.col(column), "window_s array<double>, truth_count int, entries array<double>").alias("d"))
+    return d.select(*keep, F.get("d.window_s", F.lit(0)).alias("w0"), F.get("d.window_s", F.lit(1)).alias("w1"), F.coalesce("d.truth_count", F.size("d.entries")).alias("expected"))
