@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atrium.llm.shingles import mix64
+from atrium.llm.skew import hot_keys, lookup, spread_join
 from atrium.operators.components import connected_components
 from atrium.scratch import settings, write_table
 
@@ -62,17 +63,23 @@ def _coder(tables: int, projections: int, width: float):
                 at = [i for i, u in enumerate(units) if u is not None and len(u) == size]
                 for i, c in zip(at, codes(np.stack([units[i] for i in at]), tables, projections, width), strict=True):
                     found[i] = c
-            yield pd.DataFrame({"vec_id": pdf["vec_id"], "label": pdf["label"], "unit": units, "codes": found, "weight": pdf["weight"]})[[f is not None for f in found]]
+            ok = [f is not None for f in found]
+            out = pd.DataFrame({"vec_id": pdf["vec_id"], "label": pdf["label"], "codes": found, "weight": pdf["weight"]})[ok]
+            # 32 bits of each code tell in which table two vectors of one bucket meet first; the vector itself follows.
+            short = [f.view(np.uint64).astype(np.uint32).tobytes() for f in found if f is not None]
+            out["data"] = [c + u.tobytes() for c, u in zip(short, [u for u in units if u is not None], strict=True)]
+            yield out
 
     return code
 
 
-def _compare_rows(rows: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
+def _compare_rows(rows: pd.DataFrame, threshold: float, tables: int) -> pd.DataFrame | None:
     """One block, or two: counts the links that meet in no earlier table, and names a smaller one that each is connected to."""
     side = rows["side"].to_numpy()
     ids, weight, table = rows["vec_id"].to_numpy(), rows["weight"].to_numpy(), int(rows["table"].iloc[0])
     both = bool((side == 2).all())  # one block with itself
-    units, code = np.stack(rows["unit"].to_numpy()), np.stack(rows["codes"].to_numpy())
+    data = np.frombuffer(b"".join(rows["data"]), np.uint8).reshape(len(rows), -1)
+    code, units = data[:, : 4 * tables].copy().view(np.uint32), data[:, 4 * tables :].copy().view(np.float64)
     left = np.arange(len(rows)) if both else np.flatnonzero(side == 0)
     right = left if both else np.flatnonzero(side == 1)
     if not len(left) or not len(right):
@@ -81,16 +88,15 @@ def _compare_rows(rows: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
     a, b = left[a], right[b]
     keep = ids[a] != ids[b]
     a, b = a[keep], b[keep]
+    if not len(a):
+        return None
     # The product above sums in any order; what is near the limit is summed again as a plain dot product.
     exact = np.einsum("ij,ij->i", units[a], units[b]) >= threshold
     a, b = a[exact], b[exact]
     if not len(a):
         return None
-    seen = np.zeros(len(a), bool)
-    for t in range(table):
-        seen |= code[a, t] == code[b, t]
+    fresh = ~(code[a, :table] == code[b, :table]).any(1)
     n, least = np.zeros(len(rows), np.int64), ids.copy()
-    fresh = ~seen
     np.add.at(n, a[fresh], weight[b[fresh]])
     if not both:
         np.add.at(n, b[fresh], weight[a[fresh]])
@@ -104,7 +110,7 @@ def _compare_rows(rows: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
     return pd.DataFrame({"vec_id": ids[use], "links": n[use], "peer": least[use]})
 
 
-def _comparer(threshold: float):
+def _comparer(threshold: float, tables: int):
     columns = ["vec_id", "links", "peer"]
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,10 +120,10 @@ def _comparer(threshold: float):
             rows = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
             last = rows["task"].iloc[-1]
             done, held = rows[rows["task"] != last], rows[rows["task"] == last]
-            out = [r for _, g in done.groupby("task", sort=False) if len(g) > 1 and (r := _compare_rows(g, threshold)) is not None]
+            out = [r for _, g in done.groupby("task", sort=False) if len(g) > 1 and (r := _compare_rows(g, threshold, tables)) is not None]
             if out:
                 yield pd.concat(out, ignore_index=True)
-        if held is not None and len(held) > 1 and (r := _compare_rows(held, threshold)) is not None:
+        if held is not None and len(held) > 1 and (r := _compare_rows(held, threshold, tables)) is not None:
             yield r
         yield pd.DataFrame({c: np.zeros(0, np.int64) for c in columns})
 
@@ -143,27 +149,32 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, tables: int = TABL
     classes = write_table(usable.groupBy("label", "name", "embedding").agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("weight")), "classes")
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=5000):
         coded = classes.select(F.col("rep").alias("vec_id"), F.col("label").cast("string").alias("label"), "embedding", "weight")
-        schema = "vec_id long, label string, unit array<double>, codes array<long>, weight long"
+        schema = "vec_id long, label string, codes array<long>, weight long, data binary"
         coded = write_table(coded.mapInPandas(_coder(tables, projections, width), schema), "coded")
-    members = coded.select("vec_id", "label", F.posexplode("codes").alias("table", "code"))
     keys = ["label", "table", "code"]
-    buckets = members.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    members = coded.select("vec_id", "label", F.posexplode("codes").alias("table", "code")).withColumn("bucket", F.xxhash64(*keys, F.lit(0)))
+    name = F.bit_xor(F.xxhash64("vec_id")).alias("name")
+    buckets = members.groupBy("label", "table", "code", "bucket").agg(F.count("*").alias("n"), name).where("n > 1")
+    # Close groups make the same bucket in many tables: its links are those of the first such table.
+    buckets = buckets.groupBy("label", "n", "name").agg(F.min(F.struct("table", "bucket")).alias("first")).select("n", "first.bucket")
     buckets = write_table(buckets, "buckets")
+    hot = hot_keys(buckets, "bucket")
+    within = lookup(members.select("vec_id", "table", "bucket"), buckets.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "bucket", hot)
     own = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
-    within = write_table(members.join(buckets, keys).select("vec_id", *keys, "blocks", own.alias("own")), "within")
+    within = write_table(within.withColumn("own", own), "within")
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("own", j).alias("i"), F.greatest("own", j).alias("j"))))
     tasks = within.withColumn("pair", pair).select(
         "vec_id",
         "table",
-        F.struct(*keys, F.col("pair.i"), F.col("pair.j")).alias("key"),
         F.when(F.col("pair.i") == F.col("pair.j"), 2).when(F.col("own") == F.col("pair.i"), 0).otherwise(1).alias("side"),
+        F.concat_ws("-", "bucket", "table", "pair.i", "pair.j").alias("task"),
     )
-    # 128 bits of the task's key.
-    tasks = tasks.select("vec_id", "table", "side", F.concat_ws("-", F.xxhash64("key"), F.xxhash64(F.lit(1), "key")).alias("task"))
-    rows = tasks.join(coded.select("vec_id", "unit", "codes", "weight"), "vec_id")
-    rows = rows.repartition("task").sortWithinPartitions("task").select("task", "vec_id", "table", "side", "unit", "codes", "weight")
+    # A vector in a large bucket meets each of its blocks.
+    often = hot_keys(within.groupBy("vec_id").agg(F.sum("blocks").alias("n")), "vec_id")
+    rows = spread_join(tasks, coded.select("vec_id", "data", "weight"), "vec_id", "task", often)
+    rows = rows.repartition("task").sortWithinPartitions("task").select("task", "vec_id", "table", "side", "data", "weight")
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=5000):
-        found = write_table(rows.mapInPandas(_comparer(threshold), "vec_id long, links long, peer long"), "near")
+        found = write_table(rows.mapInPandas(_comparer(threshold, tables), "vec_id long, links long, peer long"), "near")
 
     same = usable.join(classes.select("label", "name", "embedding", "rep", "weight"), ["label", "name", "embedding"]).select("vec_id", "rep", "weight")
     valid = coded.select(F.col("vec_id").alias("rep"), F.lit(True).alias("valid")).distinct()

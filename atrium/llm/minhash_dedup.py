@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from atrium.llm.shingles import as_bytes, chunks, linked, mix64, shingle_sets
+from atrium.llm.skew import hot_keys, lookup, spread_join
 from atrium.operators.components import connected_components
 from atrium.scratch import settings, write_table
 
@@ -110,8 +111,9 @@ def _comparer(k: int, percent: int):
 
 
 def _links(tasks: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """tasks: (task struct, left, doc_id, component)."""
-    rows = tasks.hint("merge").join(texts, "doc_id")
+    """tasks: (task struct, left, doc_id, component). The head of a large bucket is in many tasks, so its text is copied."""
+    tasks = write_table(tasks, "tasks")
+    rows = spread_join(tasks, texts, "doc_id", "task", hot_keys(tasks.groupBy("doc_id").agg(F.count("*").alias("n")), "doc_id"))
     with settings(rows.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=1000):
         return write_table(rows.groupBy("task").applyInPandas(_comparer(k, percent), "a long, b long"), "links")
 
@@ -127,8 +129,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
     their names. Two documents are linked if 100 * intersection >= percent *
     union of their sets of word shingles, confirmed on the full sets.
 
-    Null, empty and blank texts have an empty set and link with nothing. Rows
-    that repeat a doc_id are one node: they share the component of any of
+    Null, empty and blank texts have an empty set and link with nothing. Very
+    long texts are hashed whole, in one piece each. Rows that repeat a doc_id are one node: they share the component of any of
     them. A row without doc_id has no component (null) and is kept. An empty
     table gives an empty result. Ties need no rule: components are sets and
     carry their smallest doc_id.
@@ -153,16 +155,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
     )
     # Bands of near-identical documents repeat the same bucket: one of each is enough.
     buckets = write_table(buckets.groupBy("head", "n", "name").agg(F.min("code").alias("code")), "buckets")
-    inside = write_table(members.join(buckets.select("code", "head"), "code"), "inside")
+    hot = hot_keys(buckets.select("code", "n"), "code")
+    inside = write_table(lookup(members, buckets.select("code", "head"), "code", hot), "inside")
     # By shuffle at every size: the candidates grow with the corpus.
     texts = write_table(docs.join(inside.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"), "texts")
 
     pairs = inside.where("doc_id <> head").select("head", "doc_id").distinct()
     pairs = write_table(pairs, "pairs")
-    heads = write_table(pairs.groupBy("head").agg(_blocks(F.count("*")).alias("blocks")), "heads")
+    sizes = write_table(pairs.groupBy("head").agg(F.count("*").alias("n")), "sizes")
+    heads = sizes.select("head", _blocks(F.col("n")).alias("blocks"))
     part = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     tasks = (
-        pairs.join(heads, "head").select(F.struct("head", part.alias("part")).alias("task"), F.lit(False).alias("left"), "doc_id", F.col("doc_id").alias("component"))
+        lookup(pairs, heads, "head", hot_keys(sizes, "head")).select(F.struct("head", part.alias("part")).alias("task"), F.lit(False).alias("left"), "doc_id", F.col("doc_id").alias("component"))
     ).unionByName(
         heads.select(
             F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.col("head"), i.alias("part")))).alias("task"),
@@ -178,10 +182,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 2, percent: int = 80, bands:
     where = F.coalesce("component", "doc_id").alias("component")
     labelled = write_table(inside.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("code", "doc_id", "head", where), "labelled")
     first = labelled.where("doc_id = head").select("code", F.col("component").alias("main"))
-    apart = labelled.join(first, "code").withColumn("left", F.col("component") != F.col("main"))
+    apart = lookup(labelled, first, "code", hot).withColumn("left", F.col("component") != F.col("main"))
     counts = apart.groupBy("code").agg(F.sum(F.col("left").cast("int")).alias("lefts"), F.count("*").alias("n"))
     counts = write_table(counts.where("lefts > 0 and n > 2").select("code", _blocks(F.col("lefts")).alias("lb"), _blocks(F.col("n")).alias("rb")), "counts")
-    apart = write_table(apart.where("doc_id <> head").join(counts, "code"), "apart")
+    apart = write_table(lookup(apart.where("doc_id <> head"), counts, "code", hot), "apart")
     hashed = F.xxhash64("doc_id")
     other = lambda n, own, side: F.explode(
         F.transform(F.sequence(F.lit(0), F.col(n) - 1), lambda i: F.struct(F.col("code"), *((own.alias("l"), i.alias("r")) if side else (i.alias("l"), own.alias("r")))))
