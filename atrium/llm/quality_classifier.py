@@ -27,8 +27,8 @@ GOOD, BAD, ABSTAIN = "1", "0", "-"
 #: Hashed features, and documents of the sample that trains the scorer (the bound of the fit).
 DIMENSIONS, SAMPLE = 4096, 3000
 _ROUNDS, _STEPS = 100, 250
-#: The labellers are written to be precise: at most this share of good documents gets a bad vote from one of them.
-#: Without this bound, junk that a single labeller sees would end up explained as that labeller's false alarms.
+#: The prior on a labeller's rate of false alarms: uniform from 0 to this. The labellers are written to be precise. Whether votes
+#: of one labeller alone are junk that only it sees, or its false alarms, can't be told from the votes, so the prior decides.
 FALSE_ALARMS = 0.001
 
 _KIND = np.zeros(256, np.uint8)
@@ -69,7 +69,8 @@ def statistics(texts: list[bytes]) -> dict[str, np.ndarray]:
     }
 
 
-#: A labeller says bad above the first number and good below the second; for the last two names, the other way round.
+#: A labeller says bad above the first number and good below the second; for variety and words, the other way round.
+#: Set by hand for prose with blanks between words, from what such prose has at most (or least) and junk at least (or most).
 LIMITS = {"symbols": (0.3, 0.05), "shouting": (0.3, 0.15), "exclamations": (0.15, 0.05), "separators": (0.12, 0.02), "stutter": (0.2, 0.05), "variety": (0.35, 0.6), "lines": (0.45, 0.35), "words": (1, 20)}
 
 
@@ -83,13 +84,19 @@ def votes(stats: dict[str, np.ndarray]) -> np.ndarray:
     return np.array(["".join(v) for v in zip(*said, strict=True)], object)
 
 
-def estimate(counts: dict[str, int]) -> dict[str, float]:
-    """The posterior of good for each pattern, by expectation-maximisation (Dawid and Skene, 1979).
+def estimate(counts: dict[str, int], false_alarms: float = FALSE_ALARMS) -> dict[str, float]:
+    """The posterior of good for each pattern, by expectation-maximisation (Dawid and Skene, 1979)."""
+    return fitted(counts, false_alarms)[0]
 
-    FALSE_ALARMS bounds one rate of each labeller; all others are estimated.
+
+def fitted(counts: dict[str, int], false_alarms: float = FALSE_ALARMS) -> tuple[dict[str, float], np.ndarray]:
+    """The posterior of good for each pattern, and the rates: by class (bad, good), labeller and vote (bad, good, none).
+
+    Each step maximises the posterior under a uniform prior on [0, false_alarms]
+    for how often a labeller votes bad on good documents; all other rates are free.
     """
     if not counts:
-        return {}
+        return {}, np.zeros((2, len(LABELLERS), 3))
     patterns = sorted(counts)
     n = np.array([counts[p] for p in patterns], float)
     said = np.stack([np.array([list(p) for p in patterns]) == v for v in (BAD, GOOD, ABSTAIN)], 2).astype(float)
@@ -99,10 +106,10 @@ def estimate(counts: dict[str, int]) -> dict[str, float]:
         prior = (by_class.sum(1) + 1) / (n.sum() + 2)
         rates = np.einsum("cp,plv->clv", by_class, said) + 0.1
         rates /= rates.sum(2, keepdims=True)
-        rates[1, :, 0] = np.minimum(rates[1, :, 0], FALSE_ALARMS)
+        rates[1, :, 0] = np.minimum(rates[1, :, 0], false_alarms)
         logs = np.log(prior)[:, None] + np.einsum("clv,plv->cp", np.log(rates), said)
         good = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
-    return dict(zip(patterns, good.tolist(), strict=True))
+    return dict(zip(patterns, good.tolist(), strict=True)), rates
 
 
 def features(texts: list[bytes], stats: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
@@ -189,18 +196,26 @@ def _featured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"votes": votes(stats), "x": x})
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> QualityModel:
+def train(docs: DataFrame, sample: int = SAMPLE, false_alarms: float = FALSE_ALARMS) -> QualityModel:
     """Fits the labellers' accuracies on all documents and the scorer on at most `sample` of them.
 
-    The sample is the documents of the smallest hashed doc_id, so that it
-    does not depend on the order or partitioning of the rows.
+    The sample is the distinct (doc_id, text) of the smallest hashes, so it
+    depends neither on the order nor on the partitioning of the rows, and
+    repeated rows count once. The driver gets at most 6,561 counts and `sample`
+    vectors.
     """
     with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=2000):
         counts = docs.select("text").mapInPandas(_count, "votes string, n long").groupBy("votes").agg(F.sum("n").alias("n"))
-        posterior = estimate({r["votes"]: r["n"] for r in counts.collect()})
-        chosen = docs.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        ids = [r["doc_id"] for r in chosen.collect()]
-        rows = docs.where(F.col("doc_id").isin(ids)).limit(2 * sample) if ids else docs.limit(0)
+        counts = {r["votes"]: r["n"] for r in counts.collect()}
+        posterior = estimate(counts, false_alarms)
+        own = F.xxhash64("doc_id", "text").alias("own")
+        # Of so many rows, those under this hash are enough; hashes are uniform.
+        under = min(1.0, 16 * sample / max(sum(counts.values()), 1))
+        keyed = docs.where("doc_id is not null").select("text", own)
+        near = keyed.where(F.col("own") <= F.lit(int(-(2**63) + under * (2**64 - 1)))) if under < 1 else keyed
+        chosen = near.select("own").distinct().orderBy("own").limit(sample)
+        # At most `sample` rows are broadcast; repeated rows are merged before they are gathered.
+        rows = near.join(F.broadcast(chosen), "own", "left_semi").groupBy("own").agg(F.min("text").alias("text")).orderBy("own")
         data = rows.select("text").mapInPandas(_featured, "votes string, x binary").toPandas()
     x = np.stack([np.frombuffer(v, np.float32) for v in data["x"]]).astype(float) if len(data) else np.zeros((0, DIMENSIONS))
     return QualityModel(posterior, *fit(x, np.array([posterior.get(p, 0.5) for p in data["votes"]])))
@@ -210,9 +225,11 @@ def quality(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """One row per row of docs: doc_id, votes, weak_posterior, score (0 to 1), keep.
 
     Only doc_id and text are read; other columns may be there, whatever their
-    names. Null, empty and blank texts get score 0 and are not kept. Repeated
-    rows each get the same decision. An empty table gives an empty result,
-    and a model that was fitted on no row scores all texts 0.5 and keeps them.
+    names. Null, empty and blank texts get score 0 and are not kept. Very long
+    texts are read whole, each alone. Repeated rows each get the same decision;
+    a score of exactly 0.5 keeps. An empty table gives an empty result. A model
+    that was fitted on no row (all doc_ids null) scores texts with words 0.5
+    and keeps them.
     """
     model = train(docs, sample)
     return docs.select("doc_id", model.score("text").alias("q")).select("doc_id", "q.*")

@@ -23,11 +23,15 @@ _PART = 1024
 
 @dataclass(frozen=True)
 class Parameter:
-    """kind: a name of Spark's variant types, such as STRING, BIGINT, DOUBLE, BOOLEAN; DECIMALs count as DOUBLE."""
+    """kind: STRING, BIGINT, DOUBLE, BOOLEAN, OBJECT or ARRAY. An integer is a valid DOUBLE, as in JSON. values: all that are allowed,
+    as text; least and most: bounds of a number. A name with dots is a field of a nested object."""
 
     name: str
     kind: str
     required: bool = True
+    values: tuple[str, ...] = ()
+    least: float | None = None
+    most: float | None = None
 
 
 Schemas = dict[str, tuple[Parameter, ...]]
@@ -52,12 +56,23 @@ def problems(name: Column, arguments: Column, schemas: Schemas) -> Column:
         checks = []
         for p in parameters:
             value = F.try_variant_get(variant, f"$.{p.name}", "variant")
-            kind = F.regexp_replace(F.schema_of_variant(value), r"^DECIMAL.*$", "DOUBLE")
+            stated = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
+            kind = F.when(stated == "DECIMAL", "DOUBLE").otherwise(stated)
             missing = value.isNull() | (kind == "VOID")
+            fits = (kind == p.kind) | ((kind == "BIGINT") if p.kind == "DOUBLE" else F.lit(False))
             if p.required:
                 checks.append(F.when(missing, F.lit(f"missing {p.name}")))
-            checks.append(F.when(~missing & (kind != p.kind), F.lit(f"{p.name} is not {p.kind}")))
-        known = F.array(*[F.lit(p.name) for p in parameters]) if parameters else F.array().cast("array<string>")
+            checks.append(F.when(~missing & ~fits, F.lit(f"{p.name} is not {p.kind}")))
+            if p.values:
+                text = F.try_variant_get(variant, f"$.{p.name}", "string")
+                checks.append(F.when(~missing & fits & ~text.isin(*p.values), F.lit(f"{p.name} is none of {', '.join(p.values)}")))
+            number = F.try_variant_get(variant, f"$.{p.name}", "double")
+            if p.least is not None:
+                checks.append(F.when(~missing & fits & (number < p.least), F.lit(f"{p.name} is below {p.least:g}")))
+            if p.most is not None:
+                checks.append(F.when(~missing & fits & (number > p.most), F.lit(f"{p.name} is above {p.most:g}")))
+        top = list(dict.fromkeys(p.name.split(".")[0] for p in parameters))
+        known = F.array(*map(F.lit, top)) if top else F.array().cast("array<string>")
         extra = F.transform(F.array_sort(F.array_except(F.json_object_keys(arguments), known)), lambda k: F.concat(F.lit("unexpected "), k))
         found = F.concat(F.filter(F.array(*checks), lambda x: x.isNotNull()), F.coalesce(extra, F.array().cast("array<string>")))
         out = F.when(name == tool, F.when(~F.coalesce(parsed, F.lit(False)), F.array(F.lit("arguments are not an object"))).otherwise(found)).otherwise(out)
@@ -68,7 +83,7 @@ def depths(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, depth) of (conv_id, call_id, after): 0 for calls that depend on none that exists, null on a cycle."""
     own = calls.select("conv_id", "call_id", "after")
     there = own.select("conv_id", F.col("call_id").alias("after"), F.lit(1).alias("there"))
-    now = own.join(there, ["conv_id", "after"], "left").select(
+    now = own.join(there.hint("shuffle_hash"), ["conv_id", "after"], "left").select(
         "conv_id", "call_id", F.when(F.col("there") == 1, F.col("after")).alias("up"), F.coalesce("there", F.lit(0)).cast("long").alias("depth")
     )
     now = write_table(now, "depths")
@@ -77,7 +92,7 @@ def depths(calls: DataFrame) -> DataFrame:
         if reach > 2 * n:
             break
         above = now.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        open_calls = now.where("up is not null").join(above, ["conv_id", "up"])
+        open_calls = now.where("up is not null").join(above.hint("shuffle_hash"), ["conv_id", "up"])
         moved = open_calls.select("conv_id", "call_id", F.col("next").alias("up"), (F.col("depth") + F.col("more")).alias("depth"))
         now, reach = write_table(now.where("up is null").unionByName(moved), "depths"), 2 * reach
     return now.select("conv_id", "call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
@@ -97,8 +112,10 @@ def linked(messages: DataFrame, schemas: Schemas) -> DataFrame:
     then content); `cyclic` for calls on or behind a cycle; `unidentified`
     where conv_id or call_id is null; other kinds are `message`. position is
     0, 1, ... in each conversation: by depth, calls before their results,
-    then by turn; what has no depth comes last. valid is null for what is not
-    a call.
+    then by turn; what has no depth comes last; ties are broken by kind and
+    then by row. valid is null for what is not a call. Very long contents are
+    carried whole. Columns of other names are ignored, whatever they are; an
+    empty table gives an empty result.
     """
     messages = messages.select("conv_id", "turn", "role", "kind", "call_id", "name", "arguments", "after", "content")
     # Equal rows stay apart: each gets a number within its equals' salt, from the written table.
@@ -110,8 +127,13 @@ def linked(messages: DataFrame, schemas: Schemas) -> DataFrame:
     depth = depths(calls)
     results = first.where("kind = 'result'").select("conv_id", "call_id", F.col("row").alias("result_row"), F.col("turn").alias("result_turn"))
     heads = first.where("kind = 'call'").select("conv_id", "call_id", F.col("row").alias("call_row"), F.col("turn").alias("call_turn"))
-    links = write_table(heads.join(results, ["conv_id", "call_id"], "full").join(depth, ["conv_id", "call_id"], "left"), "links")
-    out = rows.join(links, ["conv_id", "call_id"], "left")
+    # Links are one row for each identifier, so the hash tables hold no repeated keys.
+    links = heads.join(results.hint("shuffle_hash"), ["conv_id", "call_id"], "full").join(depth.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
+    links = write_table(links, "links").hint("shuffle_hash")
+    # What has no identifier links with nothing and stays out of the join.
+    some = rows.where("conv_id is not null and call_id is not null")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in links.schema if f.name not in ("conv_id", "call_id")]
+    out = some.join(links, ["conv_id", "call_id"], "left").unionByName(rows.where("conv_id is null or call_id is null").select("*", *empty))
     is_call, is_result = F.col("kind") == "call", F.col("kind") == "result"
     late = F.coalesce(F.col("result_turn") > F.col("call_turn"), F.lit(False))
     cyclic = F.col("call_row").isNotNull() & F.col("depth").isNull()
@@ -146,19 +168,20 @@ def linked(messages: DataFrame, schemas: Schemas) -> DataFrame:
 
 
 def _positions(rows: DataFrame) -> DataFrame:
-    """Ranks within conversations: within parts of bounded depth first, so that a very long conversation is split."""
+    """Ranks within conversations. Parts of bounded depth and, within them, of bounded spans of turns come first, so that a very
+    long conversation is split even where all its calls have one depth; only messages of one step and turn meet in a task."""
     far = F.lit(1 << 62)
     step = F.coalesce(2 * F.col("depth") + (F.col("kind") == "result").cast("long"), far)
-    part = F.when(step < far, F.floor(step / _PART)).otherwise(far + F.coalesce(F.floor(F.col("turn") / _PART), F.lit(1 << 40)))
-    rows = rows.withColumn("_step", step).withColumn("_part", part)
-    sizes = rows.groupBy("conv_id", "_part").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = sizes.select("conv_id", "_part", F.coalesce(before, F.lit(0)).alias("before"))
-    own = F.row_number().over(Window.partitionBy("conv_id", "_part").orderBy("_step", F.col("turn").asc_nulls_last(), "kind", "row")) - 1
-    same = [rows["conv_id"].eqNullSafe(sizes["conv_id"]), rows["_part"] == sizes["_part"]]
+    late = F.coalesce(F.floor(F.col("turn") / _PART), F.lit(1 << 40))
+    rows = rows.withColumn("_step", step).withColumn("_late", late)
+    keys = ["conv_id", "_step", "_late"]
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("conv_id").orderBy("_step", "_late").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(*keys, F.coalesce(before, F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("turn").asc_nulls_last(), "kind", "row")) - 1
     placed = rows.withColumn("own", own)
-    same = [placed["conv_id"].eqNullSafe(sizes["conv_id"]), placed["_part"] == sizes["_part"]]
-    out = placed.join(sizes, same)
+    same = [placed["conv_id"].eqNullSafe(sizes["conv_id"]), placed["_step"] == sizes["_step"], placed["_late"] == sizes["_late"]]
+    out = placed.join(sizes.hint("shuffle_hash"), same)
     return out.select(placed["conv_id"], "turn", "role", "kind", "call_id", "status", "depth", (F.col("before") + F.col("own")).alias("position"), "valid", "errors", "json")
 
 

@@ -3,7 +3,9 @@
 FP-growth mines combinations of URL tokens that go with a label. Rules are
 pruned by support, confidence and lift, and matched by an inverted index from
 tokens to the rules that need them: a rule matches a URL that has all of its
-tokens. Everything here is DataFrame operations.
+tokens. Labels may be given; without any, the listed rules' verdicts on the
+pages that they fit are the labels, and mining carries them over to URLs that
+no listed rule fits. Everything here is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -123,21 +125,37 @@ def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return hits.where("has = needs").groupBy("url").agg(best).select("url", F.col("best.name").alias("mined_rule"), F.col("best.confidence").alias("mined_confidence"))
 
 
-def judged(pages: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES, mining: Mining = Mining()) -> DataFrame:
+def listed_labels(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(url, blocked) of each page that a listed rule fits."""
+    host, path = host_and_path(F.col("url"))
+    _, verdict = listed(F.col("host"), F.col("path"), rules)
+    rows = pages.where("url is not null").select("url", host.alias("host"), path.alias("path"))
+    return rows.select("url", (verdict == BLOCK).alias("blocked")).where("blocked is not null")
+
+
+def judged(pages: DataFrame, labels: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, mining: Mining = Mining()) -> DataFrame:
     """One row per row of pages: page_id, host, path, rule, verdict, mined_rule, mined_confidence.
 
-    labels gives (page_id, blocked) for some pages. Where no listed rule fits,
-    a URL is blocked if a mined rule matches and allowed otherwise. Null URLs
-    and URLs without `://` have empty host and path, fit no listed rule and
-    are allowed unless a mined rule matches. Labels that repeat a page count
-    as one, blocked if any says so. Empty tables give an empty result or no
-    mined rules. Other columns are ignored, whatever their names.
+    labels gives (page_id, blocked) for some pages; without it the listed
+    rules label the pages that they fit. Where no listed rule fits, a URL is
+    blocked if a mined rule matches and allowed otherwise. Null URLs and URLs
+    without `://` have empty host and path and fit no listed rule; null ones
+    are allowed, others unless a mined rule matches. Labels that repeat a page
+    count as one, blocked if any says so. Of several matching mined rules the
+    surest is named, then the last by name. Long URLs are taken whole. Repeated
+    rows get the same verdict. Empty tables give an empty result or no mined
+    rules. Other columns are ignored, whatever their names.
     """
     pages = pages.select("page_id", "url")
-    known = labels.groupBy("page_id").agg(F.bool_or("blocked").alias("blocked"))
-    best = matched(pages, mine(pages.join(known, "page_id"), mining))
+    if labels is None:
+        labelled = listed_labels(pages, rules)
+    else:
+        labelled = pages.join(labels.groupBy("page_id").agg(F.bool_or("blocked").alias("blocked")), "page_id")
+    best = matched(pages, mine(labelled, mining))
     host, path = host_and_path(F.col("url"))
-    rows = pages.join(best, "url", "left").withColumn("host", host).withColumn("path", path)
+    # Null URLs match nothing, so they don't meet in one task of the join.
+    none = pages.where("url is null").select("url", "page_id", F.lit(None).cast("string").alias("mined_rule"), F.lit(None).cast("double").alias("mined_confidence"))
+    rows = pages.where("url is not null").join(best, "url", "left").unionByName(none).withColumn("host", host).withColumn("path", path)
     name, verdict = listed(F.col("host"), F.col("path"), rules)
     mined = F.when(F.col("mined_rule").isNotNull(), F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     return rows.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, mined).alias("verdict"), "mined_rule", "mined_confidence")

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from atrium.llm import language_id, quality_classifier
 from tests.llm.test_minhash_dedup import brute
@@ -35,6 +37,22 @@ def test_odd_rows(spark, odd_docs, no_docs, sf):
     assert any(r["doc_id"] is None for r in kept)
 
 
+def test_odd_rows_keep_their_columns(spark, odd_docs, sf):
+    """Columns named like those that the stages use inside, nulls, blanks and repeated rows: what each stage keeps is defined."""
+    docs = odd_docs
+    for name in ("_language", "_row", "key", "language", "component_id"):
+        docs = docs.withColumn(name, F.lit("x"))
+    rows = [tuple(r) for r in docs.collect()]
+    for name, f in C.STAGES[:-1]:
+        out = f(spark, docs, sf)
+        assert out.columns == docs.columns
+        assert set(map(tuple, out.collect())) <= set(rows)
+    texts = {r["text"] for r in C.quality_stage(spark, docs, sf).collect()}
+    assert not texts & {None, "", "  \n\t "}
+    assert "!!! ### $$$ ???" not in {r["text"] for r in C.language_stage(spark, docs, sf).collect()}
+    assert sum(r["doc_id"] == 15 for r in C.dedup_stage(spark, docs, sf).collect()) == 1
+
+
 def test_dedup_decides_per_row(spark, sf):
     text = "The house on the hill is old and the road to it is long."
     other = "Nobody else has ever written about seven green boats under that bridge."
