@@ -35,18 +35,16 @@ def homographies(points: DataFrame, key: str, source: tuple[str, str], target: t
 
 
 def _rectified(p: np.ndarray, k: float, size: tuple[float, float]) -> np.ndarray:
-    """Points of the source image in half-diagonals, freed from distortion by bisection."""
+    """Points of the source image in half-diagonals, freed from distortion by Newton's method, which comes from one side only."""
     half = np.hypot(*size) / 2
     d = (p - np.array(size) / 2) / half
     r = np.sqrt((d * d).sum(1))
-    top = np.sqrt(-1 / (3 * k)) if k < 0 else None
-    goal = np.minimum(r, top * (1 + k * top * top)) if top else r
-    lo, hi = np.zeros(len(r)), np.full(len(r), top) if top else r + 1e-9
-    for _ in range(60):
-        mid = (lo + hi) / 2
-        low = mid * (1 + k * mid * mid) < goal
-        lo, hi = np.where(low, mid, lo), np.where(low, hi, mid)
-    return d * np.where(r > 0, (lo + hi) / 2 / np.maximum(r, 1e-300), 1.0)[:, None]
+    top = np.sqrt(-1 / (3 * k)) if k < 0 else np.inf
+    goal = np.minimum(r, top * (1 + k * top * top)) if k < 0 else r
+    x = goal.copy()
+    for _ in range(25):
+        x = np.minimum(x - (x + k * x**3 - goal) / np.maximum(1 + 3 * k * x * x, 1e-9), top)
+    return d * np.where(r > 0, x / np.maximum(r, 1e-300), 1.0)[:, None]
 
 
 def bend(p: np.ndarray) -> float:
@@ -68,7 +66,8 @@ def fit_lenses(points: DataFrame, key: str, size: tuple[float, float], bounds: t
         lines = [g[["x", "y"]].to_numpy(float) for _, g in pdf.groupby("line") if len(g) >= 3]
         if not lines:
             return pd.DataFrame({key: [pdf[key].iloc[0]], "k": [0.0], "rms": [None]})
-        cost = lambda k: float(np.mean([bend(_rectified(p, k, size)) ** 2 for p in lines]))
+        every, cuts = np.concatenate(lines), np.cumsum([len(p) for p in lines])[:-1]
+        cost = lambda k: float(np.mean([bend(p) ** 2 for p in np.split(_rectified(every, k, size), cuts)]))
         a, b = bounds
         c, d = b - ratio * (b - a), a + ratio * (b - a)
         fc, fd = cost(c), cost(d)

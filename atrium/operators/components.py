@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from atrium.scratch import write_table
+from atrium.scratch import delete, written
 
 
-def _mins(edges: DataFrame) -> DataFrame:
-    return write_table(edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("least")), "least")
+def _mins(edges: DataFrame) -> tuple[DataFrame, str]:
+    return written(edges.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("least")), "least")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -23,7 +23,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     on the smallest node that this node knows, then every node's smaller
     neighbours are hung on the smallest of them. The number of rounds grows
     with the logarithm of the longest path. Each round is written to the
-    shared folder. A node with very many neighbours is only ever a join key,
+    shared folder, and its predecessor is deleted. A node with very many neighbours is only ever a join key,
     and both join inputs come from tables, so that Spark can split it.
 
     Null ids and loops are ignored. An empty input gives an empty result.
@@ -31,26 +31,29 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     pairs = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where(
         F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("hi") != F.col("lo"))
     )
-    now = write_table(pairs.distinct(), "edges")
+    spark = edges.sparkSession
+    now, path = written(pairs.distinct(), "edges")
     state = _state(now)
     for _ in range(rounds):
         if not state[0]:
             break
-        least = _mins(now)
+        least, p1 = _mins(now)
         large = (
             now.join(least, now["lo"] == least["node"], "left")
             .select("hi", F.coalesce("least", "lo").alias("lo"))
             .distinct()
         )
-        large = write_table(large, "edges")
-        least = _mins(large)
+        large, p2 = written(large, "edges")
+        least, p3 = _mins(large)
         down = large.join(least, large["hi"] == least["node"]).where(F.col("lo") != F.col("least"))
         small = (
             down.select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
             .unionByName(least.select(F.col("node").alias("hi"), F.col("least").alias("lo")))
             .distinct()
         )
-        now = write_table(small, "edges")
+        now, new = written(small, "edges")
+        delete(spark, path, p1, p2, p3)
+        path = new
         before, state = state, _state(now)
         if before == state:
             break

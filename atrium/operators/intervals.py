@@ -24,18 +24,30 @@ def total(rows: DataFrame, keys: list[str], start: str = "t_in", end: str = "t_o
     return rows.groupBy(*keys).agg(F.sum(F.col(end) - F.col(start)).alias(name))
 
 
-def clip(rows: DataFrame, windows: DataFrame, keys: list[str], start: str = "t_in", end: str = "t_out") -> DataFrame:
+def overlaps(rows: DataFrame, windows: DataFrame, keys: list[str], start: str = "t_in", end: str = "t_out", width: float = 300.0) -> DataFrame:
+    """Rows joined with the windows (keys, w0, w1) that they overlap, by equi-join on time cells instead of comparing all of a key.
+
+    Both sides are listed in every cell they touch, so width should be about
+    their usual length; a pair belongs to the cell in which its overlap begins.
+    """
+    cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / width), F.floor(F.col(b) / width)))
+    left = rows.where(F.col(end) >= F.col(start)).withColumn("_cell", cells(start, end))
+    right = windows.where("w1 >= w0").withColumn("_cell", cells("w0", "w1"))
+    j = left.join(right, [*keys, "_cell"]).where((F.col(start) < F.col("w1")) & (F.col("w0") < F.col(end)))
+    return j.where(F.col("_cell") == F.floor(F.greatest(start, "w0") / width)).drop("_cell")
+
+
+def clip(rows: DataFrame, windows: DataFrame, keys: list[str], start: str = "t_in", end: str = "t_out", width: float = 300.0) -> DataFrame:
     """Parts of the rows inside windows (keys, w0, w1) of equal keys; only parts of positive length."""
-    joined = rows.join(windows, keys).where((F.col(start) < F.col("w1")) & (F.col("w0") < F.col(end)))
     other = [c for c in rows.columns if c not in (start, end)]
-    return joined.select(*other, F.greatest(start, "w0").alias(start), F.least(end, "w1").alias(end))
+    return overlaps(rows, windows, keys, start, end, width).select(*other, F.greatest(start, "w0").alias(start), F.least(end, "w1").alias(end))
 
 
-def complement(merged: DataFrame, windows: DataFrame, keys: list[str], start: str = "t_in", end: str = "t_out") -> DataFrame:
+def complement(merged: DataFrame, windows: DataFrame, keys: list[str], start: str = "t_in", end: str = "t_out", width: float = 300.0) -> DataFrame:
     """What merged, disjoint intervals leave free of windows (keys, w0, w1): keys, w0, start, end. Rests up to 1e-9 are dropped."""
-    inside = clip(merged, windows.select(*keys, "w0", "w1"), keys, start, end).select(*keys, F.col(start).alias("_s"), F.col(end).alias("_e"))
-    inside = windows.join(inside, keys, "left").where(F.col("_s").isNull() | ((F.col("_s") >= F.col("w0")) & (F.col("_e") <= F.col("w1")))).select(*keys, "w0", "w1", "_s", "_e").distinct()
-    edges = inside.where("_s is not null").select(*keys, "w0", "w1", F.col("_s").alias("s"), F.col("_e").alias("e"))
+    windows = windows.select(*keys, "w0", "w1")
+    inside = overlaps(merged.select(*keys, start, end), windows, keys, start, end, width)
+    edges = inside.select(*keys, "w0", "w1", F.greatest(start, "w0").alias("s"), F.least(end, "w1").alias("e"))
     edges = edges.unionByName(windows.select(*keys, "w0", "w1", F.col("w1").alias("s"), F.col("w1").alias("e")))
     order = Window.partitionBy(*keys, "w0", "w1").orderBy("s", "e")
     free = edges.withColumn("_from", F.coalesce(F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.col("w0")))

@@ -162,9 +162,19 @@ def _sims(spark, sf):
 
 
 def _sweep(spark, sf, n):
-    grid = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n)), lambda i: i / F.lit(float(n)))).alias("th")
-    r = _sims(spark, sf).select("same", "s", grid).groupBy("th").agg(F.avg(F.when(F.col("same"), (F.col("s") < F.col("th")).cast("double"))).alias("fr"), F.avg(F.when(~F.col("same"), (F.col("s") >= F.col("th")).cast("double"))).alias("fa"))
-    return r
+    """Rates at the thresholds 0, 1 / n, ..., 1: pairs are counted once by the last threshold that they reach, then added up over n + 2 rows."""
+    at = lambda i: i / F.lit(float(n))
+    near = F.floor(F.col("s") * n)
+    cell = F.when(at(near) > F.col("s"), near - 1).when(at(near + 1) <= F.col("s"), near + 1).otherwise(near)
+    cell = F.least(F.greatest(cell, F.lit(-1)), F.lit(n))
+    counts = _sims(spark, sf).groupBy(cell.alias("cell")).agg(F.count_if("same").alias("same"), F.count_if(~F.col("same")).alias("different"))
+    grid = spark.range(-1, n + 1).select(F.col("id").alias("cell"), F.lit(0).cast("long").alias("same"), F.lit(0).cast("long").alias("different"))
+    counts = counts.unionByName(grid).groupBy("cell").agg(F.sum("same").alias("same"), F.sum("different").alias("different"))
+    every, below = Window.partitionBy(), Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    total = lambda c: F.sum(c).over(every)
+    under = lambda c: F.coalesce(F.sum(c).over(below), F.lit(0))
+    r = counts.select("cell", (under("same") / total("same")).alias("fr"), ((total("different") - under("different")) / total("different")).alias("fa"))
+    return r.where("cell >= 0").select(at(F.col("cell")).alias("th"), "fr", "fa")
 
 
 RATES = "rates AS (SELECT i / 100.0::DOUBLE AS th, avg(CASE WHEN s < i / 100.0::DOUBLE THEN 1.0 ELSE 0.0 END) FILTER (la = lb) AS fr, avg(CASE WHEN s >= i / 100.0::DOUBLE THEN 1.0 ELSE 0.0 END) FILTER (la <> lb) AS fa FROM sims, range(101) g(i) GROUP BY i)"

@@ -22,10 +22,3 @@ def query(name: str, sql: str | None = None):
         return f
 
     return register
-
-
-def _load() -> None:
-    from atrium.plans import answers, detections, events, frames, identity, ledgers, merging, quality, relational, reports, scenes, scoring, streams, venue  # noqa: F401
-
-
-_load()

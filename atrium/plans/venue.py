@@ -374,7 +374,7 @@ def d22(spark, sf):
     ends = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(row, ("line", "ax", "ay", "bx", "by"), strict=True)]) for row in straight])
     p = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("camera"), k.alias("k"), F.explode(ends).alias("e")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(8))))
     x = F.col("e.ax") + (F.col("e.bx") - F.col("e.ax")) * F.col("i") / 8
-    y = F.col("e.ay") + (F.col("e.yb") - F.col("e.ay")) * F.col("i") / 8
+    y = F.col("e.ay") + (F.col("e.by") - F.col("e.ay")) * F.col("i") / 8
     sx, sy = G.fisheye_to_source(x, y, F.col("k"), 1920.0, 1080.0)
     found = fit_lenses(p.select("camera", F.col("e.line").alias("line"), sx.alias("x"), sy.alias("y")), "camera", (1920.0, 1080.0))
     return found.select("camera", F.round("k", 3).alias("k"), (F.col("rms") < 1e-4).alias("straight"))

@@ -27,15 +27,29 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _own.setdefault(context.applicationId, tempfile.mkdtemp(prefix="atrium-"))
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="atrium-")
+    return _own[context.applicationId]
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and returns what was written."""
+    return written(df, name)[0]
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The same, with the table's place."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/atrium/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Deletes tables that nothing reads any more."""
+    for p in paths:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_file(spark: SparkSession, name: str, data: bytes) -> str:

@@ -60,8 +60,9 @@ def crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """run_id, frame_idx, t, track_id, role, x1, y1, x2, y2, conf: with some furniture and some reflections."""
     e = _events(spark, sf_dir).withColumn("frame_idx", F.expr("cast(i div 5 as int)"))
-    first = e.groupBy("run_id", "frame_idx", "user_id").agg(F.min("event_id").alias("event_id"))
-    e = e.join(first, ["run_id", "frame_idx", "user_id", "event_id"])
+    # A track's first event in a frame, with one shuffle.
+    first = F.min_by(F.struct("event_id", "track_id", "role", "k"), "event_id").alias("f")
+    e = e.groupBy("run_id", "frame_idx", "user_id").agg(first).select("run_id", "frame_idx", "user_id", "f.*")
     still = F.col("user_id") % 25 == 7
     b = e.select(
         "run_id",

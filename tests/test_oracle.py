@@ -18,10 +18,15 @@ def test_same_rows(spark, con, name):
     assert oracle.difference(spark, con, QUERIES[name], ORACLE_SQL[name], SF) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
-def test_runs(spark, name):
-    df = QUERIES[name](spark, SF)
-    assert df.columns and df.count() >= 0
+#: Held against plain Python in test_brute_force and test_memory.
+PLAIN = {
+    "b12_error_boxes", "e21_optimal_pairs", "e22_global_links", "e23_assigned_costs", "e24_global_over_groups", "g42_hota", "g42_mota", "h20_live_identities",
+    "k1_constrained_merge", "k7_face_veto", "k11_fused_graph", "k12_greedy_replay", "k13_topology_comparison", "k19_resolved_identities", "k20_dossiers", "n5_forgotten_identities",
+}
+
+
+def test_the_rest_is_compared_elsewhere():
+    assert set(QUERIES) - set(ORACLE_SQL) == PLAIN
 
 
 def test_entry(spark):

@@ -9,7 +9,7 @@ def test_mot_sets_bad_lines_aside(spark):
     lines = ["1,2,3,4,5,6,1", "", "# note", "1,2,x,4,5,6", "1,2,3,4,0,6,1", "3\t4\t1\t1\t2\t2", "1,2,3,4,5,6,0,-1,-1", "1,2,3,4,5,6,0", "1,2"]
     good, bad = R.mot(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert sorted((r["frame"], r["id"], r["w"]) for r in good.collect()) == [(1, 2, 5.0), (1, 2, 5.0), (3, 4, 2.0)]
-    assert sorted(r["line"] for r in bad.collect()) == ["1,2", "1,2,x,4,5,6"]
+    assert sorted(r["line"] for r in bad.collect()) == ["1,2", "1,2,3,4,0,6,1", "1,2,x,4,5,6"]  # a box without extent is bad as well
 
 
 def test_frame_log_keeps_empty_frames(spark):
