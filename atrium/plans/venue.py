@@ -390,3 +390,37 @@ def d15(spark, sf):
     h = F.when(F.pmod(F.crc32(F.concat_ws("-", "frame_idx", "track_id").cast("binary")), F.lit(5)) == 0, true * 1.6 + 40).otherwise(true)
     d = b.select("run_id", "frame_idx", "track_id", F.lit(0.0).alias("x1"), (h / 3).alias("x2"), (F.col("y2") - h).alias("y1"), "y2")
     return robust_planes(d, 1080.0).select("run_id", F.round("a", 3).alias("a"), F.round("b", 1).alias("b"))
+
+
+@query("d3_plane_choice", sql("SELECT camera, CASE WHEN camera % 4 = 3 THEN 'exact' WHEN a > 1e-6 THEN 'auto' ELSE 'none' END AS plane FROM pl", PLANES))
+def d3(spark, sf):
+    """A plane from measured points wins over one from heights; without either there is none."""
+    p = planes(spark, sf)
+    points = correspondences(spark, sf).where("camera % 4 = 3").select("camera").distinct().withColumn("exact", F.lit(True))
+    return p.join(points, "camera", "left").select("camera", F.when(F.col("exact"), "exact").when(F.col("a") > 1e-6, "auto").otherwise("none").alias("plane"))
+
+
+@query("p59_plane_findings", sql("SELECT camera, 'height' AS finding FROM pl WHERE a > 1e-6 AND 1.7 / a NOT BETWEEN 1.8 AND 7.0 UNION ALL SELECT camera, 'no plane' FROM pl WHERE a <= 1e-6 UNION ALL SELECT camera, 'flat' FROM pl WHERE a > 1e-6 AND a * 200 + b > 0 AND (a * 1080 + b) / (a * 200 + b) < 1.15", PLANES))
+def p59(spark, sf):
+    """Cameras whose plane is missing, puts them at an unlikely height, or hardly changes from top to bottom."""
+    a, b = F.col("a"), F.col("b")
+    ok, low = a > 1e-6, a * 200 + b
+    found = F.array(F.when(~ok, "no plane"), F.when(ok & ~(1.7 / F.when(ok, a)).between(1.8, 7.0), "height"), F.when(ok & (low > 0) & ((a * 1080 + b) / F.when(low != 0, low) < 1.15), "flat"))
+    return planes(spark, sf).select("camera", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("finding"))
+
+
+@query("d32_calibration_cosine", "SELECT a.vec_id, CASE WHEN a.vec_id % 7 = 0 OR a.vec_id % 11 = 0 THEN 0.0 ELSE round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 5) END AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 3")
+def d32(spark, sf):
+    """A missing or zero vector is like nothing: 0."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    n = F.col("vec_id")
+    own = F.when(n % 7 != 0, F.when(n % 11 == 0, F.transform("embedding", lambda v: v * 0)).otherwise(F.col("embedding")))
+    o = e.select((n - 3).alias("vec_id"), F.col("embedding").alias("other"))
+    return e.join(o, "vec_id").select("vec_id", F.round(G.cosine(own, F.col("other")), 5).alias("cosine"))
+
+
+@query("g66_disk_estimates", sql("SELECT run_id, count(*) AS rows, round(count(*) * 280 / 1e6, 6) AS rows_mb, round(count(DISTINCT frame_idx) * 0.311, 6) AS frames_mb FROM v_box GROUP BY run_id"))
+def g66(spark, sf):
+    """What a run's rows and proxy frames take."""
+    n = F.count("*")
+    return boxes(spark, sf).groupBy("run_id").agg(n.alias("rows"), F.round(n * 280 / 1e6, 6).alias("rows_mb"), F.round(F.count_distinct("frame_idx") * 0.311, 6).alias("frames_mb"))
