@@ -62,10 +62,9 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     decided = decided.where("doc_id is not null").select(F.col("doc_id").alias("key"), "component_id")
     decided = write_table(decided.join(rows.select("key", "row.doc_id"), "key"), "decided")
     first = decided.groupBy("component_id").agg(F.min(F.struct("doc_id", "key"))["key"].alias("first"))
-    # A group of copies may be large: whether a row stays is seen from its own group's row, without a join of groups.
-    stays = first.select(F.col("first").alias("key"))
-    out = rows.join(stays, "key", "left_semi").select("row.*")
-    return out.unionByName(rows.where("key is null").select("row.*"))
+    # Keys against keys, without a join of groups, of which one may be large; texts meet only the few that go.
+    gone = write_table(decided.select("key").join(first.select(F.col("first").alias("key")), "key", "left_anti"), "gone")
+    return rows.join(gone, "key", "left_anti").select("row.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
