@@ -1,3 +1,3 @@
 """The registered queries; importing any of these modules registers all."""
 
-from atrium.plans import answers, detections, events, frames, identity, ledgers, merging, quality, relational, reports, scenes, scoring, streams, venue  # noqa: F401
+from atrium.plans import answers, detections, events, frames, housekeeping, identity, ledgers, merging, quality, relational, reports, scenes, scoring, streams, venue  # noqa: F401

@@ -142,10 +142,31 @@ def g46(spark, sf):
     return maps.select("run_id", F.explode("m").alias("counter", "value"))
 
 
-@query("g45_ledger_compare", sql("SELECT line, direction, a.n AS before, b.n AS after FROM (SELECT line, direction, count(*) AS n FROM v_crossing WHERE run_id = 0 GROUP BY ALL) a FULL JOIN (SELECT line, direction, count(*) AS n FROM v_crossing WHERE run_id = 1 GROUP BY ALL) b USING (line, direction) WHERE a.n IS DISTINCT FROM b.n"))
+LEDGER = """ledger AS (SELECT run_id, line, direction, count(*) AS n FROM v_crossing GROUP BY ALL),
+moved AS (SELECT coalesce(a.run_id, b.run_id) AS run_id, line, direction, b.n AS before, a.n AS after FROM ledger a
+  FULL JOIN (SELECT run_id + 1 AS run_id, line, direction, n FROM ledger WHERE run_id + 1 IN (SELECT run_id FROM ledger)) b USING (run_id, line, direction) WHERE a.n IS DISTINCT FROM b.n)"""
+
+
+def _moved(spark, sf):
+    """Counters that moved, appeared or vanished between each run and the one before it; all of a first run's appear."""
+    now = crossings(spark, sf).groupBy("run_id", "line", "direction").agg(F.count("*").alias("after"))
+    was = now.select((F.col("run_id") + 1).alias("run_id"), "line", "direction", F.col("after").alias("before"))
+    was = was.join(now.select("run_id").distinct(), "run_id", "left_semi")
+    both = was.join(now, ["run_id", "line", "direction"], "full")
+    return both.where(~F.col("before").eqNullSafe(F.col("after"))).select("run_id", "line", "direction", "before", "after")
+
+
+@query("g45_ledger_compare", sql("SELECT run_id, line, direction, before, after FROM moved", LEDGER))
 def g45(spark, sf):
-    n = lambda run, name: crossings(spark, sf).where(F.col("run_id") == run).groupBy("line", "direction").agg(F.count("*").alias(name))
-    return n(0, "before").join(n(1, "after"), ["line", "direction"], "full").where(~F.col("before").eqNullSafe(F.col("after")))
+    return _moved(spark, sf)
+
+
+@query("p62_ledger_flags", sql("SELECT run_id, line, direction, before, coalesce(after, 0) AS after, CASE WHEN after IS NULL THEN 'ERROR: stopped being recorded' WHEN before IS NULL THEN 'new' WHEN after < before THEN 'less' ELSE 'more' END AS flag FROM moved", LEDGER))
+def p62(spark, sf):
+    """The same with what each change means. A counter of a run's ledger that no later run has is an error."""
+    gone, fresh = F.col("after").isNull(), F.col("before").isNull()
+    flag = F.when(gone, "ERROR: stopped being recorded").when(fresh, "new").when(F.col("after") < F.col("before"), "less").otherwise("more")
+    return _moved(spark, sf).select("run_id", "line", "direction", "before", F.coalesce("after", F.lit(0)).alias("after"), flag.alias("flag"))
 
 
 @query("g49_funnel", sql("SELECT run_id, count(*) AS n_in, count(*) FILTER (conf >= 0.35) AS confident, count(*) FILTER (conf >= 0.35 AND y2 - y1 >= 110) AS tall, round(1 - count(*) FILTER (conf >= 0.35 AND y2 - y1 >= 110) / count(*), 5) AS dropped, CASE WHEN count(*) FILTER (conf >= 0.35 AND y2 - y1 >= 110) < 0.75 * count(*) THEN 'WARN' ELSE 'OK' END AS finding FROM v_box GROUP BY run_id"))
