@@ -14,6 +14,7 @@ from atrium.llm.embedding_dedup import near_vectors
 from atrium.llm.language_id import language_id
 from atrium.llm.minhash_dedup import near_duplicates
 from atrium.llm.phrase_fingerprints import compared
+from atrium.llm.ppm_scoring import scored
 from atrium.llm.quality_classifier import quality
 from atrium.llm.slot_sharding import sharded
 from atrium.llm.tool_calls import CHAT_TOOLS, from_conversations, linked
@@ -88,6 +89,10 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("errors", F.array_join("errors", "; "))
 
 
+def op11_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_sharding": op1_slot_sharding,
     "op2_quality_weak_labels": op2_quality_weak_labels,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_transducer": op8_bpe_transducer,
     "op9_url_rules": op9_url_rules,
     "op10_tool_calls": op10_tool_calls,
+    "op11_ppm_scores": op11_ppm_scores,
 }
 
 #: Classifier, language model, signatures, tokenizers and 64-bit hashes have no SQL form: tests hold those against plain Python.
