@@ -14,13 +14,18 @@ The trie is a set of tables, one for each depth: grams (a context and the byte
 after it, as a number) with their counts in training. A suffix link is a gram
 without its first byte, hence a join; a key of those joins and groups has at
 most 252 rows, whatever the corpus. Texts meet the trie in chunks of bounded
-size: of each chunk its distinct grams and words are shuffled, and their scores
-come back to it, so a gram costs one row a chunk however often it occurs there.
+size. A chunk's distinct grams and words, in order, are cut at the ends of the
+sorted tables' blocks and travel to them packed; their scores come back packed
+in the same order. So a gram costs two or three bytes a chunk however often it
+occurs there, no task holds more than one block and one request, and nothing
+is broadcast but the blocks' first entries.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,13 +39,13 @@ from atrium.scratch import settings, write_table, written
 
 #: Bytes of context, 5 at most.
 ORDER = 5
-#: Bytes of text and pieces of documents in a chunk.
-CHUNK, PIECES = 8_000_000, 1 << 16
+#: Bytes of text and pieces of documents in a chunk, and entries of a table in a block.
+CHUNK, PIECES, BLOCK = 8_000_000, 1 << 16, 1 << 16
 #: Bytes that a normalised text may hold: all but the separators other than space and line feed.
 ALPHABET = 256 - 4
 _SEPARATORS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
-_TEXT, _GRAM, _WORD = 0, 1, 2
-_GATHERED = "chunk long, kind int, pos int, gram long, n long, word binary, data binary, sizes array<int>, keys array<long>, trained array<boolean>"
+_CHUNKS = "chunk long, data binary, sizes array<int>, keys array<long>, docs array<long>, held array<boolean>, grams binary, gram_counts binary, words binary, word_counts binary"
+_GRAM, _WORD = 0, 1
 
 
 def segments(raw: bytes, size: int = CHUNK) -> Iterator[bytes]:
@@ -71,27 +76,58 @@ def tokens(piece: bytes) -> list[bytes]:
     return piece.split() + ([b""] if piece.endswith(b"\n") else [])
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers in few bytes; sorted ones are stored by their steps."""
+    return zlib.compress(values.tobytes(), 1)
+
+
+def steps(values: np.ndarray) -> bytes:
+    return packed(np.diff(values, prepend=np.int64(0)))
+
+
+def _unpacked(data: bytes, kind: type = np.int64) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), kind)
+
+
+def _unstepped(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data))
+
+
+def _joined(words: list[bytes]) -> bytes:
+    """No word holds a line feed."""
+    return zlib.compress(b"\n".join(words), 1)
+
+
+def _split(data: bytes) -> list[bytes]:
+    return zlib.decompress(data).split(b"\n")
+
+
 class Chunk:
-    """Pieces of documents with the bytes before each; all methods are deterministic, so that places in their lists hold across tasks."""
+    """Pieces of documents with the bytes before each."""
 
     def __init__(self, order: int):
         self.order, self.bytes = order, 0
         self.pieces: list[bytes] = []
         self.heads: list[bytes] = []
         self.keys: list[int] = []
-        self.trained: list[bool] = []
+        self.docs: list[int | None] = []
+        self.held: list[bool] = []
 
-    def add(self, key: int, trained: bool, head: bytes, piece: bytes) -> None:
+    def add(self, key: int, doc: int | None, held: bool, head: bytes, piece: bytes) -> None:
         self.keys.append(key)
-        self.trained.append(trained)
+        self.docs.append(doc)
+        self.held.append(held)
         self.heads.append(head)
         self.pieces.append(piece)
         self.bytes += len(piece)
 
+    def _stream(self) -> bytes:
+        return b"".join(x for pair in zip(self.heads, self.pieces, strict=True) for x in pair)
+
     def grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The distinct grams in order, where each begins in the third, and the piece of each occurrence."""
         sizes = np.array([len(p) for p in self.pieces])
-        a = np.frombuffer(b"".join(x for pair in zip(self.heads, self.pieces, strict=True) for x in pair), np.uint8)
+        a = np.frombuffer(self._stream(), np.uint8)
         n = len(a) - self.order
         code = a[:n].astype(np.uint64)
         for j in range(1, self.order + 1):
@@ -107,85 +143,140 @@ class Chunk:
         code = code[keep]
         code |= np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
         code.sort()
-        piece = (code & np.uint64(0xFFFF)).astype(np.int64)
+        piece = (code & np.uint64(0xFFFF)).astype(np.uint16)
         code >>= np.uint64(16)
         first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
         return code[first].astype(np.int64), first, piece
 
-    def rows(self, number: int) -> Iterator[pd.DataFrame]:
+    def row(self, number: int) -> pd.DataFrame:
         """The chunk's text, and its distinct grams and words with their counts in training."""
         grams, first, piece = self.grams()
-        n = np.add.reduceat(np.array(self.trained, np.int64)[piece], first)
-        del piece
-        for s in range(0, len(grams), 200_000):
-            part = slice(s, s + 200_000)
-            yield _frame(number, _GRAM, pos=np.arange(s, s + len(grams[part])), gram=grams[part], n=n[part])
-        seen: dict[bytes, None] = {}
+        n = np.add.reduceat(~np.array(self.held)[piece], first, dtype=np.int64)
+        del piece, first
         counts: Counter[bytes] = Counter()
-        for p, trained in zip(self.pieces, self.trained, strict=True):
-            found = tokens(p)
-            seen.update(dict.fromkeys(found))
-            if trained:
-                counts.update(found)
-        words = list(seen)
-        for s in range(0, len(words), 200_000):
-            part = words[s : s + 200_000]
-            yield _frame(number, _WORD, pos=np.arange(s, s + len(part)), word=part, n=[counts[w] for w in part])
-        data = b"".join(x for pair in zip(self.heads, self.pieces, strict=True) for x in pair)
-        yield _frame(number, _TEXT, data=[data], sizes=[[len(p) for p in self.pieces]], keys=[self.keys], trained=[self.trained])
+        others: set[bytes] = set()
+        for p, held in zip(self.pieces, self.held, strict=True):
+            (others if held else counts).update(tokens(p))
+        words = sorted(others.union(counts))
+        docs = pd.Series([self.docs], dtype=object)
+        return pd.DataFrame(
+            {"chunk": [number], "data": [zlib.compress(self._stream(), 1)], "sizes": [[len(p) for p in self.pieces]], "keys": [self.keys], "docs": docs, "held": [self.held]}
+            | {"grams": [steps(grams)], "gram_counts": [packed(n)], "words": [_joined(words)], "word_counts": [packed(np.array([counts[w] for w in words]))]}
+        )
 
     @classmethod
     def read(cls, order: int, row: pd.Series) -> Chunk:
-        out, at, data = cls(order), 0, bytes(row["data"])
-        for size, key, trained in zip(row["sizes"], row["keys"], row["trained"], strict=True):
-            out.add(int(key), bool(trained), data[at : at + order], data[at + order : at + order + size])
+        out, at, data = cls(order), 0, zlib.decompress(row["data"])
+        for size, key, doc, held in zip(row["sizes"], row["keys"], row["docs"], row["held"], strict=True):
+            out.add(int(key), None if pd.isna(doc) else int(doc), bool(held), data[at : at + order], data[at + order : at + order + size])
             at += order + int(size)
         return out
 
-    def totals(self, scores: np.ndarray, counts: np.ndarray, log_total: float) -> pd.DataFrame:
+    def totals(self, scores: np.ndarray, words: list[bytes], counts: np.ndarray, log_total: float) -> pd.DataFrame:
         """For each piece its tokens, known tokens, and both scores, of its grams' scores and its words' counts."""
         _, first, piece = self.grams()
         many = np.diff(np.append(first, len(piece)))
         score = np.bincount(piece, np.repeat(scores, many), len(self.pieces))
-        index: dict[bytes, int] = {}
-        owner, ids = [], []
+        del piece, first, many
+        index = dict(zip(words, range(len(words)), strict=True))
+        logs = np.log10(counts + 1.0) - log_total
+        out = []
         for p in self.pieces:
             found = tokens(p)
-            for w in found:
-                index.setdefault(w, len(index))
-            ids.append(np.fromiter(map(index.__getitem__, found), np.int64, len(found)))
-            owner.append(len(found))
-        word, at = np.concatenate(ids), np.repeat(np.arange(len(owner)), owner)
-        base = np.bincount(at, (np.log10(counts + 1.0) - log_total)[word], len(owner))
-        known = np.bincount(at, (counts > 0)[word], len(owner)).astype(np.int64)
-        return pd.DataFrame({"key": self.keys, "n_tokens": owner, "n_known": known, "base_score": base, "score": score})
-
-
-def _frame(number: int, kind: int, **columns: object) -> pd.DataFrame:
-    size = len(next(iter(columns.values())))
-    empty = {c.split()[0]: [None] * size for c in _GATHERED.split(", ")}
-    return pd.DataFrame(empty | {"chunk": [number] * size, "kind": [kind] * size} | columns)
+            at = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
+            out.append((len(found), int((counts[at] > 0).sum()), float(logs[at].sum())))
+        n_tokens, n_known, base = zip(*out, strict=True)
+        docs = pd.Series(self.docs, dtype="Int64")
+        return pd.DataFrame({"key": self.keys, "doc_id": docs, "held_out": self.held, "n_tokens": n_tokens, "n_known": n_known, "base_score": base, "score": score})
 
 
 def _gather(order: int, size: int):
     def gathered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        partition, number = TaskContext.get().partitionId() << 32, 0
-        chunk = Chunk(order)
+        partition = TaskContext.get().partitionId() << 33
+        chunk, number, key = Chunk(order), partition, partition
         for pdf in frames:
-            for key, text, trained in zip(pdf["key"], pdf["text"], pdf["trained"], strict=True):
+            for doc, text, held in zip(pdf["doc_id"], pdf["text"], pdf["held_out"], strict=True):
                 head = b"\n" * order
                 for piece in normalised(text, size):
                     if chunk.pieces and (chunk.bytes + len(piece) > size or len(chunk.pieces) == PIECES):
-                        yield from chunk.rows(partition | number)
+                        yield chunk.row(number)
                         number, chunk = number + 1, Chunk(order)
-                    chunk.add(key, trained, head, piece)
+                    chunk.add(key, None if pd.isna(doc) else int(doc), held, head, piece)
                     head = (head + piece)[-order:]
+                key += 1
         if chunk.pieces:
-            yield from chunk.rows(partition | number)
+            yield chunk.row(number)
 
     return gathered
 
 
+def _gram_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in frames:
+        for grams, n in zip(pdf["grams"], pdf["gram_counts"], strict=True):
+            yield pd.DataFrame({"gram": _unstepped(grams), "n": _unpacked(n)})
+
+
+def _word_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in frames:
+        for words, n in zip(pdf["words"], pdf["word_counts"], strict=True):
+            yield pd.DataFrame({"word": _split(words), "n": _unpacked(n)})
+
+
+def _blocked(kind: int):
+    """Sorted rows (key, value) of a partition as blocks."""
+
+    def blocked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            keys = pdf.iloc[:, 0]
+            for s in range(0, len(pdf), BLOCK):
+                part, values = keys.iloc[s : s + BLOCK], pdf.iloc[s : s + BLOCK, 1].to_numpy()
+                if kind == _GRAM:
+                    yield pd.DataFrame({"first": [int(part.iloc[0]).to_bytes(8, "big")], "asked": [steps(part.to_numpy())], "told": [packed(values)]})
+                else:
+                    words = [bytes(w) for w in part]
+                    yield pd.DataFrame({"first": [words[0]], "asked": [_joined(words)], "told": [packed(values)]})
+
+    return blocked
+
+
+def _requests(firsts: dict[int, list[bytes]]):
+    """Cuts each chunk's grams and words at the blocks' first entries."""
+    grams = np.array([int.from_bytes(f, "big") for f in firsts[_GRAM]], np.int64)
+
+    def requests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for chunk, g, w in zip(pdf["chunk"], pdf["grams"], pdf["words"], strict=True):
+                out = []
+                own = _unstepped(g)
+                cuts = [*np.searchsorted(own, grams), len(own)]
+                out += [(_GRAM, i, steps(own[a:b])) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+                words = _split(w)
+                cuts = [*(bisect_left(words, f) for f in firsts[_WORD]), len(words)]
+                out += [(_WORD, i, _joined(words[a:b])) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if a < b]
+                kind, block, asked = zip(*out, strict=True)
+                yield pd.DataFrame({"kind": kind, "block": block, "chunk": chunk, "asked": asked, "told": None})
+
+    return requests
+
+
+def _answers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by kind, block and chunk; the block itself, with chunk -1, comes first."""
+    keys, values = None, np.zeros(0)
+    for pdf in frames:
+        told = []
+        for kind, chunk, asked, told_here in zip(pdf["kind"], pdf["chunk"], pdf["asked"], pdf["told"], strict=True):
+            if chunk < 0:
+                keys = _unstepped(asked) if kind == _GRAM else {w: i for i, w in enumerate(_split(asked))}
+                values = _unpacked(told_here, np.float64 if kind == _GRAM else np.int64)
+                told.append(None)
+            elif kind == _GRAM:
+                told.append(zlib.compress(values[np.searchsorted(keys, _unstepped(asked))].astype(np.float32).tobytes(), 1))
+            else:
+                told.append(packed(values[[keys[w] for w in _split(asked)]]))
+        pdf = pdf.assign(told=told)[pdf["chunk"] >= 0]
+        yield pdf[["chunk", "kind", "block", "told"]]
+
+
 def trie_scores(grams: DataFrame, order: int = ORDER) -> DataFrame:
     """log10 of the probability of each gram's last byte after the bytes before it: gram, score.
 
@@ -245,31 +336,40 @@ def scored(docs: DataFrame, order: int = ORDER, chunk: int = CHUNK) -> DataFrame
     if not 1 <= order <= 5:
         raise ValueError("order must be 1 to 5")
     spark = docs.sparkSession
-    rows = write_table(docs.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text", (~held_out("doc_id")).alias("trained")), "lm-rows")
-    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=1000):
-        gathered, path = written(rows.select("key", "text", "trained").mapInPandas(_gather(order, chunk), _GATHERED), "lm-chunks")
-    grams = gathered.where(F.col("kind") == _GRAM)
-    words = gathered.where(F.col("kind") == _WORD)
-    scores = trie_scores(write_table(grams.groupBy("gram").agg(F.sum("n").alias("n")), "lm-grams"), order)
-    counts = write_table(words.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
-    train_tokens, kinds = counts.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out("doc_id").alias("held_out"))
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=500, spark__sql__parquet__compression__codec="zstd"):
+        chunks, path = written(rows.mapInPandas(_gather(order, chunk), _CHUNKS), "lm-chunks")
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=1):
+        grams = chunks.select("grams", "gram_counts").mapInPandas(_gram_rows, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        words = chunks.select("words", "word_counts").mapInPandas(_word_rows, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+        grams, words = write_table(grams, "lm-grams"), write_table(words, "lm-words")
+    train_tokens, kinds = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_total = math.log10(train_tokens + kinds + 1)
-    back = grams.join(scores, "gram").select("chunk", "kind", "pos", F.col("score").alias("value"))
-    back = back.unionByName(words.join(counts, "word").select("chunk", "kind", "pos", F.col("c").cast("double").alias("value")))
-
-    def total(text: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
-        kind, pos, value = (values[c].to_numpy() for c in ("kind", "pos", "value"))
-        of: list[np.ndarray] = []
-        for k in (_GRAM, _WORD):
-            mine = kind == k
-            of.append(np.zeros(int(mine.sum())))
-            of[-1][pos[mine]] = value[mine]
-        return Chunk.read(order, text.iloc[0]).totals(of[0], of[1], log_total)
+
+    blocks, firsts = None, {}
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=BLOCK):
+        for kind, table, key in ((_GRAM, trie_scores(grams, order), "gram"), (_WORD, words, "word")):
+            size = max(1, -(-table.count() // BLOCK))
+            cut = table.repartitionByRange(size, key).sortWithinPartitions(key).mapInPandas(_blocked(kind), "first binary, asked binary, told binary")
+            cut = write_table(cut, "lm-blocks")
+            firsts[kind] = sorted(bytes(r["first"]) for r in cut.select("first").collect())
+            number = spark.createDataFrame(list(zip(firsts[kind], range(len(firsts[kind])), strict=True)), "first binary, block int")
+            cut = cut.join(number, "first").select(F.lit(kind).alias("kind"), "block", F.lit(-1).cast("long").alias("chunk"), "asked", "told")
+            blocks = cut if blocks is None else blocks.unionByName(cut)
+
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=4):
+        asked = chunks.select("chunk", "grams", "words").mapInPandas(_requests(firsts), "kind int, block int, chunk long, asked binary, told binary")
+        asked = blocks.unionByName(asked).repartition("kind", "block").sortWithinPartitions("kind", "block", "chunk")
+        told = write_table(asked.mapInPandas(_answers, "chunk long, kind int, block int, told binary"), "lm-told")
+
+    def total(text: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row, answers = text.iloc[0], answers.sort_values("block")
+        gram, word = ([_unpacked(t, kind) for t in answers["told"][answers["kind"] == k]] for k, kind in ((_GRAM, np.float32), (_WORD, np.int64)))
+        return Chunk.read(order, row).totals(np.concatenate(gram), _split(row["words"]), np.concatenate(word), log_total)
 
     # Read again, else the two sides of the cogroup share their columns.
-    texts = spark.read.schema(gathered.schema).parquet(path).where(F.col("kind") == _TEXT).select("chunk", "data", "sizes", "keys", "trained")
-    schema = "key long, n_tokens long, n_known long, base_score double, score double"
-    pieces = texts.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInPandas(total, schema)
-    sums = pieces.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
-    out = rows.select("key", "doc_id", (~F.col("trained")).alias("held_out")).join(sums, "key")
-    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    texts = spark.read.schema(chunks.schema).parquet(path).select("chunk", "data", "sizes", "keys", "docs", "held", "words")
+    schema = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    pieces = texts.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInPandas(total, schema)
+    sums = pieces.groupBy("key").agg(*[F.first(c).alias(c) for c in ("doc_id", "held_out")], *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+    return sums.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

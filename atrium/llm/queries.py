@@ -19,6 +19,7 @@ from atrium.llm.quality_classifier import quality
 from atrium.llm.slot_sharding import sharded
 from atrium.llm.tool_calls import CHAT_TOOLS, from_conversations, linked
 from atrium.llm.url_rules import judged
+from atrium.llm.whitening import whitened
 
 
 #: In the conversations' own adapter each system or user message is a call and depends on the one two turns before, if that is one.
@@ -93,6 +94,10 @@ def op11_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(_table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_sharding": op1_slot_sharding,
     "op2_quality_weak_labels": op2_quality_weak_labels,
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_rules": op9_url_rules,
     "op10_tool_calls": op10_tool_calls,
     "op11_ppm_scores": op11_ppm_scores,
+    "op12_whitening": op12_whitening,
 }
 
 #: Classifier, language model, signatures, tokenizers and 64-bit hashes have no SQL form: tests hold those against plain Python.
