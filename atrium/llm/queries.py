@@ -17,6 +17,7 @@ from atrium.llm.phrase_fingerprints import compared
 from atrium.llm.ppm_scoring import scored
 from atrium.llm.quality_classifier import quality
 from atrium.llm.slot_sharding import sharded
+from atrium.llm.source_divergence import divergences
 from atrium.llm.tool_calls import CHAT_TOOLS, from_conversations, linked
 from atrium.llm.url_rules import judged
 from atrium.llm.whitening import whitened
@@ -45,6 +46,24 @@ SELECT conv_id, turn, role, kind, call_id, status, depth,
 """
 
 
+#: Every kept term meets every source of its language.
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*) AS kinds, sum(n) AS total FROM k GROUP BY ALL),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN k ON k.lang = w.lang AND k.term = w.term GROUP BY ALL),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+g AS (SELECT d.lang, d.source, coalesce(any_value(v.kinds), 0) AS kinds, coalesce(any_value(s.total), 0) AS total, coalesce(any_value(v.total), 0) AS lang_total FROM d LEFT JOIN v ON v.lang = d.lang LEFT JOIN s ON s.lang = d.lang AND s.source = d.source GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT) // (g.total + g.kinds) AS p, 1 + (1000000000 * (k.n + 1)::HUGEINT) // (g.lang_total + g.kinds) AS q
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0)::BIGINT AS value FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM every) WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -98,6 +117,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergences(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slot_sharding": op1_slot_sharding,
     "op2_quality_weak_labels": op2_quality_weak_labels,
@@ -111,7 +134,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tool_calls": op10_tool_calls,
     "op11_ppm_scores": op11_ppm_scores,
     "op12_whitening": op12_whitening,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 #: Classifier, language model, signatures, tokenizers and 64-bit hashes have no SQL form: tests hold those against plain Python.
-ORACLE_SQL: dict[str, str] = {"op10_tool_calls": CALLS_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_tool_calls": CALLS_SQL, "op13_source_divergence": DIVERGENCE_SQL}
