@@ -103,12 +103,24 @@ def p2(spark, sf):
 # Live identities.
 
 
-def detections(spark, sf):
+def detections(spark, sf, gap=60.0):
     from atrium.operators.memory import detections_of
 
     e = table(spark, sf, "embeddings")
     v = e.select(F.col("vec_id").cast("string").alias("track_id"), F.col("embedding").alias("vec"))
-    return detections_of(boxes(spark, sf), v)
+    return detections_of(boxes(spark, sf), v, gap)
+
+
+def traded(spark, sf):
+    """Tracks in pairs that walk together and overlap for four seconds of every eight, after each of which a tracker trades their ids:
+    what they look like changes places. A raw id ends at a pause of 0.8 seconds."""
+    d = detections(spark, sf, gap=0.8).withColumn("number", F.substring_index("raw", "#", 1).try_cast("int")).where("number is not null")
+    other = F.when(F.col("number") % 2 == 0, F.col("number") + 1).otherwise(F.col("number") - 1)
+    life = F.substring_index("raw", "#", -1)
+    beside = d.withColumn("number", other).withColumn("x", F.col("x") + 30).withColumn("raw", F.concat_ws("#", F.col("number").cast("string"), life, F.lit("b")))
+    d = d.unionByName(beside).withColumn("frozen", F.floor(F.col("t") / 4) % 2 == 1)
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").cast("int").alias("shown"), F.col("embedding").alias("vec"))
+    return d.drop("vec").withColumn("shown", F.when(F.floor(F.col("t") / 8) % 2 == 1, other).otherwise(F.col("number"))).join(e, "shown", "left").drop("shown", "number")
 
 
 @query("h20_live_identities")
@@ -116,7 +128,24 @@ def h20(spark, sf):
     """Identities of raw ids as a camera would give them, frame by frame; a stream and plain Python give the same in tests."""
     from atrium.operators.memory import live_identities
 
-    return live_identities(detections(spark, sf))
+    return live_identities(detections(spark, sf)).select("run_id", "t", "raw", "canon")
+
+
+@query("h22_undone_swaps")
+def h22(spark, sf):
+    """Tracks that traded ids while they overlapped, and trade them back when they are free."""
+    from atrium.operators.memory import live_identities
+
+    return live_identities(traded(spark, sf)).where("swapped is not null").select("run_id", "t", "raw", "canon", "swapped")
+
+
+@query("h23_remembered_crops")
+def h23(spark, sf):
+    """For each identity how often its appearance was taken from a better crop, and how often only its place."""
+    from atrium.operators.memory import live_identities
+
+    g = live_identities(detections(spark, sf)).groupBy("run_id", "canon")
+    return g.agg(F.count_if("crop").alias("crops"), F.count_if(~F.col("crop")).alias("places"), F.max_by("raw", F.struct("t", "raw")).alias("last_raw"))
 
 
 @query("n5_forgotten_identities")
