@@ -113,8 +113,8 @@ def detections(spark, sf, gap=60.0):
 
 def traded(spark, sf):
     """Tracks in pairs that walk together and overlap for four seconds of every eight, after each of which a tracker trades their ids:
-    what they look like changes places. A raw id ends at a pause of 0.8 seconds."""
-    d = detections(spark, sf, gap=0.8).withColumn("number", F.substring_index("raw", "#", 1).try_cast("int")).where("number is not null")
+    what they look like changes places. A raw id ends at a pause of six seconds."""
+    d = detections(spark, sf, gap=6.0).withColumn("number", F.substring_index("raw", "#", 1).try_cast("int")).where("number is not null")
     other = F.when(F.col("number") % 2 == 0, F.col("number") + 1).otherwise(F.col("number") - 1)
     life = F.substring_index("raw", "#", -1)
     beside = d.withColumn("number", other).withColumn("x", F.col("x") + 30).withColumn("raw", F.concat_ws("#", F.col("number").cast("string"), life, F.lit("b")))

@@ -141,7 +141,11 @@ def test_untouched_identities_are_not_read():
     assert Counted.reads < 5
 
 
-@pytest.mark.parametrize("view", [detections, traded])
+def reborn(spark, sf):
+    return detections(spark, sf, gap=0.8)
+
+
+@pytest.mark.parametrize("view", [reborn, traded])
 def test_whole_table_is_the_plain_version(spark, view):
     d = view(spark, "/root/testdata/sf0.001").persist()
     rows = [tuple(r) for r in d.select("run_id", "t", "raw", "x", "y", "score", "frozen", "vec").collect()]
@@ -151,8 +155,7 @@ def test_whole_table_is_the_plain_version(spark, view):
         assert got == sorted(plain(rows, ttl), key=repr)
         how |= {r[4] for r in got}
     assert how >= {"known", "new", "frozen"} and len(got) > 100
-    if view is traded:
-        assert "matched" in how and any(r[6] for r in got)
+    assert "matched" in how if view is reborn else any(r[6] for r in got)
 
 
 def test_stream_is_the_batch(spark, tmp_path):
