@@ -35,12 +35,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from atrium.scratch import settings, write_table, written
+from atrium.scratch import delete, settings, write_table, written
 
 #: Bytes of context, 5 at most.
 ORDER = 5
 #: Bytes of text and pieces of documents in a chunk, and entries of a table in a block.
-CHUNK, PIECES, BLOCK = 8_000_000, 1 << 16, 1 << 16
+CHUNK, PIECES, BLOCK = 5_000_000, 1 << 16, 1 << 16
 #: Bytes that a normalised text may hold: all but the separators other than space and line feed.
 ALPHABET = 256 - 4
 _SEPARATORS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
@@ -141,7 +141,8 @@ class Chunk:
             at = begin[1:] - j
             keep[at[at >= 0]] = False
         code = code[keep]
-        code |= np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+        del keep
+        np.bitwise_or(code, np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes), out=code)
         code.sort()
         piece = (code & np.uint64(0xFFFF)).astype(np.uint16)
         code >>= np.uint64(16)
@@ -277,12 +278,19 @@ def _answers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf[["chunk", "kind", "block", "told"]]
 
 
-def trie_scores(grams: DataFrame, order: int = ORDER) -> DataFrame:
-    """log10 of the probability of each gram's last byte after the bytes before it: gram, score.
+def trie_scores(grams: DataFrame, order: int = ORDER) -> tuple[DataFrame, list[str]]:
+    """log10 of the probability of each gram's last byte after the bytes before it: gram, score. Then the places of its tables.
 
     grams has distinct grams of order + 1 bytes and n, their counts in
     training, 0 for those that only want a score.
     """
+    places: list[str] = []
+
+    def write_table(df: DataFrame, name: str) -> DataFrame:
+        df, place = written(df, name)
+        places.append(place)
+        return df
+
     depths = [grams.select("gram", "n")]
     for k in range(order, 0, -1):
         depths.append(write_table(depths[-1].groupBy((F.col("gram") % 256**k).alias("gram")).agg(F.sum("n").alias("n")), f"depth{k - 1}"))
@@ -313,8 +321,8 @@ def trie_scores(grams: DataFrame, order: int = ORDER) -> DataFrame:
         rows = rows.withColumn("score", F.when(F.col("total").isNull(), F.col("lower_score")).when(seen, share("n", "total")).otherwise(escape("kinds", "total") + F.col("below")))
         # A context that training has not seen passes on what its suffix says.
         rows = rows.withColumn("below", F.when(F.col("total").isNull(), F.col("lower_below")).otherwise(F.col("below")))
-        level = write_table(rows.select("gram", "n", "below", "score"), f"level{k}")
-    return level.select("gram", "score")
+        level = rows.select("gram", "score") if k == order else write_table(rows.select("gram", "n", "below", "score"), f"level{k}")
+    return write_table(level, f"level{order}"), places
 
 
 def held_out(doc_id: Column | str) -> Column:
@@ -348,7 +356,8 @@ def scored(docs: DataFrame, order: int = ORDER, chunk: int = CHUNK) -> DataFrame
 
     blocks, firsts = None, {}
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=BLOCK):
-        for kind, table, key in ((_GRAM, trie_scores(grams, order), "gram"), (_WORD, words, "word")):
+        scores, places = trie_scores(grams, order)
+        for kind, table, key in ((_GRAM, scores, "gram"), (_WORD, words, "word")):
             size = max(1, -(-table.count() // BLOCK))
             cut = table.repartitionByRange(size, key).sortWithinPartitions(key).mapInPandas(_blocked(kind), "first binary, asked binary, told binary")
             cut = write_table(cut, "lm-blocks")
@@ -356,6 +365,7 @@ def scored(docs: DataFrame, order: int = ORDER, chunk: int = CHUNK) -> DataFrame
             number = spark.createDataFrame(list(zip(firsts[kind], range(len(firsts[kind])), strict=True)), "first binary, block int")
             cut = cut.join(number, "first").select(F.lit(kind).alias("kind"), "block", F.lit(-1).cast("long").alias("chunk"), "asked", "told")
             blocks = cut if blocks is None else blocks.unionByName(cut)
+    delete(spark, *places)
 
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=4):
         asked = chunks.select("chunk", "grams", "words").mapInPandas(_requests(firsts), "kind int, block int, chunk long, asked binary, told binary")
