@@ -89,15 +89,17 @@ def fit_lenses(points: DataFrame, key: str, size: tuple[float, float], bounds: t
 def robust_planes(boxes: DataFrame, height: float, tolerance: float = 25.0, rounds: int = 200, most: int = 20_000) -> DataFrame:
     """Per run the line height = a * foot row + b that most person-shaped boxes agree with, and their number.
 
-    200 trials of two boxes each from a fixed seed; the first of the best is
-    refitted to its inliers. The trials need the run's boxes in one place, so a
+    200 trials (five times the boxes, if these are fewer) of two boxes each from
+    a fixed seed; two whose rows differ by less than ten pixels say nothing, and
+    height must grow downwards. The first of the best lines is the result. The
+    trials need the run's boxes in one place, so a
     run of more than `most` distinct rows and heights in pixels is read as
     counts of these: the fit's data are at most the frame's rows times heights,
     however long the run is.
     """
     shape = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
     d = boxes.where(shape.between(2.0, 4.8) & (F.col("y2") > 0.15 * height))
-    fine, coarse = F.round(F.col("y2"), 2), F.round(F.col("y2") - F.col("y1"), 2)
+    fine, coarse = F.round(F.col("y2"), 3), F.round(F.col("y2") - F.col("y1"), 3)
     d = d.groupBy("run_id", fine.alias("y"), coarse.alias("h")).agg(F.count("*").alias("n"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -105,24 +107,19 @@ def robust_planes(boxes: DataFrame, height: float, tolerance: float = 25.0, roun
         y, h, n = (pdf[c].to_numpy(float) for c in ("y", "h", "n"))
         if n.sum() < 10:
             return pd.DataFrame({"run_id": [], "a": [], "b": [], "inliers": []}).astype({"run_id": "int32", "inliers": "int64"})
-        draw = np.random.RandomState(42)
-        best, least = None, 0.0
-        for _ in range(rounds):
-            i, j = draw.choice(len(y), 2, replace=False) if len(y) > 1 else (0, 0)
-            if abs(y[i] - y[j]) < 1e-6:
+        # Detections are drawn, not distinct sizes: a size that many boxes have is drawn as often.
+        draw, last = np.random.RandomState(42), np.cumsum(n)
+        best, most = None, 0.0
+        for _ in range(int(min(rounds, 5 * last[-1]))):
+            i, j = np.searchsorted(last, draw.randint(0, int(last[-1]), 2), "right")
+            if abs(y[i] - y[j]) < 10:
                 continue
             a = (h[i] - h[j]) / (y[i] - y[j])
-            near = np.abs(a * y + h[i] - a * y[i] - h) < tolerance
-            if (n * near).sum() > least:
-                best, least = near, (n * near).sum()
+            inliers = (n * (np.abs(a * (y - y[i]) + h[i] - h) < tolerance)).sum()
+            if a > 1e-6 and inliers > most:
+                best, most = (a, h[i] - a * y[i]), inliers
         if best is None:
             return pd.DataFrame({"run_id": [], "a": [], "b": [], "inliers": []}).astype({"run_id": "int32", "inliers": "int64"})
-        # Twice more on what fits closely, so that near outliers don't tilt the line.
-        for close in (tolerance, tolerance / 5, tolerance / 25):
-            a, b = np.polyfit(y[best], h[best], 1, w=np.sqrt(n[best]))
-            nearer = np.abs(a * y + b - h) < close
-            best = nearer if (n * nearer).sum() >= least / 2 else best
-        a, b = np.polyfit(y[best], h[best], 1, w=np.sqrt(n[best]))
-        return pd.DataFrame({"run_id": [pdf["run_id"].iloc[0]], "a": [a], "b": [b], "inliers": [int((n * best).sum())]})
+        return pd.DataFrame({"run_id": [pdf["run_id"].iloc[0]], "a": [best[0]], "b": [best[1]], "inliers": [int(most)]})
 
     return d.groupBy("run_id").applyInPandas(fit, "run_id int, a double, b double, inliers long")

@@ -17,11 +17,26 @@ GALLERY, ANCHOR, ATTIRE, FACE = 0.65, 0.75, 0.75, 0.35
 APPEARANCE_VETO, HSV_VETO, HANDOFF_HSV_VETO = 0.30, 0.45, 0.50
 
 
-def pairs(tracks: DataFrame, max_gap: float = 480.0) -> DataFrame:
+def eligible_faces(tracks: DataFrame, scope: str = "staff_only") -> DataFrame:
+    """tracks whose faces may be looked at: with `staff_only` those of staff, and of tracks that a staff gallery has named
+    (column enrolled, where there is one); the faces of all others become null before anything compares them."""
+    if scope == "all":
+        return tracks
+    if scope != "staff_only":
+        raise ValueError(f"no such scope of faces: {scope}")
+    staff = F.col("role") == "staff"
+    if "enrolled" in tracks.columns:
+        staff = staff | F.coalesce("enrolled", F.lit(False))
+    return tracks.withColumn("face", F.when(staff, F.col("face")))
+
+
+def pairs(tracks: DataFrame, max_gap: float = 480.0, face_scope: str = "staff_only") -> DataFrame:
     """Candidates with all similarities: gallery (sim), anchor, hsv and face; null where one side has none. (K2, K3)
 
-    tracks as for `candidates`, with anchor, hsv, face (arrays or null), infrared and role besides.
+    tracks as for `candidates`, with anchor, hsv, face (arrays or null), infrared and role besides. Faces of guests are
+    never compared unless face_scope is `all`.
     """
+    tracks = eligible_faces(tracks, face_scope)
     more = ["anchor", "hsv", "face", "infrared", "role"]
     side = lambda p: tracks.select("run_id", F.col("track_id").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in more])
     like = lambda c: F.when(F.col(f"a_{c}").isNotNull() & F.col(f"b_{c}").isNotNull(), cosine(F.col(f"a_{c}"), F.col(f"b_{c}")))
@@ -76,7 +91,7 @@ def with_verdicts(found: DataFrame, tracks: DataFrame, doors: list[tuple[float,
 
 def grouped(tracks: DataFrame, edges: DataFrame) -> DataFrame:
     """Tracks with the component of edges that they are in (column part): no union ever crosses components."""
-    key = lambda c: F.concat_ws(":", F.col("run_id").cast("string"), F.col(c))
+    key = lambda c: F.concat(F.col("run_id").cast("string"), F.lit(":"), F.col(c))  # noqa: E731  the number ends at the first colon, so no two keys are equal
     found = connected_components(edges.select(key("a").alias("a"), key("b").alias("b")))
     t = tracks.withColumn("_id", key("track_id")).join(found.withColumnRenamed("id", "_id"), "_id", "left")
     return t.withColumn("part", F.coalesce("component", "_id")).drop("_id", "component")

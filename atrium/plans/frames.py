@@ -47,12 +47,12 @@ def c4(spark, sf):
 
 
 @query("c6_split_merged", sql(
-    "SELECT run_id, frame_idx, track_id, n, lo, hi FROM (SELECT *, lag(cut, 1, x1) OVER w AS lo, coalesce(cut, x2) AS hi, row_number() OVER w - 1 AS n, count(*) OVER (PARTITION BY run_id, frame_idx, track_id) AS heads FROM (SELECT p.run_id, p.frame_idx, p.track_id, p.x1, p.x2, h.cx, (h.cx + lead(h.cx) OVER (PARTITION BY p.run_id, p.frame_idx, p.track_id ORDER BY h.cx, h.track_id)) / 2 AS cut, h.track_id AS hid FROM v_box p JOIN (SELECT *, (x1 + x2) / 2 AS cx, (y1 + y2) / 2 AS cy FROM v_box WHERE role = 'staff') h ON p.run_id = h.run_id AND p.frame_idx = h.frame_idx AND p.role <> 'staff' AND h.cx BETWEEN p.x1 AND p.x2 AND h.cy BETWEEN p.y1 AND p.y2) WINDOW w AS (PARTITION BY run_id, frame_idx, track_id ORDER BY cx, hid)) WHERE heads >= 2"))
+    "SELECT run_id, frame_idx, track_id, n, lo, hi FROM (SELECT *, lag(cut, 1, x1) OVER w AS lo, coalesce(cut, x2) AS hi, row_number() OVER w - 1 AS n, count(*) OVER (PARTITION BY run_id, frame_idx, track_id) AS heads FROM (SELECT p.run_id, p.frame_idx, p.track_id, p.x1, p.x2, h.cx, (h.cx + lead(h.cx) OVER (PARTITION BY p.run_id, p.frame_idx, p.track_id ORDER BY h.cx, h.track_id)) / 2 AS cut, h.track_id AS hid FROM v_box p JOIN (SELECT *, (x1 + x2) / 2 AS cx, (y1 + y2) / 2 AS cy FROM v_box) h ON p.run_id = h.run_id AND p.frame_idx // 8 = h.frame_idx // 8 AND p.track_id <> h.track_id AND h.cx BETWEEN p.x1 AND p.x2 AND h.cy BETWEEN p.y1 AND p.y2) WINDOW w AS (PARTITION BY run_id, frame_idx, track_id ORDER BY cx, hid)) WHERE heads >= 2"))
 def c6(spark, sf):
-    """A box with several heads is cut at the midpoints between neighbouring ones; staff boxes stand for heads."""
-    b = boxes(spark, sf)
-    h = b.where("role = 'staff'").select("run_id", "frame_idx", fx().alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"), F.col("track_id").alias("hid"))
-    j = b.where("role <> 'staff'").join(h, ["run_id", "frame_idx"]).where("cx between x1 and x2 and cy between y1 and y2")
+    """A box with several heads is cut at the midpoints between neighbouring ones; the centres of other boxes of the same second stand for heads."""
+    b = boxes(spark, sf).withColumn("second", F.floor(F.col("frame_idx") / 8))
+    h = b.select("run_id", "second", fx().alias("cx"), ((F.col("y1") + F.col("y2")) / 2).alias("cy"), F.col("track_id").alias("hid"))
+    j = b.join(h, ["run_id", "second"]).where("track_id <> hid and cx between x1 and x2 and cy between y1 and y2")
     heads = j.groupBy(*KEY, "x1", "x2").agg(F.sort_array(F.collect_list(F.struct("cx", "hid"))).alias("h")).where(F.size("h") >= 2)
     part = heads.select(*KEY, "x1", "x2", F.col("h.cx").alias("c"), F.posexplode("h").alias("n", "_"))
     mid = lambda i: (F.get("c", i) + F.get("c", i + 1)) / 2
@@ -230,14 +230,21 @@ def n6(spark, sf):
     return runs_of(boxes(spark, sf), ["run_id", "track_id"], "t", 60.0).groupBy("run_id", "track_id").agg(F.count("*").alias("sightings"), F.max("run").alias("lives"))
 
 
-@query("p26_modality_split", sql("SELECT run_id, threshold FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY score DESC, threshold) AS rn FROM (SELECT run_id, (v + nv) / 2 AS threshold, round((nv - v) / (slo + shi + 1e-9), 9) AS score FROM (SELECT *, lead(v) OVER (PARTITION BY run_id ORDER BY v) AS nv, coalesce(stddev_pop(v) OVER (PARTITION BY run_id ORDER BY v ROWS UNBOUNDED PRECEDING), 0) AS slo, coalesce(stddev_pop(v) OVER (PARTITION BY run_id ORDER BY v ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS shi, row_number() OVER (PARTITION BY run_id ORDER BY v) AS k, count(*) OVER (PARTITION BY run_id) AS n FROM (SELECT DISTINCT run_id, x1 AS v FROM v_box)) WHERE k >= 2 AND k <= n - 2)) WHERE rn = 1"))
+@query("p26_modality_split", sql("SELECT run_id, threshold FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY score DESC, threshold) AS rn FROM (SELECT run_id, (v + nv) / 2 AS threshold, round((nv - v) / (slo + shi + 1e-9), 9) AS score FROM (SELECT *, lead(v) OVER (PARTITION BY run_id ORDER BY v) AS nv, coalesce(stddev_pop(v) OVER (PARTITION BY run_id ORDER BY v ROWS UNBOUNDED PRECEDING), 0) AS slo, coalesce(stddev_pop(v) OVER (PARTITION BY run_id ORDER BY v ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS shi, row_number() OVER (PARTITION BY run_id ORDER BY v) AS k, count(*) OVER (PARTITION BY run_id) AS n FROM (SELECT DISTINCT run_id, round(value, 6) AS v FROM v_event)) WHERE k >= 2 AND k <= n - 2)) WHERE rn = 1"))
 def p26(spark, sf):
-    """The cut between sorted values with the widest gap relative to both sides' spread."""
-    v = boxes(spark, sf).select("run_id", F.col("x1").alias("v")).distinct()
-    w = Window.partitionBy("run_id").orderBy("v")
-    low, high = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(1, Window.unboundedFollowing)
-    v = v.select("run_id", "v", F.lead("v").over(w).alias("nv"), F.stddev_pop("v").over(low).alias("lo"), F.stddev_pop("v").over(high).alias("hi"), F.row_number().over(w).alias("k"), F.count("*").over(Window.partitionBy("run_id")).alias("n"))
-    score = F.round((F.col("nv") - F.col("v")) / (F.coalesce("lo", F.lit(0.0)) + F.coalesce("hi", F.lit(0.0)) + 1e-9), 9)
+    """The cut between sorted readings of saturation (the events' values) with the widest gap relative to both sides' spread.
+
+    Spreads come from running sums of the readings less their mean and of its squares, so a run costs one pass.
+    """
+    v = table(spark, sf, "events").select(F.expr("cast(event_id div 5000 as int)").alias("run_id"), F.round("value", 6).alias("v")).distinct()
+    run = Window.partitionBy("run_id")
+    w = run.orderBy("v")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    v = v.withColumn("c", F.col("v") - F.avg("v").over(run))
+    v = v.select("run_id", "v", F.lead("v").over(w).alias("nv"), F.row_number().over(w).alias("k"), F.count("*").over(run).alias("n"), F.sum("c").over(so_far).alias("s"), F.sum(F.col("c") * F.col("c")).over(so_far).alias("ss"), F.sum("c").over(run).alias("t"), F.sum(F.col("c") * F.col("c")).over(run).alias("tt"))
+    spread = lambda s, ss, n: F.sqrt(F.greatest(ss / n - (s / n) * (s / n), F.lit(0.0)))
+    lo, hi = spread(F.col("s"), F.col("ss"), F.col("k")), spread(F.col("t") - F.col("s"), F.col("tt") - F.col("ss"), F.greatest(F.col("n") - F.col("k"), F.lit(1)))
+    score = F.round((F.col("nv") - F.col("v")) / (lo + hi + 1e-9), 9)
     c = v.where("k >= 2 and k <= n - 2").select("run_id", ((F.col("v") + F.col("nv")) / 2).alias("th"), score.alias("score"))
     return c.groupBy("run_id").agg(F.max_by("th", F.struct("score", -F.col("th"))).alias("threshold"))
 

@@ -27,7 +27,7 @@ def _events(spark, sf):
 
 
 def _folder(spark) -> str:
-    return f"{shared_dir(spark)}/atrium/files-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/_atrium_tmp/files-{uuid.uuid4().hex}"
 
 
 def _z(spark, sf):

@@ -13,8 +13,8 @@ from atrium.plans.quality import RATES, SIMS, _sims, _sweep
 from atrium.plans.registry import query
 from atrium.sources.adapters import boxes, crossings, sightings, sql, table
 
-#: Parts of the vector stand for the other kinds of evidence; every third fragment shows a face.
-MORE = "mt AS (SELECT *, vec[1:8] AS anchor, vec[9:16] AS hsv, vec[3:6] AS face, CAST(track_id AS INT) % 3 = 0 AS seen, CAST(track_id AS INT) % 5 = 4 AS infrared FROM trk)"
+#: Parts of the vector stand for the other kinds of evidence; every third fragment and most of staff show a face, and only those of staff may be compared.
+MORE = "mt AS (SELECT *, vec[1:8] AS anchor, vec[9:16] AS hsv, vec[3:6] AS face, (CAST(track_id AS INT) % 3 = 0 OR CAST(track_id AS INT) % 7 > 1) AND role = 'staff' AS seen, CAST(track_id AS INT) % 5 = 4 AS infrared FROM trk)"
 _COS = "list_cosine_similarity(a.{0}, b.{0}) AS {0}"
 PAIRS = f"""pr AS (SELECT a.run_id, a.track_id AS a, b.track_id AS b, b.t_first - a.t_last AS gap, sqrt((a.x1 - b.x0) * (a.x1 - b.x0) + (a.y1 - b.y0) * (a.y1 - b.y0)) AS drift, list_cosine_similarity(a.vec, b.vec) AS sim, {', '.join(_COS.format(c) for c in ('anchor', 'hsv'))}, CASE WHEN a.seen AND b.seen THEN list_cosine_similarity(a.face, b.face) END AS face, a.infrared <> b.infrared AS other_light, a.role = b.role AS same_role
 FROM mt a JOIN mt b ON a.run_id = b.run_id AND a.track_id <> b.track_id AND b.t_first - a.t_last >= 0 AND b.t_first - a.t_last <= 480)"""
@@ -34,7 +34,7 @@ VERDICTS = f"""vd AS (SELECT p.*, CASE WHEN gap <= 10 THEN 'continuous' WHEN dea
 def tracks(spark, sf):
     n = F.col("track_id").cast("int")
     t = fragments(spark, sf)
-    return t.withColumn("anchor", F.slice("vec", 1, 8)).withColumn("hsv", F.slice("vec", 9, 8)).withColumn("face", F.when(n % 3 == 0, F.slice("vec", 3, 4))).withColumn("infrared", n % 5 == 4)
+    return t.withColumn("anchor", F.slice("vec", 1, 8)).withColumn("hsv", F.slice("vec", 9, 8)).withColumn("face", F.when((n % 3 == 0) | (n % 7 > 1), F.slice("vec", 3, 4))).withColumn("infrared", n % 5 == 4)
 
 
 def _pairs(spark, sf):

@@ -73,20 +73,25 @@ def b14(spark, sf):
     return table(spark, sf, "pages").select("page_id", ((F.row_number().over(w) - 1) % 5 == 0).alias("val"))
 
 
+def _labelled(spark, sf):
+    b = boxes(spark, sf).select("run_id", "frame_idx", "x1", "y1", "x2", "y2")
+    copies = b.where("frame_idx % 12 = 0").withColumn("frame_idx", 2 * F.col("frame_idx") + 1)
+    return b.withColumn("frame_idx", 2 * F.col("frame_idx")).unionByName(copies)
+
+
 @query("b16_carried_forward_frames", sql(
     "SELECT run_id, frame_idx FROM nums n WHERE boxes = before AND NOT EXISTS (SELECT 1 FROM pairs p WHERE p.run_id = n.run_id AND p.frame_idx = n.frame_idx AND p.moved)",
-    "ranked AS (SELECT run_id, frame_idx, x1, y1, x2, y2, row_number() OVER (PARTITION BY run_id, frame_idx ORDER BY x1, y1, x2, y2) AS k, dense_rank() OVER (PARTITION BY run_id ORDER BY frame_idx) AS f FROM v_box WHERE frame_idx % 4 = 0 UNION ALL SELECT run_id, frame_idx + 1, x1, y1, x2, y2, row_number() OVER (PARTITION BY run_id, frame_idx ORDER BY x1, y1, x2, y2), dense_rank() OVER (PARTITION BY run_id ORDER BY frame_idx) + 1000000 FROM v_box WHERE frame_idx % 12 = 0)",
+    "labelled AS (SELECT run_id, 2 * frame_idx AS frame_idx, x1, y1, x2, y2 FROM v_box UNION ALL SELECT run_id, 2 * frame_idx + 1, x1, y1, x2, y2 FROM v_box WHERE frame_idx % 12 = 0)",
+    "ranked AS (SELECT run_id, frame_idx, x1, y1, x2, y2, row_number() OVER (PARTITION BY run_id, frame_idx ORDER BY x1, y1, x2, y2) AS k FROM labelled)",
     "frames AS (SELECT run_id, frame_idx, count(*) AS boxes FROM ranked GROUP BY ALL)",
     "nums AS (SELECT *, lag(boxes) OVER (PARTITION BY run_id ORDER BY frame_idx) AS before, lag(frame_idx) OVER (PARTITION BY run_id ORDER BY frame_idx) AS bf FROM frames)",
     "pairs AS (SELECT n.run_id, n.frame_idx, greatest(abs(a.x1 - b.x1), abs(a.y1 - b.y1), abs(a.x2 - b.x2), abs(a.y2 - b.y2)) > 0.01 AS moved FROM nums n JOIN ranked a ON a.run_id = n.run_id AND a.frame_idx = n.frame_idx JOIN ranked b ON b.run_id = n.run_id AND b.frame_idx = n.bf AND b.k = a.k)"))
 def b16(spark, sf):
     """Frames all of whose boxes are where they were in the frame before, to a hundredth: labels carried forward.
 
-    Labelled are every fourth frame, and every twelfth was copied to the next one.
+    All frames are labelled, at even numbers; behind every twelfth the view has a copy.
     """
-    b = boxes(spark, sf).where("frame_idx % 4 = 0").select("run_id", "frame_idx", "x1", "y1", "x2", "y2")
-    copied = b.where("frame_idx % 12 = 0").withColumn("frame_idx", F.col("frame_idx") + 1)
-    return R.carried_forward(b.unionByName(copied)).select("run_id", "frame_idx")
+    return R.carried_forward(_labelled(spark, sf)).select("run_id", "frame_idx")
 
 
 @query("i1_mixed_id_order", sql("SELECT run_id, track_id, row_number() OVER (PARTITION BY run_id ORDER BY CASE WHEN try_cast(track_id AS INT) IS NULL THEN 0 ELSE 1 END, try_cast(track_id AS INT), track_id) AS n FROM (SELECT DISTINCT run_id, track_id FROM v_box)"))
@@ -96,13 +101,14 @@ def i1(spark, sf):
     return boxes(spark, sf).select("run_id", "track_id").distinct().select("run_id", "track_id", F.row_number().over(w).alias("n"))
 
 
-@query("i3_review_queue", sql("SELECT run_id, track_id, severity, t FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY severity, t, track_id, line) AS rn FROM (SELECT run_id, track_id, line, t, CASE WHEN x < 100 AND y < 200 THEN 0 WHEN x < 100 THEN 1 ELSE 2 END AS severity FROM v_crossing)) WHERE rn <= 50"))
+@query("i3_review_queue", sql("SELECT run_id, track_id, severity, t, greatest(found - 200, 0) AS cut_off FROM (SELECT *, count(*) OVER (PARTITION BY run_id) AS found, row_number() OVER (PARTITION BY run_id ORDER BY severity, t, track_id, line) AS rn FROM (SELECT run_id, track_id, line, t, CASE WHEN x < 100 AND y < 200 THEN 0 WHEN x < 100 THEN 1 ELSE 2 END AS severity FROM v_crossing)) WHERE rn <= 200"))
 def i3(spark, sf):
-    """The fifty most severe findings of each run."""
+    """The two hundred most severe findings of each run, and how many more there are."""
     severity = F.when((F.col("x") < 100) & (F.col("y") < 200), 0).when(F.col("x") < 100, 1).otherwise(2)
     w = Window.partitionBy("run_id").orderBy("severity", "t", "track_id", "line")
     c = crossings(spark, sf).withColumn("severity", severity)
-    return c.withColumn("rn", F.row_number().over(w)).where("rn <= 50").select("run_id", "track_id", "severity", "t")
+    cut = F.greatest(F.count("*").over(Window.partitionBy("run_id")) - 200, F.lit(0)).alias("cut_off")
+    return c.select("*", F.row_number().over(w).alias("rn"), cut).where("rn <= 200").select("run_id", "track_id", "severity", "t", "cut_off")
 
 
 @query("i4_longest_tracks", sql("SELECT run_id, track_id, life FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY life DESC, track_id DESC) AS rn FROM (SELECT run_id, track_id, max(t) - min(t) AS life FROM v_box GROUP BY ALL HAVING max(t) - min(t) >= 2.0)) WHERE rn <= 8"))
@@ -220,9 +226,11 @@ def nation_revenue(spark, sf):
     return j.groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
 
 
-@query("rel_customers_without_orders", "SELECT c_custkey FROM customer ANTI JOIN orders ON c_custkey = o_custkey")
+@query("rel_customers_without_orders", "SELECT c_custkey FROM customer ANTI JOIN (SELECT * FROM orders WHERE o_orderkey % 8 = 0) ON c_custkey = o_custkey")
 def no_orders(spark, sf):
-    return table(spark, sf, "customer").join(table(spark, sf, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    """Customers none of whose orders has a number that eight divides: some at every scale."""
+    some = table(spark, sf, "orders").where("o_orderkey % 8 = 0")
+    return table(spark, sf, "customer").join(some, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 @query("rel_conversation_gaps", "SELECT conv_id, count(*) AS turns, count(*) FILTER (role = p) AS repeats FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) GROUP BY conv_id")

@@ -84,7 +84,7 @@ def p27(spark, sf):
     """A run of two kinds of light is cut at its own threshold, another at a fixed bar."""
     run = Window.partitionBy(F.expr("event_id div 5000"))
     two = F.max("value").over(run) - F.min("value").over(run) > 60
-    return table(spark, sf, "events").select("event_id", F.when(F.col("value") <= F.when(two, 20.0).otherwise(7.9999999), "infrared").otherwise("colour").alias("modality"))
+    return table(spark, sf, "events").select("event_id", F.when(F.when(two, F.col("value") <= 20.0).otherwise(F.col("value") < 8.0), "infrared").otherwise("colour").alias("modality"))
 
 
 @query("p2_staff_contacts", sql("SELECT run_id, count(*) AS contacts, count(DISTINCT track_id) AS guests FROM contact GROUP BY run_id",

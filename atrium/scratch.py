@@ -40,7 +40,7 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """The same, with the table's place."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/atrium/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/_atrium_tmp/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
@@ -55,7 +55,7 @@ def delete(spark: SparkSession, *paths: str) -> None:
 def write_file(spark: SparkSession, name: str, data: bytes) -> str:
     """Writes one file into the shared folder and returns its place."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/atrium/{name}")
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/_atrium_tmp/{name}")
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = system.create(path)
     for start in range(0, len(data), 1 << 20):
@@ -67,7 +67,7 @@ def write_file(spark: SparkSession, name: str, data: bytes) -> str:
 def clear(spark: SparkSession) -> None:
     """Deletes all intermediate tables of this library; DataFrames that read them end here."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/atrium")
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/_atrium_tmp")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
