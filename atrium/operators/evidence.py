@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,19 +98,37 @@ def grouped(tracks: DataFrame, edges: DataFrame) -> DataFrame:
     return t.withColumn("part", F.coalesce("component", "_id")).drop("_id", "component")
 
 
-def replay(tracks: DataFrame, edges: DataFrame, tolerance: float = 2.0) -> tuple[DataFrame, DataFrame]:
+#: Most edges of a component that one task folds; larger ones are decided in rounds.
+FOLDED = 20_000
+_EDGE = "run_id int, a string, b string, tier string, accepted boolean"
+
+
+def replay(tracks: DataFrame, edges: DataFrame, tolerance: float = 2.0, folded: int = FOLDED) -> tuple[DataFrame, DataFrame]:
     """Unites tracks along edges (run_id, a, b, tier, score) by falling score, refusing unions of groups any two members of
     which are seen together by more than the tolerance. (K12, K19)
 
     Gives run_id, a, b, tier, accepted for each edge, and run_id, track_id,
     canon for each track: the earliest of its group. Edges within a group that is united already are neither accepted nor
-    refused: accepted is null. Each component of edges is folded alone.
+    refused: accepted is null. A component of at most `folded` edges is one group of one task; larger ones are decided in
+    rounds over all of them at once, with the same result.
     """
     t = grouped(tracks.select("run_id", "track_id", "t_first", "t_last"), edges)
     own = t.select("run_id", "part", F.lit(0).alias("kind"), F.col("track_id").alias("a"), F.lit("").alias("b"), F.col("t_first").alias("u"), F.col("t_last").alias("v"), F.lit("").alias("tier"))
     part = t.select("run_id", F.col("track_id").alias("a"), "part")
     e = edges.join(part, ["run_id", "a"]).select("run_id", "part", F.lit(1).alias("kind"), "a", "b", F.col("score").alias("u"), F.lit(0.0).alias("v"), "tier")
-
+    rows = write_table(own.unionByName(e), "merge")
+    large = write_table(rows.where("kind = 1").groupBy("run_id", "part").agg(F.count("*").alias("n")).where(F.col("n") > folded).select("run_id", "part"), "large")
+    small = rows.join(large, ["run_id", "part"], "left_anti")
+    done = small.groupBy("run_id", "part").applyInPandas(_fold(tolerance), _EDGE)
+    if not large.isEmpty():
+        many = rows.join(large, ["run_id", "part"], "left_semi")
+        spans = many.where("kind = 0").select("run_id", F.col("a").alias("track_id"), F.col("u").alias("t_first"), F.col("v").alias("t_last"))
+        done = done.unionByName(rounds(spans, many.where("kind = 1").select("run_id", "a", "b", "tier", F.col("u").alias("score")), tolerance))
+    done = write_table(done, "replayed")
+    return done, united(tracks, done.where("accepted"))
+
+
+def _fold(tolerance: float):
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         t = pdf[pdf["kind"] == 0]
         parent = {a: a for a in t["a"]}
@@ -125,19 +144,65 @@ def replay(tracks: DataFrame, edges: DataFrame, tolerance: float = 2.0) -> tuple
             x, y = find(r.a), find(r.b)
             fits = None
             if x != y:
-                fits = not any(p < s - tolerance and q < o - tolerance for p, o in spans[x] for q, s in spans[y])
+                fits = not overlap(spans[x], spans[y], tolerance)
                 if fits:
                     parent[y] = x
                     spans[x] += spans.pop(y)
             out.append((r.run_id, r.a, r.b, r.tier, fits))
-        first: dict = {}
-        for a, u in sorted(zip(t["a"], t["u"], strict=True), key=lambda z: (z[1], z[0])):
-            first.setdefault(find(a), a)
-        out += [(r, a, None, None, None, first[find(a)]) for r, a in zip(t["run_id"], t["a"], strict=True)]
-        return pd.DataFrame([(*o, None) if len(o) == 5 else o for o in out], columns=["run_id", "a", "b", "tier", "accepted", "canon"])
-
-    done = write_table(own.unionByName(e).groupBy("run_id", "part").applyInPandas(fold, "run_id int, a string, b string, tier string, accepted boolean, canon string"), "replayed")
-    return done.where("b is not null").drop("canon"), done.where("b is null").select("run_id", F.col("a").alias("track_id"), "canon")
+        return pd.DataFrame(out, columns=["run_id", "a", "b", "tier", "accepted"])
+
+    return fold
+
+
+def overlap(some: list, others: list, tolerance: float) -> bool:
+    """Whether a stretch of one list and one of the other share more than the tolerance: one sort and one search."""
+    q, s = np.array(sorted(others), float).T
+    far = np.maximum.accumulate(s) - tolerance
+    p, o = np.array(some, float).T
+    n = np.searchsorted(q, o - tolerance, "left")
+    return bool((far[np.maximum(n - 1, 0)][n > 0] > p[n > 0]).any())
+
+
+def rounds(tracks: DataFrame, edges: DataFrame, tolerance: float = 2.0) -> DataFrame:
+    """The replay's decisions on edges without gathering a component.
+
+    An edge that is the best left at both groups it touches is what the replay
+    takes before any other edge of theirs, so the groups are then as they are
+    now, and all such edges are decided at once; no two share a group. Groups
+    keep their stretches as a list, which only the edges decided in a round are
+    given. Rounds go on until no edge is left: each decides the best edge of
+    all at least, and commonly a constant share.
+    """
+
+    @F.pandas_udf("boolean")
+    def clash(au: pd.Series, av: pd.Series, bu: pd.Series, bv: pd.Series) -> pd.Series:
+        return pd.Series([overlap(list(zip(a, b, strict=True)), list(zip(c, d, strict=True)), tolerance) for a, b, c, d in zip(au, av, bu, bv, strict=True)], dtype=bool)
+
+    key = F.struct((-F.col("score")).alias("s"), "a", "b", "tier")
+    groups = write_table(tracks.select("run_id", F.col("track_id").alias("root"), F.array("t_first").alias("us"), F.array("t_last").alias("vs")), "groups")
+    left = write_table(edges.select("run_id", "a", "b", "tier", "score", F.col("a").alias("ra"), F.col("b").alias("rb")), "left")
+    done = None
+    while not left.isEmpty():
+        ends = left.select("run_id", F.explode(F.array("ra", "rb")).alias("root"), key.alias("key"))
+        best = write_table(ends.groupBy("run_id", "root").agg(F.min("key").alias("best")), "best")
+        side = lambda r, best=best: best.select("run_id", F.col("root").alias(r), F.col("best").alias(f"best_{r}"))
+        first = left.join(side("ra"), ["run_id", "ra"]).join(side("rb"), ["run_id", "rb"]).where((key == F.col("best_ra")) & (key == F.col("best_rb")))
+        of = lambda r, p, groups=groups: groups.select("run_id", F.col("root").alias(r), F.col("us").alias(f"{p}u"), F.col("vs").alias(f"{p}v"))
+        judged = first.join(of("ra", "a"), ["run_id", "ra"]).join(of("rb", "b"), ["run_id", "rb"])
+        judged = judged.select("run_id", "a", "b", "tier", "ra", "rb", (~clash("au", "av", "bu", "bv")).alias("accepted"), F.concat("au", "bu").alias("us"), F.concat("av", "bv").alias("vs"))
+        judged = write_table(judged, "judged")
+        joined = judged.where("accepted")
+        moved = write_table(joined.select("run_id", F.explode(F.array(F.struct(F.col("ra").alias("root"), F.col("us"), F.col("vs")), F.struct(F.col("rb").alias("root"), F.lit(None).cast("array<double>").alias("us"), F.lit(None).cast("array<double>").alias("vs")))).alias("g")).select("run_id", "g.*"), "moved")
+        groups = write_table(groups.join(moved, ["run_id", "root"], "left_anti").unionByName(moved.where("us is not null")), "groups")
+        to = joined.select("run_id", F.col("rb").alias("old"), F.col("ra").alias("new"))
+        rest = left.join(judged.select("run_id", "a", "b", "tier"), ["run_id", "a", "b", "tier"], "left_anti")
+        for r in ("ra", "rb"):
+            rest = rest.join(to.select("run_id", F.col("old").alias(r), F.col("new").alias(f"new_{r}")), ["run_id", r], "left").withColumn(r, F.coalesce(f"new_{r}", r)).drop(f"new_{r}")
+        rest = write_table(rest.select("run_id", "a", "b", "tier", "score", "ra", "rb"), "left")
+        out = judged.select("run_id", "a", "b", "tier", "accepted").unionByName(rest.where("ra = rb").select("run_id", "a", "b", "tier", F.lit(None).cast("boolean").alias("accepted")))
+        done = out if done is None else done.unionByName(out)
+        left = rest.where("ra <> rb")
+    return done if done is not None else edges.select("run_id", "a", "b", "tier", F.lit(None).cast("boolean").alias("accepted"))
 
 
 def united(tracks: DataFrame, accepted: DataFrame) -> DataFrame:

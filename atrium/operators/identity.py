@@ -25,16 +25,6 @@ def candidates(tracks: DataFrame, max_gap: float = 480.0) -> DataFrame:
     return p.select("run_id", F.col("a_track_id").alias("a"), F.col("b_track_id").alias("b"), gap.alias("gap"), drift.alias("drift"), cosine(F.col("a_vec"), F.col("b_vec")).alias("sim"))
 
 
-def tier(gap: Column, drift: Column, sim: Column) -> tuple[Column, Column]:
-    """Tier and score of a candidate pair, or nulls: hand-off and stationary need nearness, gallery only likeness. (K1)"""
-    near = (gap <= 2.5) & (drift <= 90.0) & (sim >= 0.30)
-    still = (drift <= 30.0) & (sim >= 0.30)
-    like = sim >= 0.65
-    name = F.when(near, "handoff").when(still, "stationary").when(like, "gallery")
-    score = F.when(near, 0.90 + 0.09 * sim).when(still, 0.85 + 0.09 * sim).when(like, sim)
-    return name, score
-
-
 def verdict(gap: Column, drift: Column, death_at_door: Column, birth_at_door: Column, diagonal: float) -> Column:
     """Whether a track can reappear: abstains without doors (null). Standing still explains a gap only away from all doors."""
     return (
@@ -83,11 +73,12 @@ def global_links(tracks: DataFrame, pairs: DataFrame, accept: float = 0.6, per_s
     """Links fragments of a run so that the total cost is least: each fragment has at most one successor and one
     predecessor, and going without costs 1. pairs: run_id, a, b, gap, sim, as `candidates` gives them. (E22, E24)
 
-    Returns run_id, a, b. Only eligible pairs (sim >= accept) count, and each connected part of them is solved alone.
+    Returns run_id, a, b. Only eligible pairs (sim >= accept) count, and each connected part of them is solved alone,
+    in memory that grows with its pairs only.
     """
     import numpy as np
 
-    from atrium.operators.scoring import assignment
+    from atrium.operators.scoring import sparse_assignment
 
     eligible = pairs.where(F.col("sim") >= accept).select("run_id", "a", "b", (1 - F.col("sim") + per_second * F.col("gap")).alias("cost")).where("cost < 1")
     known = tracks.select("run_id", "track_id")
@@ -97,11 +88,9 @@ def global_links(tracks: DataFrame, pairs: DataFrame, accept: float = 0.6, per_s
         pdf = pdf.sort_values(["a", "b"])
         a, ai = np.unique(pdf["a"], return_inverse=True)
         b, bi = np.unique(pdf["b"], return_inverse=True)
-        # Gains over going without; each fragment may also stay alone for nothing.
-        gain = np.zeros((len(a), len(b) + len(a)))
-        gain[ai, bi] = 1 - pdf["cost"].to_numpy()
-        rows = [(pdf["run_id"].iloc[0], a[i], b[j]) for i, j in zip(*assignment(gain), strict=True) if j < len(b) and gain[i, j] > 0]
-        return pd.DataFrame(rows, columns=["run_id", "a", "b"])
+        # Gains over going without.
+        found = sparse_assignment(ai, bi, 1 - pdf["cost"].to_numpy())
+        return pd.DataFrame([(pdf["run_id"].iloc[0], a[i], b[j]) for i, j in found], columns=["run_id", "a", "b"])
 
     from atrium.operators.evidence import grouped
 

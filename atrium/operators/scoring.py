@@ -68,6 +68,52 @@ def assignment(score):
     return (columns, rows) if turned else (rows, columns)
 
 
+def sparse_assignment(rows, columns, gain) -> list[tuple[int, int]]:
+    """Pairs of the matching of greatest total gain, given the pairs that are possible and their gains (> 0); any side may stay alone.
+
+    Shortest augmenting paths with prices: the search from a row looks at
+    pairs near it only, and nothing of the size rows x columns is ever made.
+    """
+    import heapq
+
+    n, m = max(rows, default=-1) + 1, max(columns, default=-1) + 1
+    top = max((float(g) for g in gain), default=0.0)
+    near: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+    for r, c, g in zip(rows, columns, gain, strict=True):
+        near[int(r)].append((int(c), top - float(g)))
+    for r in range(n):
+        near[r].append((m + r, top))  # alone, in a column of its own
+    u, v, match, held = [0.0] * n, [0.0] * (m + n), [-1] * (m + n), [-1] * n
+    for start in range(n):
+        far: dict[int, float] = {}
+        came: dict[int, int] = {}
+        done: dict[int, float] = {}
+        heap: list[tuple[float, int]] = []
+        row, base = start, 0.0
+        while True:
+            for c, cost in near[row]:
+                d = base + cost - u[row] - v[c]
+                if c not in done and d < far.get(c, float("inf")):
+                    far[c], came[c] = d, row
+                    heapq.heappush(heap, (d, c))
+            while (at := heapq.heappop(heap))[1] in done or at[0] > far[at[1]]:
+                pass
+            base, column = at
+            if match[column] < 0:
+                break
+            done[column] = base
+            row = match[column]
+        u[start] += base
+        for c, d in done.items():
+            u[match[c]] += base - d
+            v[c] -= base - d
+        while column >= 0:  # each row on the path moves to the column that was reached from it
+            r = came[column]
+            match[column] = r
+            held[r], column = column, held[r]
+    return [(r, c) for c, r in enumerate(match[:m]) if r >= 0]
+
+
 def best_pairs(truth: DataFrame, found: DataFrame, kind: str = "int") -> DataFrame:
     """Per frame the pairs of the alignment-weighted assignment, with their overlap: run_id, frame_idx, gt, pr, iou.
 

@@ -15,8 +15,6 @@ TRACK = """trk AS (SELECT CAST(vec_id // 100 AS INT) AS run_id, CAST(vec_id AS V
 CAST(vec_id * 37 % 640 AS DOUBLE) AS x0, CAST(vec_id * 53 % 480 AS DOUBLE) AS y0, CAST((vec_id + 1) * 37 % 640 AS DOUBLE) AS x1, CAST((vec_id + 1) * 53 % 480 + label AS DOUBLE) AS y1, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings)"""
 CAND = """cand AS (SELECT a.run_id, a.track_id AS a, b.track_id AS b, b.t_first - a.t_last AS gap, sqrt((a.x1 - b.x0) * (a.x1 - b.x0) + (a.y1 - b.y0) * (a.y1 - b.y0)) AS drift, list_cosine_similarity(a.vec, b.vec) AS sim
 FROM trk a JOIN trk b ON a.run_id = b.run_id AND a.track_id <> b.track_id AND b.t_first - a.t_last >= 0 AND b.t_first - a.t_last <= 480)"""
-TIER = """tiers AS (SELECT run_id, a, b, CASE WHEN gap <= 2.5 AND drift <= 90.0 AND sim >= 0.3 THEN 'handoff' WHEN drift <= 30.0 AND sim >= 0.3 THEN 'stationary' WHEN sim >= 0.65 THEN 'gallery' END AS tier,
-round(CASE WHEN gap <= 2.5 AND drift <= 90.0 AND sim >= 0.3 THEN 0.90 + 0.09 * sim WHEN drift <= 30.0 AND sim >= 0.3 THEN 0.85 + 0.09 * sim WHEN sim >= 0.65 THEN sim END, 5) AS score FROM cand)"""
 
 
 def tracks(spark, sf):
@@ -41,28 +39,6 @@ def e6(spark, sf):
     return I.candidates(tracks(spark, sf)).select("run_id", "a", "b", "gap", F.round("drift", 5).alias("drift"), F.round("sim", 5).alias("sim"))
 
 
-def _tiers(spark, sf, max_gap=480.0):
-    c = I.candidates(tracks(spark, sf), max_gap)
-    name, score = I.tier(F.col("gap"), F.col("drift"), F.col("sim"))
-    return c.select("run_id", "a", "b", name.alias("tier"), F.round(score, 5).alias("score")).where("tier is not null")
-
-
-@query("k1_candidate_tiers", sql("SELECT * FROM tiers WHERE tier IS NOT NULL", TRACK, CAND, TIER))
-def k1(spark, sf):
-    return _tiers(spark, sf)
-
-
-@query("k1_constrained_merge")
-def k1b(spark, sf):
-    return I.constrained_groups(tracks(spark, sf), _tiers(spark, sf))
-
-
-@query("k20_dossiers")
-def k20(spark, sf):
-    t = tracks(spark, sf)
-    return I.dossiers(I.constrained_groups(t, _tiers(spark, sf)), t)
-
-
 @query("e2_remap_events", sql("SELECT run_id, CASE WHEN track_id LIKE 'm%' THEN substr(track_id, 2) ELSE track_id END AS track_id, count(*) AS n FROM v_box GROUP BY 1, 2"))
 def e2(spark, sf):
     """Reflections are mapped to the person they mirror."""

@@ -47,6 +47,29 @@ def k1(spark, sf):
     return V.tiers(_pairs(spark, sf)).withColumn("score", F.round("score", 6))
 
 
+@query("k1_candidate_tiers", sql("SELECT run_id, a, b, arg_max(tier, {'s': score, 't': tier}) AS tier, round(max(score), 5) AS score FROM ti GROUP BY ALL", TRACK, MORE, PAIRS, TIERS))
+def k1_best(spark, sf):
+    """The tier that says most for a pair."""
+    best = V.tiers(_pairs(spark, sf)).groupBy("run_id", "a", "b").agg(F.max(F.struct("score", "tier")).alias("e"))
+    return best.select("run_id", "a", "b", "e.tier", F.round("e.score", 5).alias("score"))
+
+
+def merged(spark, sf):
+    """Fragments to identities, on all six tiers."""
+    t = tracks(spark, sf)
+    return I.constrained_groups(t, V.tiers(_pairs(spark, sf)))
+
+
+@query("k1_constrained_merge")
+def k1_merge(spark, sf):
+    return merged(spark, sf)
+
+
+@query("k20_dossiers")
+def k20(spark, sf):
+    return I.dossiers(merged(spark, sf), tracks(spark, sf))
+
+
 @query("k3_colour_galleries", "SELECT a.vec_id // 6 AS g, round(max(list_cosine_similarity(CAST(a.embedding AS DOUBLE[])[9:16], CAST(b.embedding AS DOUBLE[])[9:16])), 5) AS sim FROM embeddings a JOIN embeddings b ON b.vec_id // 6 = a.vec_id // 6 + 1 GROUP BY 1")
 def k3(spark, sf):
     """Best colour likeness between a gallery and the next one; six crops are a gallery."""

@@ -245,11 +245,10 @@ def e23(spark, sf):
 @query("e24_global_over_groups")
 def e24(spark, sf):
     """Identities of the greedy pass as one fragment each, linked once more so that the total cost is least; groups are never split."""
-    from atrium.operators.identity import constrained_groups, link_groups
-    from atrium.plans.identity import _tiers, tracks
+    from atrium.operators.identity import link_groups
+    from atrium.plans.merging import merged, tracks
 
-    t = tracks(spark, sf)
-    return link_groups(t, constrained_groups(t, _tiers(spark, sf)))
+    return link_groups(tracks(spark, sf), merged(spark, sf))
 
 
 FALSE = (40.0, 100.0, 300.0, 610.5)

@@ -103,12 +103,12 @@ def test_fused_graph(spark):
 
 def test_constrained_merge_and_dossiers(spark):
     con = oracle.connect(SF)
-    from atrium.plans.identity import CAND, TIER, TRACK
+    from atrium.plans.merging import MORE, PAIRS, TIERS, TRACK
 
     tracks = defaultdict(dict)
     for run, i, a, b, role in con.execute(sql("SELECT run_id, track_id, t_first, t_last, role FROM trk", TRACK)).fetchall():
         tracks[run][i] = (a, b, role)
-    edges = con.execute(sql("SELECT run_id, a, b, tier, score FROM tiers WHERE tier IS NOT NULL", TRACK, CAND, TIER)).fetchall()
+    edges = con.execute(sql("SELECT run_id, a, b, tier, score FROM ti", TRACK, MORE, PAIRS, TIERS)).fetchall()
     want = {}
     for run, t in tracks.items():
         _, canon = _replay(t, [e for e in edges if e[0] == run and t[e[1]][2] == t[e[2]][2]])
