@@ -49,6 +49,24 @@ def a4(spark, sf):
     return R.run_frame_logs(spark, path)
 
 
+@query("a3_frame_records", sql(f"SELECT run_id, frame_idx, t, CAST({ID} AS VARCHAR) AS track_id, x1, y1, x2, y2 FROM v_box WHERE frame_idx >= 40"))
+def a3(spark, sf):
+    """Logs read a frame at a time, from a frame on; each run's is written as one array in as many records as it has frames."""
+    from pyspark.sql import Window
+
+    b = boxes(spark, sf).withColumn("id", F.regexp_replace("track_id", "m", "9").cast("double"))
+    f = b.groupBy("run_id", "frame_idx", "t").agg(F.collect_list(F.array("id", "x1", "y1", "x2", "y2")).alias("boxes"))
+    one = F.concat_ws(",", F.col("frame_idx").cast("string"), F.col("t").cast("string"), F.to_json("boxes"))
+    run = Window.partitionBy("run_id")
+    first, last = F.col("frame_idx") == F.min("frame_idx").over(run), F.col("frame_idx") == F.max("frame_idx").over(run)
+    # A record ends with the separator, so a frame is written without its own two closing brackets but the last.
+    text = F.concat(F.when(first, "[[").otherwise(""), F.when(last, F.concat(one, F.lit("]]"))).otherwise(F.expr("substring(one, 1, length(one) - 1)")))
+    path = _folder(spark)
+    rows = f.withColumn("one", one).select("run_id", "frame_idx", text.alias("value"))
+    rows.repartition("run_id").sortWithinPartitions("run_id", "frame_idx").select("run_id", "value").write.partitionBy("run_id").option("lineSep", "]],[").text(path)
+    return R.frame_records(spark, path).where("frame_idx >= 40")
+
+
 @query("a7_people_files", sql("SELECT CAST(run_id AS VARCHAR) AS run, track_id, CAST(count(*) AS VARCHAR) AS sightings, CASE WHEN count(*) > 50 THEN CAST(max(t) AS VARCHAR) END AS last_t FROM v_sighting GROUP BY run_id, track_id"))
 def a7(spark, sf):
     """People as CSV files in a folder for each run, read again; what was not measured is null."""

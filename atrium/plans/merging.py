@@ -70,6 +70,27 @@ def k20(spark, sf):
     return I.dossiers(merged(spark, sf), tracks(spark, sf))
 
 
+@query("o2_sql_functions", sql("SELECT a.run_id, a.track_id AS a, b.track_id AS b, round(list_cosine_similarity(a.vec, b.vec), 6) AS likeness FROM trk a JOIN trk b ON b.run_id = a.run_id AND CAST(b.track_id AS INT) = CAST(a.track_id AS INT) + 1", TRACK))
+def o2(spark, sf):
+    """A likeness that SQL text calls by its name."""
+    from atrium.functions.sql import register
+
+    register(spark)
+    text = "SELECT a.run_id, a.track_id AS a, b.track_id AS b, round(likeness(a.vec, b.vec), 6) AS likeness FROM {t} a JOIN {t} b ON b.run_id = a.run_id AND int(b.track_id) = int(a.track_id) + 1"
+    return spark.sql(text, t=fragments(spark, sf))
+
+
+@query("o1_table_function", sql("SELECT run_id, track_id, min(t) AS t_in, max(t) AS t_out, count(*) AS n FROM (SELECT *, sum(CASE WHEN p IS NULL OR t - p > 15.0 THEN 1 ELSE 0 END) OVER (PARTITION BY run_id, track_id ORDER BY t) AS g FROM (SELECT *, lag(t) OVER (PARTITION BY run_id, track_id ORDER BY t) AS p FROM v_sighting)) GROUP BY run_id, track_id, g"))
+def o1(spark, sf):
+    """Stretches by a table function that SQL text calls on a partitioned and ordered table."""
+    from atrium.functions.sql import register
+
+    register(spark)
+    rows = sightings(spark, sf).select(F.concat_ws("|", F.col("run_id").cast("string"), "track_id").alias("key"), "t")
+    out = spark.sql("SELECT * FROM stretches(TABLE(SELECT key, t FROM {rows}) PARTITION BY (key) ORDER BY (t), 15.0D)", rows=rows)
+    return out.select(F.substring_index("key", "|", 1).cast("int").alias("run_id"), F.substring_index("key", "|", -1).alias("track_id"), "t_in", "t_out", "n")
+
+
 @query("k3_colour_galleries", "SELECT a.vec_id // 6 AS g, round(max(list_cosine_similarity(CAST(a.embedding AS DOUBLE[])[9:16], CAST(b.embedding AS DOUBLE[])[9:16])), 5) AS sim FROM embeddings a JOIN embeddings b ON b.vec_id // 6 = a.vec_id // 6 + 1 GROUP BY 1")
 def k3(spark, sf):
     """Best colour likeness between a gallery and the next one; six crops are a gallery."""

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from atrium.scratch import settings, shared_dir, write_table
@@ -45,3 +46,36 @@ def test_scratch(spark):
     with settings(spark, spark__sql__shuffle__partitions=7):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+@pytest.mark.parametrize("spaced", [False, True])
+def test_frame_records_read_a_log_frame_by_frame(spark, tmp_path, spaced):
+    import gzip
+    import json
+
+    from atrium.sources.readers import frame_log, frame_records
+
+    frames = [[i, i / 8, [[j, i + 0.5, 1.0, 2.0, 3.0] for j in range(i % 4)]] for i in range(50)]
+    text = json.dumps(frames, separators=None if spaced else (",", ":"))
+    for run, write in ((0, lambda p: p.write_text(text + "\n")), (1, lambda p: p.with_suffix(".gz").write_bytes(gzip.compress(text.encode())))):
+        (tmp_path / f"run_id={run}").mkdir()
+        write(tmp_path / f"run_id={run}" / "log.json")
+    got = frame_records(spark, str(tmp_path), between=", " if spaced else ",")
+    want = frame_log(spark.createDataFrame([(text, r) for r in (0, 1)], "value string, run_id int"), extra=["run_id"])
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+    plan = got.where("run_id = 1 and frame_idx > 3")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan  # the other run's files are not read
+    # A record is a frame, not a file.
+    records = spark.read.option("lineSep", "]], [" if spaced else "]],[").text(str(tmp_path))
+    assert records.count() == 100
+
+
+def test_likenesses_in_sql(spark):
+    from atrium.functions.sql import register
+
+    register(spark, {"first": lambda a, b: a[:, 0] - b[:, 0]})
+    rows = [([3.0, 4.0], [3.0, 4.0]), ([1.0, 0.0], [0.0, 2.0]), ([0.0, 0.0], [1.0, 1.0]), (None, [1.0]), ([1.0], [1.0, 2.0]), ([2.0], [5.0])]
+    t = spark.createDataFrame(rows, "a array<double>, b array<double>")
+    got = [tuple(r) for r in spark.sql("SELECT likeness(a, b), nearness(a, b), first(a, b) FROM {t}", t=t).collect()]
+    assert got[0] == (1.0, 1.0, 0.0) and got[1][0] == 0.0 and got[2][0] == 0.0
+    assert got[3] == got[4] == (None, None, None) and got[5] == (1.0, 0.25, -3.0)
