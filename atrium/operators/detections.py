@@ -287,10 +287,13 @@ def dead_area(boxes: DataFrame, mask: list[tuple[float, float]], need: float, st
     past = held.select(*at, F.explode(F.array(F.col("_s"), F.col("_s") + 1)).alias("_s"), F.col("t").alias("_t"), F.col("_x").alias("_px"), F.col("_y").alias("_py"))
     away = F.sqrt((F.col("_x") - F.col("_px")) * (F.col("_x") - F.col("_px")) + (F.col("_y") - F.col("_py")) * (F.col("_y") - F.col("_py")))
     near = held.join(past, [*at, "_s"]).where((F.col("_t") < F.col("t")) & (F.col("t") - F.col("_t") <= window) & (away <= radius))
-    g = near.groupBy(*FRAME, "track_id", "t").agg(F.min("_t").alias("_first"), F.collect_set(F.struct("_px", "_py")).alias("_spots"))
+    across = F.greatest(F.max("_px") - F.min("_px"), F.max("_py") - F.min("_py"))
+    g = near.groupBy(*FRAME, "track_id", "t").agg(F.min("_t").alias("_first"), across.alias("_across"), F.collect_set(F.struct("_px", "_py")).alias("_spots"))
+    # Spots that span the need in one direction spread too far; only of the others, which lie in so small a square, pairs are measured.
+    g = g.where((F.col("t") - F.col("_first") >= still) & (F.col("_across") < need))
     apart = lambda p, q: F.sqrt((p["_px"] - q["_px"]) * (p["_px"] - q["_px"]) + (p["_py"] - q["_py"]) * (p["_py"] - q["_py"]))
     spread = F.array_max(F.transform("_spots", lambda p: F.array_max(F.transform("_spots", lambda q: apart(p, q)))))
-    gone = g.where((F.col("t") - F.col("_first") >= still) & (spread < need)).select(*FRAME, "track_id", F.lit(False).alias("kept"))
+    gone = g.where(spread < need).select(*FRAME, "track_id", F.lit(False).alias("kept"))
     return b.join(gone, [*FRAME, "track_id"], "left").withColumn("kept", F.coalesce("kept", F.lit(True))).drop("_x", "_y", "_in")
 
 

@@ -70,15 +70,21 @@ def zone_and_confidence(boxes: DataFrame, zones: DataFrame, by: list[str], key:
     box width inside, halved where the feet are hidden; no zone and 0 outside of all. (D25)
 
     zones: by, zone, centre, vertices, few to each value of by. Ties go by name.
+    A box meets its camera's zones as one array, so boxes are neither
+    multiplied nor shuffled again.
     """
-    j = boxes.join(zones, by)
-    x, y = anchor(F.col("centre"))
+    listed = zones.groupBy(*by).agg(F.collect_list(F.struct("zone", "centre", "vertices")).alias("zs"))
     width = F.greatest(F.col("x2") - F.col("x1"), F.lit(1.0))
-    sure = F.least(F.greatest(0.5 + F.col("d") / width, F.lit(0.0)), F.lit(1.0)) * F.when(feet_visible, 1.0).otherwise(0.5)
-    j = j.withColumn("d", signed_distance(x, y, F.col("vertices"))).withColumn("sure", F.round(sure, 3))
-    best = j.groupBy(*key).agg(F.min_by(F.struct("zone", "d", "sure"), F.struct(-F.round("d", 9), "zone")).alias("b"))
+
+    def deep(z: Column) -> Column:
+        x, y = anchor(z["centre"])
+        d = signed_distance(x, y, z["vertices"])
+        return F.struct((-F.round(d, 9)).alias("order"), z["zone"].alias("zone"), d.alias("d"))
+
+    best = boxes.join(listed, by).select(*key, width.alias("width"), feet_visible.alias("feet"), F.array_min(F.transform("zs", deep)).alias("b"))
+    sure = F.least(F.greatest(0.5 + F.col("b.d") / F.col("width"), F.lit(0.0)), F.lit(1.0)) * F.when(F.col("feet"), 1.0).otherwise(0.5)
     within = F.col("b.d") >= 0
-    return best.select(*key, F.when(within, F.col("b.zone")).alias("zone"), F.when(within, F.col("b.sure")).otherwise(0.0).alias("zone_conf"))
+    return best.select(*key, F.when(within, F.col("b.zone")).alias("zone"), F.when(within, F.round(sure, 3)).otherwise(0.0).alias("zone_conf"))
 
 
 def crosses_itself(vertices: Column) -> Column:
