@@ -154,6 +154,8 @@ def linked(messages: DataFrame, schemas: Schemas) -> DataFrame:
     out = out.withColumn("valid", F.when(is_call, F.col("valid")))
     fields = {
         "arguments": F.try_parse_json("arguments"),
+        # What is no JSON is kept as the text that it is.
+        "arguments_text": F.when(F.try_parse_json("arguments").isNull(), F.col("arguments")),
         "call_id": F.col("call_id"),
         "content": F.col("content"),
         "depth": F.col("depth"),

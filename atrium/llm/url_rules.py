@@ -39,12 +39,22 @@ RULES = (Rule(BLOCK, "net", "/"), Rule(ALLOW, "example.net", "/en/"), Rule(BLOCK
 
 @dataclass(frozen=True)
 class Mining:
-    """Support is a share of the labelled URLs, and at least `count` of them must have a rule's tokens and be blocked."""
+    """Support is a share of the labelled URLs. A rule's confidence must exceed the bar by what chance may add: the lower end of
+    Wilson's interval at z deviations is compared with it, so that few URLs must agree more than many, at every size."""
 
     support: float = 0.005
-    count: int = 30
     confidence: float = 0.5
     lift: float = 1.2
+    z: float = 1.645
+
+    @property
+    def least(self) -> float:
+        """So many blocked URLs, and no other, has the rarest combination that can be sure enough."""
+        return self.z**2 * self.confidence / (1 - self.confidence)
+
+    def lower(self, confidence: Column, have: Column) -> Column:
+        half = self.z**2 / (2 * have)
+        return (confidence + half - self.z * F.sqrt(confidence * (1 - confidence) / have + half / (2 * have))) / (1 + 2 * half)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -108,9 +118,11 @@ def mine(labelled: DataFrame, mining: Mining = Mining()) -> DataFrame:
         F.concat(tokens(F.col("url"), host, path), F.array(F.when(F.col("blocked"), F.lit("=block")).otherwise(F.lit("=allow")))).alias("items")
     )
     items = write_table(items, "transactions")
-    least = max(mining.support, min(1.0, mining.count / max(items.count(), 1)))
+    n = max(items.count(), 1)
+    least = max(mining.support, min(1.0, mining.least / n))
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=mining.confidence).fit(items)
     found = model.associationRules.where((F.element_at("consequent", 1) == "=block") & (F.col("lift") >= mining.lift))
+    found = found.where(mining.lower(F.least("confidence", F.lit(1.0)), F.col("support") * n / F.col("confidence")) >= mining.confidence)
     found = found.select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support").where(~F.array_contains("antecedent", "=allow"))
     return write_table(without_redundant(found.withColumn("rule_id", F.xxhash64("antecedent"))), "url-rules")
 

@@ -71,3 +71,11 @@ def test_conversations(spark, sf):
 def test_empty(spark):
     assert T.linked(spark.createDataFrame([], SCHEMA), TOOLS).count() == 0
     assert spark.range(1).select(T.canonical(F.lit("{bad"))).first()[0] is None
+
+
+def test_arguments_that_are_no_json_stay(spark):
+    got = _linked(spark, [_row(1, 1, "call", "c1", "sum", '{bad "json'), _row(1, 2, "call", "c2", "sum", '{"a": 1}'), _row(1, 3, "call", "c3", "sum", "")])
+    by = {r["call_id"]: json.loads(r["json"]) for r in got}
+    assert by["c1"]["arguments_text"] == '{bad "json' and "arguments" not in by["c1"]
+    assert by["c3"]["arguments_text"] == "" and "arguments_text" not in by["c2"]
+    assert all(r["errors"] == ["arguments are not an object"] for r in got if r["call_id"] != "c2")

@@ -33,7 +33,7 @@ def test_mined_rules_against_counting(spark):
     rows = [(i, f"http://{'bad' if i % 3 == 0 else 'good'}.example.io/{'ads' if i % 2 else 'news'}/{i}") for i in range(300)]
     pages = spark.createDataFrame(rows, "page_id long, url string")
     labels = spark.createDataFrame([(i, i % 6 == 3) for i in range(200)] + [(5, False), (None, True)], "page_id long, blocked boolean")
-    got = {r["page_id"]: r for r in U.judged(pages, labels, mining=U.Mining(count=10, confidence=0.9)).collect()}
+    got = {r["page_id"]: r for r in U.judged(pages, labels, mining=U.Mining(confidence=0.9)).collect()}
     # Only bad hosts under ads are blocked in the labels: the rule must need both tokens.
     assert {i for i, r in got.items() if r["verdict"] == "block"} == {i for i in range(300) if i % 6 == 3}
     rule = got[3]["mined_rule"]
