@@ -41,6 +41,8 @@ from atrium.scratch import delete, settings, write_table, written
 ORDER = 5
 #: Bytes of text and pieces of documents in a chunk, and entries of a table in a block.
 CHUNK, PIECES, BLOCK = 5_000_000, 1 << 16, 1 << 16
+#: Chunks that one copy of a block answers; with more of them a block is copied, so that no task's input grows with the corpus.
+ANSWERED = 256
 #: Bytes that a normalised text may hold: all but the separators other than space and line feed.
 ALPHABET = 256 - 4
 _SEPARATORS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
@@ -261,7 +263,7 @@ def _requests(firsts: dict[int, list[bytes]]):
 
 
 def _answers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by kind, block and chunk; the block itself, with chunk -1, comes first."""
+    """Rows come sorted by kind, block, copy and chunk; the block itself, with chunk -1, comes first."""
     keys, values = None, np.zeros(0)
     for pdf in frames:
         told = []
@@ -330,7 +332,7 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def scored(docs: DataFrame, order: int = ORDER, chunk: int = CHUNK) -> DataFrame:
+def scored(docs: DataFrame, order: int = ORDER, chunk: int = CHUNK, answered: int = ANSWERED) -> DataFrame:
     """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Both models learn from all rows that are not held out. base_score adds
@@ -367,9 +369,12 @@ def scored(docs: DataFrame, order: int = ORDER, chunk: int = CHUNK) -> DataFrame
             blocks = cut if blocks is None else blocks.unionByName(cut)
     delete(spark, *places)
 
+    copies = max(1, -(-chunks.count() // answered))
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=4):
         asked = chunks.select("chunk", "grams", "words").mapInPandas(_requests(firsts), "kind int, block int, chunk long, asked binary, told binary")
-        asked = blocks.unionByName(asked).repartition("kind", "block").sortWithinPartitions("kind", "block", "chunk")
+        asked = asked.withColumn("copy", F.pmod(F.xxhash64("chunk"), F.lit(copies)).cast("int"))
+        asked = blocks.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).unionByName(asked)
+        asked = asked.repartition("kind", "block", "copy").sortWithinPartitions("kind", "block", "copy", "chunk")
         told = write_table(asked.mapInPandas(_answers, "chunk long, kind int, block int, told binary"), "lm-told")
 
     def total(text: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:

@@ -74,6 +74,7 @@ def test_odd_rows_in_small_chunks(odd_docs):
     want = plain(rows, 2)
     same(scored(odd_docs, 2).collect(), want)
     same(scored(odd_docs, 2, chunk=500).collect(), want)
+    same(scored(odd_docs, 2, chunk=500, answered=3).collect(), want)
 
 
 def test_nothing_to_learn_from(spark, no_docs):
