@@ -3,7 +3,8 @@
 Cancelling is a matter of windows. Elsewhere, whether a crossing is kept
 depends on the ones kept before, so rows are folded in order, but no state
 outlives a pause longer than a fold's window: each stretch between such
-pauses is folded alone.
+pauses is folded alone. Where only near crossings matter to each other, a
+stretch that is too long for one task is cut into components of near pairs.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from atrium.operators.components import connected_components
+from atrium.scratch import write_table
+
 _COLUMNS = "run_id int, track_id string, role string, direction string, line string, x double, y double, t double"
 
 
@@ -42,18 +46,39 @@ def islands(rows: DataFrame, keys: list[str], gap: float, inclusive: bool = True
     return rows.withColumn("_new", new).withColumn("_island", F.sum("_new").over(order.rangeBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def _per_island(rows: DataFrame, keys: list[str], fold, schema: str) -> DataFrame:
-    """Folds islands; many small ones of one key share a call. fold gets one island in order."""
+def _per_island(rows: DataFrame, keys: list[str], fold, schema: str, part: str = "_island div 128") -> DataFrame:
+    """Folds islands; many small ones of one key, those of equal part, share a call. fold gets one island in order."""
     names = [f.split()[0] for f in schema.split(", ")]
 
     def each(pdf: pd.DataFrame) -> pd.DataFrame:
         parts = [fold(g) for _, g in pdf.groupby("_island", sort=True)]
         return pd.concat(parts, ignore_index=True)[names]
 
-    return rows.withColumn("_part", F.expr("_island div 128")).groupBy(*keys, "_part").applyInPandas(each, schema)
+    return rows.withColumn("_part", F.expr(part)).groupBy(*keys, "_part").applyInPandas(each, schema)
+
+
+#: Most crossings between two pauses that one task folds.
+FOLDED = 20_000
+
 
+def _near_pairs(rows: DataFrame, seconds: float, distance: float, overlap: float) -> DataFrame:
+    """(a, b) of the _id of crossings of one run that could drop each other. Cells are twice as long as the window, so that
+    rounding of a time never parts a pair; what meets in a cell is what one camera sees in four windows."""
+    side = lambda s: [F.col(c).alias(f"{s}{c}") for c in ("_id", "track_id", "t", "x", "y", "_t0", "_t1")]
+    once = rows.dropDuplicates(["_id"]).withColumn("_cell", F.floor(F.col("t") / (2 * seconds)))
+    a = once.select("run_id", F.explode(F.array("_cell", F.col("_cell") + 1)).alias("_cell"), *side("a"))
+    b = once.select("run_id", "_cell", *side("b"))
+    col = F.col
+    gap = col("bt") - col("at")
+    seen = F.least("a_t1", "b_t1") - F.greatest("a_t0", "b_t0") > overlap
+    together = F.coalesce(col("a_t0").isNotNull() & col("a_t1").isNotNull() & col("b_t0").isNotNull() & col("b_t1").isNotNull() & seen, F.lit(False))
+    apart = (col("ax") - col("bx")) * (col("ax") - col("bx")) + (col("ay") - col("by")) * (col("ay") - col("by"))
+    near = F.when(apart.isNull() | F.isnan(apart), col("atrack_id") == col("btrack_id")).otherwise((apart <= distance * distance) & ~together)
+    met = a.join(b, ["run_id", "_cell"]).where((gap >= 0) & (gap <= seconds) & (col("a_id") != col("b_id")) & near)
+    return met.select(col("a_id").alias("a"), col("b_id").alias("b"))
 
-def deduplicated(crossings: DataFrame, seconds: float = 2.5, distance: float = 140.0, direction: str = "in", lines: DataFrame | None = None, spans: DataFrame | None = None, overlap: float = 0.4) -> DataFrame:
+
+def deduplicated(crossings: DataFrame, seconds: float = 2.5, distance: float = 140.0, direction: str = "in", lines: DataFrame | None = None, spans: DataFrame | None = None, overlap: float = 0.4, folded: int = FOLDED) -> DataFrame:
     """Guests' crossings in one direction that are not near, in time and place, one that was kept before. (H2, H3)
 
     A dropped crossing doesn't prolong the window. A crossing without a place
@@ -61,7 +86,11 @@ def deduplicated(crossings: DataFrame, seconds: float = 2.5, distance: float = 1
     a kept one without a place. lines (run_id, line): the venue's own lines;
     crossings of other named lines don't count. spans (run_id, track_id, t0,
     t1): two tracks that are seen together for more than `overlap` seconds are
-    two people, however near. Both are left out of account if not given.
+    two people, however near; tracks without a span never are. Both are left out of account if not given.
+
+    Stretches between pauses are folded as they are, up to `folded` crossings. Of longer ones only crossings that have a
+    near one are folded, a component of near pairs at a time, and the rest stays: the same rows. Ties in time go by track,
+    line and place. A null time is near nothing.
     """
     rows = crossings.where((crossings["direction"] == direction) & (F.coalesce(crossings["role"], F.lit("")) != "staff"))
     if lines is not None:
@@ -71,8 +100,12 @@ def deduplicated(crossings: DataFrame, seconds: float = 2.5, distance: float = 1
     else:
         rows = rows.withColumn("_t0", F.lit(None).cast("double")).withColumn("_t1", F.lit(None).cast("double"))
 
+    names = [f.split()[0] for f in _COLUMNS.split(", ")]
+    rows = rows.select(*names, "_t0", "_t1")
+    rows = write_table(islands(rows, ["run_id"], seconds), "crossings")
+
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "track_id", "line"], ignore_index=True)
+        pdf = pdf.sort_values(["t", "track_id", "line", "x", "y"], ignore_index=True)
         kept: list[tuple] = []
         keep = []
         for t, x, y, track, a, b in zip(pdf["t"], pdf["x"], pdf["y"], pdf["track_id"], pdf["_t0"], pdf["_t1"], strict=True):
@@ -83,7 +116,8 @@ def deduplicated(crossings: DataFrame, seconds: float = 2.5, distance: float = 1
                 if not placed or kx != kx or ky != ky:
                     near = track == other
                 else:
-                    near = (x - kx) ** 2 + (y - ky) ** 2 <= distance * distance and not min(b, kb) - max(a, ka) > overlap
+                    known = a == a and b == b and ka == ka and kb == kb
+                    near = (x - kx) ** 2 + (y - ky) ** 2 <= distance * distance and not (known and min(b, kb) - max(a, ka) > overlap)
                 if near:
                     new = False
                     break
@@ -92,7 +126,18 @@ def deduplicated(crossings: DataFrame, seconds: float = 2.5, distance: float = 1
                 kept.append((t, x, y, track, a, b))
         return pdf[keep]
 
-    return _per_island(islands(rows, ["run_id"], seconds), ["run_id"], fold, _COLUMNS)
+    whole = lambda df: _per_island(df, ["run_id"], fold, _COLUMNS)
+    long = write_table(rows.groupBy("run_id", "_island").agg(F.count("*").alias("n")).where(F.col("n") > folded).select("run_id", "_island"), "long")
+    if long.isEmpty():
+        return whole(rows)
+    same = rows["run_id"].eqNullSafe(long["run_id"]) & (rows["_island"] == long["_island"])
+    cut = rows.join(long, same, "left_semi").drop("_island").withColumn("_id", F.xxhash64(*names, "_t0", "_t1"))
+    # Equal rows need no pair between them to be in one component, but one needs a component.
+    copies = cut.groupBy("_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("_id").alias("id"), F.col("_id").alias("own"))
+    found = connected_components(_near_pairs(cut, seconds, distance, overlap)).join(copies, "id", "full").select(F.col("id").alias("_id"), F.coalesce("component", "own").alias("_island"))
+    parts = cut.join(found, "_id", "left")
+    near = _per_island(parts.where("_island is not null"), ["run_id"], fold, _COLUMNS, "pmod(_island, 128)")
+    return whole(rows.join(long, same, "left_anti")).unionByName(parts.where("_island is null").select(*names)).unionByName(near)
 
 
 def without_reversals(crossings: DataFrame, gap: float = 3.0) -> DataFrame:

@@ -1,7 +1,9 @@
 """Known answers, edge cases and properties."""
 
 import itertools
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -115,6 +117,37 @@ def test_a_dropped_crossing_does_not_prolong_the_window(spark):
     assert sorted(r["t"] for r in got) == [0.0, 4.0, 10.0]
 
 
+def test_dense_crossings_are_deduplicated_as_in_one_pass(spark):
+    """No pause of 2.5 s anywhere; some have no place or no span, some rows repeat. Against a loop over whole runs."""
+    rng = np.random.default_rng(5)
+    rows, spans = [], []
+    for run in range(3):
+        for i in range(400):
+            x, y = (None, None) if rng.random() < 0.1 else (float(rng.integers(0, 900)), float(rng.integers(0, 500)))
+            rows.append((run, f"t{rng.integers(60)}", "customer", "in", "door", x, y, float(rng.integers(0, 400)) * 0.25))
+        spans += [(run, f"t{k}", float(k), float(k) + 3 * rng.random()) for k in range(50)]
+    rows += [*rows[:40], (0, "t1", None, "in", "door", 5.0, 5.0, None)]
+    where = {(r, k): (a, b) for r, k, a, b in spans}
+
+    def together(r, j, k):
+        a, b = where.get((r, j)), where.get((r, k))
+        return a is not None and b is not None and min(a[1], b[1]) - max(a[0], b[0]) > 0.4
+
+    want = [r for r in rows if r[7] is None]
+    for run in range(3):
+        kept = []
+        for r in sorted((r for r in rows if r[0] == run and r[7] is not None), key=lambda r: (r[7], r[1], r[4], math.inf if r[5] is None else r[5], math.inf if r[6] is None else r[6])):
+            near = (k for k in kept if r[7] - k[7] <= 2.5)
+            if not any(r[1] == k[1] if r[5] is None or k[5] is None else (r[5] - k[5]) ** 2 + (r[6] - k[6]) ** 2 <= 140**2 and not together(run, r[1], k[1]) for k in near):
+                kept.append(r)
+        want += kept
+    assert len(want) < len(rows) - 100
+    for folded in (0, 405, C.FOLDED):  # all by components, one run whole, all whole
+        got = C.deduplicated(spark.createDataFrame(rows, C._COLUMNS).repartition(5), spans=spark.createDataFrame(spans, "run_id int, track_id string, t0 double, t1 double"), folded=folded).collect()
+        assert Counter(map(tuple, got)) == Counter(want)
+    assert C.deduplicated(spark.createDataFrame([], C._COLUMNS)).count() == 0
+
+
 def test_point_in_polygon_and_iou(spark):
     square = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
     df = spark.createDataFrame([(5.0, 5.0), (11.0, 5.0), (-1.0, -1.0)], "x double, y double")
