@@ -48,6 +48,8 @@ ALPHABET = 256 - 4
 _SEPARATORS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 _CHUNKS = "chunk long, data binary, sizes array<int>, keys array<long>, docs array<long>, held array<boolean>, grams binary, gram_counts binary, words binary, word_counts binary"
 _GRAM, _WORD = 0, 1
+#: A written table cuts lineage, so the shuffle files of its query go when that query ends, not when the driver next collects garbage.
+_CLEAN = {"spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true"}
 
 
 def segments(raw: bytes, size: int = CHUNK) -> Iterator[bytes]:
@@ -332,42 +334,32 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def scored(docs: DataFrame, order: int = ORDER, chunk: int = CHUNK, answered: int = ANSWERED) -> DataFrame:
-    """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
-
-    Both models learn from all rows that are not held out. base_score adds
-    log10 of (c + 1) / (N + V + 1) over the tokens; score is log10 of the
-    probability that the byte model gives to the text's tokens. Null texts are
-    empty: their only token is the end. Texts of any length are read whole, in
-    pieces that end with a word. Equal rows are scored alike and each counts in
-    training. A null doc_id is not held out. An empty table gives an empty
-    result. Other columns are ignored, whatever their names.
-    """
-    if not 1 <= order <= 5:
-        raise ValueError("order must be 1 to 5")
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out("doc_id").alias("held_out"))
+def _told(rows: DataFrame, order: int, chunk: int, answered: int) -> tuple[DataFrame, str, DataFrame, int, float]:
+    """The chunks and their place, what the tables tell each, and the words' total and the logarithm of its denominator."""
+    spark = rows.sparkSession
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=500, spark__sql__parquet__compression__codec="zstd"):
         chunks, path = written(rows.mapInPandas(_gather(order, chunk), _CHUNKS), "lm-chunks")
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=1):
         grams = chunks.select("grams", "gram_counts").mapInPandas(_gram_rows, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         words = chunks.select("words", "word_counts").mapInPandas(_word_rows, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-        grams, words = write_table(grams, "lm-grams"), write_table(words, "lm-words")
+        (grams, gram_place), (words, word_place) = written(grams, "lm-grams"), written(words, "lm-words")
     train_tokens, kinds = words.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_total = math.log10(train_tokens + kinds + 1)
 
-    blocks, firsts = None, {}
+    blocks, firsts, block_places = None, {}, []
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=BLOCK):
         scores, places = trie_scores(grams, order)
+        delete(spark, gram_place)
         for kind, table, key in ((_GRAM, scores, "gram"), (_WORD, words, "word")):
             size = max(1, -(-table.count() // BLOCK))
             cut = table.repartitionByRange(size, key).sortWithinPartitions(key).mapInPandas(_blocked(kind), "first binary, asked binary, told binary")
-            cut = write_table(cut, "lm-blocks")
+            cut, place = written(cut, "lm-blocks")
+            block_places.append(place)
             firsts[kind] = sorted(bytes(r["first"]) for r in cut.select("first").collect())
             number = spark.createDataFrame(list(zip(firsts[kind], range(len(firsts[kind])), strict=True)), "first binary, block int")
             cut = cut.join(number, "first").select(F.lit(kind).alias("kind"), "block", F.lit(-1).cast("long").alias("chunk"), "asked", "told")
             blocks = cut if blocks is None else blocks.unionByName(cut)
-    delete(spark, *places)
+    delete(spark, word_place, *places)
 
     copies = max(1, -(-chunks.count() // answered))
     with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch=4):
@@ -376,6 +368,27 @@ def scored(docs: DataFrame, order: int = ORDER, chunk: int = CHUNK, answered: in
         asked = blocks.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).unionByName(asked)
         asked = asked.repartition("kind", "block", "copy").sortWithinPartitions("kind", "block", "copy", "chunk")
         told = write_table(asked.mapInPandas(_answers, "chunk long, kind int, block int, told binary"), "lm-told")
+    delete(spark, *block_places)
+    return chunks, path, told, train_tokens, log_total
+
+
+def scored(docs: DataFrame, order: int = ORDER, chunk: int = CHUNK, answered: int = ANSWERED) -> DataFrame:
+    """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    Both models learn from all rows that are not held out. base_score adds
+    log10 of (c + 1) / (N + V + 1) over the tokens; score is log10 of the
+    probability that the byte model gives to the text's tokens. Null texts are
+    empty: their only token is the end. Texts of any length are read whole, in
+    pieces that end with a word. Equal rows are scored alike and each counts in
+    training. A null doc_id is not held out. An empty table gives an empty
+    result. Other columns are ignored, whatever their names.
+    """
+    if not 1 <= order <= 5:
+        raise ValueError("order must be 1 to 5")
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out("doc_id").alias("held_out"))
+    with settings(spark, **_CLEAN):
+        chunks, path, told, train_tokens, log_total = _told(rows, order, chunk, answered)
 
     def total(text: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row, answers = text.iloc[0], answers.sort_values("block")

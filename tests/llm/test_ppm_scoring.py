@@ -1,7 +1,9 @@
 """The trie of tables against a plain model that follows one text byte by byte."""
 
 import math
+import os
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from atrium.llm.ppm_scoring import ALPHABET, normalised, scored, segments, tokens
+from atrium.scratch import shared_dir
 
 SEPARATORS = re.compile("[^\x20\x09-\x0d]+")
 
@@ -99,3 +102,22 @@ def test_pieces_hold_every_word():
         assert [w for p in pieces for w in tokens(p)] == [*(w.encode() for w in words(text)), b""]
         assert b"".join(segments(text.encode(), size)) == text.encode()
     assert list(normalised(None)) == list(normalised(" \n")) == [b"\n"]
+
+
+def test_disk_holds_only_what_is_still_read(spark, odd_docs):
+    def tables():
+        place = f"{shared_dir(spark)}/_atrium_tmp".removeprefix("file://")
+        return set(os.listdir(place)) if os.path.isdir(place) else set()
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {os.path.basename(f) for f in files.split() if "/shuffle_" in f}
+
+    tables_before, before = tables(), shuffled()
+    got = scored(odd_docs, 2)
+    assert sorted(t.rpartition("-")[0] for t in tables() - tables_before) == ["lm-chunks", "lm-told"]
+    deadline = time.time() + 20  # Spark deletes behind the query's end
+    while shuffled() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    same(got.collect(), plain([tuple(r) for r in odd_docs.select("doc_id", "text").collect()], 2))
