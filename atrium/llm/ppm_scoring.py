@@ -48,6 +48,8 @@ ALPHABET = 256 - 4
 _SEPARATORS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 _CHUNKS = "chunk long, data binary, sizes array<int>, keys array<long>, docs array<long>, held array<boolean>, grams binary, gram_counts binary, words binary, word_counts binary"
 _GRAM, _WORD = 0, 1
+#: Behind all grams, of at most 48 bits and a piece; occurrences that are summed at once.
+_NO_GRAM, _SLAB = np.uint64(2**64 - 1), 1 << 20
 #: A written table cuts lineage, so the shuffle files of its query go when that query ends, not when the driver next collects garbage.
 _CLEAN = {"spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true"}
 
@@ -138,17 +140,14 @@ class Chunk:
             code <<= np.uint64(8)
             code |= a[j : n + j]
         code <<= np.uint64(16)
-        # Grams that end in a head are none; a piece's first gram starts at its head.
+        np.bitwise_or(code, np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes + self.order)[:n], out=code)
+        # Grams that end in a head are none, so they go to the end; a piece's first gram starts at its head.
         begin = np.cumsum(sizes + self.order) - sizes - self.order
-        keep = np.ones(n, bool)
         for j in range(1, self.order + 1):
-            at = begin[1:] - j
-            keep[at[at >= 0]] = False
-        code = code[keep]
-        del keep
-        np.bitwise_or(code, np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes), out=code)
+            code[begin[1:] - j] = _NO_GRAM
         code.sort()
-        piece = (code & np.uint64(0xFFFF)).astype(np.uint16)
+        code = code[: sizes.sum()]
+        piece = code.astype(np.uint16)
         code >>= np.uint64(16)
         first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
         return code[first].astype(np.int64), first, piece
@@ -180,9 +179,11 @@ class Chunk:
     def totals(self, scores: np.ndarray, words: list[bytes], counts: np.ndarray, log_total: float) -> pd.DataFrame:
         """For each piece its tokens, known tokens, and both scores, of its grams' scores and its words' counts."""
         _, first, piece = self.grams()
-        many = np.diff(np.append(first, len(piece)))
-        score = np.bincount(piece, np.repeat(scores, many), len(self.pieces))
-        del piece, first, many
+        each = np.repeat(scores, np.diff(np.append(first, len(piece))))
+        score = np.zeros(len(self.pieces))
+        for s in range(0, len(piece), _SLAB):
+            score += np.bincount(piece[s : s + _SLAB], each[s : s + _SLAB], len(self.pieces))
+        del piece, first, each
         index = dict(zip(words, range(len(words)), strict=True))
         logs = np.log10(counts + 1.0) - log_total
         out = []

@@ -4,13 +4,14 @@ import math
 import os
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from atrium.llm.ppm_scoring import ALPHABET, normalised, scored, segments, tokens
+from atrium.llm.ppm_scoring import ALPHABET, Chunk, normalised, scored, segments, tokens
 from atrium.scratch import shared_dir
 
 SEPARATORS = re.compile("[^\x20\x09-\x0d]+")
@@ -121,3 +122,14 @@ def test_disk_holds_only_what_is_still_read(spark, odd_docs):
         time.sleep(0.2)
     assert not shuffled() - before
     same(got.collect(), plain([tuple(r) for r in odd_docs.select("doc_id", "text").collect()], 2))
+
+
+def test_a_chunk_takes_few_bytes_for_each_of_its_own():
+    chunk = Chunk(5)
+    for i in range(200):
+        chunk.add(i, i, False, b"\n" * 5, b" ".join(b"word%d" % (j * i % 997) for j in range(700)) + b"\n")
+    tracemalloc.start()
+    grams, first, piece = chunk.grams()
+    assert tracemalloc.get_traced_memory()[1] < 16 * chunk.bytes
+    tracemalloc.stop()
+    assert len(piece) == chunk.bytes and len(grams) == len(first) == len(set(grams.tolist()))
