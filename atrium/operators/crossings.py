@@ -228,15 +228,18 @@ def merged_directions(crossings: DataFrame, seconds: float = 1.0) -> DataFrame:
 
 def door_deduplicated(crossings: DataFrame, spans: DataFrame, seconds: float = 2.5, reach: float = 180.0, overlap: float = 0.4, last: int = 6) -> DataFrame:
     """Drops a door's crossing near one of the last six kept ones: same direction, at most `seconds` and `reach` pixels across
-    apart, unless both tracks are seen together. spans: run_id, track_id, t0, t1. (H5)"""
+    apart, unless both tracks are seen together; tracks without a span never are. spans: run_id, track_id, t0, t1. (H5)"""
     rows = crossings.join(spans.select("run_id", "track_id", F.col("t0").alias("_t0"), F.col("t1").alias("_t1")), ["run_id", "track_id"], "left")
 
+    # The smaller of a number and NaN depends on their order, so spans are compared only where both are known.
+    together = lambda a, b, c, d: a == a and b == b and c == c and d == d and min(b, d) - max(a, c) > overlap
+
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["t", "track_id", "line", "direction"], ignore_index=True)
         kept: list[tuple] = []
         keep = []
         for t, d, x, a, b in zip(pdf["t"], pdf["direction"], pdf["x"], pdf["_t0"], pdf["_t1"], strict=True):
-            new = not any(d == kd and t - kt <= seconds and abs(x - kx) <= reach and not min(b, kb) - max(a, ka) > overlap for kt, kd, kx, ka, kb in kept[-last:])
+            new = not any(d == kd and t - kt <= seconds and abs(x - kx) <= reach and not together(a, b, ka, kb) for kt, kd, kx, ka, kb in kept[-last:])
             keep.append(new)
             if new:
                 kept.append((t, d, x, a, b))

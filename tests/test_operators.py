@@ -241,3 +241,14 @@ def test_debouncing(spark):
     rows = [(0, "1", "customer", d, "door", x, 0.0, t) for d, t, x in (("in", 0.0, 0.0), ("out", 2.0, 10.0), ("in", 10.0, 0.0), ("in", 10.5, 5.0), ("out", 12.0, 300.0))]
     got = C.debounced(spark.createDataFrame(rows, C._COLUMNS)).collect()
     assert sorted(r["t"] for r in got) == [10.0, 12.0]
+
+
+@pytest.mark.parametrize("known", ["a", "b"])
+def test_door_tracks_without_a_span_are_never_together(spark, known):
+    """Two crossings of one door within a second; of the two tracks only one has a span."""
+    rows = [(0, k, "customer", "in", "side door", 100.0, 0.0, t) for k, t in (("a", 1.0), ("b", 2.0))]
+    crossings = spark.createDataFrame(rows, "run_id int, track_id string, role string, direction string, line string, x double, y double, t double")
+    spans = spark.createDataFrame([(0, known, 0.0, 50.0)], "run_id int, track_id string, t0 double, t1 double")
+    assert [r["track_id"] for r in C.door_deduplicated(crossings, spans).collect()] == ["a"]
+    both = spans.union(spans.withColumn("track_id", F.lit("b" if known == "a" else "a")))
+    assert sorted(r["track_id"] for r in C.door_deduplicated(crossings, both).collect()) == ["a", "b"]
