@@ -99,8 +99,9 @@ def _stages(spark, sf):
 @query("a16_funnel_in_logs", sql("SELECT run_id, stage, CAST(printf('%.1f', 100.0 * n / raw) AS DOUBLE) AS drop_pct FROM stage", FUNNEL))
 def a16(spark, sf):
     """The share that each stage drops, printed as a table and read from the text."""
-    line = F.format_string("  %-12s dropped %6d  %5.1f%%", "stage", "n", 100.0 * F.col("n") / F.col("raw"))
-    log = _stages(spark, sf).groupBy("run_id").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("text"))
+    share = S.printed(F.array(100.0 * F.col("n") / F.col("raw")), 1)[0]
+    line = F.format_string("  %-12s dropped %6d  %5s%%", "stage", "n", "share")
+    log = _stages(spark, sf).withColumn("share", share).groupBy("run_id").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("text"))
     return log.select("run_id", F.explode(R.funnel_in_text(F.col("text"))).alias("f")).select("run_id", "f.stage", "f.drop_pct")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from atrium.scratch import settings
 
@@ -13,6 +15,20 @@ def mot_line(frame: Column, track: Column, x: Column, y: Column, w: Column, h: C
     return F.format_string("%d,%d,%.2f,%.2f,%.2f,%.2f,1,-1,-1,-1", frame, track, x, y, w, h)
 
 
+def printed(numbers: Column, digits: int) -> Column:
+    """An array of doubles as texts with so many decimals, as C's printf has them; nulls stay.
+
+    format_string rounds the shortest decimal that stands for a number, half up:
+    0.0703125 becomes 0.070313. Here the number itself is rounded, half to even.
+    """
+    form = f"%.{digits}f"
+
+    def texts(a: pa.Array) -> pa.Array:
+        return pa.array([None if row is None else [None if v is None else form % v for v in row] for row in a.to_pylist()], pa.list_(pa.string()))
+
+    return F.arrow_udf(texts, ArrayType(StringType()))(numbers.cast("array<double>"))
+
+
 def vector_text(vec: Column) -> Column:
     """`[0.123456,...]`."""
     return F.concat(F.lit("["), F.concat_ws(",", F.transform(vec, lambda v: F.format_string("%.6f", v.cast("double")))), F.lit("]"))

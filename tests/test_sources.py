@@ -79,3 +79,19 @@ def test_likenesses_in_sql(spark):
     got = [tuple(r) for r in spark.sql("SELECT likeness(a, b), nearness(a, b), first(a, b) FROM {t}", t=t).collect()]
     assert got[0] == (1.0, 1.0, 0.0) and got[1][0] == 0.0 and got[2][0] == 0.0
     assert got[3] == got[4] == (None, None, None) and got[5] == (1.0, 0.25, -3.0)
+
+
+def test_funnel_shares_are_printed_as_c_prints_them(spark, tmp_path):
+    """Of 400 boxes 49 are dropped, 12.25 %, which is 12.2 with one decimal."""
+    from atrium.plans.registry import ORACLE_SQL, QUERIES
+    from tests import oracle
+
+    # A box's conf is 0.3 + (event_id % 70) / 100; each event of a user and frame of its own is a box.
+    low = [i for i in range(5000) if i % 70 < 5][:49]
+    high = [i for i in range(5000) if 10 <= i % 70][:351]
+    rows = [(i, 500 + 25 * (i % 5), "view", 1.0, '{"k": 5}') for i in sorted(low + high)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string").coalesce(1).toPandas().to_parquet(f"{tmp_path}/events.parquet")
+    q = "a16_funnel_in_logs"
+    got = {r["stage"]: r["drop_pct"] for r in QUERIES[q](spark, str(tmp_path)).collect()}
+    assert got["confidence"] == 12.2
+    assert oracle.difference(spark, oracle.connect(str(tmp_path)), QUERIES[q], ORACLE_SQL[q], str(tmp_path)) == ""
