@@ -58,12 +58,12 @@ def a3(spark, sf):
     f = b.groupBy("run_id", "frame_idx", "t").agg(F.collect_list(F.array("id", "x1", "y1", "x2", "y2")).alias("boxes"))
     one = F.concat_ws(",", F.col("frame_idx").cast("string"), F.col("t").cast("string"), F.to_json("boxes"))
     run = Window.partitionBy("run_id")
-    first, last = F.col("frame_idx") == F.min("frame_idx").over(run), F.col("frame_idx") == F.max("frame_idx").over(run)
-    # A record ends with the separator, so a frame is written without its own two closing brackets but the last.
-    text = F.concat(F.when(first, "[[").otherwise(""), F.when(last, F.concat(one, F.lit("]]"))).otherwise(F.expr("substring(one, 1, length(one) - 1)")))
+    first = F.col("frame_idx") == F.min("frame_idx").over(run)
+    # A record ends with the separator, so a frame is written without the closing brackets of its boxes, and the log stays open.
+    text = F.concat(F.when(first, "[[").otherwise(""), F.expr("substring(one, 1, length(one) - 2)"))
     path = _folder(spark)
     rows = f.withColumn("one", one).select("run_id", "frame_idx", text.alias("value"))
-    rows.repartition("run_id").sortWithinPartitions("run_id", "frame_idx").select("run_id", "value").write.partitionBy("run_id").option("lineSep", "]],[").text(path)
+    rows.repartition("run_id").sortWithinPartitions("run_id", "frame_idx").select("run_id", "value").write.partitionBy("run_id").option("lineSep", "]]],[").text(path)
     return R.frame_records(spark, path).where("frame_idx >= 40")
 
 

@@ -58,17 +58,23 @@ def run_frame_logs(spark: SparkSession, path: str, run: str = r"run_id=([^/]+)/"
 def frame_records(spark: SparkSession, path: str, columns: str = "run_id int", between: str = ",") -> DataFrame:
     """The same logs, a frame at a time: a file of any size is read as a stream of frames, and split where it is not compressed. (A3, A4)
 
-    The end of a frame and the start of the next, `]],[`, separates the
-    reader's records, so a record is one frame and never the file. between:
-    what stands between two lists, `, ` in spaced files. columns: the folders
-    (name=value) that path holds; a filter on them leaves files unread.
+    The end of a frame with boxes and the start of the next, `]]],[`, separates
+    the reader's records, so a record is one frame, after those without boxes
+    before it, and never the file. A bracket less would do for these too, but
+    behind another bracket the reader misses a separator that its buffer or its
+    part of the file ends in. between: what stands between two lists, `, ` in
+    spaced files. columns: the folders (name=value) that path holds; a filter
+    on them leaves files unread.
     """
-    rows = spark.read.schema(f"value string, {columns}").option("lineSep", f"]]{between}[").text(path)
-    body = F.regexp_replace(F.regexp_replace(F.trim("value"), r"^\[\[", ""), r"\]\]\]\s*$", "")
+    rows = spark.read.schema(f"value string, {columns}").option("lineSep", f"]]]{between}[").text(path)
     keep = [c for c in rows.columns if c != "value"]
+    rows = rows.select(*keep, F.explode(F.split("value", r"(?<=\[\])\],\s*\[")).alias("value"))
+    # What remains are a frame's number, its time and its boxes without the brackets around them.
+    body = F.regexp_replace(F.regexp_replace("value", r"^[\s\[]+", ""), r"[\s\]]+$", "")
     # A frame's number and time stand before its boxes, so that a filter on them is decided before those are parsed.
     head = F.split(F.substring_index(body, "[", 1), ",")
-    f = rows.where(F.trim("value").rlike(r"\d")).select(*keep, head.alias("h"), F.concat(F.lit("["), F.regexp_replace(body, r"^[^\[]*\[", ""), F.lit("]")).alias("b"))
+    boxes = F.regexp_replace(body, r"^[^\[]*\[\s*", "")
+    f = rows.where(F.trim("value").rlike(r"\d")).select(*keep, head.alias("h"), F.when(boxes == "", "[]").otherwise(F.concat(F.lit("["), boxes, F.lit("]]"))).alias("b"))
     f = f.select(*keep, F.get("h", F.lit(0)).cast("int").alias("frame_idx"), F.get("h", F.lit(1)).cast("double").alias("t"), F.explode_outer(F.from_json("b", "array<array<double>>")).alias("b"))
     return f.select(*keep, "frame_idx", "t", F.get("b", F.lit(0)).cast("long").cast("string").alias("track_id"), *[F.get("b", F.lit(i)).alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"), 1)])
 

@@ -95,3 +95,21 @@ def test_funnel_shares_are_printed_as_c_prints_them(spark, tmp_path):
     got = {r["stage"]: r["drop_pct"] for r in QUERIES[q](spark, str(tmp_path)).collect()}
     assert got["confidence"] == 12.2
     assert oracle.difference(spark, oracle.connect(str(tmp_path)), QUERIES[q], ORACLE_SQL[q], str(tmp_path)) == ""
+
+
+@pytest.mark.parametrize("bytes_a_part", ["128m", "1k"])
+def test_no_frame_is_lost_where_a_buffer_or_a_part_ends(spark, tmp_path, bytes_a_part):
+    """Files whose separators lie at every place around the end of the reader's buffer of 64 KB, and at the ends of parts of 1 KB."""
+    import json
+
+    from atrium.sources.readers import frame_records
+
+    want = []
+    for run in range(45 if bytes_a_part == "128m" else 8):
+        frames = [[i, i / 8, [[i, 1.5, 2.5, 3.5, 4.5]] if i % 7 else []] for i in range(2200 if bytes_a_part == "128m" else 200)]
+        (tmp_path / f"run_id={run}").mkdir()
+        (tmp_path / f"run_id={run}" / "log.json").write_text(" " * run + json.dumps(frames, separators=(",", ":")))
+        want += [(run, f[0], str(f[0]) if f[2] else None) for f in frames]
+    with settings(spark, spark__sql__files__maxPartitionBytes=bytes_a_part, spark__sql__files__openCostInBytes="1"):
+        got = [(r["run_id"], r["frame_idx"], r["track_id"]) for r in frame_records(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
