@@ -30,8 +30,8 @@ def printed(numbers: Column, digits: int) -> Column:
 
 
 def vector_text(vec: Column) -> Column:
-    """`[0.123456,...]`."""
-    return F.concat(F.lit("["), F.concat_ws(",", F.transform(vec, lambda v: F.format_string("%.6f", v.cast("double")))), F.lit("]"))
+    """`[0.123456,...]`; null elements are left out."""
+    return F.concat(F.lit("["), F.array_join(printed(vec, 6), ","), F.lit("]"))
 
 
 def replace_runs(rows: DataFrame, path: str, key: str = "run_id") -> None:

@@ -113,3 +113,10 @@ def test_no_frame_is_lost_where_a_buffer_or_a_part_ends(spark, tmp_path, bytes_a
     with settings(spark, spark__sql__files__maxPartitionBytes=bytes_a_part, spark__sql__files__openCostInBytes="1"):
         got = [(r["run_id"], r["frame_idx"], r["track_id"]) for r in frame_records(spark, str(tmp_path)).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_vectors_are_printed_as_c_prints_them(spark):
+    """Halves that doubles hold exactly go to the even neighbour, others to where the number itself lies."""
+    rows = [[-0.0703125, 0.0703125, 0.5, -0.0], [0.1234565], [], [float("nan"), float("inf"), None, 1e22], None]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in rows], "v array<double>").coalesce(1).select(S.vector_text(F.col("v"))).collect()]
+    assert got == ["[-0.070312,0.070312,0.500000,-0.000000]", "[" + "%.6f" % 0.1234565 + "]", "[]", "[nan,inf,10000000000000000000000.000000]", None]
