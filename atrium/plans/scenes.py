@@ -219,8 +219,9 @@ def g43(spark, sf):
     t = _truth(spark, sf)
     dark = F.when(F.col("frame_idx") % 2 == 1, "dark").otherwise("bright").alias("condition")
     t = t.select("run_id", "frame_idx", "track_id", "x1", "y1", "x2", "y2", dark)
-    away = lambda c: F.when(F.col("condition") == "dark", F.col(c) + 5000.0).otherwise(F.col(c)).alias(c)
-    return S.by_condition(t, t.select("run_id", "frame_idx", "track_id", away("x1"), "y1", away("x2"), "y2", "condition")).select("run_id", "condition", "hota", "weakest")
+    # Left of the frame, where no truth is, however wide it is.
+    away = lambda c, other: F.when(F.col("condition") == "dark", -1.0 - F.col(other)).otherwise(F.col(c)).alias(c)
+    return S.by_condition(t, t.select("run_id", "frame_idx", "track_id", away("x1", "x2"), "y1", away("x2", "x1"), "y2", "condition")).select("run_id", "condition", "hota", "weakest")
 
 
 @query("p43_packages_scored", sql("SELECT DISTINCT run_id AS package, 1.0::DOUBLE AS hota FROM v_box WHERE track_id NOT LIKE 'm%'"))

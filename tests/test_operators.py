@@ -266,3 +266,14 @@ def test_the_way_back_through_a_fisheye_beyond_its_turning_point(spark):
         assert abs(r["rx"] - r["x"]) < 1e-4 and abs(r["ry"] - r["y"]) < 1e-4, r
         assert r["held"] < 2249.0
     assert {r["fold"] for r in d.collect()} == {0, 1, 2}
+
+
+def test_what_a_tracker_does_not_see_meets_no_truth_in_a_wide_frame(spark, tmp_path):
+    """Users 7 and 5007 stand 5,000 pixels apart in the same frames."""
+    from atrium.plans.registry import ORACLE_SQL, QUERIES
+    from tests import oracle
+
+    rows = [(i, u, "view", 1.0, '{"k": 5}') for i, u in ((0, 7), (1, 5007), (5, 7), (6, 5007), (15, 7), (16, 5007))]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string").coalesce(1).toPandas().to_parquet(f"{tmp_path}/events.parquet")
+    q = "g43_scores_by_condition"
+    assert oracle.difference(spark, oracle.connect(str(tmp_path)), QUERIES[q], ORACLE_SQL[q], str(tmp_path)) == ""
