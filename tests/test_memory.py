@@ -170,3 +170,43 @@ def test_stream_is_the_batch(spark, tmp_path):
             out = to_table(live_identity_stream(stream), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     assert sorted(map(repr, out.collect())) == want
     assert len(want) > 100
+
+
+def test_a_match_reads_no_single_entry_of_a_crowded_place():
+    class Counted(dict):
+        reads = 0
+
+        def get(self, k, d=None):
+            Counted.reads += 1
+            return super().get(k, d)
+
+    m = Memory(bank=Counted())
+    for i in range(500):
+        one(m, str(i), None if i % 3 else B, 10.0, 10.0, 0.1 * i)
+    one(m, "like", A, 20.0, 10.0, 60.0)
+    Counted.reads = 0
+    assert one(m, "new", A, 10.0, 10.0, 61.0) == "like"
+    assert Counted.reads < 5
+
+
+def test_columns_of_a_place_follow_what_leaves_grows_and_is_forgotten():
+    """Vectors of two lengths, identities that move to another cell and back, and some that are forgotten, against the plain version."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(600):
+        shown = [rng.normal(size=3 if k % 4 else 2) for k in range(3)]
+        for k in range(3):
+            rows.append((0, i * 0.7, f"{int(rng.integers(60))}.{k}.{i // 40}", float(rng.choice([100, 250, 270, 600])), float(rng.choice([100, 500])), float(rng.random()), bool(rng.random() < 0.2), None if rng.random() < 0.1 else list(np.round(shown[k], 1))))
+    for ttl in (1800.0, 30.0):
+        m, got = Memory(ttl=ttl), []
+        for now in sorted({r[1] for r in rows}):
+            frame = sorted((r for r in rows if r[1] == now), key=lambda r: r[2])
+            unit = [None if r[7] is None else np.array(r[7]) / np.linalg.norm(r[7]) if any(r[7]) else np.array(r[7]) for r in frame]
+            got += [(0, now, r[2], *d) for r, d in zip(frame, m.frame(now, [(r[2], v, r[3], r[4], r[5], r[6]) for r, v in zip(frame, unit, strict=True)]), strict=True)]
+        assert [g[:5] for g in sorted(got, key=repr)] == [w[:5] for w in sorted(plain_by_length(rows, ttl), key=repr)]
+        assert {"known", "matched", "new", "frozen"} <= {g[4] for g in got}
+
+
+def plain_by_length(rows, ttl):
+    """The plain version, in which vectors of other lengths are like nothing: a shorter one gets a place of its own."""
+    return plain([(*r[:7], None if r[7] is None else [*r[7], 0.0, 0.0] if len(r[7]) == 3 else [0.0, 0.0, 0.0, *r[7]]) for r in rows], ttl)
