@@ -210,3 +210,16 @@ def test_columns_of_a_place_follow_what_leaves_grows_and_is_forgotten():
 def plain_by_length(rows, ttl):
     """The plain version, in which vectors of other lengths are like nothing: a shorter one gets a place of its own."""
     return plain([(*r[:7], None if r[7] is None else [*r[7], 0.0, 0.0] if len(r[7]) == 3 else [0.0, 0.0, 0.0, *r[7]]) for r in rows], ttl)
+
+
+def test_memories_of_two_lengths_of_time_read_the_detections_once(spark):
+    from atrium.operators.memory import identities_known
+    from atrium.plans.registry import QUERIES
+
+    d = reborn(spark, "/root/testdata/sf0.001").persist()
+    got = {tuple(r) for r in identities_known(d, {"short": 5.0, "long": 1800.0}).collect()}
+    n = lambda ttl: dict(live_identities(d, ttl=ttl).groupBy("run_id").agg(F.count_distinct("canon")).collect())
+    short, long = n(5.0), n(1800.0)
+    assert got == {(k, short[k], long[k]) for k in long} and any(short[k] != long[k] for k in long)
+    plan = QUERIES["n5_forgotten_identities"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("FlatMapGroupsInPandas") == 1
