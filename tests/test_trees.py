@@ -91,3 +91,34 @@ def test_polygons_by_cells(spark):
     assert polygons.cells(zs, 64.0).where("full").count() > 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_equal_outlines_and_places_are_tested_once(spark, monkeypatch):
+    """2,500 points at three places and 90 zones of three outlines: 9 tests of 225,000, and every point and zone in the result."""
+    monkeypatch.setattr(polygons, "ALIKE", 1_000)
+    outlines = [([0.0, 40.0, 40.0, 0.0], [0.0, 0.0, 40.0, 40.0]), ([10.0, 60.0, 10.0], [10.0, 10.0, 60.0]), ([-9.0, -1.0, -5.0], [-9.0, -9.0, -1.0])]
+    zones = spark.createDataFrame([(i, *outlines[i % 3]) for i in range(90)], "polygon long, xs array<double>, ys array<double>")
+    places = [(20.0, 20.0), (50.0, 12.0), (500.0, 1.0)]
+    points = spark.createDataFrame([(i, *places[i % 3]) for i in range(2500)], "id int, x double, y double")
+    found = polygons.containing(points, zones, 64.0)
+    holds = {0: {0, 1}, 1: {1}, 2: set()}
+    want = {(i, z) for i in range(2500) for z in range(90) if z % 3 in holds[i % 3]}
+    got = [(r.id, r.polygon) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+    monkeypatch.setattr(polygons, "ALIKE", 7)
+    assert sorted((r.id, r.polygon) for r in polygons.containing(points, zones, 64.0).collect()) == sorted(want)
+    pairs = polygons.corners_within(zones, zones.where("polygon % 2 = 0"), 64.0)
+    want = {(a, b): n for a in range(90) for b in range(0, 90, 2) if a != b and (n := sum(inside(x, y, *outlines[b % 3]) for x, y in zip(*outlines[a % 3])))}
+    rows = pairs.collect()
+    assert {(r.polygon, r.mask): r.corners for r in rows} == want and len(rows) == len(want) > 500
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(_points") < plan.index("Join Inner")  # the plan prints from the top: points are told apart after the join
+
+
+def inside(x, y, xs, ys):
+    hit = False
+    for i in range(len(xs)):
+        j = (i + 1) % len(xs)
+        if (ys[i] > y) != (ys[j] > y) and x < (xs[j] - xs[i]) * (y - ys[i]) / (ys[j] - ys[i]) + xs[i]:
+            hit = not hit
+    return hit
