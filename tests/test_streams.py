@@ -101,3 +101,81 @@ def test_a_retried_batch_is_written_once(spark, tmp_path):
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
     assert sum(monitor.rows.values()) == 100  # only committed batches are reported
     spark.streams.removeListener(monitor)
+
+
+class Entries:
+    """A map state in memory that counts its calls."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def exists(self):
+        self.calls += 1
+        return bool(self.held)
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        self.held.pop(key, None)
+
+    def iterator(self):
+        return iter(list(self.held.items()))
+
+
+class Handle:
+    def __init__(self):
+        self.states, self.timers = {}, set()
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, Entries())
+
+    def listTimers(self):
+        return iter(list(self.timers))
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def test_a_batch_of_a_camera_costs_few_calls_of_the_state():
+    """1,000 names and 200 cells of a block: calls go with parts and rows of cells, also where a second batch meets the state."""
+    import numpy as np
+    import pandas as pd
+
+    from atrium.operators.memory import Identities
+    from atrium.streaming.occupancy import Stillness
+
+    handle, rng = Handle(), np.random.default_rng(1)
+    n = 1000
+    d = pd.DataFrame({"run_id": 0, "t": np.arange(n) / 8, "raw": [str(i) for i in range(n)], "x": rng.uniform(0, 1900, n), "y": rng.uniform(0, 1000, n), "score": 1.0, "frozen": False, "vec": list(rng.normal(size=(n, 4)))})
+    d["ts"] = pd.Timestamp("2024-01-01") + pd.to_timedelta(d["t"], unit="s")
+    whole, halves = Identities(), Identities()
+    whole.init(Handle())
+    want = pd.concat(list(whole.handleInputRows((0,), [d], handle)))
+    halves.init(handle)
+    got = pd.concat([x for half in (d[:500], d[500:]) for x in halves.handleInputRows((0,), [half], handle)])
+    assert got.reset_index(drop=True).equals(want.reset_index(drop=True)) and "matched" in set(got["how"])
+    assert sum(s.calls for s in handle.states.values()) < 700
+    handle = Handle()
+    one = Stillness(4, 12.0, 0.02, 0.06, 20, ["t", "track_id"])
+    one.init(handle)
+    b = pd.DataFrame({"t": np.arange(n) / 8, "track_id": "a", "gx": np.arange(n) % 16, "gy": np.arange(n) // 16 % 13, "x": 1.0, "y": 1.0, "w": 40.0, "h": 90.0, "patience": 30.0})
+    b["ts"] = pd.Timestamp("2024-01-01") + pd.to_timedelta(b["t"], unit="s")
+    b.loc[7, ["gx", "x"]] = np.nan
+    for half in (b[:500], b[500:]):
+        assert [len(x) for x in one.handleInputRows((0,), [half], handle)] == [500]
+    assert handle.states["strips"].calls < 60 and len(handle.timers) == 1
+    list(one.handleExpiredTimer((0,), handle, None))
+    assert not handle.states["strips"].held  # nothing was proven
